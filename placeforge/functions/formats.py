@@ -8,15 +8,6 @@ from pyspark.sql import functions as F
 from placeforge.functions.geometry import geometry, point_xy
 
 SRID = 4326
-# Nesting of the coordinates in each kind of geometry (1 = one bare position).
-DEPTH = {
-    "POINT": 1,
-    "LINESTRING": 2,
-    "MULTIPOINT": 2,
-    "POLYGON": 3,
-    "MULTILINESTRING": 3,
-    "MULTIPOLYGON": 4,
-}
 
 
 def _position(text: Column) -> Column:
@@ -55,8 +46,10 @@ def from_ewkt(text: Column) -> Column:
 
 
 def _number(value: Column) -> Column:
-    """Double as text without a trailing ``.0``."""
-    return F.regexp_replace(value.cast("string"), r"\.0$", "")
+    """Double as plain decimal text: no exponent, no trailing ``.0``."""
+    text = value.cast("string")
+    plain = F.regexp_replace(value.cast("decimal(38,18)").cast("string"), r"(\.\d*?)0+$", "$1")
+    return F.regexp_replace(F.when(F.contains(text, F.lit("E")), plain).otherwise(text), r"\.0?$", "")
 
 
 def to_ewkt(geom: Column) -> Column:
@@ -80,24 +73,31 @@ def to_ewkt(geom: Column) -> Column:
 
 
 def to_geojson(geom: Column) -> Column:
+    def array_of(items: Column) -> Column:
+        return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
+
     def position(p: Column) -> Column:
-        return F.array(p["x"], p["y"])
+        return F.concat(F.lit("["), _number(p["x"]), F.lit(","), _number(p["y"]), F.lit("]"))
 
     def line(ring: Column) -> Column:
-        return F.transform(ring, position)
-
-    names = {
-        "POINT": ("Point", lambda p: position(p[0][0][0])),
-        "MULTIPOINT": ("MultiPoint", lambda p: F.transform(p, lambda q: position(q[0][0]))),
-        "LINESTRING": ("LineString", lambda p: line(p[0][0])),
-        "MULTILINESTRING": ("MultiLineString", lambda p: F.transform(p, lambda q: line(q[0]))),
-        "POLYGON": ("Polygon", lambda p: F.transform(p[0], line)),
-        "MULTIPOLYGON": ("MultiPolygon", lambda p: F.transform(p, lambda q: F.transform(q, line))),
+        return array_of(F.transform(ring, position))
+
+    def polygon(part: Column) -> Column:
+        return array_of(F.transform(part, line))
+
+    parts = geom["parts"]
+    forms = {
+        "Point": position(parts[0][0][0]),
+        "MultiPoint": array_of(F.transform(parts, lambda p: position(p[0][0]))),
+        "LineString": line(parts[0][0]),
+        "MultiLineString": array_of(F.transform(parts, lambda p: line(p[0]))),
+        "Polygon": polygon(parts[0]),
+        "MultiPolygon": array_of(F.transform(parts, polygon)),
     }
     text = F.lit(None).cast("string")
-    for gtype, (name, coordinates) in names.items():
-        whole = F.struct(F.lit(name).alias("type"), coordinates(geom["parts"]).alias("coordinates"))
-        text = F.when(geom["gtype"] == gtype, F.to_json(whole)).otherwise(text)
+    for name, coordinates in forms.items():
+        whole = F.concat(F.lit(f'{{"type":"{name}","coordinates":'), coordinates, F.lit("}"))
+        text = F.when(geom["gtype"] == name.upper(), whole).otherwise(text)
     return text
 
 

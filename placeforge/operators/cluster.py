@@ -260,8 +260,9 @@ def _interior_runs(polygons: DataFrame, side: float) -> DataFrame:
                 acc["out"], F.when(left, block(a)).otherwise(nothing), F.when(right, block(b)).otherwise(nothing)
             ).cast(block_type)
             return F.struct(
-                F.shiftright(F.when(left, a + 1).otherwise(a), 1).alias("a"),
-                F.shiftright(F.when(right, b - 1).otherwise(b), 1).alias("b"),
+                # a used-up run stays as it is: halving its ends could make them meet again
+                F.when(open_, F.shiftright(F.when(left, a + 1).otherwise(a), 1)).otherwise(a).alias("a"),
+                F.when(open_, F.shiftright(F.when(right, b - 1).otherwise(b), 1)).otherwise(b).alias("b"),
                 out.alias("out"),
             )
 

@@ -39,18 +39,22 @@ def _decode(batch: pa.StructArray):
 
 
 def _encode(rows: list) -> pa.Array:
-    def plain(row):
-        if row is None:
-            return None
-        gtype, parts = row
-        return {
-            "gtype": gtype,
-            "parts": [[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in part] for part in parts],
-        }
+    """Arrow geometry column of (gtype, parts) or None per row."""
+    present = [r for r in rows if r is not None]
+    parts = [p for _, ps in present for p in ps]
+    rings = [r for p in parts for r in p]
+    xy = np.concatenate([np.empty((0, 2)), *rings])
 
-    point = pa.struct([("x", pa.float64()), ("y", pa.float64())])
-    shape = pa.struct([("gtype", pa.string()), ("parts", pa.list_(pa.list_(pa.list_(point))))])
-    return pa.array([plain(r) for r in rows], shape)
+    def offsets(sizes: list[int]) -> np.ndarray:
+        return np.r_[0, np.cumsum(sizes, dtype=np.int64)].astype(np.int32)
+
+    points = pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], ["x", "y"])
+    lines = pa.ListArray.from_arrays(offsets([len(r) for r in rings]), points)
+    nested = pa.ListArray.from_arrays(offsets([len(p) for p in parts]), lines)
+    shapes = pa.ListArray.from_arrays(offsets([0 if r is None else len(r[1]) for r in rows]), nested)
+    types = pa.array([None if r is None else r[0] for r in rows], pa.string())
+    missing = pa.array([r is None for r in rows], pa.bool_())
+    return pa.StructArray.from_arrays([types, shapes], ["gtype", "parts"], mask=missing)
 
 
 # ---- validity ----
@@ -212,52 +216,70 @@ def is_valid(geom: Column) -> Column:
 
 # ---- simplification ----
 
-def _thin(line: Ring, tolerance: float, least: int) -> Ring:
-    """Douglas-Peucker: split at the farthest point while it is farther than the tolerance."""
-    keep = np.zeros(len(line), bool)
-    keep[[0, -1]] = True
-    spans = [(0, len(line) - 1)]
+def _weights(line: Ring) -> np.ndarray:
+    """How far a tolerance can go before each point drops out of a Douglas-Peucker line; ends never do."""
+    weights = np.zeros(len(line))
+    weights[[0, -1]] = np.inf
+    spans = [(0, len(line) - 1, np.inf)]
     while spans:
-        i, j = spans.pop()
+        i, j, above = spans.pop()
         if j - i < 2:
             continue
-        a, d, mid = line[i], line[j] - line[i], line[i + 1 : j] - line[i]
-        norm = float(d @ d)
-        t = np.clip(mid @ d / norm, 0, 1) if norm > 0 else np.zeros(len(mid))
-        off = ((mid - t[:, None] * d) ** 2).sum(axis=1)
-        far = int(off.argmax())
-        if off[far] > tolerance**2 or keep.sum() + len(spans) < least:
-            k = i + 1 + far
-            keep[k] = True
-            spans += [(k, j), (i, k)]
+        (ax, ay), (bx, by) = line[i], line[j]
+        dx, dy = bx - ax, by - ay
+        px, py = line[i + 1 : j, 0] - ax, line[i + 1 : j, 1] - ay
+        norm = dx * dx + dy * dy
+        t = np.clip((px * dx + py * dy) / norm, 0, 1) if norm > 0 else 0.0
+        off = (px - t * dx) ** 2 + (py - t * dy) ** 2
+        k = int(off.argmax())
+        weight = min(float(off[k]) ** 0.5, above)
+        far = i + 1 + k
+        weights[far] = weight
+        spans += [(far, j, weight), (i, far, weight)]
+    return weights
+
+
+def _thin(line: Ring, weights: np.ndarray, tolerance: float, least: int) -> Ring:
+    """The points that outlast the tolerance, but ``least`` of them at any rate."""
+    keep = weights > tolerance
+    if keep.sum() < least <= len(line):
+        keep[np.argsort(-weights, kind="stable")[:least]] = True
     return line[keep]
 
 
-def _thin_geometry(gtype: str, parts: list[list[Ring]], tolerance: float, keep_collapsed: bool):
-    if gtype in POINTS:
-        return gtype, parts
+def _weigh(parts: list[list[Ring]]) -> list[list[np.ndarray]]:
+    return [[_weights(r) for r in part] for part in parts]
+
+
+def _thin_geometry(gtype: str, parts: list[list[Ring]], weights, tolerance: float, keep_collapsed: bool):
     found = []
-    for part in parts:
+    for part, own in zip(parts, weights):
         if gtype in LINEAR:
-            line = _thin(part[0], tolerance, 2)
+            line = _thin(part[0], own[0], tolerance, 2)
             if keep_collapsed or len(np.unique(line, axis=0)) > 1:
                 found.append([line])
             continue
-        thin = [_thin(r, tolerance, 4 if n == 0 and keep_collapsed else 0) for n, r in enumerate(part)]
+        shell = 4 if keep_collapsed else 0
+        thin = [_thin(r, w, tolerance, 0 if n else shell) for n, (r, w) in enumerate(zip(part, own))]
         if len(thin[0]) >= 4:
             found.append([r for r in thin if len(r) >= 4])
     return (gtype, found) if found else None
 
 
 def simplify(geom: Column, tolerance: float, keep_collapsed: bool = True) -> Column:
-    """Lines and rings thinned so that no dropped point was farther off than the tolerance."""
+    """Lines and rings thinned so that no dropped point was farther off than the tolerance.
+
+    Rings that collapse are dropped; with ``keep_collapsed`` a shell keeps four points.
+    """
 
     @F.arrow_udf(GEOMETRY)
     def thin(geoms: pa.Array) -> pa.Array:
-        return _encode([g and _thin_geometry(*g, tolerance, keep_collapsed) for g in _decode(geoms)])
+        return _encode(
+            [g and _thin_geometry(*g, _weigh(g[1]), tolerance, keep_collapsed) for g in _decode(geoms)]
+        )
 
-    more = F.when(num_points(geom) > 2, geom)  # nothing to drop from points and two-point lines
-    return F.when(more.isNull(), geom).otherwise(thin(more))
+    plain = (num_points(geom) < 3) | geom["gtype"].isin(*POINTS)  # nothing to drop
+    return F.when(plain, geom).otherwise(thin(F.when(~plain, geom)))
 
 
 def _size(g) -> int:
@@ -271,15 +293,16 @@ def simplify_to(geom: Column, max_points: int, first_tolerance: float = 1e-6) ->
     def thin(geoms: pa.Array) -> pa.Array:
         rows = []
         for g in _decode(geoms):
-            tolerance = first_tolerance
-            while g is not None and _size(g) > max_points and tolerance < 1e3:
-                g = _thin_geometry(*g, tolerance, True)
-                tolerance *= 2
+            if g is not None:
+                weights, tolerance, whole = _weigh(g[1]), first_tolerance, g
+                while _size(g) > max_points and tolerance < 1e3:
+                    g = _thin_geometry(*whole, weights, tolerance, True)
+                    tolerance *= 2
             rows.append(g)
         return _encode(rows)
 
-    more = F.when(num_points(geom) > max_points, geom)
-    return F.when(more.isNull(), geom).otherwise(thin(more))
+    plain = (num_points(geom) <= max_points) | geom["gtype"].isin(*POINTS)
+    return F.when(plain, geom).otherwise(thin(F.when(~plain, geom)))
 
 
 # ---- binary input ----
