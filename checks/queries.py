@@ -155,7 +155,8 @@ def valid_geometries(spark: SparkSession, sf: str) -> DataFrame:
         .when(kind == 4, geometry.make_line(ring((0, 0), (0, 0))))
         .otherwise(geometry.make_line(ring((0, 0), (1, 1))))
     )
-    return fixtures.places(spark, sf).select("place_id", kernels.is_valid(shape).alias("valid"))
+    shapes = fixtures.places(spark, sf).select("place_id", shape.alias("geometry"))
+    return shapes.select("place_id", kernels.is_valid(_geom()).alias("valid"))
 
 
 def _zigzag(spark: SparkSession, sf: str) -> DataFrame:

@@ -36,10 +36,16 @@ def _box_columns(o: Column, c: Column) -> dict[str, Column]:
     }
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all task slots, where a small file would be read by few tasks."""
+    slots = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= slots else rows.repartition(slots)
+
+
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One place per order; three in ten share a folded name and a location with others."""
     o, c = F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey"))
     stem = _pick(NAMES, c % 10)
     suffix = ((c % 40 - c % 10) / 10).cast("int").cast("string")
     page = F.concat(F.lit("en:"), F.replace(stem, F.lit(" "), F.lit("_")), F.lit("_"), suffix)

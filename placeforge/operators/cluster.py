@@ -2,6 +2,9 @@
 
 Distances are planar in EPSG:3857, so a cluster shrinks on the ground with the latitude.
 
+Arrays are unfolded with the outer forms of explode and inline, though none is empty: the plain forms
+make Spark evaluate the array twice, once to test its size.
+
 Geometries are cut at the lines of a grid whose cells are small enough that all that lies in one cell
 belongs together. That leaves three kinds of links, none of which needs pairs of objects:
 objects of one cell (a star per cell), neighbouring cells (decided from boxes, see ``_links_between``) and
@@ -31,7 +34,7 @@ _CUT = ["a0", "b0", "a1", "b1"]  # its part inside the cell
 
 def _mercator_segments(rows: DataFrame) -> DataFrame:
     x0, y0, x1, y1 = (F.col(f"s.{n}") for n in _LINE)
-    return rows.select("place_id", "nk", F.explode(segments(F.col("geometry"))).alias("s")).select(
+    return rows.select("place_id", "nk", F.explode_outer(segments(F.col("geometry"))).alias("s")).select(
         "place_id", "nk",
         mercator_x(x0).alias("x0"), mercator_y(y0).alias("y0"),
         mercator_x(x1).alias("x1"), mercator_y(y1).alias("y1"),
@@ -62,7 +65,7 @@ def _cut_to_cells(pieces: DataFrame, side: float) -> DataFrame:
         return F.when(share == 0, p).when(share == 1, q).otherwise(p + share * (q - p))
 
     rest = [c for c in pieces.columns if c not in (*_CUT, "cx", "cy")]
-    parts = pieces.withColumn("cuts", cuts).select(*rest, *_CUT, F.explode(spans).alias("w"))
+    parts = pieces.withColumn("cuts", cuts).select(*rest, *_CUT, F.explode_outer(spans).alias("w"))
 
     def cell(p: Column, q: Column, axis: str) -> Column:
         """The cell of a part's middle; inside the cell that is being cut up, if there is one."""
@@ -112,18 +115,18 @@ def _box_distances(l: str, r: str) -> tuple[Column, Column]:
     return _square(gap("x")) + _square(gap("y")), _square(span("x")) + _square(span("y"))
 
 
-def _point_segment(px: Column, py: Column, s: str) -> Column:
+def _point_segment(px: Column, py: Column, s: Column) -> Column:
     """Square of the distance from a point to a segment, which may have length zero."""
-    x0, y0, x1, y1 = (F.col(f"{s}.{n}") for n in _LINE)
+    x0, y0, x1, y1 = (s[n] for n in _LINE)
     dx, dy = x1 - x0, y1 - y0
     along = F.coalesce(F.try_divide((px - x0) * dx + (py - y0) * dy, dx * dx + dy * dy), F.lit(0.0))
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
     return _square(px - x0 - t * dx) + _square(py - y0 - t * dy)
 
 
-def _segment_distance(l: str, r: str) -> Column:
+def _segment_distance(l: Column, r: Column) -> Column:
     """Square of the distance between two segments."""
-    a, b = [F.col(f"{l}.{n}") for n in _LINE], [F.col(f"{r}.{n}") for n in _LINE]
+    a, b = [l[n] for n in _LINE], [r[n] for n in _LINE]
 
     def turn(s: list[Column], px: Column, py: Column) -> Column:
         return F.sign((s[2] - s[0]) * (py - s[1]) - (s[3] - s[1]) * (px - s[0]))
@@ -160,18 +163,35 @@ def _with_ids(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("l.rep").alias("u"), F.col("r.rep").alias("v"))
 
 
-def _of_side(pairs: DataFrame, pieces: DataFrame, side: str) -> DataFrame:
-    """The pieces in the left or right cell of each pair."""
-    cells = pairs.select("pair", *[F.col(f"{side}.{c}").alias(c) for c in _CELL])
-    return cells.join(pieces, _CELL)
+def _cell_of(side: str) -> list[Column]:
+    return [F.col(f"{side}.{c}").alias(c) for c in _CELL]
+
 
+def _lists_of(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
+    """The segments in each cell of the pairs, as one array; the cells hold ``_TESTS`` pieces at most."""
+    cells = pairs.select(*_cell_of("l")).union(pairs.select(*_cell_of("r"))).distinct()
+    return pieces.join(cells, _CELL, "left_semi").groupBy(*_CELL).agg(F.collect_list(F.struct(*_LINE)).alias("lines"))
 
-def _compare_pieces(pairs: DataFrame, pieces: DataFrame, eps: float) -> DataFrame:
-    """Pairs of cells that hold two segments within eps; their pieces are few."""
-    lines = F.struct(*_LINE)
-    left = _of_side(pairs, pieces, "l").select("pair", lines.alias("l"))
-    right = _of_side(pairs, pieces, "r").select("pair", lines.alias("r"))
-    return left.join(right, "pair").filter(_segment_distance("l", "r") <= eps * eps).select("pair").distinct()
+
+def _compare_few(pairs: DataFrame, pieces: DataFrame, eps: float) -> DataFrame:
+    """Links (u, v) of pairs of cells with few pieces, where two segments are within eps."""
+    lists = _lists_of(pairs, pieces)
+    rows = pairs.select("l", "r", "top")
+    for side in "lr":
+        own = lists.select(F.struct(*_CELL).alias("cell"), F.col("lines").alias(f"{side}_lines"))
+        rows = rows.withColumn("cell", F.struct(*_cell_of(side))).join(own, "cell").drop("cell")
+    near = F.exists(
+        "l_lines", lambda s: F.exists("r_lines", lambda e: _segment_distance(s, e) <= eps * eps)
+    )
+    return rows.filter(near).select("top.u", "top.v")
+
+
+def _compare_many(pairs: DataFrame, pieces: DataFrame, eps: float) -> DataFrame:
+    """As ``_compare_few`` for cells that hold many pieces, by a join."""
+    rows = pairs.select("pair", "top", *_cell_of("l")).join(pieces, _CELL).select("pair", "top", F.struct(*_LINE).alias("s"))
+    others = pairs.select("pair", *_cell_of("r")).join(pieces, _CELL).select("pair", F.struct(*_LINE).alias("e"))
+    near = _segment_distance(F.col("s"), F.col("e")) <= eps * eps
+    return rows.join(others, "pair").filter(near).select("top.u", "top.v").distinct()
 
 
 def _links_between(cells: DataFrame, pieces: DataFrame, side: float, eps: float) -> DataFrame:
@@ -190,11 +210,12 @@ def _links_between(cells: DataFrame, pieces: DataFrame, side: float, eps: float)
     open_pairs = pairs.filter("not linked").select("l", "r", "pair", top.alias("top"))
     for depth in range(_MAX_DEPTH + 1):
         few = F.col("l.n") * F.col("r.n") <= _TESTS
-        light = open_pairs.filter(few) if depth < _MAX_DEPTH else open_pairs
-        near = light.join(_compare_pieces(light, pieces, eps), "pair", "left_semi")
-        links.append(near.select("top.u", "top.v"))
+        links.append(_compare_few(open_pairs.filter(few), pieces, eps))
         heavy = open_pairs.filter(~few)
-        if depth == _MAX_DEPTH or heavy.isEmpty():
+        if heavy.isEmpty():
+            break
+        if depth == _MAX_DEPTH:
+            links.append(_compare_many(heavy, pieces, eps))
             break
         side /= _SPLIT
         crowded = heavy.select(F.inline(F.array(*[F.struct(*[F.col(f"{s}.{c}") for c in _CELL]) for s in "lr"])))
@@ -228,7 +249,7 @@ def _interior_runs(polygons: DataFrame, side: float) -> DataFrame:
     lo, hi = F.least("y0", "y1"), F.greatest("y0", "y1")
     first, last = F.ceil(lo / side - 0.5), F.ceil(hi / side - 0.5) - 1
     rows = _mercator_segments(polygons).filter(first <= last)
-    rows = rows.select("place_id", "nk", *_LINE, F.explode(F.sequence(first, last)).alias("cy"))
+    rows = rows.select("place_id", "nk", *_LINE, F.explode_outer(F.sequence(first, last)).alias("cy"))
     middle = (F.col("cy") + 0.5) * side
     x_at = F.col("x0") + (middle - F.col("y0")) / (F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))
     ways = rows.groupBy("place_id", "nk", "cy").agg(F.array_sort(F.collect_list(x_at)).alias("xs"))
@@ -239,7 +260,7 @@ def _interior_runs(polygons: DataFrame, side: float) -> DataFrame:
             (F.floor(F.col("xs")[i * 2 + 1] / side) - 1).alias("b"),
         ),
     )
-    runs = ways.select("place_id", "nk", "cy", F.inline(pairs)).filter("a <= b")
+    runs = ways.select("place_id", "nk", "cy", F.inline_outer(pairs)).filter("a <= b")
 
     block_type = "array<struct<level:int,block:bigint>>"
 
@@ -268,7 +289,7 @@ def _interior_runs(polygons: DataFrame, side: float) -> DataFrame:
 
         return F.aggregate(F.sequence(F.lit(0), F.lit(31)), start, step)["out"]
 
-    return runs.select("place_id", "nk", "cy", F.inline(blocks_of(F.col("a"), F.col("b"))))
+    return runs.select("place_id", "nk", "cy", F.inline_outer(blocks_of(F.col("a"), F.col("b"))))
 
 
 def _links_inside(active: DataFrame, cells: DataFrame, side: float) -> list[DataFrame]:

@@ -19,15 +19,20 @@ from placeforge.schema import GEOMETRY
 Ring = np.ndarray  # n x 2
 
 
-def _decode(batch: pa.StructArray):
-    """Yields (gtype, parts as lists of n x 2 arrays) or None per row of an Arrow geometry column."""
-    types = batch.field("gtype").to_pylist()
+def _flat(batch: pa.StructArray):
+    """All coordinates of an Arrow geometry column, and where each geometry, part and ring starts."""
     parts = batch.field("parts")
     rings = parts.values
     lines = rings.values
     pts = lines.values
     xy = np.column_stack([np.asarray(pts.field("x"), float), np.asarray(pts.field("y"), float)])
-    part_at, ring_at, point_at = (np.asarray(a.offsets) for a in (parts, rings, lines))
+    return xy, *(np.asarray(a.offsets) for a in (parts, rings, lines))
+
+
+def _decode(batch: pa.StructArray):
+    """Yields (gtype, parts as lists of n x 2 arrays) or None per row of an Arrow geometry column."""
+    types = batch.field("gtype").to_pylist()
+    xy, part_at, ring_at, point_at = _flat(batch)
     for i, present in enumerate(batch.is_valid().to_pylist()):
         if not present or types[i] is None:
             yield None
@@ -195,9 +200,56 @@ def _valid_parts(parts: list[list[Ring]]) -> bool:
     return True
 
 
+_SMALL_RING = 64  # rings up to this size are tested many at a time, all pairs of their segments
+
+
+def _simple_small_rings(stack: np.ndarray) -> np.ndarray:
+    """``_simple_ring`` for many rings of one size without repeated points: rings x points x 2."""
+    count, size, _ = stack.shape
+    if size < 4:
+        return np.zeros(count, bool)
+    good = np.isfinite(stack).all(axis=(1, 2)) & (stack[:, 0] == stack[:, -1]).all(axis=1)
+    a, b = stack[:, :-1], stack[:, 1:]
+    following = np.roll(b, -1, axis=1)
+    back = ((b - a) * (following - b)).sum(axis=2) < 0
+    good &= ~((_cross(a, b, following) == 0) & back).any(axis=1)
+    i, j = np.triu_indices(size - 1, 2)
+    apart = ~((i == 0) & (j == size - 2))
+    i, j = i[apart], j[apart]
+    step = max(1, _PAIRS_AT_ONCE // max(1, len(i)))
+    for at in range(0, count, step):
+        p, q = a[at : at + step], b[at : at + step]
+        lo, hi = np.minimum(p, q), np.maximum(p, q)
+        meet = (lo[:, i] <= hi[:, j]).all(axis=2) & (lo[:, j] <= hi[:, i]).all(axis=2)
+        d1, d2, d3, d4 = _sides(p[:, i], q[:, i], p[:, j], q[:, j])
+        good[at : at + step] &= ~(meet & (d1 * d2 <= 0) & (d3 * d4 <= 0)).any(axis=1)
+    return good
+
+
 @F.arrow_udf(T.BooleanType())
 def _valid_polygons(geoms: pa.Array) -> pa.Array:
-    return pa.array([None if g is None else _valid_parts(g[1]) for g in _decode(geoms)], pa.bool_())
+    xy, part_at, ring_at, point_at = _flat(geoms)
+    present = np.asarray(geoms.is_valid())
+    answers = np.zeros(len(geoms), bool)
+    # polygons of one small ring, by size
+    one_part = present & (np.diff(part_at) == 1)
+    parts = part_at[:-1][one_part]
+    rows = np.flatnonzero(one_part)
+    one_ring = ring_at[parts + 1] - ring_at[parts] == 1
+    rows, ring = rows[one_ring], ring_at[parts[one_ring]]
+    sizes = point_at[ring + 1] - point_at[ring]
+    done = np.zeros(len(geoms), bool)
+    for size in np.unique(sizes[sizes <= _SMALL_RING]):
+        of_size = sizes == size
+        stack = xy[point_at[ring[of_size]][:, None] + np.arange(size)]
+        clean = (np.diff(stack, axis=1) != 0).any(axis=2).all(axis=1)
+        these = rows[of_size][clean]
+        answers[these] = _simple_small_rings(stack[clean])
+        done[these] = True
+    left = np.flatnonzero(present & ~done)
+    if len(left):
+        answers[left] = [_valid_parts(g[1]) for g in _decode(geoms.take(pa.array(left)))]
+    return pa.array(answers, mask=~present)
 
 
 def is_valid(geom: Column) -> Column:

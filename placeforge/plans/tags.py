@@ -215,5 +215,7 @@ def classify_tags(objects: DataFrame, unnamed_drop_keys: list[str] | None = None
 def place_rows(objects: DataFrame, unnamed_drop_keys: list[str] | None = None) -> DataFrame:
     """One row per place of an object: its tag as ``class, type`` with names, details, address and level."""
     found = classify_tags(objects, unnamed_drop_keys)
-    rows = found.select("osm_type", "osm_id", F.explode("places").alias("p"), "names", "extratags", "address", "admin_level")
-    return rows.select("osm_type", "osm_id", F.col("p.k").alias("class"), F.col("p.v").alias("type"), "names", "extratags", "address", "admin_level")
+    rest = ["names", "extratags", "address", "admin_level"]
+    # a plain explode would repeat the whole rule set in a test of the array's size
+    rows = found.select("osm_type", "osm_id", F.explode_outer("places").alias("p"), *rest).filter("p is not null")
+    return rows.select("osm_type", "osm_id", F.col("p.k").alias("class"), F.col("p.v").alias("type"), *rest)
