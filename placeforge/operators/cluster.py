@@ -7,12 +7,14 @@ make Spark evaluate the array twice, once to test its size.
 
 Geometries are cut at the lines of a grid whose cells are small enough that all that lies in one cell
 belongs together. That leaves three kinds of links, none of which needs pairs of objects:
-objects of one cell (a star per cell), neighbouring cells (decided from boxes, see ``_links_between``) and
+objects of one cell (a star per cell), neighbouring cells (decided from boxes, see ``_open_links``) and
 objects inside a polygon (runs of interior cells, looked up by cell).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ DEFAULT_EPS = 100.0  # units of EPSG:3857: metres at the equator
 _SIDE = 0.7  # cell side per eps; the diagonal is 0.99 eps
 _SPLIT = 8  # a crowded cell is looked at again as 8 x 8 cells
 _TESTS = 4096  # pieces of two cells are compared directly up to this many pairs
+_TESTS_PER_PIECE = 32  # with more comparisons than this to make, components are found in two steps
 _MAX_DEPTH = 12  # cells of eps / 8^12 are below the spacing of doubles
 
 _CELL = ["nk", "cx", "cy"]
@@ -159,10 +162,6 @@ def _neighbours(cells: DataFrame) -> DataFrame:
     return left.join(right, _CELL).filter(F.col("l.rep") != F.col("r.rep")).select("l", "r")
 
 
-def _with_ids(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("l.rep").alias("u"), F.col("r.rep").alias("v"))
-
-
 def _cell_of(side: str) -> list[Column]:
     return [F.col(f"{side}.{c}").alias(c) for c in _CELL]
 
@@ -194,20 +193,25 @@ def _compare_many(pairs: DataFrame, pieces: DataFrame, eps: float) -> DataFrame:
     return rows.join(others, "pair").filter(near).select("top.u", "top.v").distinct()
 
 
-def _links_between(cells: DataFrame, pieces: DataFrame, side: float, eps: float) -> DataFrame:
-    """Links (u, v) of neighbouring cells that hold something within eps of each other.
+def _near_cells(pairs: DataFrame, eps: float) -> DataFrame:
+    """Pairs of boxes that may be near, as a table: ``l, r, linked``, ``pair`` to name them, and the rest."""
+    key = F.struct("l.nk", "l.cx", "l.cy", F.col("r.cx").alias("ox"), F.col("r.cy").alias("oy"))
+    return durable(_decided(pairs, eps).withColumn("pair", key), "pairs")
+
+
+def _tests(pairs: DataFrame) -> int:
+    """Comparisons it takes to compare all pieces of the pairs."""
+    return pairs.agg(F.sum((F.col("l.n") * F.col("r.n")).cast("decimal(38,0)"))).first()[0] or 0
+
+
+def _open_links(open_pairs: DataFrame, pieces: DataFrame, side: float, eps: float) -> DataFrame:
+    """Links (u, v) among the undecided pairs of cells ``l, r, pair, top``, where ``top`` holds u and v.
 
-    Boxes decide most pairs of cells. Pairs left open are compared piece by piece when they hold few
-    pieces; crowded ones are cut into smaller cells, whose tight boxes are tested the same way. Every
-    pair is thus decided exactly without listing the pairs of a crowded cell's pieces.
+    Pairs are compared piece by piece when they hold few pieces; crowded ones are cut into smaller cells,
+    whose tight boxes are tested the same way. Every pair is thus decided exactly without listing the
+    pairs of a crowded cell's pieces.
     """
-    found = _decided(_neighbours(cells), eps)
-    key = F.struct("l.nk", "l.cx", "l.cy", F.col("r.cx").alias("ox"), F.col("r.cy").alias("oy"))
-    pairs = durable(found.withColumn("pair", key), "pairs")
-    links = [_with_ids(pairs.filter("linked"))]
-    # open pairs of (sub)cells: "pair" names the pair now looked at, "top" the objects to link
-    top = F.struct(F.col("l.rep").alias("u"), F.col("r.rep").alias("v"))
-    open_pairs = pairs.filter("not linked").select("l", "r", "pair", top.alias("top"))
+    links = []
     for depth in range(_MAX_DEPTH + 1):
         few = F.col("l.n") * F.col("r.n") <= _TESTS
         links.append(_compare_few(open_pairs.filter(few), pieces, eps))
@@ -218,27 +222,49 @@ def _links_between(cells: DataFrame, pieces: DataFrame, side: float, eps: float)
             links.append(_compare_many(heavy, pieces, eps))
             break
         side /= _SPLIT
-        crowded = heavy.select(F.inline(F.array(*[F.struct(*[F.col(f"{s}.{c}") for c in _CELL]) for s in "lr"])))
-        inner = pieces.join(crowded.distinct(), _CELL, "left_semi").withColumn("up", F.struct("cx", "cy"))
+        crowded = heavy.select(*_cell_of("l")).union(heavy.select(*_cell_of("r"))).distinct()
+        inner = pieces.join(crowded, _CELL, "left_semi").withColumn("up", F.struct("cx", "cy"))
         pieces = durable(_cut_to_cells(inner, side), "pieces")
         boxes = _boxes(pieces, ["nk", "up", "cx", "cy"])
         box = F.struct(*[F.col(c) for c in (*_CELL, "rep", "n", "lox", "loy", "hix", "hiy")])
 
-        def inside(side_name: str) -> DataFrame:
-            up = F.struct(F.col(f"{side_name}.cx").alias("cx"), F.col(f"{side_name}.cy").alias("cy"))
-            ups = heavy.select(F.col("pair").alias("outer"), "top", F.col(f"{side_name}.nk").alias("nk"), up.alias("up"))
-            return ups.join(boxes, ["nk", "up"]).select("outer", "top", box.alias(side_name))
+        def inside(name: str) -> DataFrame:
+            up = F.struct(F.col(f"{name}.cx").alias("cx"), F.col(f"{name}.cy").alias("cy"))
+            ups = heavy.select(F.col("pair").alias("outer"), "top", F.col(f"{name}.nk").alias("nk"), up.alias("up"))
+            return ups.join(boxes, ["nk", "up"]).select("outer", "top", box.alias(name))
 
-        inner_pairs = _decided(inside("l").join(inside("r").drop("top"), "outer"), eps)
-        inner_pairs = durable(inner_pairs.withColumn("pair", key), "pairs")
-        linked = inner_pairs.filter("linked").select("outer", "top").distinct()
+        # at most 64 by 64 cells for a pair
+        inner_pairs = _near_cells(inside("l").join(inside("r").drop("top"), "outer"), eps)
+        linked = inner_pairs.filter("linked").select("top").distinct()
         links.append(linked.select("top.u", "top.v"))
-        open_pairs = inner_pairs.join(linked.select("outer"), "outer", "left_anti").select("l", "r", "pair", "top")
+        rest = inner_pairs.filter("not linked").join(linked, "top", "left_anti")
+        open_pairs = rest.select("l", "r", "pair", "top")
         pieces = pieces.drop("up")
-    whole_links = links[0]
-    for more in links[1:]:
-        whole_links = whole_links.union(more)
-    return whole_links
+    return _all(links)
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, tables)
+
+
+def _relabelled(open_pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """Undecided pairs whose sides are not yet in one component, with the components as ``top``."""
+    rows = open_pairs.select("l", "r", "pair")
+    for side, name in (("l", "u"), ("r", "v")):
+        own = components.select(F.col("node").alias("_node"), F.col("component").alias(f"_{name}"))
+        rows = rows.join(own, F.col(f"{side}.rep") == F.col("_node"), "left").drop("_node")
+        rows = rows.withColumn(f"_{name}", F.coalesce(f"_{name}", f"{side}.rep"))
+    rows = rows.filter("_u != _v")
+    return rows.select("l", "r", "pair", F.struct(F.col("_u").alias("u"), F.col("_v").alias("v")).alias("top"))
+
+
+def _joined_components(first: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after links between components of ``first``, or nodes it lacks, are added."""
+    second = durable(connected_components(links), "components")
+    new = second.select("node", F.col("node").alias("component")).join(first, "node", "left_anti")
+    moved = second.select(F.col("node").alias("component"), F.col("component").alias("_whole"))
+    found = first.union(new).join(moved, "component", "left")
+    return found.select("node", F.coalesce("_whole", "component").alias("component"))
 
 
 def _interior_runs(polygons: DataFrame, side: float) -> DataFrame:
@@ -328,10 +354,18 @@ def nearby_components(objects: DataFrame, eps: float = DEFAULT_EPS) -> DataFrame
     pieces = durable(_cut_to_cells(whole, side), "pieces")
     cells = durable(_boxes(pieces, _CELL), "cells")
     in_cell = pieces.select(*_CELL, "place_id").distinct().join(cells.select(*_CELL, "rep"), _CELL)
-    links = in_cell.select(F.col("place_id").alias("u"), F.col("rep").alias("v"))
-    for more in [_links_between(cells, pieces, side, eps), *_links_inside(active, cells, side)]:
-        links = links.union(more)
-    return connected_components(links)
+    stars = in_cell.select(F.col("place_id").alias("u"), F.col("rep").alias("v"))
+    pairs = _near_cells(_neighbours(cells), eps)
+    linked = pairs.filter("linked").select(F.col("l.rep").alias("u"), F.col("r.rep").alias("v"))
+    sure = _all([stars, linked, *_links_inside(active, cells, side)])
+    top = F.struct(F.col("l.rep").alias("u"), F.col("r.rep").alias("v"))
+    open_pairs = pairs.filter("not linked").select("l", "r", "pair", top.alias("top"))
+    if _tests(open_pairs) <= _TESTS_PER_PIECE * pieces.count():
+        return connected_components(sure.union(_open_links(open_pairs, pieces, side, eps)))
+    # dense data: most pairs left open lie in one component already, so find the sure components first
+    first = durable(connected_components(sure), "components")
+    between = durable(_relabelled(open_pairs, first), "pairs")
+    return _joined_components(first, _open_links(between, pieces, side, eps))
 
 
 def cluster_nearby(objects: DataFrame, eps: float = DEFAULT_EPS) -> DataFrame:

@@ -312,8 +312,9 @@ def _clustered(spark, shapes, eps):
     return {r.place_id: r.cid for r in cluster.cluster_nearby(df, eps).collect()}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_clusters_of_mixed_shapes(spark, seed):
+@pytest.mark.parametrize("seed, per_piece", [(1, 32), (2, 0)])
+def test_clusters_of_mixed_shapes(spark, monkeypatch, seed, per_piece):
+    monkeypatch.setattr(cluster, "_TESTS_PER_PIECE", per_piece)
     rng = random.Random(seed)
     shapes = {}
     for key in range(110):
