@@ -61,28 +61,63 @@ def narrow(prepared: DataFrame) -> DataFrame:
     return prepared.withColumn("digest", _geometry_digest(F.col("geometry"))).drop("geometry")
 
 
-def _group_keys() -> Column:
-    """The three groups of a row; a missing key is replaced by the place id, as text."""
-    own = F.col("place_id").cast("string")
-    return F.array(
+def _own_key() -> Column:
+    """What stands for a missing key: the place id, as text."""
+    return F.col("place_id").cast("string")
+
+
+def in_groups(rows: DataFrame) -> DataFrame:
+    """Each row once per group, three times in all: adds ``kind, key`` and ``o``, the score to sort ascending by."""
+    groups = F.array(
         F.struct(F.lit(SAME_OBJECT).alias("kind"), F.col("id").alias("key")),
-        F.struct(F.lit(SAME_WIKIDATA).alias("kind"), F.coalesce("wikidata", own).alias("key")),
-        F.struct(F.lit(SAME_WIKIPEDIA).alias("kind"), F.coalesce("wikipedia", own).alias("key")),
+        F.struct(F.lit(SAME_WIKIDATA).alias("kind"), F.coalesce("wikidata", _own_key()).alias("key")),
+        F.struct(F.lit(SAME_WIKIPEDIA).alias("kind"), F.coalesce("wikipedia", _own_key()).alias("key")),
     )
+    return rows.select("*", F.inline(groups), (-F.col("imp_order")).alias("o"))
 
 
-def in_groups(rows: DataFrame) -> DataFrame:
-    """Each row once per group: adds ``kind, key`` and ``o``, the score to sort ascending by."""
-    return rows.select("*", F.inline(_group_keys()), (-F.col("imp_order")).alias("o"))
+def _with_own_key_users(rows: DataFrame, column: str) -> DataFrame:
+    """Adds ``own_<column>``: is the row without that key, and its place id the key of another row?"""
+    name = f"own_{column}"
+    spelled = rows.filter(F.col(column).rlike(r"^\d+$")).select(F.col(column).alias("key")).distinct()
+    if spelled.isEmpty():
+        return rows.withColumn(name, F.lit(False))
+    ids = spelled.select(F.col("key").try_cast("long").alias("place_id"), "key")
+    ids = ids.filter(F.col("place_id").cast("string") == F.col("key")).select("place_id", F.lit(True).alias(name))
+    found = rows.join(ids, "place_id", "left")
+    return found.withColumn(name, F.coalesce(name, F.lit(False)) & F.col(column).isNull())
+
+
+def in_shared_groups(rows: DataFrame) -> DataFrame:
+    """Each row once per group that can have other rows in it; adds ``kind, key, o`` and ``need``, their number.
+
+    Most rows have no wikidata and no wikipedia page: the group of their own place id holds nothing their
+    object's group lacks, so they are spared two of three places in the shuffle.
+    """
+    flagged = _with_own_key_users(_with_own_key_users(rows, "wikidata"), "wikipedia")
+
+    def key(column: str) -> Column:
+        return F.coalesce(column, F.when(F.col(f"own_{column}"), _own_key()))
+
+    groups = F.filter(
+        F.array(
+            F.struct(F.lit(SAME_OBJECT).alias("kind"), F.col("id").alias("key")),
+            F.struct(F.lit(SAME_WIKIDATA).alias("kind"), key("wikidata").alias("key")),
+            F.struct(F.lit(SAME_WIKIPEDIA).alias("kind"), key("wikipedia").alias("key")),
+        ),
+        lambda g: g["key"].isNotNull(),
+    )
+    need = 1 + key("wikidata").isNotNull().cast("int") + key("wikipedia").isNotNull().cast("int")
+    return flagged.select(*rows.columns, (-F.col("imp_order")).alias("o"), need.alias("need"), F.inline_outer(groups))
 
 
 def group_winners(rows: DataFrame) -> DataFrame:
     """Per group: its first row, the tag picked from it and the geometry picked from it."""
     return (
-        in_groups(rows)
+        in_shared_groups(rows)
         .groupBy("kind", "key")
         .agg(
-            F.min(F.struct("o", "place_id", "name", "imp_value")).alias("first"),
+            F.min(F.struct("o", "place_id", "name", "imp_value", "need")).alias("first"),
             F.min(F.struct("prio", "o", "place_id", "class", "type", "admin_level")).alias("tag"),
             F.min(F.struct("is_node", "o", "place_id", "id", "digest")).alias("shape"),
         )
@@ -90,29 +125,32 @@ def group_winners(rows: DataFrame) -> DataFrame:
 
 
 def survivors(rows: DataFrame) -> DataFrame:
-    """Rows that win all three of their groups, with the best tag and geometry of the three.
+    """Rows that win all of their groups, with the best tag and geometry of them.
 
     Groups are taken in the order object, wikidata, wikipedia; earlier groups win ties.
     """
     def of(struct: str, *names: str) -> list[Column]:
         return [F.col(f"{struct}.{n}") for n in names]
 
-    key_of = {k: F.max(F.when(F.col("kind") == k, F.col("key"))) for k in (SAME_OBJECT, SAME_WIKIDATA, SAME_WIKIPEDIA)}
+    def key_of(kind: int) -> Column:
+        return F.max(F.when(F.col("kind") == kind, F.col("key"))).alias(f"key_{kind}")
+
+    own = F.col("place_id").cast("string")
     return (
         group_winners(rows)
         .groupBy(F.col("first.place_id").alias("place_id"))
         .agg(
             F.count("*").alias("wins"),
-            F.min(F.struct(*of("first", "name", "imp_value"))).alias("own"),
+            F.min(F.struct(*of("first", "name", "imp_value", "need"))).alias("own"),
             F.min(F.struct(*of("tag", "prio"), "kind", *of("tag", "class", "type", "admin_level"))).alias("tag"),
             F.min(
                 F.struct(*of("shape", "is_node", "o"), "kind", *of("shape", "place_id", "id", "digest"))
             ).alias("shape"),
-            key_of[SAME_OBJECT].alias("key_0"),
-            key_of[SAME_WIKIDATA].alias("key_1"),
-            key_of[SAME_WIKIPEDIA].alias("key_2"),
+            *map(key_of, (SAME_OBJECT, SAME_WIKIDATA, SAME_WIKIPEDIA)),
         )
-        .filter("wins = 3")
+        .filter("wins = own.need")
+        .withColumn("key_1", F.coalesce("key_1", own))
+        .withColumn("key_2", F.coalesce("key_2", own))
     )
 
 
@@ -131,7 +169,7 @@ def _ids_of_equal_geometry(rows: DataFrame, won: DataFrame) -> DataFrame:
             )
         ),
     )
-    members = in_groups(rows.select("place_id", "id", "wikidata", "wikipedia", "imp_order", "digest"))
+    members = in_shared_groups(rows.select("place_id", "id", "wikidata", "wikipedia", "imp_order", "digest"))
     members = members.filter(F.col("kind") < SAME_WIKIPEDIA).select("kind", "key", "digest", "o", "place_id", "id")
     return (
         late.join(members, ["kind", "key", "digest"])
