@@ -34,3 +34,9 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     path = f"{work_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Removes the intermediate tables of this application; results read from them must be written first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{work_dir(spark)}/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -366,3 +366,34 @@ def test_union_of_lines(spark, monkeypatch):
     looped = [w for w in ways if min(x for x, _ in w) >= 30]
     assert len(looped) == 3 and (30.5, 0.5) in {p for w in looped for p in w}
     assert len(ways) == grid + 4 + 3
+
+
+def test_union_of_a_star(spark, monkeypatch):
+    """Very many lines from one end, some along each other, and lines across them."""
+    monkeypatch.setattr(lines, "_CROWDED", 6)
+    monkeypatch.setattr(lines, "_MAX_DEPTH", 2)
+    rays = [(math.cos(0.1 + k * 0.05), math.sin(0.1 + k * 0.05)) for k in range(25)]
+    shapes = [f"LINESTRING(0 0,{x!r} {y!r})" for x, y in rays]
+    shapes += ["LINESTRING(0 0,-1 -1)", "LINESTRING(0 0,-2 -2)", "LINESTRING(-1 0,1 0)", "LINESTRING(-3 -2.5,2 -2.5)"]
+    df = geometries(spark, *shapes).select(F.lit(7).alias("grp"), F.col("n").alias("line"), G)
+    (row,) = lines.union_lines(df).collect()
+    ways = {tuple((p.x, p.y) for p in part[0]) for part in row.geometry.parts}
+    assert len(ways) == 25 + 2 + 2 + 1
+    assert {((-2, -2), (-1, -1)), ((-1, -1), (0, 0)), ((-1, 0), (0, 0)), ((0, 0), (1, 0))} <= ways
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_union_of_random_lines(spark, monkeypatch, seed):
+    """Number of ways against all pairs of segments, for lines in general position."""
+    monkeypatch.setattr(lines, "_CROWDED", 5)
+    rng = random.Random(seed)
+    drawn = [[(rng.random(), rng.random()) for _ in range(3)] for _ in range(18)]
+    df = geometries(spark, *["LINESTRING(" + ",".join(f"{x!r} {y!r}" for x, y in line) + ")" for line in drawn])
+    (row,) = lines.union_lines(df.select(F.lit(1).alias("grp"), F.col("n").alias("line"), G)).collect()
+    flat = [(n, i, s) for n, line in enumerate(drawn) for i, s in enumerate(zip(line, line[1:]))]
+    crossings = sum(
+        segment_distance(s, e) == 0.0
+        for k, (n, i, s) in enumerate(flat) for m, j, e in flat[:k] if not (n == m and abs(i - j) == 1)
+    )
+    # each crossing adds a way to both lines
+    assert len(row.geometry.parts) == len(drawn) + 2 * crossings
