@@ -336,7 +336,7 @@ SELECT raw.o AS k,
     "area_of_box": _against(_BOX),
     "area_of_ell": _against(_ELL),
     "probe_area": f"""WITH {_PLACES} SELECT place_id, left(name, 30) AS name, gtype, {_BOX[0]} AS touches, round({_BOX[1]}, 12) AS overlap,
-  CASE WHEN NOT {_BOX[0]} THEN 'EMPTY' WHEN gtype='LINESTRING' THEN 'LINE' ELSE gtype END AS overlap_type,
+  CASE WHEN NOT {_BOX[0]} THEN 'GEOMETRYCOLLECTION' ELSE gtype END AS overlap_type,
   round(CASE gtype WHEN 'POLYGON' THEN (maxx-minx)*(maxy-miny) ELSE 0 END, 12) AS area FROM places""",
     "valid_geometries": "SELECT CAST(o_orderkey AS BIGINT) AS place_id, o_orderkey%6 IN (0, 2, 5) AS valid FROM orders",
     "text_formats": f"""WITH {_PLACES} SELECT place_id, {_EWKT} AS ewkt, {_GEOJSON} AS geojson, TRUE AS same,
@@ -372,6 +372,20 @@ FROM places""",
     "cluster_members": f"WITH RECURSIVE {_elems()} SELECT cid, importance, id, place_id, nth AS pos FROM clustered",
     "merge_linestrings": f"""WITH {_PLACES}, roads AS (SELECT CAST(floor(osm_id/20) AS BIGINT) AS grp, minx, maxx FROM places WHERE gtype='LINESTRING'),
 {_ways('roads')} SELECT grp, gtype, CAST(parts AS INT) AS parts, round(length, 9) AS length FROM united""",
+    "replace_lines": f"""WITH {_PLACES}, roads AS (SELECT CAST(floor(osm_id/20) AS BIGINT) AS grp, minx, maxx FROM places WHERE gtype='LINESTRING'),
+{_ways('roads')} SELECT CAST(floor(p.osm_id/20) AS BIGINT) AS grp, place_id AS line, coalesce(importance, CAST(0 AS DOUBLE)) AS importance,
+  row_number() OVER (PARTITION BY floor(p.osm_id/20) ORDER BY coalesce(importance, CAST(0 AS DOUBLE)), place_id) AS pos,
+  CASE WHEN p.gtype='LINESTRING' THEN u.gtype ELSE p.gtype END AS gtype,
+  CAST(CASE WHEN p.gtype='LINESTRING' THEN u.parts ELSE 1 END AS INT) AS parts
+FROM places p LEFT JOIN united u ON u.grp = CAST(floor(p.osm_id/20) AS BIGINT)""",
+    "pick_geometry": f"""WITH {_PLACES}, shapes AS (
+  SELECT place_id, s, s - place_id%4 AS n, (place_id*(s - place_id%4 + 3))%5 AS score, CASE WHEN s=3 THEN minx+1 ELSE minx END AS x,
+    ['POINT','LINESTRING','POLYGON','POINT'][s+1] AS gtype
+  FROM places, range(0, 4) r(s) WHERE s >= place_id%4 AND s < place_id%4 + place_id%3 + 1),
+best AS (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY gtype='POINT', score DESC, n) AS k FROM shapes)
+SELECT place_id, gtype, x FROM best WHERE k = 1""",
+    "place_details": f"""WITH {_PLACES} SELECT left(name, 20) AS name, place_id, osm_type, osm_id, importance, rank_search, class, type, admin_level,
+  wikidata, wikipedia, minx, miny, maxx, maxy FROM places WHERE name = 'São Tomé 1'""",
     "build_elems": f"""WITH RECURSIVE {_elems()} SELECT popindex, name, supercat, subcat, gtype, round(area, 12) AS area, osm_ids, minx, miny, maxx, maxy FROM elems""",
     "build_elems_other_modes": f"""WITH RECURSIVE {_elems(pairing='-', full=_FULL_RANK_ONLY, rest=_RANK)} SELECT popindex, name, supercat, subcat, gtype, osm_ids FROM elems""",
     "area_matches": f"""WITH RECURSIVE {_elems()} SELECT popindex, popindex||'. '||name||'. '||supercat||'. '||subcat||'. '||osm_ids AS line FROM elems WHERE {_inside(*_BOX)}""",

@@ -331,6 +331,32 @@ def build_elems_other_modes(spark: SparkSession, sf: str) -> DataFrame:
     return built.select("popindex", "name", "supercat", "subcat", _geom()["gtype"].alias("gtype"), "osm_ids")
 
 
+def replace_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Every place with its customer's united lines in place of a line, by ascending importance."""
+    rows = fixtures.places(spark, sf).select(
+        F.floor(F.col("osm_id") / 20).alias("grp"), F.col("place_id").alias("line"),
+        F.coalesce("importance", F.lit(0.0)).alias("importance"), "geometry",
+    )
+    g = _geom()
+    return lines.merge_linestrings(rows).select(
+        "grp", "line", "importance", "pos", g["gtype"].alias("gtype"), geometry.num_parts(g).alias("parts")
+    )
+
+
+def pick_geometry(spark: SparkSession, sf: str) -> DataFrame:
+    """The geometry picked from three made of each place: a point, a line and a box, with scores by arithmetic."""
+    x, y, o = F.col("minx"), F.col("miny"), F.col("place_id")
+    shapes = F.array(
+        geometry.make_point(x, y), geometry.make_line(F.array(geometry.point_xy(x, y), geometry.point_xy(x + 1, y))),
+        geometry.make_box(x, y, x + 1, y + 1), geometry.make_point(x + 1, y),
+    )
+    some = F.slice(shapes, (o % 4 + 1).cast("int"), (o % 3 + 1).cast("int"))
+    scores = F.transform(some, lambda g, n: ((o * (n + 3)) % 5).cast("double"))
+    rows = fixtures.places(spark, sf).select(o, some.alias("g"), scores.alias("s"))
+    picked = geometry.pick_geometry(F.col("g"), F.col("s"))
+    return rows.select("place_id", picked.alias("geometry")).select("place_id", _geom()["gtype"].alias("gtype"), geometry.first_point(_geom())["x"].alias("x"))
+
+
 # ---- serving ----
 
 def area_matches(spark: SparkSession, sf: str) -> DataFrame:
@@ -420,6 +446,11 @@ def browse(spark: SparkSession, sf: str) -> DataFrame:
     return audit.browse(fixtures.places(spark, sf))
 
 
+def place_details(spark: SparkSession, sf: str) -> DataFrame:
+    found = audit.place_details(fixtures.places(spark, sf), "São Tomé 1")
+    return found.withColumn("wikidata", F.col("extratags")["wikidata"]).drop("extratags")
+
+
 def names_matching(spark: SparkSession, sf: str) -> DataFrame:
     return audit.names_matching(fixtures.places(spark, sf), "st.*m")
 
@@ -491,10 +522,10 @@ QUERIES = {
         geometry_measures, area_of_box, area_of_ell, probe_area, valid_geometries, simplify, text_formats,
         category_of_places, pick_tag, category_lines, label_lines, interesting_keys,
         prepare, group_positions, merge_positions, merged_members, merge_same_entity,
-        cluster_nearby, cluster_all_places, dedupe_nearby, cluster_members, merge_linestrings,
+        cluster_nearby, cluster_all_places, dedupe_nearby, cluster_members, merge_linestrings, replace_lines, pick_geometry,
         build_elems, build_elems_other_modes, area_matches, query_area, prepared_in_area,
         same_object_report, same_wikipedia_report, same_wikidata_report, same_name_report, repeated_objects,
         ranks_by_name, first_of_object, classes_so_far, rejected_wikipedia, widest_rows, count_larger_than,
-        most_points, top_name, browse, names_matching, classify_tags, place_rows,
+        most_points, top_name, browse, place_details, names_matching, classify_tags, place_rows,
     ]
 }

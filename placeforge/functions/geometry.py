@@ -336,13 +336,32 @@ def intersects(geom: Column, area_: Area) -> Column:
 
 
 def intersection_type(geom: Column, area_: Area) -> Column:
-    """Kind of overlap with the area: POLYGON when some area is shared, else the geometry's own kind."""
+    """Kind of the overlap with the area; GEOMETRYCOLLECTION when there is none.
+
+    Single and multiple parts of an overlap are not told apart.
+    """
     kind = (
-        F.when(geom["gtype"].isin(*POLYGONAL), F.when(intersection_area(geom, area_) > 0, "POLYGON").otherwise("TOUCH"))
-        .when(geom["gtype"].isin(*LINEAR), "LINE")
+        F.when(
+            geom["gtype"].isin(*POLYGONAL), F.when(intersection_area(geom, area_) > 0, "POLYGON").otherwise("LINESTRING")
+        )
+        .when(geom["gtype"].isin(*LINEAR), "LINESTRING")
         .otherwise("POINT")
     )
-    return F.when(intersects(geom, area_), kind).otherwise("EMPTY")
+    return F.when(intersects(geom, area_), kind).otherwise("GEOMETRYCOLLECTION")
+
+
+def pick_geometry(geoms: Column, importances: Column) -> Column:
+    """Of parallel arrays, the most important geometry of more than one point, else the most important.
+
+    The first of equals is taken.
+    """
+    placed = F.transform(
+        F.arrays_zip(geoms.alias("g"), importances.alias("i")),
+        lambda p, n: F.struct(
+            (num_points(p["g"]) > 1).alias("shaped"), p["i"].alias("i"), (-n).alias("n"), p["g"].alias("g")
+        ),
+    )
+    return F.array_max(placed)["g"]
 
 
 def near_area(area_: Area) -> Column:

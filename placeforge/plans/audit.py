@@ -173,6 +173,23 @@ def browse(places: DataFrame) -> DataFrame:
     ).orderBy(F.desc_nulls_first("importance"), "place_id")
 
 
+def place_details(places: DataFrame, name: str, place_ids: list[int] | None = None) -> DataFrame:
+    """All columns but the geometry of the places of a name, or of given ids."""
+    chosen = place_name() == name if place_ids is None else F.col("place_id").isin(*place_ids)
+    short = F.left(place_name(), F.lit(20)).alias("name")
+    rest = [c for c in places.columns if c not in ("name", "geometry")]
+    return places.filter(chosen).select(short, *rest)
+
+
+def rows_of_object(places: DataFrame, osm_type: str, osm_id: int) -> DataFrame:
+    """Tag, short name, level and link of each row of one OSM object."""
+    rows = places.filter((F.col("osm_type") == osm_type) & (F.col("osm_id") == osm_id))
+    return rows.select(
+        "class", "type", F.left(place_name(), F.lit(40)).alias("name"), "admin_level",
+        to_web(F.col("osm_type"), F.col("osm_id")).alias("web"),
+    )
+
+
 def names_matching(places: DataFrame, pattern: str) -> DataFrame:
     """Places whose name matches a regular expression."""
     return places.filter(place_name().rlike(pattern)).select("place_id", place_name().alias("name"))

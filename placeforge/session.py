@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -20,9 +21,11 @@ def work_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="placeforge-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    # the setting is fixed once a session runs, so the folder is remembered here
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="placeforge-")
+    return _local_folders[app]
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:

@@ -5,7 +5,9 @@ from collections import Counter
 
 import pytest
 
-from tests.places import LINE, POINT, SQUARE, Place, coordinates, elems, parts
+from placeforge.operators import rank
+from placeforge.plans.elems import build_tables
+from tests.places import LINE, POINT, SQUARE, Place, coordinates, elems, parts, table
 
 PER_DEGREE = {0: 111319.458, 30: 96486.24755677342, 60: 55799.979, 85: 9734.518271497967}
 
@@ -271,3 +273,16 @@ def test_clusters_end_to_end(spark):
     sizes = sorted((r.name, r.n_ids) for r in found)
     assert sizes == [("chain", 1), ("chain", 60), ("park", 1), ("park", 3)]
     assert math.isclose([r.area for r in found if r.name == "park" and r.n_ids == 3][0], 0.005)
+
+
+def test_long_id_lists_continue_on_pages(spark, monkeypatch):
+    monkeypatch.setattr(rank, "ID_PAGE", 4)
+    places = [Place("many", n + 1, n) for n in range(10)] + [Place("few", 50 + n, n) for n in range(3)]
+    built = build_tables(table(spark, places))
+    found = {r.name: r for r in built.elems.collect()}
+    assert (found["many"].osm_ids, found["many"].n_ids) == ("N1,N2,N3,N4", 10)
+    assert (found["few"].osm_ids, found["few"].n_ids) == ("N50,N51,N52", 3)
+    pages = built.id_pages.orderBy("page").collect()
+    assert [(r.popindex, r.page, r.osm_ids) for r in pages] == [
+        (found["many"].popindex, 1, "N5,N6,N7,N8"), (found["many"].popindex, 2, "N9,N10"),
+    ]

@@ -2,15 +2,17 @@
 
 import math
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from placeforge import session
 from placeforge.functions import arrays, formats, geometry, text
 from placeforge.functions.geometry import Area
 from placeforge.operators import cluster, kernels, lines, ordered
 from placeforge.operators.components import connected_components
-from placeforge.plans import serve
+from placeforge.plans import audit, serve
 from placeforge.sources import category_tables, labels, snippets, tables
 from tests.places import POINT, Place, elems, table
 
@@ -397,3 +399,23 @@ def test_union_of_random_lines(spark, monkeypatch, seed):
     )
     # each crossing adds a way to both lines
     assert len(row.geometry.parts) == len(drawn) + 2 * crossings
+
+
+def test_details_and_reference_systems(spark):
+    df = table(spark, [Place("a", 1), Place("b", 2), Place("b", 3, osm_type="W")], first_id=7)
+    assert sorted(r.place_id for r in audit.place_details(df, "b").collect()) == [8, 9]
+    assert [r.name for r in audit.place_details(df, "", [7]).collect()] == ["a"]
+    assert audit.rows_of_object(df, "W", 3).first().web.endswith("/way/3")
+    systems = spark.createDataFrame([(3857, 'UNIT["metre",1]'), (4326, 'UNIT["degree",0.01]')], "srid int, srtext string")
+    assert [r.srid for r in audit.reference_systems(systems, r'UNIT\["metre"').collect()] == [3857]
+
+
+def test_work_tables(spark, monkeypatch):
+    folder = Path(session.work_dir(spark)) / spark.sparkContext.applicationId
+    assert session.durable(spark.range(5), "x").count() == 5 and any(folder.iterdir())
+    session.clear_work(spark)
+    assert not folder.exists()
+    # without the setting, a local session gets a folder of its own, always the same
+    monkeypatch.setattr(session, "CHECKPOINT_SETTING", "spark.no.such.setting")
+    own = session.work_dir(spark)
+    assert own == session.work_dir(spark) and Path(own).is_dir()
