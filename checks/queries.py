@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from placeforge import fixtures
 from placeforge.functions import arrays, formats, geometry, scoring, text
 from placeforge.functions.geometry import Area
-from placeforge.operators import category, cluster, kernels, lines, merge, rank
+from placeforge.operators import category, cluster, kernels, lines, merge
 from placeforge.operators.ordered import position_in_group
 from placeforge.plans import audit, elems, serve, tags
 from placeforge.sources import category_tables, labels, snippets
@@ -204,8 +204,8 @@ def pick_tag(spark: SparkSession, sf: str) -> DataFrame:
     keys = [k[0] for k in category_tables.KEYS]
     tags_ = F.array(*[
         F.struct(
-            n.cast("int").alias("prio"), fixtures._pick(keys, n).alias("class"),
-            fixtures._pick(fixtures.TYPES, (o + m) % len(fixtures.TYPES)).alias("type"),
+            n.cast("int").alias("prio"), fixtures.pick(keys, n).alias("class"),
+            fixtures.pick(fixtures.TYPES, (o + m) % len(fixtures.TYPES)).alias("type"),
             ((o + m) % 16).cast("int").alias("admin_level"),
         )
         for m, n in enumerate([o % 25, (o * 7 + 3) % 25, (o * 3 + 11) % 25, o % 25])
@@ -284,7 +284,7 @@ def merge_same_entity(spark: SparkSession, sf: str) -> DataFrame:
 # ---- clusters and ranks ----
 
 def cluster_nearby(spark: SparkSession, sf: str) -> DataFrame:
-    return elems.clustered_objects(fixtures.places(spark, sf)).select("place_id", "nk", "cid")
+    return elems.clustered_objects(fixtures.places(spark, sf)).members.select("place_id", "nk", "cid")
 
 
 def cluster_all_places(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,7 +294,7 @@ def cluster_all_places(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedupe_nearby(spark: SparkSession, sf: str) -> DataFrame:
-    found = rank.collapse(elems.clustered_objects(fixtures.places(spark, sf))).objects
+    found = elems.collapsed_objects(fixtures.places(spark, sf)).objects
     return found.select(
         "cid", "name", "importance", "class", "type", "admin_level", "n", arrays.text_of(F.col("ids")).alias("ids")
     )
@@ -302,7 +302,7 @@ def dedupe_nearby(spark: SparkSession, sf: str) -> DataFrame:
 
 def cluster_members(spark: SparkSession, sf: str) -> DataFrame:
     """Members of each cluster in order, one row each."""
-    rows = elems.clustered_objects(fixtures.places(spark, sf)).select("cid", "importance", "id", "place_id")
+    rows = elems.clustered_objects(fixtures.places(spark, sf)).members.select("cid", "importance", "id", "place_id")
     return position_in_group(rows, ["cid"], [F.desc("importance"), F.col("id"), F.col("place_id")])
 
 
@@ -474,18 +474,18 @@ def tagged_objects(spark: SparkSession, sf: str) -> DataFrame:
         tag("ref", o.cast("string"), o % 5 == 0),
         tag("brand:wikidata", "Q1", o % 8 == 0),
         tag("addr:housename", "The House", o % 31 == 0),
-        tag("highway", fixtures._pick(["footway", "residential", "crossing", "no"], o % 4), o % 7 == 0),
+        tag("highway", fixtures.pick(["footway", "residential", "crossing", "no"], o % 4), o % 7 == 0),
         tag("footway", "sidewalk", o % 2 == 0),
-        tag("natural", fixtures._pick(["tree", "coastline", "yes"], o % 3), o % 11 == 0),
-        tag("landuse", fixtures._pick(["cemetry", "forest"], o % 2), o % 6 == 0),
+        tag("natural", fixtures.pick(["tree", "coastline", "yes"], o % 3), o % 11 == 0),
+        tag("landuse", fixtures.pick(["cemetry", "forest"], o % 2), o % 6 == 0),
         tag("junction", "roundabout", o % 10 == 0),
-        tag("boundary", fixtures._pick(["administrative", "postal"], o % 2), o % 13 == 0),
-        tag("place", fixtures._pick(["city", "island", "hamlet"], o % 3), o % 12 < 3),
-        tag("amenity", fixtures._pick(["cafe", "no"], c % 2), o % 17 == 0),
-        tag("admin_level", fixtures._pick(["4", "0", "x", "8a", "99"], o % 5), o % 3 == 0),
+        tag("boundary", fixtures.pick(["administrative", "postal"], o % 2), o % 13 == 0),
+        tag("place", fixtures.pick(["city", "island", "hamlet"], o % 3), o % 12 < 3),
+        tag("amenity", fixtures.pick(["cafe", "no"], c % 2), o % 17 == 0),
+        tag("admin_level", fixtures.pick(["4", "0", "x", "8a", "99"], o % 5), o % 3 == 0),
         tag("addr:postcode", F.concat(F.lit("7"), (c % 1000).cast("string")), o % 5 == 1),
         tag("postal_code", "00000", o % 10 == 1),
-        tag("addr:country", fixtures._pick(["se", "swe"], o % 2), o % 4 == 1),
+        tag("addr:country", fixtures.pick(["se", "swe"], o % 2), o % 4 == 1),
         tag("addr:interpolation", "even", o % 37 == 0),
         tag("addr:housenumber", (c % 90).cast("string"), o % 6 == 5),
         tag("is_in:state", "Here", o % 19 == 0),

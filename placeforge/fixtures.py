@@ -17,7 +17,7 @@ NAMES = [
 ]
 
 
-def _pick(values: list[str], index: Column) -> Column:
+def pick(values: list[str], index: Column) -> Column:
     return F.try_element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
 
 
@@ -46,7 +46,7 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One place per order; three in ten share a folded name and a location with others."""
     o, c = F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long")
     orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey"))
-    stem = _pick(NAMES, c % 10)
+    stem = pick(NAMES, c % 10)
     suffix = ((c % 40 - c % 10) / 10).cast("int").cast("string")
     page = F.concat(F.lit("en:"), F.replace(stem, F.lit(" "), F.lit("_")), F.lit("_"), suffix)
     boxed = orders.select(
@@ -55,8 +55,8 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
         (c * 10 + o % 2 + 1).alias("osm_id"),
         F.when(o % 4 != 0, ((o * 7919) % 1000).cast("double") / F.lit(1e3)).alias("importance"),
         F.when(o % 11 != 0, ((o * 13) % 31).cast("smallint")).alias("rank_search"),
-        _pick([k[0] for k in KEYS], o % len(KEYS)).alias("class"),
-        _pick(TYPES, (o * 7) % len(TYPES)).alias("type"),
+        pick([k[0] for k in KEYS], o % len(KEYS)).alias("class"),
+        pick(TYPES, (o * 7) % len(TYPES)).alias("type"),
         F.when(o % 6 != 0, (o % 16).cast("smallint")).alias("admin_level"),
         F.when(stem == "", F.lit("")).otherwise(F.concat(stem, F.lit(" "), suffix)).alias("plain_name"),
         F.when(o % 5 == 0, F.concat(F.lit("Q"), (c % 700).cast("string"))).alias("wikidata"),

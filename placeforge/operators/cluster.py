@@ -368,9 +368,13 @@ def nearby_components(objects: DataFrame, eps: float = DEFAULT_EPS) -> DataFrame
     return _joined_components(first, _open_links(between, pieces, side, eps))
 
 
+def with_components(objects: DataFrame, components: DataFrame) -> DataFrame:
+    """Adds ``cid``, the component of each object; its own place id when it has no other member."""
+    joined = objects.join(components, F.col("place_id") == F.col("node"), "left")
+    return joined.withColumn("cid", F.coalesce("component", "place_id")).drop("node", "component")
+
+
 def cluster_nearby(objects: DataFrame, eps: float = DEFAULT_EPS) -> DataFrame:
     """Adds ``nk``, the name without accents, and ``cid``, the smallest place id of the cluster."""
     named = objects.withColumn("nk", unaccent(F.col("name")))
-    found = nearby_components(named.select("place_id", "nk", "geometry"), eps)
-    joined = named.join(found, F.col("place_id") == F.col("node"), "left")
-    return joined.withColumn("cid", F.coalesce("component", "place_id")).drop("node", "component")
+    return with_components(named, nearby_components(named.select("place_id", "nk", "geometry"), eps))

@@ -16,12 +16,26 @@ ID_PAGE = 100_000  # ids in the text of one row; longer lists continue in the id
 
 
 class Collapsed(NamedTuple):
-    """``objects`` one row per cluster; ``id_pages`` the ids beyond the first page of very large clusters."""
+    """``objects`` one row per cluster, ``shapes`` their geometries, ``id_pages`` the ids beyond the first page.
+
+    Geometries stay apart so that ranking does not move them.
+    """
 
     objects: DataFrame
+    shapes: DataFrame
     id_pages: DataFrame
 
 
+def with_shape_kinds(objects: DataFrame) -> DataFrame:
+    """Objects with ``is_node`` (a single point) and ``is_line`` in place of the geometry."""
+    geom = F.col("geometry")
+    return objects.select(
+        *[c for c in objects.columns if c != "geometry"],
+        (num_points(geom) == 1).alias("is_node"),
+        (geom["gtype"] == "LINESTRING").alias("is_line"),
+    )
+
+
 def pick_members(clustered: DataFrame, geometry_pairing: str = "as_written") -> DataFrame:
     """Per cluster: its most important member, the tag, and the member that gives the geometry.
 
@@ -30,11 +44,9 @@ def pick_members(clustered: DataFrame, geometry_pairing: str = "as_written") ->
     """
     signs = {"as_written": 1, "as_documented": -1}
     rows = clustered.select(
-        "cid", "place_id", "name", "importance", "prio", "class", "type", "admin_level", "id",
+        "cid", "place_id", "name", "importance", "prio", "class", "type", "admin_level", "id", "is_node", "is_line",
         (-F.col("importance")).alias("o"),
         (F.lit(float(signs[geometry_pairing])) * F.col("importance")).alias("g"),
-        (num_points(F.col("geometry")) == 1).alias("is_node"),
-        (F.col("geometry.gtype") == "LINESTRING").alias("is_line"),
     )
     return rows.groupBy("cid").agg(
         F.min(F.struct("o", "id", "place_id", "name", "importance")).alias("first"),
@@ -45,15 +57,16 @@ def pick_members(clustered: DataFrame, geometry_pairing: str = "as_written") ->
     )
 
 
-def _shapes(clustered: DataFrame, picked: DataFrame) -> DataFrame:
+def _shapes(clustered: DataFrame, geometries: DataFrame, picked: DataFrame) -> DataFrame:
     """(cid, geometry): the picked member's own, or the union of all lines when that is a line."""
     united = F.col("shape.is_line") & (F.col("n_lines") > 1)
     own = picked.filter(~united).select("cid", F.col("shape.place_id").alias("place_id"))
-    shapes = own.join(clustered.select("place_id", "geometry"), "place_id").select("cid", "geometry")
+    shapes = own.join(geometries, "place_id").select("cid", "geometry")
     lines = (
-        clustered.filter(F.col("geometry.gtype") == "LINESTRING")
+        clustered.filter("is_line")
         .join(picked.filter(united).select("cid"), "cid", "left_semi")
-        .select(F.col("cid").alias("grp"), F.col("place_id").alias("line"), "geometry")
+        .select(F.col("cid").alias("grp"), F.col("place_id").alias("line"), "place_id")
+        .join(geometries, "place_id")
     )
     return shapes.union(union_lines(lines).select(F.col("grp").alias("cid"), "geometry"))
 
@@ -77,8 +90,11 @@ def _ids(clustered: DataFrame, picked: DataFrame) -> tuple[DataFrame, DataFrame]
     return alone.union(listed).union(pages.filter("page = 0").select("cid", "ids")), pages
 
 
-def collapse(clustered: DataFrame, geometry_pairing: str = "as_written") -> Collapsed:
-    """One row per cluster: ``cid, name, importance, ids``, the picked tag and the geometry."""
+def collapse(clustered: DataFrame, geometries: DataFrame, geometry_pairing: str = "as_written") -> Collapsed:
+    """One row per cluster: ``cid, name, importance, ids`` and the picked tag; and its geometry.
+
+    ``clustered`` are members without geometry (see ``with_shape_kinds``), ``geometries`` theirs by place id.
+    """
     picked = durable(pick_members(clustered, geometry_pairing), "picked")
     ids, pages = _ids(clustered, picked)
     objects = picked.select(
@@ -88,8 +104,8 @@ def collapse(clustered: DataFrame, geometry_pairing: str = "as_written") -> Coll
         F.col("tag.prio").alias("prio"), F.col("tag.class").alias("class"), F.col("tag.type").alias("type"),
         F.col("tag.admin_level").alias("admin_level"),
     )
-    whole = objects.join(ids, "cid").join(_shapes(clustered, picked), "cid")
-    return Collapsed(whole, pages.filter("page > 0"))
+    shapes = _shapes(clustered, geometries, picked)
+    return Collapsed(objects.join(ids, "cid"), shapes, pages.filter("page > 0"))
 
 
 def with_popindex(objects: DataFrame) -> DataFrame:

@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 from placeforge.functions.arrays import text_of
 from placeforge.functions.geometry import area, bounds
 from placeforge.functions.scoring import DEFAULT_FACTOR
+from placeforge.functions.text import unaccent
 from placeforge.operators.category import with_category
-from placeforge.operators.cluster import DEFAULT_EPS, cluster_nearby
+from placeforge.operators.cluster import DEFAULT_EPS, nearby_components, with_components
 from placeforge.operators.merge import merge_same_entity, narrow, prepare
-from placeforge.operators.rank import collapse, with_popindex
+from placeforge.operators.rank import Collapsed, collapse, with_popindex, with_shape_kinds
 from placeforge.session import durable
 
 COLUMNS = ["popindex", "name", "supercat", "subcat", "geometry", "area", "osm_ids"]
 
 
 class Options(NamedTuple):
-    """Choices of a build; the defaults are the reference behaviour described in the README."""
+    """Choices of a build; see the README."""
 
     factor: float = DEFAULT_FACTOR
     null_importance: str = "zero"
@@ -44,26 +45,41 @@ def merged_objects(places: DataFrame, options: Options = Options()) -> DataFrame
     return merge_same_entity(rows, places)
 
 
-def clustered_objects(places: DataFrame, options: Options = Options()) -> DataFrame:
+class Clusters(NamedTuple):
+    """``members`` with ``nk`` and ``cid`` but without geometry; ``geometries`` by place id."""
+
+    members: DataFrame
+    geometries: DataFrame
+
+
+def clustered_objects(places: DataFrame, options: Options = Options()) -> Clusters:
     merged = durable(merged_objects(places, options), "merged")
-    return durable(cluster_nearby(merged, options.eps), "clustered")
+    named = merged.withColumn("nk", unaccent(F.col("name")))
+    found = nearby_components(named.select("place_id", "nk", "geometry"), options.eps)
+    members = durable(with_components(with_shape_kinds(named), found), "clustered")
+    return Clusters(members, merged.select("place_id", "geometry"))
+
+
+def collapsed_objects(places: DataFrame, options: Options = Options()) -> Collapsed:
+    clusters = clustered_objects(places, options)
+    return collapse(clusters.members, clusters.geometries, options.geometry_pairing)
 
 
 def build_tables(places: DataFrame, options: Options = Options()) -> Build:
-    collapsed = collapse(clustered_objects(places, options), options.geometry_pairing)
+    collapsed = collapsed_objects(places, options)
     ranked = with_popindex(collapsed.objects)
+    named = with_category(ranked, options.keys, options.overrides, options.on_unknown)
     geom = F.col("geometry")
-    elems = with_category(ranked, options.keys, options.overrides, options.on_unknown)
-    elems = elems.select(
+    elems = named.join(collapsed.shapes, "cid").select(
         "popindex", "name", "supercat", "subcat", "geometry",
         area(geom).alias("area"), text_of(F.col("ids")).alias("osm_ids"),
         *[v.alias(k) for k, v in bounds(geom).items()],
-        F.col("n").alias("n_ids"), "cid",
+        F.col("n").alias("n_ids"),
     )
-    pages = collapsed.id_pages.join(elems.select("cid", "popindex"), "cid").select(
+    pages = collapsed.id_pages.join(ranked.select("cid", "popindex"), "cid").select(
         "popindex", "page", text_of(F.col("ids")).alias("osm_ids")
     )
-    return Build(elems.drop("cid"), pages)
+    return Build(elems, pages)
 
 
 def build_elems(places: DataFrame, options: Options = Options()) -> DataFrame:
