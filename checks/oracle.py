@@ -407,6 +407,9 @@ SELECT left(name, 30) AS name, place_id, rank_search, {_WEB} AS web, {_BROWSE} A
 SELECT osm_type, osm_id, name, CAST(0 AS BIGINT) AS page, classes, types FROM ordered WHERE n = 1 AND name <> ''""",
     "rejected_wikipedia": f"""WITH {_PLACES} SELECT place_id, name, wikipedia, importance FROM places
 WHERE wikipedia IS NOT NULL AND ({_PAGE_TEST}) IS NULL AND importance IS NOT NULL""",
+    "widest_rows": f"""WITH {_PLACES} SELECT place_id AS label, CAST(strlen(CAST(to_json({{'place_id': place_id, 'osm_type': osm_type,
+  'osm_id': osm_id, 'class': class, 'type': type, 'name': name, 'wikipedia': wikipedia}}) AS VARCHAR)) AS INT) AS bytes FROM places
+ORDER BY bytes DESC, label LIMIT 10""",
     "count_larger_than": f"WITH {_PLACES} SELECT count(*) AS n FROM places WHERE gtype <> 'POINT'",
     "most_points": f"WITH {_PLACES} SELECT min(place_id) AS place_id, 2 AS points FROM places WHERE gtype = 'LINESTRING'",
     "top_name": f"""WITH {_PLACES} SELECT name, count(*) AS n, coalesce(max(importance), CAST(0.75 AS DOUBLE) - min(rank_search)/CAST(40 AS DOUBLE)) AS best

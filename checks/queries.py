@@ -427,7 +427,9 @@ def rejected_wikipedia(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def widest_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.widest_rows(fixtures.places(spark, sf), audit.place_name())
+    places = fixtures.places(spark, sf)
+    texts = places.select("place_id", "osm_type", "osm_id", "class", "type", audit.place_name().alias("name"), "wikipedia")
+    return audit.widest_rows(texts, F.col("place_id"))
 
 
 def count_larger_than(spark: SparkSession, sf: str) -> DataFrame:

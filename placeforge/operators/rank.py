@@ -16,14 +16,16 @@ ID_PAGE = 100_000  # ids in the text of one row; longer lists continue in the id
 
 
 class Collapsed(NamedTuple):
-    """``objects`` one row per cluster, ``shapes`` their geometries, ``id_pages`` the ids beyond the first page.
+    """``objects`` one row per cluster and ``shapes`` their geometries, apart so that ranking does not move them.
 
-    Geometries stay apart so that ranking does not move them.
+    Very large clusters go on in ``id_pages`` and ``shape_pages``: ids, and ways of united lines, beyond those
+    of the first page.
     """
 
     objects: DataFrame
     shapes: DataFrame
     id_pages: DataFrame
+    shape_pages: DataFrame
 
 
 def with_shape_kinds(objects: DataFrame) -> DataFrame:
@@ -58,17 +60,17 @@ def pick_members(clustered: DataFrame, geometry_pairing: str = "as_written") ->
 
 
 def _shapes(clustered: DataFrame, geometries: DataFrame, picked: DataFrame) -> DataFrame:
-    """(cid, geometry): the picked member's own, or the union of all lines when that is a line."""
+    """(cid, page, geometry): the picked member's own, or the union of all lines when that is a line."""
     united = F.col("shape.is_line") & (F.col("n_lines") > 1)
     own = picked.filter(~united).select("cid", F.col("shape.place_id").alias("place_id"))
-    shapes = own.join(geometries, "place_id").select("cid", "geometry")
+    shapes = own.join(geometries, "place_id").select("cid", F.lit(0).cast("long").alias("page"), "geometry")
     lines = (
         clustered.filter("is_line")
         .join(picked.filter(united).select("cid"), "cid", "left_semi")
         .select(F.col("cid").alias("grp"), F.col("place_id").alias("line"), "place_id")
         .join(geometries, "place_id")
     )
-    return shapes.union(union_lines(lines).select(F.col("grp").alias("cid"), "geometry"))
+    return shapes.union(union_lines(lines).select(F.col("grp").alias("cid"), "page", "geometry"))
 
 
 def _ids(clustered: DataFrame, picked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -105,7 +107,9 @@ def collapse(clustered: DataFrame, geometries: DataFrame, geometry_pairing: str
         F.col("tag.admin_level").alias("admin_level"),
     )
     shapes = _shapes(clustered, geometries, picked)
-    return Collapsed(objects.join(ids, "cid"), shapes, pages.filter("page > 0"))
+    return Collapsed(
+        objects.join(ids, "cid"), shapes.filter("page = 0").drop("page"), pages.filter("page > 0"), shapes.filter("page > 0")
+    )
 
 
 def with_popindex(objects: DataFrame) -> DataFrame:

@@ -136,8 +136,8 @@ def rejected_wikipedia(places: DataFrame) -> DataFrame:
 
 def widest_rows(table: DataFrame, label: Column, count: int = 10) -> DataFrame:
     """The rows with the longest text form."""
-    size = F.octet_length(F.to_json(F.struct("*")))
-    return table.select(label.alias("name"), size.alias("bytes")).orderBy(F.desc("bytes"), "name").limit(count)
+    size = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+    return table.select(label.alias("label"), size.alias("bytes")).orderBy(F.desc("bytes"), "label").limit(count)
 
 
 def count_larger_than(places: DataFrame, n: int) -> DataFrame:

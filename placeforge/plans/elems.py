@@ -33,10 +33,15 @@ class Options(NamedTuple):
 
 
 class Build(NamedTuple):
-    """``elems`` and, for objects of more than ``rank.ID_PAGE`` ids, the further pages of their ids."""
+    """``elems``, and what does not fit in one row of it.
+
+    ``id_pages`` holds the ids beyond the first ``rank.ID_PAGE`` of an object, ``shape_pages`` the ways of
+    united lines beyond the first ``lines.WAY_PAGE``. Both are empty unless an object is that large.
+    """
 
     elems: DataFrame
     id_pages: DataFrame
+    shape_pages: DataFrame
 
 
 def merged_objects(places: DataFrame, options: Options = Options()) -> DataFrame:
@@ -79,7 +84,10 @@ def build_tables(places: DataFrame, options: Options = Options()) -> Build:
     pages = collapsed.id_pages.join(ranked.select("cid", "popindex"), "cid").select(
         "popindex", "page", text_of(F.col("ids")).alias("osm_ids")
     )
-    return Build(elems, pages)
+    shape_pages = collapsed.shape_pages.join(ranked.select("cid", "popindex"), "cid").select(
+        "popindex", "page", "geometry", *[v.alias(k) for k, v in bounds(geom).items()]
+    )
+    return Build(elems, pages, shape_pages)
 
 
 def build_elems(places: DataFrame, options: Options = Options()) -> DataFrame:

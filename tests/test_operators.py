@@ -13,6 +13,7 @@ from placeforge.functions.geometry import Area
 from placeforge.operators import cluster, kernels, lines, ordered
 from placeforge.operators.components import connected_components
 from placeforge.plans import audit, serve
+from placeforge.plans.elems import build_elems, build_tables
 from placeforge.sources import category_tables, labels, snippets, tables
 from tests.places import POINT, Place, elems, table
 
@@ -147,8 +148,6 @@ def test_query_area(spark):
         Place("little", 4, 4, shape="POLYGON((3.8 2,7 2,7 3,3.8 3,3.8 2))"),
         Place("line", 5, 5, shape="LINESTRING(4 4,9 9)"), Place("edge", 6, 6, shape="POINT(0 2)"),
     ]
-    from placeforge.plans.elems import build_elems
-
     built = build_elems(table(spark, places))
     square = Area([(0, 0), (4, 0), (4, 4), (0, 4)])
     assert [r.name for r in serve.query_area(built, square).collect()] == ["in", "most", "line", "edge"]
@@ -158,8 +157,6 @@ def test_query_area(spark):
 
 
 def test_write_and_check(spark, tmp_path):
-    from placeforge.plans.elems import build_elems
-
     built = build_elems(table(spark, [Place(str(n), n + 1, n, shape=f"POINT({n} {n})") for n in range(9)]))
     tables.check_elems(built)
     for by in ("area", "popindex"):
@@ -419,3 +416,19 @@ def test_work_tables(spark, monkeypatch):
     monkeypatch.setattr(session, "CHECKPOINT_SETTING", "spark.no.such.setting")
     own = session.work_dir(spark)
     assert own == session.work_dir(spark) and Path(own).is_dir()
+
+
+def test_union_of_many_ways_goes_on_in_pages(spark, monkeypatch):
+    monkeypatch.setattr(lines, "WAY_PAGE", 5)
+    places = [Place("road", n + 1, n, key="highway", shape=f"LINESTRING({n} 0,{n + 1} 0)") for n in range(12)]
+    built = build_tables(table(spark, [*places, Place("dot", 99, 29, shape="POINT(50 50)")]))
+    (road,) = built.elems.filter("name = 'road'").collect()
+    pages = built.shape_pages.orderBy("page").collect()
+    assert [len(road.geometry.parts), *[len(p.geometry.parts) for p in pages]] == [5, 5, 2]
+    assert {p.popindex for p in pages} == {road.popindex}
+    ends = {part[0][0].x for g in (road.geometry, *[p.geometry for p in pages]) for part in g.parts}
+    assert ends == set(map(float, range(12)))
+    for x, y, names in ((0.5, 0, ["road"]), (6.5, 0, ["road"]), (11.5, 0, ["road"]), (30, 0, []), (50, 50, ["dot"])):
+        spot = Area([(x - 0.1, y - 0.1), (x + 0.1, y - 0.1), (x + 0.1, y + 0.1), (x - 0.1, y + 0.1)])
+        found = serve.query_area(built.elems, spot, shape_pages=built.shape_pages)
+        assert [r.name for r in found.collect()] == names
