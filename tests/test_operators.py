@@ -15,7 +15,7 @@ from placeforge.operators.components import connected_components
 from placeforge.plans import audit, serve
 from placeforge.plans.elems import build_elems, build_tables
 from placeforge.sources import category_tables, labels, snippets, tables
-from tests.places import POINT, Place, elems, table
+from tests.places import POINT, Place, table
 
 
 def geometries(spark, *ewkt):
