@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeforge.llm import exact_dedup, packing, token_files
-from placeforge.session import work_dir
+from placeforge.llm import exact_dedup, language, packing, quality, token_counts, token_files
+from placeforge.llm.words import id_remainder
+from placeforge.session import durable, work_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,24 @@ def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", id_remainder(4) == 2)
+    model = language.fit(docs.filter("not held_out"))
+    return language.predict(docs, model, keys=("doc_id", "held_out"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = durable(quality.statistics_of(_table(spark, sf_dir, "documents")), "statistics")
+    labels = _table(spark, sf_dir, "labels").filter(id_remainder(5) != 0).select("doc_id", "quality")
+    model = quality.fit(stats.join(labels, "doc_id"))
+    scored = quality.score_documents(stats, model)
+    return scored.select("doc_id", (id_remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
     return groups.select(
@@ -34,6 +53,9 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_pack": op3_pack,
+    "op4_token_counts": op4_token_counts,
+    "op6_language": op6_language,
+    "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_files": op9_token_files,
 }
