@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeforge.llm import exact_dedup, language, packing, quality, token_counts, token_files
-from placeforge.llm.words import id_remainder
+from placeforge.llm import exact_dedup, language, packing, quality, suffix_lm, token_counts, token_files
+from placeforge.llm.words import id_remainder, texts_of
 from placeforge.session import durable, work_dir
 
 
@@ -51,6 +51,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read_token_files(spark, path))
 
 
+def op10_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_lm.score_documents(texts_of(_table(spark, sf_dir, "documents")).withColumn("held_out", id_remainder(7) == 2))
+
+
 QUERIES = {
     "op3_pack": op3_pack,
     "op4_token_counts": op4_token_counts,
@@ -58,6 +62,7 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_files": op9_token_files,
+    "op10_suffix_lm": op10_suffix_lm,
 }
 
 ORACLE_SQL = {
