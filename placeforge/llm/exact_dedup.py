@@ -20,10 +20,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placeforge.llm.skew import with_groups
 from placeforge.session import durable
 
 KEYS_PER_INDEX = 200_000  # live keys that a task holds before it hands them on
-HEAVY = 1000  # a group with this part of the rows is looked up by broadcast; so there are at most as many
 SLOTS, KICKS = 4, 200
 KEYS = "digest binary, last_id long, last_row long, n long"
 
@@ -189,14 +189,8 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     """
     rows = digests_of(docs)
     groups = durable(live_keys(rows).filter("n > 1"), "groups")
-    total = rows.count()
-    heavy = groups.filter(F.col("n") * HEAVY >= total).select(F.col("digest").alias("_heavy"), F.struct("last_id", "last_row", "n").alias("_h"))
-    light = groups.filter(F.col("n") * HEAVY < total).select(F.col("digest").alias("_light"), F.struct("last_id", "last_row", "n").alias("_l"))
-    met = rows.join(F.broadcast(heavy), F.col("digest") == F.col("_heavy"), "left")  # at most HEAVY rows
-    # rows that have met a heavy group go anywhere, so no key of this join holds more than its share
-    key = F.when(F.col("_h").isNull(), F.col("digest")).otherwise(F.encode(F.concat(F.lit("-"), F.col("_row").cast("string")), "utf-8"))
-    met = met.withColumn("_key", key).join(light, F.col("_key") == F.col("_light"), "left")
-    group = F.coalesce("_h", "_l")
+    met = with_groups(rows, groups, "digest", "n", rows.count(), F.col("_row"))
+    group = F.col("group")
     return met.select(
         "doc_id", "_row", "digest",
         F.when(group.isNull(), F.col("doc_id")).otherwise(group["last_id"]).alias("keep_id"),
