@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeforge.llm import exact_dedup, language, ngram_join, packing, quality, suffix_lm, token_counts, token_files
+from placeforge.llm import decontaminate, exact_dedup, language, ngram_join, packing, quality, suffix_lm, token_counts, token_files
 from placeforge.llm.words import id_remainder, texts_of
 from placeforge.session import durable, work_dir
 
@@ -28,6 +28,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", id_remainder(4) == 2)
     model = language.fit(docs.filter("not held_out"))
@@ -63,6 +67,7 @@ QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op3_pack": op3_pack,
     "op4_token_counts": op4_token_counts,
+    "op5_decontaminate": op5_decontaminate,
     "op6_language": op6_language,
     "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
