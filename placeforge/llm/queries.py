@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeforge.llm import decontaminate, exact_dedup, language, ngram_join, packing, quality, suffix_lm, token_counts, token_files
+from placeforge.llm import decontaminate, exact_dedup, html_wrapper, language, ngram_join, packing, quality, suffix_lm, token_counts, token_files
 from placeforge.llm.words import id_remainder, texts_of
 from placeforge.session import durable, work_dir
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ def op10_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_wrapper": op1_html_wrapper,
     "op2_ngram_join": op2_ngram_join,
     "op3_pack": op3_pack,
     "op4_token_counts": op4_token_counts,
