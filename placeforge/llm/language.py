@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placeforge.llm.words import bounds, slices, split_words, sums_by_row
 
@@ -223,15 +224,15 @@ def predict(docs: DataFrame, model: Model, penalty: float = PENALTY, keys: tuple
     ``score`` is the part of the letters that the language has on the path, times the odds of the text's best single
     language against the next one. ``spans`` are (lang, first word, number of words).
     """
-    kinds = dict(docs.dtypes)
-    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", lang_pred string, score double"
+    rows_in = docs.select(*keys, F.col("text").cast("string").alias("_text"))
+    schema = T.StructType([rows_in.schema[k] for k in keys]).add("lang_pred", "string").add("score", "double")
     span = pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())])
     if with_spans:
-        schema += ", spans array<struct<lang: string, first_word: bigint, n_words: bigint>>"
+        schema = schema.add("spans", "array<struct<lang: string, first_word: bigint, n_words: bigint>>")
     names = np.array([*model.languages, UNKNOWN], dtype=object)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in slices(batches):
+        for rows, texts in slices(batches, "_text"):
             counts, codes, words = split_words(texts)
             n, langs = len(counts), len(model.languages)
             if langs:
@@ -256,4 +257,4 @@ def predict(docs: DataFrame, model: Model, penalty: float = PENALTY, keys: tuple
             kept = [rows.column(i) for i in range(len(keys))]
             yield pa.RecordBatch.from_arrays(kept + out, [*keys, "lang_pred", "score"] + ["spans"] * with_spans)
 
-    return docs.select(*keys, F.col("text").cast("string").alias("text")).mapInArrow(label, schema)
+    return rows_in.mapInArrow(label, schema)
