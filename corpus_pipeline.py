@@ -27,7 +27,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal but for the case of A-Z, the one with the largest doc_id stays."""
     rows = numbered(docs)
-    groups = exact_dedup.duplicate_groups(rows.select("_row", F.col("_doc.doc_id").alias("doc_id"), F.col("_doc.text").alias("text")))
+    texts = rows.select("_row", F.col("_doc.doc_id").alias("doc_id"), F.col("_doc.text").alias("text"))
+    groups = exact_dedup.duplicate_groups(texts, row="_row")
     return without(rows, groups.filter("not kept"), "_row")
 
 

@@ -127,8 +127,8 @@ class CuckooIndex:
             old[3] = total
 
 
-def digests_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, _row, digest) per row of ``docs``, written; ``_row`` is unique."""
+def digests_of(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """(doc_id, _row, digest) per row of ``docs``, written; ``_row`` is unique, from the column ``row`` if there is one."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -136,7 +136,8 @@ def digests_of(docs: DataFrame) -> DataFrame:
             found = [hashlib.sha256(t.as_buffer()).digest() for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], ["doc_id", "_row", "digest"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id().alias("_row"), F.col("text").cast("string").alias("text"))
+    number = (F.col(row) if row else F.monotonically_increasing_id()).alias("_row")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), number, F.col("text").cast("string").alias("text"))
     return durable(rows.mapInArrow(digest, "doc_id long, _row long, digest binary"), "digests")
 
 
@@ -182,12 +183,12 @@ def live_keys(rows: DataFrame, index: DataFrame | None = None, removed: DataFram
     return merged.filter("n > 0")
 
 
-def duplicate_groups(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, _row, digest, keep_id, group_size, kept.
+def duplicate_groups(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """One row per document: doc_id, _row, digest, keep_id, group_size, kept; ``row`` names a unique number of a row.
 
     Of equal texts the row with the largest doc_id is kept; of repeated rows the last one.
     """
-    rows = digests_of(docs)
+    rows = digests_of(docs, row)
     groups = durable(live_keys(rows).filter("n > 1"), "groups")
     met = with_groups(rows, groups, "digest", "n", rows.count(), F.col("_row"))
     group = F.col("group")

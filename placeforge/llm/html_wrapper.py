@@ -33,6 +33,7 @@ from placeforge.session import durable
 
 SALTS = 16
 LONGEST_GROUP = 6  # elements in a repeated group
+DEEPEST = 100  # elements nested deeper count as their ancestor at this depth
 LINKED = 0.6  # a slot with this part of its characters in links is a menu
 SAME_ON = 3  # a slot outside an article with one text on so many pages belongs to the template
 
@@ -131,7 +132,7 @@ def read_page(html: str) -> tuple[list, list[tuple[str, str, int]]]:
             children = stack[-1][1]
             if not children or children[-1] != "#":
                 children.append("#")
-            blocks.append(("/".join(node[0] for node in stack[1:]), text, linked))
+            blocks.append(("/".join(node[0] for node in stack[1:DEEPEST]), text, linked))
         linked = 0
 
     def close(to: int) -> None:
@@ -184,8 +185,9 @@ def read_page(html: str) -> tuple[list, list[tuple[str, str, int]]]:
                     break
                 if names[i] in ended:
                     close(i)
-            node: list = [label, []]
-            stack[-1][1].append(node)
+            node: list = [label, []] if len(stack) < DEEPEST else stack[-1]
+            if node is not stack[-1]:
+                stack[-1][1].append(node)
             if not m["rest"].endswith("/"):
                 stack.append(node)
                 names.append(name)

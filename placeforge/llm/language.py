@@ -228,7 +228,8 @@ def predict(docs: DataFrame, model: Model, penalty: float = PENALTY, keys: tuple
     schema = T.StructType([rows_in.schema[k] for k in keys]).add("lang_pred", "string").add("score", "double")
     span = pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())])
     if with_spans:
-        schema = schema.add("spans", "array<struct<lang: string, first_word: bigint, n_words: bigint>>")
+        part = T.StructType().add("lang", "string").add("first_word", "long").add("n_words", "long")
+        schema = schema.add("spans", T.ArrayType(part))
     names = np.array([*model.languages, UNKNOWN], dtype=object)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
