@@ -386,7 +386,7 @@ best AS (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY gtype='POIN
 SELECT place_id, gtype, x FROM best WHERE k = 1""",
     "place_details": f"""WITH {_PLACES} SELECT left(name, 20) AS name, place_id, osm_type, osm_id, importance, rank_search, class, type, admin_level,
   wikidata, wikipedia, minx, miny, maxx, maxy FROM places WHERE name = 'São Tomé 1'""",
-    "build_elems": f"""WITH RECURSIVE {_elems()} SELECT popindex, name, supercat, subcat, gtype, round(area, 12) AS area, osm_ids, minx, miny, maxx, maxy FROM elems""",
+    "build_elems": f"""WITH RECURSIVE {_elems()} SELECT popindex, CAST(0 AS BIGINT) AS page, name, supercat, subcat, gtype, round(area, 12) AS area, osm_ids, minx, miny, maxx, maxy FROM elems""",
     "build_elems_other_modes": f"""WITH RECURSIVE {_elems(pairing='-', full=_FULL_RANK_ONLY, rest=_RANK)} SELECT popindex, name, supercat, subcat, gtype, osm_ids FROM elems""",
     "area_matches": f"""WITH RECURSIVE {_elems()} SELECT popindex, popindex||'. '||name||'. '||supercat||'. '||subcat||'. '||osm_ids AS line FROM elems WHERE {_inside(*_BOX)}""",
     "query_area": f"""WITH RECURSIVE {_elems()} SELECT popindex, name, supercat, subcat, osm_ids FROM elems WHERE popindex > 5 AND {_inside(*_BOX)} ORDER BY popindex LIMIT 10""",

@@ -319,7 +319,7 @@ def merge_linestrings(spark: SparkSession, sf: str) -> DataFrame:
 def build_elems(spark: SparkSession, sf: str) -> DataFrame:
     built = elems.build_elems(fixtures.places(spark, sf))
     return built.select(
-        "popindex", "name", "supercat", "subcat", _geom()["gtype"].alias("gtype"),
+        "popindex", "page", "name", "supercat", "subcat", _geom()["gtype"].alias("gtype"),
         _digits(F.col("area")).alias("area"), "osm_ids", "minx", "miny", "maxx", "maxy",
     )
 

@@ -43,6 +43,25 @@ def position_in_group(rows: DataFrame, keys: list[str], order: list[Column], nam
     return table.join(runs, same).select(*rows.columns, (F.col("_row") + F.col("_shift")).cast("long").alias(name))
 
 
+def sum_before_in_group(rows: DataFrame, keys: list[str], order: list[Column], size: Column, name: str) -> DataFrame:
+    """Adds the sum of ``size`` over the rows of the group that come before; ``order`` must be total."""
+    table = _sorted_table(rows.withColumn("_size", size.cast("long")), [*map(F.col, keys), *order])
+    own = W.partitionBy(*keys, "_part").orderBy("_row").rowsBetween(W.unboundedPreceding, -1)
+    within = table.select(*keys, "_part", "_row", F.coalesce(F.sum("_size").over(own), F.lit(0)).alias("_in"))
+    runs = table.groupBy(*keys, "_part").agg(F.sum("_size").alias("_n"))
+    # one row per (group, partition), as above
+    earlier = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    runs = runs.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_p"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+    )
+    same = F.col("_part") == F.col("_p")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    sums = within.join(runs, same).select("_part", "_row", (F.col("_in") + F.col("_before")).alias(name))
+    return table.join(sums, ["_part", "_row"]).select(*rows.columns, name)
+
+
 def position_in_table(
     rows: DataFrame, order: list[Column], name: str, range_by: list[Column] | None = None
 ) -> DataFrame:

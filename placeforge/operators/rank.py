@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from placeforge.functions.geometry import num_points
@@ -12,20 +13,18 @@ from placeforge.operators.lines import union_lines
 from placeforge.operators.ordered import list_pages, position_in_table
 from placeforge.session import durable
 
-ID_PAGE = 100_000  # ids in the text of one row; longer lists continue in the id pages
+ID_PAGE = 10_000  # ids in one row; longer lists continue on further pages
 
 
 class Collapsed(NamedTuple):
-    """``objects`` one row per cluster and ``shapes`` their geometries, apart so that ranking does not move them.
+    """``objects`` one row per cluster; ``shapes`` (cid, page, geometry) and ``ids`` (cid, page, ids) in pages.
 
-    Very large clusters go on in ``id_pages`` and ``shape_pages``: ids, and ways of united lines, beyond those
-    of the first page.
+    Every cluster has a page 0 of both, and as many further pages as it takes.
     """
 
     objects: DataFrame
     shapes: DataFrame
-    id_pages: DataFrame
-    shape_pages: DataFrame
+    ids: DataFrame
 
 
 def with_shape_kinds(objects: DataFrame) -> DataFrame:
@@ -73,23 +72,13 @@ def _shapes(clustered: DataFrame, geometries: DataFrame, picked: DataFrame) -> D
     return shapes.union(union_lines(lines).select(F.col("grp").alias("cid"), "page", "geometry"))
 
 
-def _ids(clustered: DataFrame, picked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cid, ids) of clusters up to one page, and (cid, page, ids) of all pages of larger ones."""
-    order = F.struct((-F.col("importance")).alias("o"), "id", "place_id")
-    alone = picked.filter("n = 1").select("cid", F.array("first.id").alias("ids"))
-    members = clustered.select("cid", "importance", "id", "place_id")
-    small = members.join(picked.filter(F.col("n").between(2, ID_PAGE)).select("cid"), "cid", "left_semi")
-    listed = small.groupBy("cid").agg(F.array_sort(F.collect_list(order))["id"].alias("ids"))
-    large = members.join(picked.filter(F.col("n") > ID_PAGE).select("cid"), "cid", "left_semi")
+def _ids(clustered: DataFrame, picked: DataFrame) -> DataFrame:
+    """(cid, page, ids): the members' ids by descending importance. A lone member is its own list."""
+    alone = picked.filter("n = 1").select("cid", F.lit(0).cast("long").alias("page"), F.array("first.id").alias("ids"))
+    members = clustered.select("cid", "importance", "id", "place_id").join(picked.filter("n > 1").select("cid"), "cid", "left_semi")
     keys = [F.desc("importance"), F.col("id"), F.col("place_id")]
-    if large.isEmpty():
-        pages = large.select("cid", F.lit(0).cast("long").alias("page"), F.array("id").alias("ids"))
-        return alone.union(listed), pages
-    pages = durable(
-        list_pages(large, ["cid"], keys, ["id"], ID_PAGE).select("cid", "page", F.col("items")["id"].alias("ids")),
-        "ids",
-    )
-    return alone.union(listed).union(pages.filter("page = 0").select("cid", "ids")), pages
+    pages = list_pages(members, ["cid"], keys, ["id"], ID_PAGE)
+    return durable(alone.union(pages.select("cid", "page", F.col("items")["id"].alias("ids"))), "ids")
 
 
 def collapse(clustered: DataFrame, geometries: DataFrame, geometry_pairing: str = "as_written") -> Collapsed:
@@ -98,7 +87,7 @@ def collapse(clustered: DataFrame, geometries: DataFrame, geometry_pairing: str
     ``clustered`` are members without geometry (see ``with_shape_kinds``), ``geometries`` theirs by place id.
     """
     picked = durable(pick_members(clustered, geometry_pairing), "picked")
-    ids, pages = _ids(clustered, picked)
+    ids = _ids(clustered, picked)
     objects = picked.select(
         "cid", "n",
         F.col("first.place_id").alias("place_id"), F.col("first.name").alias("name"),
@@ -106,18 +95,42 @@ def collapse(clustered: DataFrame, geometries: DataFrame, geometry_pairing: str
         F.col("tag.prio").alias("prio"), F.col("tag.class").alias("class"), F.col("tag.type").alias("type"),
         F.col("tag.admin_level").alias("admin_level"),
     )
-    shapes = _shapes(clustered, geometries, picked)
-    return Collapsed(
-        objects.join(ids, "cid"), shapes.filter("page = 0").drop("page"), pages.filter("page > 0"), shapes.filter("page > 0")
-    )
+    first = ids.filter("page = 0").select("cid", "ids")
+    return Collapsed(objects.join(first, "cid"), _shapes(clustered, geometries, picked), ids)
+
 
+def _tie_order(objects: DataFrame, ids: DataFrame) -> DataFrame:
+    """(cid, tie): the order of objects of one importance and one first page of ids, by their further pages.
 
-def with_popindex(objects: DataFrame) -> DataFrame:
-    """Adds ``popindex``: 1 for the most important object; ties by ids, then place id."""
+    Goes on to the next page until no two objects with a further page are left together.
+    """
+    long_ = objects.filter(F.col("n") > F.size("ids")).select("cid", F.xxhash64("importance", "ids").alias("g"), "importance", F.col("ids").alias("head"))
+    same = long_.groupBy("g", "importance", "head").agg(F.count("*").alias("m")).filter("m > 1").select("g", "importance", "head")
+    tied = durable(long_.join(same, ["g", "importance", "head"]).select("cid", "g", F.lit(0).alias("tie")), "ties")
+    page = 0
+    while not tied.isEmpty():
+        page += 1
+        more = tied.join(ids.filter(F.col("page") == page).select("cid", "ids"), "cid", "left")
+        group = W.partitionBy("g").orderBy("tie", F.col("ids").asc_nulls_first())
+        tied = durable(more.select("cid", "g", F.dense_rank().over(group).alias("tie"), F.col("ids").isNull().alias("over")), "ties")
+        open_ = tied.groupBy("g", "tie").agg(F.count("*").alias("m"), F.min("over").alias("over")).filter("m > 1 and not over")
+        if open_.isEmpty():
+            break
+        tied = tied.drop("over")
+    return tied.select("cid", "tie")
+
+
+def with_popindex(objects: DataFrame, ids: DataFrame) -> DataFrame:
+    """Adds ``popindex``: 1 for the most important object; ties by all ids, then place id.
+
+    ``objects`` hold the first page of ``ids``.
+    """
+    ties = _tie_order(objects, ids)
+    ranked = objects.join(ties, "cid", "left").withColumn("tie", F.coalesce("tie", F.lit(0)))
     head = F.slice("ids", F.lit(1), F.lit(4))
     long_ = F.size("ids") > 4
-    order = [F.desc("importance"), F.col("ids"), F.col("place_id")]
+    order = [F.desc("importance"), F.col("ids"), F.col("tie"), F.col("place_id")]
     # partition bounds are sampled to the driver, so they use the first ids only; that agrees with the
     # order, as equal heads of four ids or fewer mean equal lists
     spread = [F.desc("importance"), head, long_, F.when(~long_, F.col("place_id"))]
-    return position_in_table(objects, order, "popindex", spread)
+    return position_in_table(ranked, order, "popindex", spread).drop("tie")

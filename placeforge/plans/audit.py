@@ -65,14 +65,15 @@ def same_wikidata_report(places: DataFrame) -> DataFrame:
 
 
 def same_name_report(elems: DataFrame) -> DataFrame:
-    """Ranks, categories and ids of objects that share a name."""
-    return duplicates_report(elems, ["name"], [F.col("popindex")], ["popindex", "supercat", "subcat", "osm_ids"])
+    """Ranks, categories and ids (their first page) of objects that share a name."""
+    return duplicates_report(elems.filter("page = 0"), ["name"], [F.col("popindex")], ["popindex", "supercat", "subcat", "osm_ids"])
 
 
 def ranks_by_name(elems: DataFrame) -> DataFrame:
     """Every object with the best rank of its name and its place among the objects of that name."""
-    best = elems.groupBy("name").agg(F.min("popindex").alias("best"))
-    placed = position_in_group(elems.select("name", "popindex"), ["name"], [F.col("popindex")], "nth")
+    objects = elems.filter("page = 0")
+    best = objects.groupBy("name").agg(F.min("popindex").alias("best"))
+    placed = position_in_group(objects.select("name", "popindex"), ["name"], [F.col("popindex")], "nth")
     return placed.join(best, "name").select(
         F.left("name", F.lit(30)).alias("name"), "popindex", "nth", "best", (F.col("popindex") == F.col("best")).alias("is_best")
     )

@@ -17,7 +17,7 @@ from placeforge.operators.merge import merge_same_entity, narrow, prepare
 from placeforge.operators.rank import Collapsed, collapse, with_popindex, with_shape_kinds
 from placeforge.session import durable
 
-COLUMNS = ["popindex", "name", "supercat", "subcat", "geometry", "area", "osm_ids"]
+COLUMNS = ["popindex", "page", "name", "supercat", "subcat", "geometry", "area", "osm_ids"]
 
 
 class Options(NamedTuple):
@@ -32,18 +32,6 @@ class Options(NamedTuple):
     overrides: DataFrame | None = None
 
 
-class Build(NamedTuple):
-    """``elems``, and what does not fit in one row of it.
-
-    ``id_pages`` holds the ids beyond the first ``rank.ID_PAGE`` of an object, ``shape_pages`` the ways of
-    united lines beyond the first ``lines.WAY_PAGE``. Both are empty unless an object is that large.
-    """
-
-    elems: DataFrame
-    id_pages: DataFrame
-    shape_pages: DataFrame
-
-
 def merged_objects(places: DataFrame, options: Options = Options()) -> DataFrame:
     """Survivors of the merge by OSM id, wikidata and wikipedia, before nearby ones are clustered."""
     rows = durable(narrow(prepare(places, options.factor, options.null_importance, options.keys)), "prepared")
@@ -70,26 +58,20 @@ def collapsed_objects(places: DataFrame, options: Options = Options()) -> Collap
     return collapse(clusters.members, clusters.geometries, options.geometry_pairing)
 
 
-def build_tables(places: DataFrame, options: Options = Options()) -> Build:
+def build_elems(places: DataFrame, options: Options = Options()) -> DataFrame:
+    """Ranked objects with the columns of ``COLUMNS``, the box of each row's geometry and the number of ids.
+
+    An object is a row of page 0, and further pages if its ids or the points of its united lines need them. Each row
+    has the object's name and category; a page without ids or without geometry has null there.
+    """
     collapsed = collapsed_objects(places, options)
-    ranked = with_popindex(collapsed.objects)
+    ranked = with_popindex(collapsed.objects, collapsed.ids).drop("ids")
     named = with_category(ranked, options.keys, options.overrides, options.on_unknown)
+    pages = collapsed.shapes.join(collapsed.ids, ["cid", "page"], "full")
     geom = F.col("geometry")
-    elems = named.join(collapsed.shapes, "cid").select(
-        "popindex", "name", "supercat", "subcat", "geometry",
+    return named.join(pages, "cid").select(
+        "popindex", "page", "name", "supercat", "subcat", "geometry",
         area(geom).alias("area"), text_of(F.col("ids")).alias("osm_ids"),
         *[v.alias(k) for k, v in bounds(geom).items()],
         F.col("n").alias("n_ids"),
     )
-    pages = collapsed.id_pages.join(ranked.select("cid", "popindex"), "cid").select(
-        "popindex", "page", text_of(F.col("ids")).alias("osm_ids")
-    )
-    shape_pages = collapsed.shape_pages.join(ranked.select("cid", "popindex"), "cid").select(
-        "popindex", "page", "geometry", *[v.alias(k) for k, v in bounds(geom).items()]
-    )
-    return Build(elems, pages, shape_pages)
-
-
-def build_elems(places: DataFrame, options: Options = Options()) -> DataFrame:
-    """Ranked objects with the columns of ``COLUMNS``, their bounding box and number of ids."""
-    return build_tables(places, options).elems

@@ -12,28 +12,23 @@ from placeforge.functions.geometry import (
 PAGE_SIZE = 10
 
 
-def area_matches(elems: DataFrame, polygon: Area, after: int = 0, shape_pages: DataFrame | None = None) -> DataFrame:
-    """Objects past ``after`` that touch the area, polygons only with half of themselves inside it.
+def area_matches(elems: DataFrame, polygon: Area, after: int = 0) -> DataFrame:
+    """Rows of objects past ``after`` that touch the area, polygons only with half of themselves inside it.
 
-    ``shape_pages`` are the further pages of very large united lines, if there are any.
+    A large object is found by any of its pages; the rows are those pages that touch the area.
     """
     if "minx" not in elems.columns:
         elems = elems.select("*", *[v.alias(k) for k, v in bounds(F.col("geometry")).items()])
     # the range tests reach the parquet scan; only what is left pays for the exact test
     past = F.col("popindex") > after
-    found = elems.filter(past & near_area(polygon)).filter(in_working_area(F.col("geometry"), F.col("area"), polygon))
-    if shape_pages is None:
-        return found
-    pages = shape_pages.filter(past & near_area(polygon)).filter(intersects(F.col("geometry"), polygon))
-    by_page = elems.filter(past).join(pages.select("popindex").distinct(), "popindex", "left_semi")
-    return found.union(by_page.join(found.select("popindex"), "popindex", "left_anti").select(*found.columns))
-
-
-def query_area(
-    elems: DataFrame, polygon: Area, after: int = 0, count: int = PAGE_SIZE, shape_pages: DataFrame | None = None
-) -> DataFrame:
-    """The next ``count`` objects inside the area, most important first."""
-    return area_matches(elems, polygon, after, shape_pages).orderBy("popindex").limit(count)
+    return elems.filter(past & near_area(polygon)).filter(in_working_area(F.col("geometry"), F.col("area"), polygon))
+
+
+def query_area(elems: DataFrame, polygon: Area, after: int = 0, count: int = PAGE_SIZE) -> DataFrame:
+    """The next ``count`` objects inside the area, most important first, with all their pages in order."""
+    found = area_matches(elems, polygon, after).select("popindex").distinct().orderBy("popindex").limit(count)
+    # at most ``count`` rows
+    return elems.join(F.broadcast(found), "popindex").select(*elems.columns).orderBy("popindex", "page")
 
 
 def listing_line() -> Column:

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 from placeforge.operators import rank
-from placeforge.plans.elems import build_tables
+from placeforge.plans.elems import build_elems
 from tests.places import LINE, POINT, SQUARE, Place, coordinates, elems, parts, table
 
 PER_DEGREE = {0: 111319.458, 30: 96486.24755677342, 60: 55799.979, 85: 9734.518271497967}
@@ -278,11 +278,17 @@ def test_clusters_end_to_end(spark):
 def test_long_id_lists_continue_on_pages(spark, monkeypatch):
     monkeypatch.setattr(rank, "ID_PAGE", 4)
     places = [Place("many", n + 1, n) for n in range(10)] + [Place("few", 50 + n, n) for n in range(3)]
-    built = build_tables(table(spark, places))
-    found = {r.name: r for r in built.elems.collect()}
-    assert (found["many"].osm_ids, found["many"].n_ids) == ("N1,N2,N3,N4", 10)
-    assert (found["few"].osm_ids, found["few"].n_ids) == ("N50,N51,N52", 3)
-    pages = built.id_pages.orderBy("page").collect()
-    assert [(r.popindex, r.page, r.osm_ids) for r in pages] == [
-        (found["many"].popindex, 1, "N5,N6,N7,N8"), (found["many"].popindex, 2, "N9,N10"),
-    ]
+    built = build_elems(table(spark, places)).orderBy("popindex", "page").collect()
+    many = [r for r in built if r.name == "many"]
+    assert [(r.page, r.osm_ids, r.n_ids) for r in many] == [(0, "N1,N2,N3,N4", 10), (1, "N5,N6,N7,N8", 10), (2, "N9,N10", 10)]
+    assert [r.geometry is None for r in many] == [False, True, True] and len({r.popindex for r in many}) == 1
+    assert [(r.page, r.osm_ids) for r in built if r.name == "few"] == [(0, "N50,N51,N52")]
+
+
+def test_ties_go_by_all_pages_of_ids(spark):
+    rows = [(1, 9, 1.0, list("aa"), 5), (2, 8, 1.0, list("aa"), 4), (3, 7, 1.0, list("aa"), 2), (4, 6, 1.0, list("aa"), 4), (5, 5, 2.0, ["z"], 1), (6, 4, 1.0, list("aa"), 5)]
+    objects = spark.createDataFrame(rows, "cid long, place_id long, importance double, ids array<string>, n long")
+    more = [(1, 1, list("bb")), (1, 2, ["d"]), (2, 1, list("bb")), (4, 1, list("ba")), (6, 1, list("bb")), (6, 2, ["c"])]
+    pages = spark.createDataFrame([(r[0], 0, r[3]) for r in rows] + more, "cid long, page long, ids array<string>")
+    ranked = rank.with_popindex(objects, pages).orderBy("popindex").collect()
+    assert [(r.popindex, r.cid) for r in ranked] == [(1, 5), (2, 3), (3, 4), (4, 2), (5, 6), (6, 1)]

@@ -13,7 +13,7 @@ from placeforge.functions.geometry import Area
 from placeforge.operators import cluster, kernels, lines, ordered
 from placeforge.operators.components import connected_components
 from placeforge.plans import audit, serve
-from placeforge.plans.elems import build_elems, build_tables
+from placeforge.plans.elems import build_elems
 from placeforge.sources import category_tables, labels, snippets, tables
 from tests.places import POINT, Place, table
 
@@ -165,6 +165,10 @@ def test_write_and_check(spark, tmp_path):
         assert sorted(r.popindex for r in read.collect()) == list(range(1, 10))
     with pytest.raises(ValueError, match="1..n"):
         tables.check_elems(built.withColumn("popindex", F.col("popindex") * 2))
+    # ranks with the sum and the sum of squares of 1 to 8
+    same_sums = F.element_at(F.array(*map(F.lit, [1, 3, 3, 4, 4, 5, 8, 8, 9])), F.col("popindex").cast("int"))
+    with pytest.raises(ValueError, match="1..n"):
+        tables.check_elems(built.withColumn("popindex", same_sums.cast("long")))
     with pytest.raises(ValueError, match="empty"):
         tables.check_elems(built.withColumn("name", F.lit(None).cast("string")))
 
@@ -418,17 +422,18 @@ def test_work_tables(spark, monkeypatch):
     assert own == session.work_dir(spark) and Path(own).is_dir()
 
 
-def test_union_of_many_ways_goes_on_in_pages(spark, monkeypatch):
-    monkeypatch.setattr(lines, "WAY_PAGE", 5)
+def test_union_of_many_ways_goes_on_in_pages(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(lines, "PAGE_POINTS", 10)
     places = [Place("road", n + 1, n, key="highway", shape=f"LINESTRING({n} 0,{n + 1} 0)") for n in range(12)]
-    built = build_tables(table(spark, [*places, Place("dot", 99, 29, shape="POINT(50 50)")]))
-    (road,) = built.elems.filter("name = 'road'").collect()
-    pages = built.shape_pages.orderBy("page").collect()
-    assert [len(road.geometry.parts), *[len(p.geometry.parts) for p in pages]] == [5, 5, 2]
-    assert {p.popindex for p in pages} == {road.popindex}
-    ends = {part[0][0].x for g in (road.geometry, *[p.geometry for p in pages]) for part in g.parts}
+    built = build_elems(table(spark, [*places, Place("dot", 99, 29, shape="POINT(50 50)")]))
+    tables.write_elems(built, str(tmp_path / "elems"))
+    built = spark.read.parquet(str(tmp_path / "elems"))
+    tables.check_elems(built)
+    road = built.filter("name = 'road'").orderBy("page").collect()
+    assert [(r.page, len(r.geometry.parts), r.geometry.gtype) for r in road] == [(0, 5, "MULTILINESTRING"), (1, 5, "MULTILINESTRING"), (2, 2, "MULTILINESTRING")]
+    assert len({r.popindex for r in road}) == 1
+    ends = {part[0][0].x for r in road for part in r.geometry.parts}
     assert ends == set(map(float, range(12)))
-    for x, y, names in ((0.5, 0, ["road"]), (6.5, 0, ["road"]), (11.5, 0, ["road"]), (30, 0, []), (50, 50, ["dot"])):
+    for x, y, names in ((0.5, 0, ["road"] * 3), (6.5, 0, ["road"] * 3), (11.5, 0, ["road"] * 3), (30, 0, []), (50, 50, ["dot"])):
         spot = Area([(x - 0.1, y - 0.1), (x + 0.1, y - 0.1), (x + 0.1, y + 0.1), (x - 0.1, y + 0.1)])
-        found = serve.query_area(built.elems, spot, shape_pages=built.shape_pages)
-        assert [r.name for r in found.collect()] == names
+        assert [r.name for r in serve.query_area(built, spot).collect()] == names
