@@ -142,6 +142,11 @@ united AS (
     sum(b - a) AS length FROM ways GROUP BY grp)"""
 
 
+_TAGS = """entries AS (SELECT *, row_number() OVER (PARTITION BY survivor ORDER BY kind, imp_order DESC, place_id) AS entry FROM members),
+tags AS (SELECT o.popindex, row_number() OVER (PARTITION BY c.cid ORDER BY c.nth, e.entry) AS pos, e.class, e.type, e.admin_level
+  FROM clustered c JOIN entries e ON e.survivor = c.place_id JOIN objects o ON o.cid = c.cid)"""
+
+
 def _elems(pairing: str = "", **scores) -> str:
     return f"""{_merged(**scores)}, {_components('merged', 100.0)},
 clustered AS (SELECT m.*, c.cid, row_number() OVER (PARTITION BY c.cid ORDER BY m.importance DESC, m.id, m.place_id) AS nth
@@ -388,13 +393,17 @@ SELECT place_id, gtype, x FROM best WHERE k = 1""",
   wikidata, wikipedia, minx, miny, maxx, maxy FROM places WHERE name = 'São Tomé 1'""",
     "build_elems": f"""WITH RECURSIVE {_elems()} SELECT popindex, CAST(0 AS BIGINT) AS page, name, supercat, subcat, gtype, round(area, 12) AS area, osm_ids, minx, miny, maxx, maxy FROM elems""",
     "build_elems_other_modes": f"""WITH RECURSIVE {_elems(pairing='-', full=_FULL_RANK_ONLY, rest=_RANK)} SELECT popindex, name, supercat, subcat, gtype, osm_ids FROM elems""",
+    "cluster_lists": f"""WITH RECURSIVE {_elems()}, {_TAGS} SELECT popindex, pos, class, type, admin_level FROM tags""",
+    "object_lists": f"""WITH RECURSIVE {_elems()}, {_TAGS} SELECT popindex, (pos-1)//1000 AS page, string_agg(class, ',' ORDER BY pos) AS classes,
+  string_agg(type, ',' ORDER BY pos) AS types, string_agg(CAST(coalesce(admin_level, -1) AS VARCHAR), ',' ORDER BY pos) AS admin_levels
+FROM tags GROUP BY popindex, page""",
     "area_matches": f"""WITH RECURSIVE {_elems()} SELECT popindex, popindex||'. '||name||'. '||supercat||'. '||subcat||'. '||osm_ids AS line FROM elems WHERE {_inside(*_BOX)}""",
     "query_area": f"""WITH RECURSIVE {_elems()} SELECT popindex, name, supercat, subcat, osm_ids FROM elems WHERE popindex > 5 AND {_inside(*_BOX)} ORDER BY popindex LIMIT 10""",
     "prepared_in_area": f"""WITH {_prepared()}, inside AS (SELECT * FROM prepared WHERE {_inside(*_BOX)}),
 {_categories('inside', 'r.place_id, r.id, r.name, r.imp_order, r.class, r.type, r.admin_level')} SELECT * FROM categorised ORDER BY imp_order DESC, place_id""",
-    "same_object_report": f"WITH {_PLACES} " + _report("places", "osm_type, osm_id", "place_id", {"names": "name"}),
+    "same_object_report": f"WITH {_PLACES} " + _report("places", "osm_type, osm_id", "place_id", {"names": "name", "scores": _BROWSE}),
     "same_wikipedia_report": f"WITH {_PLACES} " + _report("places", "wikipedia", "place_id", {"names": "name", "webs": _WEB}, "wikipedia <> ''"),
-    "same_wikidata_report": f"WITH {_PLACES} " + _report("places", "wikidata", "place_id", {"names": "name", "webs": _WEB}, "wikidata <> ''"),
+    "same_wikidata_report": f"WITH {_PLACES} " + _report("places", "wikidata", "place_id", {"names": "name", "importances": "importance", "webs": _WEB}, "wikidata <> ''"),
     "same_name_report": f"WITH RECURSIVE {_elems()} " + _report("elems", "name", "popindex", {"popindexs": "popindex", "supercats": "supercat", "subcats": "subcat"}),
     "repeated_objects": f"WITH {_PLACES} SELECT osm_type, osm_id, count(*) AS n FROM places GROUP BY ALL HAVING count(*) > 1",
     "ranks_by_name": f"""WITH RECURSIVE {_elems()} SELECT left(name, 30) AS name, popindex, row_number() OVER w AS nth, min(popindex) OVER (PARTITION BY name) AS best,

@@ -265,13 +265,13 @@ def group_positions(spark: SparkSession, sf: str) -> DataFrame:
 
 def merge_positions(spark: SparkSession, sf: str) -> DataFrame:
     """Position of each prepared row in its three groups, most important first."""
-    rows = merge.in_groups(merge.narrow(merge.prepare(fixtures.places(spark, sf))))
+    rows = merge.in_groups(elems.prepared_rows(fixtures.places(spark, sf)))
     placed = position_in_group(rows.select("kind", "key", "o", "place_id"), ["kind", "key"], [F.col("o"), F.col("place_id")])
     return placed.select("kind", "key", "place_id", "pos")
 
 
 def merged_members(spark: SparkSession, sf: str) -> DataFrame:
-    return merge.merged_members(merge.narrow(merge.prepare(fixtures.places(spark, sf)))).drop("digest")
+    return merge.merged_members(elems.prepared_rows(fixtures.places(spark, sf))).drop("digest")
 
 
 def merge_same_entity(spark: SparkSession, sf: str) -> DataFrame:
@@ -331,6 +331,16 @@ def build_elems_other_modes(spark: SparkSession, sf: str) -> DataFrame:
     return built.select("popindex", "name", "supercat", "subcat", _geom()["gtype"].alias("gtype"), "osm_ids")
 
 
+def cluster_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """The concatenated tag lists of every object, a row per entry."""
+    return elems.object_tags(fixtures.places(spark, sf))
+
+
+def object_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lists as text."""
+    return elems.tag_texts(elems.object_tags(fixtures.places(spark, sf)))
+
+
 def replace_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Every place with its customer's united lines in place of a line, by ascending importance."""
     rows = fixtures.places(spark, sf).select(
@@ -390,7 +400,7 @@ def _pages(report: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
 
 
 def same_object_report(spark: SparkSession, sf: str) -> DataFrame:
-    return _pages(audit.same_object_report(fixtures.places(spark, sf)), ["osm_type", "osm_id"], ["name"])
+    return _pages(audit.same_object_report(fixtures.places(spark, sf)), ["osm_type", "osm_id"], ["name", "score"])
 
 
 def same_wikipedia_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -398,7 +408,7 @@ def same_wikipedia_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def same_wikidata_report(spark: SparkSession, sf: str) -> DataFrame:
-    return _pages(audit.same_wikidata_report(fixtures.places(spark, sf)), ["wikidata"], ["name", "web"])
+    return _pages(audit.same_wikidata_report(fixtures.places(spark, sf)), ["wikidata"], ["name", "importance", "web"])
 
 
 def same_name_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -525,7 +535,7 @@ QUERIES = {
         category_of_places, pick_tag, category_lines, label_lines, interesting_keys,
         prepare, group_positions, merge_positions, merged_members, merge_same_entity,
         cluster_nearby, cluster_all_places, dedupe_nearby, cluster_members, merge_linestrings, replace_lines, pick_geometry,
-        build_elems, build_elems_other_modes, area_matches, query_area, prepared_in_area,
+        build_elems, build_elems_other_modes, cluster_lists, object_lists, area_matches, query_area, prepared_in_area,
         same_object_report, same_wikipedia_report, same_wikidata_report, same_name_report, repeated_objects,
         ranks_by_name, first_of_object, classes_so_far, rejected_wikipedia, widest_rows, count_larger_than,
         most_points, top_name, browse, place_details, names_matching, classify_tags, place_rows,

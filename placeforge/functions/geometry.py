@@ -264,15 +264,18 @@ class Area:
         return point_xy(*map(F.lit, self.rings[0][0]))
 
 
-def _clip_ring(ring: Column, convex: Ring) -> Column:
-    """Ring cut by each half-plane of a counter-clockwise convex polygon in turn."""
-    edges = F.array(
+def _literal_edges(convex: Ring) -> Column:
+    return F.array(
         *[
-            F.struct(*[F.lit(v).alias(n) for v, n in zip((*p, *q), ("ax", "ay", "bx", "by"))])
+            F.struct(*[F.lit(float(v)).alias(n) for v, n in zip((*p, *q), ("ax", "ay", "bx", "by"))])
             for p, q in zip(convex, [*convex[1:], convex[0]])
         ]
     )
 
+
+def _clip_ring(ring: Column, edges: Column) -> Column:
+    """Ring cut by each half-plane of a counter-clockwise convex polygon, given by its edges, in turn."""
+
     def cut(acc: Column, e: Column) -> Column:
         def side(p: Column) -> Column:
             return _cross(e["ax"], e["ay"], e["bx"], e["by"], p["x"], p["y"])
@@ -296,16 +299,30 @@ def _clip_ring(ring: Column, convex: Ring) -> Column:
     return F.aggregate(edges, open_ring, cut)
 
 
+def _near_box(geom: Column, area_: Area) -> Column:
+    box = bounds(geom)
+    return (
+        (box["minx"] <= area_.maxx) & (box["maxx"] >= area_.minx)
+        & (box["miny"] <= area_.maxy) & (box["maxy"] >= area_.miny)
+    )
+
+
 def intersection_area(geom: Column, area_: Area) -> Column:
-    """Area of the part of a polygonal geometry inside the constant area; 0 for points and lines."""
+    """Area of the part of a polygonal geometry inside the constant area; 0 for points and lines.
+
+    The area's convex pieces are one constant array, so the plan is as large for any number of corners. Boxes come
+    first: what is far off is 0, and what lies within a convex area counts whole.
+    """
+    pieces = area_.convex_pieces()
+    parts = F.array(*[F.struct(F.lit(float(sign)).alias("sign"), _literal_edges(piece).alias("edges")) for sign, piece in pieces])
 
-    def clipped_area(piece: Ring):
+    def clipped_area(edges: Column):
         def of_ring(ring: Column) -> Column:
             # close the clipped ring again; an empty one has area 0
             return F.coalesce(
                 F.element_at(
                     F.transform(
-                        F.array(_clip_ring(ring, piece)),
+                        F.array(_clip_ring(ring, edges)),
                         lambda r: F.when(F.size(r) > 2, ring_area(F.concat(r, F.slice(r, F.lit(1), F.lit(1))))),
                     ),
                     1,
@@ -315,20 +332,21 @@ def intersection_area(geom: Column, area_: Area) -> Column:
 
         return of_ring
 
-    total = F.lit(0.0)
-    for sign, piece in area_.convex_pieces():
-        total = total + F.lit(float(sign)) * _polygon_measure(geom, clipped_area(piece))
-    return total
+    clipped = F.aggregate(parts, F.lit(0.0), lambda acc, p: acc + p["sign"] * _polygon_measure(geom, clipped_area(p["edges"])))
+    found = F.when(~geom["gtype"].isin(*POLYGONAL) | ~_near_box(geom, area_), F.lit(0.0))
+    if len(pieces) == 1:
+        box, (_, ring) = bounds(geom), pieces[0]
+        corners = F.array(*[point_xy(box[x], box[y]) for x in ("minx", "maxx") for y in ("miny", "maxy")])
+        edges = _literal_edges(ring)
+        within = F.forall(corners, lambda c: F.forall(edges, lambda e: _cross(e["ax"], e["ay"], e["bx"], e["by"], c["x"], c["y"]) >= 0))
+        found = found.when(within, area(geom))
+    return found.otherwise(clipped)
 
 
 def intersects(geom: Column, area_: Area) -> Column:
     """Do geometry and area share a point? Touching counts."""
     own, others = segments(geom), area_.segments()
-    box = bounds(geom)
-    near = (
-        (box["minx"] <= area_.maxx) & (box["maxx"] >= area_.minx)
-        & (box["miny"] <= area_.maxy) & (box["maxy"] >= area_.miny)
-    )
+    near = _near_box(geom, area_)
     inside = F.exists(points(geom), lambda p: covers_point(others, p))
     crossing = F.exists(own, lambda s: F.exists(others, lambda e: segments_touch(s, e)))
     around = geom["gtype"].isin(*POLYGONAL) & covers_point(own, area_.corner())
@@ -374,6 +392,7 @@ def near_area(area_: Area) -> Column:
 
 def in_working_area(geom: Column, own_area: Column, area_: Area) -> Column:
     """Touches the area and, when polygonal, has at least half of itself inside."""
+    touches = intersects(geom, area_)
     share = F.try_divide(intersection_area(geom, area_), own_area)
-    half_inside = F.when(geom["gtype"].isin(*POLYGONAL), share >= 0.5).otherwise(F.lit(True))
-    return intersects(geom, area_) & half_inside
+    # the share is only worked out for polygons that touch
+    return F.when(touches & geom["gtype"].isin(*POLYGONAL), share >= 0.5).otherwise(touches)

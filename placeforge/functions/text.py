@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 # Letters whose folded form has more than one letter, or no decomposition.
 LONG_FOLDS = {
     "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "ß": "ss", "Þ": "TH", "þ": "th",
-    "Ĳ": "IJ", "ĳ": "ij", "ŉ": "'n",
+    "Ĳ": "IJ", "ĳ": "ij", "ŉ": "'n", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st",
+    "«": "<<", "»": ">>", "…": "...", "№": "No", "℡": "TEL", "™": "TM", "©": "(C)", "®": "(R)", "℃": "C", "℉": "F",
+    "¼": " 1/4", "½": " 1/2", "¾": " 3/4",
 }
 SINGLE_FOLDS = {
     "Ø": "O", "ø": "o", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Ł": "L", "ł": "l",
-    "Ħ": "H", "ħ": "h", "ı": "i", "Ŋ": "N", "ŋ": "n", "ĸ": "q", "ſ": "s", "Ŧ": "T", "ŧ": "t",
+    "Ħ": "H", "ħ": "h", "ı": "i", "Ŋ": "N", "ŋ": "n", "ĸ": "q", "ſ": "s", "Ŧ": "T", "ŧ": "t", "Ё": "Е", "ё": "е",
+    "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "―": "-", "−": "-", "‘": "'", "’": "'", "‚": ",", "‛": "'",
+    "“": '"', "”": '"', "„": '"', "‟": '"', "‹": "<", "›": ">", "′": "'", "″": '"', "×": "*", "÷": "/",
 }
 WEB_ROOT = "https://www.openstreetmap.org/"
 
@@ -25,6 +29,7 @@ def _single_letter_folds() -> dict[str, str]:
         base = "".join(c for c in unicodedata.normalize("NFD", chr(code)) if not unicodedata.combining(c))
         if len(base) == 1 and base.isascii() and base.isalpha():
             folds[chr(code)] = base
+    folds |= {chr(0xFEE0 + code): chr(code) for code in range(0x21, 0x7F)}  # full-width forms
     return folds
 
 

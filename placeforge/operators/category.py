@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeforge.sources.category_tables import key_table, override_table, small_side
+from placeforge.sources.category_tables import key_table, override_table, small_side, without_repeats
 
 
-def _lookup(table: DataFrame | None, built_in, spark, *columns: Column) -> DataFrame:
-    """The built-in table (fixed, 25 rows at most) is broadcast; one from the user after a size check."""
+def _lookup(table: DataFrame | None, built_in, spark, keys: list[str], *columns: Column) -> DataFrame:
+    """The built-in table (fixed, 25 rows at most) is broadcast; one from the user after checks of size and keys."""
     if table is None:
         return F.broadcast(built_in(spark).select(*columns))
-    return small_side(table.select(*columns))
+    return small_side(without_repeats(table, keys).select(*columns))
 
 
 NO_PRIO = 2**31 - 1  # of a class the key table lacks
@@ -42,7 +42,7 @@ def admin_subcat(level: Column) -> Column:
 def with_key_prio(rows: DataFrame, keys: DataFrame | None = None, class_col: str = "class") -> DataFrame:
     """Adds ``prio``, the place of the row's class in the key table."""
     prios = _lookup(
-        keys, key_table, rows.sparkSession, F.col("key").alias(class_col), F.col("prio").alias("_prio")
+        keys, key_table, rows.sparkSession, ["key"], F.col("key").alias(class_col), F.col("prio").alias("_prio")
     )
     joined = rows.join(prios, class_col, "left")
     return joined.withColumn("prio", F.coalesce("_prio", F.lit(NO_PRIO))).drop("_prio")
@@ -57,27 +57,30 @@ def with_category(
     """Adds ``supercat, subcat`` for the tag in ``class, type, admin_level``.
 
     Administrative boundaries go by level, then the override table decides, then the key table.
-    A key neither holds fails the job, or is dropped with ``on_unknown='drop'``.
+    A key that the key table lacks fails the job, or is dropped with ``on_unknown='drop'``.
     """
     spark = rows.sparkSession
     by_key = _lookup(
-        keys, key_table, spark,
+        keys, key_table, spark, ["key"],
         F.col("key").alias("class"), F.col("supercat").alias("_ks"), F.col("subcat").alias("_kc"),
     )
     by_tag = _lookup(
-        overrides, override_table, spark,
+        overrides, override_table, spark, ["key", "value"],
         F.col("key").alias("class"), F.col("value").alias("type"),
         F.col("supercat").alias("_os"), F.col("subcat").alias("_oc"),
     )
     joined = rows.join(by_tag, ["class", "type"], "left").join(by_key, "class", "left")
     admin = (F.col("class") == "boundary") & (F.col("type") == "administrative")
-    known = admin | F.col("_os").isNotNull() | F.col("_ks").isNotNull()
+    known = admin | F.col("_ks").isNotNull()
     if on_unknown == "drop":
         joined = joined.filter(known)
-    elif on_unknown != "fail":
+    elif on_unknown == "fail":
+        missing = F.raise_error(F.concat(F.lit("not in the key table: "), F.coalesce("class", F.lit("NULL"))))
+        # as a filter the test also runs where no column of the result is read
+        joined = joined.filter(F.when(known, F.lit(True)).otherwise(missing.cast("boolean")))
+    else:
         raise ValueError(f"on_unknown: {on_unknown}")
-    missing = F.raise_error(F.concat(F.lit("not in the key table: "), F.coalesce("class", F.lit("NULL"))))
-    supercat = F.when(admin, "c").when(known, F.coalesce("_os", "_ks")).otherwise(missing)
+    supercat = F.when(admin, "c").otherwise(F.coalesce("_os", "_ks"))
     subcat = F.when(admin, admin_subcat(F.col("admin_level"))).otherwise(
         F.replace(F.coalesce("_oc", "_kc"), F.lit("_"), F.lit(" "))
     )

@@ -51,7 +51,7 @@ def prepare(
         "*",
         full.alias("imp_order"),
         F.when(F.col("wikipedia").isNotNull(), full).otherwise(by_rank).alias("imp_value"),
-        (num_points(F.col("geometry")) == 1).cast("int").alias("is_node"),
+        (num_points(F.col("geometry")) <= 1).cast("int").alias("is_node"),
     ).drop("importance", "rank_search")
     return with_key_prio(scored, keys)
 
@@ -196,7 +196,10 @@ def merge_same_entity(rows: DataFrame, places: DataFrame) -> DataFrame:
         F.coalesce("earlier_id", "shape.id").alias("id"),
         F.col("shape.place_id").alias("geometry_place"),
     )
-    shapes = places.select(F.col("place_id").alias("geometry_place"), "geometry")
+    # geometries of rows that no pick can be of stay out of the shuffle
+    name = F.col("name")["name"]
+    usable = places.filter(name.isNotNull() & (name != "") & F.col("geometry").isNotNull())
+    shapes = usable.select(F.col("place_id").alias("geometry_place"), "geometry")
     return merged.join(shapes, "geometry_place").drop("geometry_place")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from placeforge.functions.geometry import num_points
 from placeforge.operators.lines import union_lines
-from placeforge.operators.ordered import list_pages, position_in_table
+from placeforge.operators.ordered import list_pages, position_in_group, position_in_table
 from placeforge.session import durable
 
 ID_PAGE = 10_000  # ids in one row; longer lists continue on further pages
@@ -32,7 +32,7 @@ def with_shape_kinds(objects: DataFrame) -> DataFrame:
     geom = F.col("geometry")
     return objects.select(
         *[c for c in objects.columns if c != "geometry"],
-        (num_points(geom) == 1).alias("is_node"),
+        (num_points(geom) <= 1).alias("is_node"),
         (geom["gtype"] == "LINESTRING").alias("is_line"),
     )
 
@@ -99,6 +99,19 @@ def collapse(clustered: DataFrame, geometries: DataFrame, geometry_pairing: str
     return Collapsed(objects.join(first, "cid"), _shapes(clustered, geometries, picked), ids)
 
 
+def cluster_tags(clustered: DataFrame, entries: DataFrame) -> DataFrame:
+    """(cid, pos, class, type, admin_level): the tags of all members of a cluster, in the order of the members.
+
+    ``entries`` are what each member gathered when rows of one object were merged (``merge.merged_members``), so a lone
+    row counts three times, as in its merged lists.
+    """
+    members = clustered.select("cid", "importance", "id", F.col("place_id").alias("survivor"))
+    tags = entries.select("survivor", F.col("pos").alias("entry"), "class", "type", "admin_level")
+    order = [F.desc("importance"), F.col("id"), F.col("survivor"), F.col("entry")]
+    placed = position_in_group(members.join(tags, "survivor"), ["cid"], order)
+    return placed.select("cid", "pos", "class", "type", "admin_level")
+
+
 def _tie_order(objects: DataFrame, ids: DataFrame) -> DataFrame:
     """(cid, tie): the order of objects of one importance and one first page of ids, by their further pages.
 

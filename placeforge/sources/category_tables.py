@@ -124,12 +124,20 @@ def parse_override_table(lines: DataFrame) -> DataFrame:
     )
 
 
+def without_repeats(table: DataFrame, keys: list[str]) -> DataFrame:
+    """The table itself; raises when a key stands on several rows, as each would then match."""
+    repeated = table.groupBy(*keys).count().filter("count > 1").first()
+    if repeated:
+        raise ValueError(f"repeated key: {' '.join(str(repeated[k]) for k in keys)}")
+    return table
+
+
 def load_key_table(spark: SparkSession, path: str) -> DataFrame:
-    return parse_key_table(numbered_lines(spark, path))
+    return without_repeats(parse_key_table(numbered_lines(spark, path)), ["key"])
 
 
 def load_override_table(spark: SparkSession, path: str) -> DataFrame:
-    return parse_override_table(numbered_lines(spark, path))
+    return without_repeats(parse_override_table(numbered_lines(spark, path)), ["key", "value"])
 
 
 def small_side(table: DataFrame) -> DataFrame:

@@ -5,17 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: a label restates its tag value when it starts with the value's first word.
-RESTATES_VALUE = r"(?i) (\w+?)[ _:].*?'\1.*'"
+_FORM = r"^(\S+) (\S+) '(.*)'$"
 
 
 def parse_labels(lines: DataFrame, column: str = "value") -> DataFrame:
-    form = r"^(\S+) (\S+) '(.*)'$"
     line = F.col(column)
-    return lines.filter(line.rlike(form)).select(
-        F.regexp_extract(line, form, 1).alias("class"),
-        F.regexp_extract(line, form, 2).alias("type"),
-        F.regexp_extract(line, form, 3).alias("label"),
+    return lines.filter(line.rlike(_FORM)).select(
+        F.regexp_extract(line, _FORM, 1).alias("class"),
+        F.regexp_extract(line, _FORM, 2).alias("type"),
+        F.regexp_extract(line, _FORM, 3).alias("label"),
     )
 
 
@@ -29,5 +27,7 @@ def default_label(type_: Column) -> Column:
 
 
 def odd_labels(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Lines whose label does not restate the tag value."""
-    return lines.filter(~F.col(column).rlike(RESTATES_VALUE))
+    """Lines that are no label line, or whose label does not start with the first word of the tag value."""
+    kind, label = F.regexp_extract(column, _FORM, 2), F.regexp_extract(column, _FORM, 3)
+    first = F.split(F.replace(kind, F.lit(":"), F.lit("_")), "_")[0]
+    return lines.filter(~F.col(column).rlike(_FORM) | ~F.startswith(F.lower(label), F.lower(first)))
