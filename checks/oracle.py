@@ -200,6 +200,18 @@ def _against(parts: tuple[str, str]) -> str:
   {_inside(touches, shared)} AS inside FROM places"""
 
 
+def _overlap(x0: float, x1: float, y0: float, y1: float) -> str:
+    return f"""greatest(CAST(0 AS DOUBLE), least(maxx, CAST({x1!r} AS DOUBLE)) - greatest(minx, CAST({x0!r} AS DOUBLE)))
+  * greatest(CAST(0 AS DOUBLE), least(maxy, CAST({y1!r} AS DOUBLE)) - greatest(miny, CAST({y0!r} AS DOUBLE)))"""
+
+
+_TEETH = [6.20025 + 0.0166 * i for i in range(25)]
+# back of the comb, its teeth, less its hole
+_COMB = " + ".join(
+    [_overlap(_TEETH[0], _TEETH[24], 0.05005, 0.15015), *[_overlap(_TEETH[i], _TEETH[i + 1], 0.15015, 0.25035) for i in range(1, 24, 2)]]
+) + f" - {_overlap(_TEETH[3], _TEETH[20], 0.08005, 0.12005)}"
+
+
 def _report(rows: str, keys: str, order: str, lists: dict[str, str], where: str = "TRUE") -> str:
     texts = ", ".join(f"string_agg(coalesce(CAST({v} AS VARCHAR), '-'), ', ' ORDER BY pos) AS {k}" for k, v in lists.items())
     return f"""SELECT {keys}, page, CAST(count(*) AS INT) AS entries, {texts} FROM (
@@ -340,6 +352,7 @@ SELECT raw.o AS k,
   round(radians(minx)*6378137, 3) AS mx, round(ln(tan(pi()/4 + radians(miny)/2))*6378137, 3) + 0.0 AS my FROM places""",
     "area_of_box": _against(_BOX),
     "area_of_ell": _against(_ELL),
+    "area_of_comb": f"""WITH {_PLACES} SELECT place_id, round(CASE gtype WHEN 'POLYGON' THEN {_COMB} ELSE 0 END, 12) AS overlap FROM places""",
     "probe_area": f"""WITH {_PLACES} SELECT place_id, left(name, 30) AS name, gtype, {_BOX[0]} AS touches, round({_BOX[1]}, 12) AS overlap,
   CASE WHEN NOT {_BOX[0]} THEN 'GEOMETRYCOLLECTION' ELSE gtype END AS overlap_type,
   round(CASE gtype WHEN 'POLYGON' THEN (maxx-minx)*(maxy-miny) ELSE 0 END, 12) AS area FROM places""",
@@ -414,6 +427,13 @@ SELECT left(name, 30) AS name, place_id, rank_search, {_WEB} AS web, {_BROWSE} A
   string_agg(class, '_:_') OVER (PARTITION BY osm_type, osm_id ORDER BY place_id) AS classes,
   string_agg(type, '_:_') OVER (PARTITION BY osm_type, osm_id ORDER BY place_id) AS types FROM places)
 SELECT osm_type, osm_id, name, CAST(0 AS BIGINT) AS page, classes, types FROM ordered WHERE n = 1 AND name <> ''""",
+    "object_entries": f"""WITH {_PLACES} SELECT osm_type, osm_id, place_id, name, class, type, admin_level,
+  row_number() OVER (PARTITION BY osm_type, osm_id ORDER BY place_id) AS pos FROM places""",
+    "names_summary": f"""WITH {_PLACES} SELECT name, count(*) AS n, count(*) FILTER (WHERE wikipedia IS NOT NULL) AS with_page,
+  max(importance) FILTER (WHERE wikipedia IS NOT NULL) AS best, 'DOUBLE' AS kind FROM places GROUP BY name""",
+    "reference_systems": """SELECT CAST(p_partkey AS BIGINT) AS srid, 'UNIT["metre",1]' AS srtext FROM part WHERE p_partkey % 3 <> 0""",
+    "stored_elems": f"""WITH RECURSIVE {_elems()} SELECT popindex, CAST(0 AS BIGINT) AS page, name, supercat, subcat, gtype, osm_ids FROM elems""",
+    "simplify_peaks": "SELECT CAST(o_orderkey AS BIGINT) AS place_id, CAST(CASE WHEN o_orderkey%7 > 3.5 THEN 3 ELSE 2 END AS INT) AS points FROM orders",
     "rejected_wikipedia": f"""WITH {_PLACES} SELECT place_id, name, wikipedia, importance FROM places
 WHERE wikipedia IS NOT NULL AND ({_PAGE_TEST}) IS NULL AND importance IS NOT NULL""",
     "widest_rows": f"""WITH {_PLACES} SELECT place_id AS label, CAST(strlen(CAST(to_json({{'place_id': place_id, 'osm_type': osm_type,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,8 @@ from placeforge.functions.geometry import Area
 from placeforge.operators import category, cluster, kernels, lines, merge
 from placeforge.operators.ordered import position_in_group
 from placeforge.plans import audit, elems, serve, tags
-from placeforge.sources import category_tables, labels, snippets
+from placeforge.session import work_dir
+from placeforge.sources import category_tables, labels, snippets, tables
 
 BOX = Area([(6.20025, 0.05005), (6.60045, 0.05005), (6.60045, 0.25035), (6.20025, 0.25035)])
 # an L: the box above without its upper right part
@@ -19,6 +22,14 @@ ELL = Area([
     (6.20025, 0.05005), (6.60045, 0.05005), (6.60045, 0.15035), (6.40015, 0.15035), (6.40015, 0.25035),
     (6.20025, 0.25035),
 ])
+# a comb of twelve teeth with a slot in its back: 51 corners, and 4 of the hole
+_X = [6.20025 + 0.0166 * i for i in range(25)]
+COMB = Area(
+    [(_X[0], 0.05005), (_X[24], 0.05005)]
+    + [p for i in range(23, 0, -2) for p in ((_X[i + 1], 0.15015), (_X[i + 1], 0.25035), (_X[i], 0.25035), (_X[i], 0.15015))]
+    + [(_X[0], 0.15015)],
+    [[(_X[3], 0.08005), (_X[20], 0.08005), (_X[20], 0.12005), (_X[3], 0.12005)]],
+)
 AREA_DIGITS = 12
 
 
@@ -131,6 +142,11 @@ def area_of_ell(spark: SparkSession, sf: str) -> DataFrame:
     return _against(spark, sf, ELL)
 
 
+def area_of_comb(spark: SparkSession, sf: str) -> DataFrame:
+    """Overlap with an area that is far from convex and has a hole."""
+    return fixtures.places(spark, sf).select("place_id", _digits(geometry.intersection_area(_geom(), COMB)).alias("overlap"))
+
+
 def probe_area(spark: SparkSession, sf: str) -> DataFrame:
     found = serve.probe(fixtures.places(spark, sf), BOX)
     return found.withColumn("overlap", _digits(F.col("overlap"))).withColumn("area", _digits(F.col("area")))
@@ -169,6 +185,14 @@ def _zigzag(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.places(spark, sf).select("place_id", geometry.make_line(steps).alias("geometry"))
 
 
+def simplify_peaks(spark: SparkSession, sf: str) -> DataFrame:
+    """A line with one peak for each place; the peak stays where it is higher than the tolerance."""
+    high = (F.col("place_id") % 7).cast("double")
+    peak = geometry.make_line(F.array(*[geometry.point_xy(F.lit(x), y) for x, y in ((0.0, F.lit(0.0)), (50.0, high), (100.0, F.lit(0.0)))]))
+    rows = fixtures.places(spark, sf).select("place_id", peak.alias("geometry"))
+    return rows.select("place_id", geometry.num_points(kernels.simplify(_geom(), 3.5)).alias("points"))
+
+
 def simplify(spark: SparkSession, sf: str) -> DataFrame:
     return _zigzag(spark, sf).select(
         "place_id",
@@ -324,6 +348,15 @@ def build_elems(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stored_elems(spark: SparkSession, sf: str) -> DataFrame:
+    """The objects as written, checked and read back."""
+    path = f"{work_dir(spark)}/{spark.sparkContext.applicationId}/elems-{uuid.uuid4().hex}"
+    tables.write_elems(elems.build_elems(fixtures.places(spark, sf)), path)
+    stored = spark.read.parquet(path)
+    tables.check_elems(stored)
+    return stored.select("popindex", "page", "name", "supercat", "subcat", _geom()["gtype"].alias("gtype"), "osm_ids")
+
+
 def build_elems_other_modes(spark: SparkSession, sf: str) -> DataFrame:
     """The build with missing importances scored by rank, and the most important member's geometry."""
     options = elems.Options(null_importance="rank_only", geometry_pairing="as_documented")
@@ -390,30 +423,21 @@ def prepared_in_area(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- reports ----
 
-def _pages(report: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    def listed(value: str) -> Column:
-        texts = F.transform("items", lambda i: F.coalesce(i[value].cast("string"), F.lit("-")))
-        return F.array_join(texts, ", ").alias(value + "s")
-
-    lists = [listed(v) for v in values]
-    return report.select(*keys, "page", F.size("items").alias("entries"), *lists)
-
-
 def same_object_report(spark: SparkSession, sf: str) -> DataFrame:
-    return _pages(audit.same_object_report(fixtures.places(spark, sf)), ["osm_type", "osm_id"], ["name", "score"])
+    return audit.page_texts(audit.same_object_report(fixtures.places(spark, sf)), ["osm_type", "osm_id"], ["name", "score"])
 
 
 def same_wikipedia_report(spark: SparkSession, sf: str) -> DataFrame:
-    return _pages(audit.same_wikipedia_report(fixtures.places(spark, sf)), ["wikipedia"], ["name", "web"])
+    return audit.page_texts(audit.same_wikipedia_report(fixtures.places(spark, sf)), ["wikipedia"], ["name", "web"])
 
 
 def same_wikidata_report(spark: SparkSession, sf: str) -> DataFrame:
-    return _pages(audit.same_wikidata_report(fixtures.places(spark, sf)), ["wikidata"], ["name", "importance", "web"])
+    return audit.page_texts(audit.same_wikidata_report(fixtures.places(spark, sf)), ["wikidata"], ["name", "importance", "web"])
 
 
 def same_name_report(spark: SparkSession, sf: str) -> DataFrame:
     built = elems.build_elems(fixtures.places(spark, sf))
-    return _pages(audit.same_name_report(built), ["name"], ["popindex", "supercat", "subcat"])
+    return audit.page_texts(audit.same_name_report(built), ["name"], ["popindex", "supercat", "subcat"])
 
 
 def repeated_objects(spark: SparkSession, sf: str) -> DataFrame:
@@ -432,6 +456,21 @@ def classes_so_far(spark: SparkSession, sf: str) -> DataFrame:
     return audit.classes_so_far(fixtures.places(spark, sf))
 
 
+def object_entries(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.object_entries(fixtures.places(spark, sf))
+
+
+def names_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.names_summary(fixtures.places(spark, sf))
+
+
+def reference_systems(spark: SparkSession, sf: str) -> DataFrame:
+    """Systems in metres, of one made for each part."""
+    unit = F.when(F.col("p_partkey") % 3 == 0, 'UNIT["degree",0.0174]').otherwise('UNIT["metre",1]')
+    systems = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").cast("long").alias("srid"), unit.alias("srtext"))
+    return audit.reference_systems(systems, r'UNIT\["metre"')
+
+
 def rejected_wikipedia(spark: SparkSession, sf: str) -> DataFrame:
     return audit.rejected_wikipedia(fixtures.places(spark, sf))
 
@@ -531,13 +570,13 @@ QUERIES = {
     f.__name__: f
     for f in [
         to_importance, test_wikipedia, web_links, array_functions, unnest_pairs, meters_to_degrees,
-        geometry_measures, area_of_box, area_of_ell, probe_area, valid_geometries, simplify, text_formats,
+        geometry_measures, area_of_box, area_of_ell, area_of_comb, probe_area, valid_geometries, simplify, simplify_peaks, text_formats,
         category_of_places, pick_tag, category_lines, label_lines, interesting_keys,
         prepare, group_positions, merge_positions, merged_members, merge_same_entity,
         cluster_nearby, cluster_all_places, dedupe_nearby, cluster_members, merge_linestrings, replace_lines, pick_geometry,
-        build_elems, build_elems_other_modes, cluster_lists, object_lists, area_matches, query_area, prepared_in_area,
+        build_elems, stored_elems, build_elems_other_modes, cluster_lists, object_lists, area_matches, query_area, prepared_in_area,
         same_object_report, same_wikipedia_report, same_wikidata_report, same_name_report, repeated_objects,
-        ranks_by_name, first_of_object, classes_so_far, rejected_wikipedia, widest_rows, count_larger_than,
+        ranks_by_name, first_of_object, classes_so_far, object_entries, names_summary, reference_systems, rejected_wikipedia, widest_rows, count_larger_than,
         most_points, top_name, browse, place_details, names_matching, classify_tags, place_rows,
     ]
 }

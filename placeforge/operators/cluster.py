@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from placeforge.functions.geometry import POLYGONAL, mercator_x, mercator_y, segments
 from placeforge.functions.text import unaccent
 from placeforge.operators.components import connected_components
+from placeforge.operators.skew import with_groups
 from placeforge.session import durable
 
 DEFAULT_EPS = 100.0  # units of EPSG:3857: metres at the equator
@@ -331,7 +332,9 @@ def _links_inside(active: DataFrame, cells: DataFrame, side: float) -> list[Data
     shared = blocks.join(owners, key).select(F.col("place_id").alias("u"), F.col("rep").alias("v"))
     # a block may also lie in a longer one of another polygon; cells and blocks look upwards for both
     ups = F.array(*[F.lit(n) for n in levels])
-    probes = cells.select(
+    # only the rows of cells of a name that have a polygon over them can match
+    near = cells.join(blocks.select("nk", "cy").distinct(), ["nk", "cy"], "left_semi")
+    probes = near.select(
         F.col("rep").alias("u"), "nk", "cy", F.explode(F.transform(ups, lambda n: F.struct(n.alias("level")))).alias("p"), "cx"
     ).select("u", "nk", "cy", "p.level", F.call_function("shiftright", "cx", "p.level").alias("block"))
     higher = owners.select(
@@ -348,7 +351,9 @@ def nearby_components(objects: DataFrame, eps: float = DEFAULT_EPS) -> DataFrame
     """(node, component) of the objects (``place_id, nk, geometry``) linked to another of the same ``nk``."""
     side = eps * _SIDE
     shared = objects.groupBy("nk").agg(F.count("*").alias("n")).filter("n > 1")
-    active = durable(objects.join(shared, "nk", "left_semi"), "active")
+    shared = durable(shared, "names")
+    in_names = with_groups(objects, shared, ["nk"], "n", shared.agg(F.sum("n")).first()[0] or 0, F.col("place_id"))
+    active = durable(in_names.filter("n is not null").drop("n"), "active")
     lines = _mercator_segments(active)
     whole = lines.select("*", *[F.col(line).alias(cut) for line, cut in zip(_LINE, _CUT)])
     pieces = durable(_cut_to_cells(whole, side), "pieces")

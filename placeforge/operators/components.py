@@ -9,22 +9,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placeforge.operators.skew import with_groups
 from placeforge.session import durable
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(rows: DataFrame, total: int) -> DataFrame:
+    """Rows (u, v) with ``m``, the smallest v of their u or u itself; a node with most of the rows is no bottleneck."""
+    least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_n"))
+    return with_groups(rows, least, ["u"], "_n", total, F.col("v")).select("u", "v", F.least("u", "m").alias("m"))
+
+
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Every node hands its smallest neighbour to its larger neighbours."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
+    met = _with_least(both, 2 * total).filter("v > u")
+    return met.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """Every node hands its smallest neighbour to itself and to its smaller neighbours."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    rest = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
-    return rest.union(least.select("u", F.col("m").alias("v"))).distinct()
+    met = _with_least(down, total)
+    rest = met.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
+    return rest.union(met.select("u", F.col("m").alias("v"))).distinct()
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -44,7 +51,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
     before = _state(current)
     while before[0]:
-        current = durable(_small_star(_large_star(current)), "edges")
+        current = durable(_small_star(_large_star(current, before[0]), before[0]), "edges")
         after = _state(current)
         if after == before:
             break

@@ -9,6 +9,8 @@ from placeforge.functions.geometry import num_points
 from placeforge.functions.scoring import browse_score
 from placeforge.functions.text import test_wikipedia, to_web
 from placeforge.operators.ordered import list_pages, position_in_group
+from placeforge.operators.skew import with_groups
+from placeforge.session import durable
 
 
 def place_name() -> Column:
@@ -19,13 +21,15 @@ def score() -> Column:
     return browse_score(F.col("importance"), F.col("rank_search"), fill=False)
 
 
-def in_repeated_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose group has more than one row, with the group size ``n``.
+def in_repeated_groups(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Rows whose group has more than one row, with the group size ``n``; rows with a null key have no group.
 
-    Sizes come from partial counts; the rows of a large group are not brought together.
+    ``order`` tells the rows of a group apart. Sizes come from partial counts; the rows of a large group are not
+    brought together.
     """
-    repeated = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
-    return rows.join(repeated, keys)
+    repeated = durable(repeated_keys(rows, keys), "repeated")
+    total = repeated.agg(F.sum("n")).first()[0] or 0
+    return with_groups(rows, repeated, keys, "n", total, F.struct(*order)).filter("n is not null")
 
 
 def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -35,7 +39,17 @@ def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def duplicates_report(rows: DataFrame, keys: list[str], order: list[Column], values: list[str]) -> DataFrame:
     """One row per repeated key and page of its list: ``keys, page, items`` (see ``list_pages``)."""
-    return list_pages(in_repeated_groups(rows, keys), keys, order, values)
+    return list_pages(in_repeated_groups(rows, keys, order), keys, order, values)
+
+
+def page_texts(report: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """A report's pages with the number of entries and each value's entries as one text, missing ones as ``-``."""
+
+    def listed(value: str) -> Column:
+        texts = F.transform("items", lambda i: F.coalesce(i[value].cast("string"), F.lit("-")))
+        return F.array_join(texts, ", ").alias(value + "s")
+
+    return report.select(*keys, "page", F.size("items").alias("entries"), *[listed(v) for v in values])
 
 
 def _described(places: DataFrame) -> DataFrame:
@@ -125,6 +139,25 @@ def classes_so_far(places: DataFrame) -> DataFrame:
     )
 
 
+def object_entries(places: DataFrame) -> DataFrame:
+    """The rows of every OSM object in order: osm_type, osm_id, pos, name, class, type, admin_level.
+
+    The long form of lists over an object's rows: its whole lists are all its entries, and the running lists of a row are
+    the entries up to the row's own.
+    """
+    rows = places.select("osm_type", "osm_id", "place_id", place_name().alias("name"), "class", "type", "admin_level")
+    return position_in_group(rows, ["osm_type", "osm_id"], [F.col("place_id")])
+
+
+def names_summary(places: DataFrame) -> DataFrame:
+    """Per name: its rows, those with a page, the best importance among these and the type that it has."""
+    paged = F.col("wikipedia").isNotNull()
+    best = F.max(F.when(paged, F.col("importance")))
+    return places.groupBy(place_name().alias("name")).agg(
+        F.count("*").alias("n"), F.count_if(paged).alias("with_page"), best.alias("best"), F.upper(F.typeof(best)).alias("kind")
+    )
+
+
 def rejected_wikipedia(places: DataFrame) -> DataFrame:
     """Places whose wikipedia page does not hold their name, though they have an importance."""
     rows = places.filter(F.col("wikipedia").isNotNull() & F.col("importance").isNotNull()).filter(
