@@ -29,6 +29,7 @@ def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
 
     met = rows.join(F.broadcast(side(heavy, "h")), same("h"), "left")
     place = F.when(F.col(f"_h_{size}").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(unique), F.lit(SPREAD)).cast("int") + 1)
-    light = side(~heavy, "l").withColumn("_at", F.lit(0))
+    # always 0, but not a constant to the optimizer, which would take it out of the join's keys
+    light = side(~heavy, "l").withColumn("_at", F.pmod(F.xxhash64(*[f"_l_{k}" for k in keys]), F.lit(1)).cast("int"))
     met = met.withColumn("_place", place).join(light, same("l") & (F.col("_place") == F.col("_at")), "left")
     return met.select(*rows.columns, *[F.coalesce(f"_h_{c}", f"_l_{c}").alias(c) for c in facts])
