@@ -328,8 +328,8 @@ def _links_inside(active: DataFrame, cells: DataFrame, side: float) -> list[Data
     if not levels:
         return []
     key = ["nk", "cy", "level", "block"]
-    owners = blocks.groupBy(*key).agg(F.min("place_id").alias("rep"))
-    shared = blocks.join(owners, key).select(F.col("place_id").alias("u"), F.col("rep").alias("v"))
+    owners = blocks.groupBy(*key).agg(F.min("place_id").alias("rep"), F.count("*").alias("n"))
+    shared = with_groups(blocks, owners, key, "n", blocks.count(), F.col("place_id")).select(F.col("place_id").alias("u"), F.col("rep").alias("v"))
     # a block may also lie in a longer one of another polygon; cells and blocks look upwards for both
     ups = F.array(*[F.lit(n) for n in levels])
     # only the rows of cells of a name that have a polygon over them can match
@@ -358,7 +358,8 @@ def nearby_components(objects: DataFrame, eps: float = DEFAULT_EPS) -> DataFrame
     whole = lines.select("*", *[F.col(line).alias(cut) for line, cut in zip(_LINE, _CUT)])
     pieces = durable(_cut_to_cells(whole, side), "pieces")
     cells = durable(_boxes(pieces, _CELL), "cells")
-    in_cell = pieces.select(*_CELL, "place_id").distinct().join(cells.select(*_CELL, "rep"), _CELL)
+    members = pieces.select(*_CELL, "place_id").distinct()
+    in_cell = with_groups(members, cells.select(*_CELL, "rep", "n"), _CELL, "n", pieces.count(), F.col("place_id"))
     stars = in_cell.select(F.col("place_id").alias("u"), F.col("rep").alias("v"))
     pairs = _near_cells(_neighbours(cells), eps)
     linked = pairs.filter("linked").select(F.col("l.rep").alias("u"), F.col("r.rep").alias("v"))

@@ -170,11 +170,14 @@ def _ids_of_equal_geometry(rows: DataFrame, won: DataFrame) -> DataFrame:
         ),
     )
     members = in_shared_groups(rows.select("place_id", "id", "wikidata", "wikipedia", "imp_order", "digest"))
-    members = members.filter(F.col("kind") < SAME_WIKIPEDIA).select("kind", "key", "digest", "o", "place_id", "id")
+    # the first row of each geometry of a group; combined before the rows meet, so a large group is no bottleneck
+    firsts = members.filter(F.col("kind") < SAME_WIKIPEDIA).groupBy("kind", "key", "digest").agg(
+        F.min(F.struct("o", "place_id", "id")).alias("f")
+    )
     return (
-        late.join(members, ["kind", "key", "digest"])
+        late.join(firsts, ["kind", "key", "digest"])
         .groupBy(F.col("survivor").alias("place_id"))
-        .agg(F.min(F.struct("kind", "o", F.col("place_id").alias("p"), "id"))["id"].alias("earlier_id"))
+        .agg(F.min(F.struct("kind", "f"))["f"]["id"].alias("earlier_id"))
     )
 
 

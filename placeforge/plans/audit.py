@@ -86,9 +86,10 @@ def same_name_report(elems: DataFrame) -> DataFrame:
 def ranks_by_name(elems: DataFrame) -> DataFrame:
     """Every object with the best rank of its name and its place among the objects of that name."""
     objects = elems.filter("page = 0")
-    best = objects.groupBy("name").agg(F.min("popindex").alias("best"))
+    best = durable(objects.groupBy("name").agg(F.min("popindex").alias("best"), F.count("*").alias("n")), "best")
     placed = position_in_group(objects.select("name", "popindex"), ["name"], [F.col("popindex")], "nth")
-    return placed.join(best, "name").select(
+    total = best.agg(F.sum("n")).first()[0] or 0
+    return with_groups(placed, best, ["name"], "n", total, F.col("popindex")).select(
         F.left("name", F.lit(30)).alias("name"), "popindex", "nth", "best", (F.col("popindex") == F.col("best")).alias("is_best")
     )
 
@@ -127,10 +128,12 @@ def classes_so_far(places: DataFrame) -> DataFrame:
     """
     rows = places.select("osm_type", "osm_id", "place_id", "class", "type", place_name().alias("name"), score().alias("score"))
     firsts = rows.groupBy("osm_type", "osm_id").agg(
-        F.min(F.struct(F.col("score").isNull().alias("none"), "score", "place_id", "name")).alias("f")
+        F.min(F.struct(F.col("score").isNull().alias("none"), "score", "place_id", "name")).alias("f"), F.count("*").alias("n")
     ).filter(F.col("f.name") != "")
-    ends = firsts.select("osm_type", "osm_id", F.col("f.place_id").alias("last"), F.col("f.name").alias("name"))
-    upto = rows.drop("name").join(ends, ["osm_type", "osm_id"]).filter(F.col("place_id") <= F.col("last"))
+    ends = durable(firsts.select("osm_type", "osm_id", F.col("f.place_id").alias("last"), F.col("f.name").alias("name"), "n"), "ends")
+    total = ends.agg(F.sum("n")).first()[0] or 0
+    upto = with_groups(rows.drop("name"), ends, ["osm_type", "osm_id"], "n", total, F.col("place_id"))
+    upto = upto.filter(F.col("place_id") <= F.col("last")).drop("n")
     listed = list_pages(upto, ["osm_type", "osm_id", "name"], [F.col("place_id")], ["class", "type"])
     return listed.select(
         "osm_type", "osm_id", "name", "page",
