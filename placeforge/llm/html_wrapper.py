@@ -62,6 +62,9 @@ NAMES = frozenset(
     "pager search widget skip copyright toolbar form hidden disclaimer".split()
 )
 CONTENT = frozenset("article content story post entry main".split())
+# words that make such a name one of the page's layout, as in "has-sidebar"
+LAYOUT = frozenset("has with no without open closed enabled layout".split())
+WRAPS = frozenset("wrap wrapper container".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[a-zA-Z/!?][^>]*(?:>|\Z)|(?P<text>[^<]+|<)", re.DOTALL
@@ -83,14 +86,22 @@ def _label(name: str, rest: str) -> str:
     return label + (f"@{role}" if role else "") + ("!" if hidden else "")
 
 
+def _names_furniture(name: str) -> bool:
+    words = {w.lower() for w in _WORD.findall(name)}
+    around_all = bool(words & LAYOUT) or bool(words & {"content", "main"} and words & WRAPS)
+    return bool(words & NAMES) and not around_all
+
+
 @lru_cache(maxsize=20_000)
 def _is_furniture(label: str, inside: bool) -> bool:
     """By the element's names alone; a header inside an article is its head and stays."""
     bare, _, role = label.rstrip("!").partition("@")
     name, *names = bare.split(".")
+    if name in ("html", "body"):
+        return False
     words = {w.lower() for n in names for w in _WORD.findall(n)}
     header = (name == "header" or "header" in words) and not inside and not words & CONTENT
-    return label.endswith("!") or name in FURNITURE or role in ROLES or bool(words & NAMES) or header
+    return label.endswith("!") or name in FURNITURE or role in ROLES or any(map(_names_furniture, names)) or header
 
 
 @lru_cache(maxsize=20_000)

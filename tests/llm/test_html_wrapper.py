@@ -10,9 +10,9 @@ def pages(spark, rows):
 
 
 def rich(i):
-    return f"""<!doctype html><html><head><title>T{i}</title></head><body class="home"><header class="site"><h2>My Site</h2></header>
+    return f"""<!doctype html><html><head><title>T{i}</title></head><body class="home has-sidebar comments-open"><header class="site"><h2>My Site</h2></header>
 <div id="cookie-banner">We use cookies</div><div class="breadcrumb"><a href="/">Home</a> &gt; <a>News</a></div>
-<div class="wrap"><div class="sidebar"><ul><li><a>x{i}</a><li><a>y</a></ul></div><main><article id="post-{i}">
+<div class="content-sidebar-wrap no-comments"><div class="sidebar"><ul><li><a>x{i}</a><li><a>y</a></ul></div><main><article id="post-{i}">
 <header><h1>Head line&nbsp;{i}</h1></header><p>First <b>bold{i}</b> text<br>next   line. &lt;tag&gt; &#8364;5<div class="ad-slot">BUY{i}</div>
 <h2>Sub{i}</h2><ul><li>one{i}<li>two</ul><table><tr><td>a{i}<td>b</table><aside>aside{i}</aside>
 <form><input name=q><button>Go</button>Search</form><section class="comments"><h3>Comments</h3><div class="comment">nice {i}</div></section>
