@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeforge.operators.skew import with_groups
-from placeforge.session import durable
+from placeforge.session import durable, forget
 
 
 def _with_least(rows: DataFrame, total: int) -> DataFrame:
@@ -51,7 +51,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
     before = _state(current)
     while before[0]:
-        current = durable(_small_star(_large_star(current, before[0]), before[0]), "edges")
+        previous, current = current, durable(_small_star(_large_star(current, before[0]), before[0]), "edges")
+        forget(previous)
         after = _state(current)
         if after == before:
             break

@@ -36,10 +36,21 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._work_path = path
+    return table
+
+
+def forget(table: DataFrame) -> None:
+    """Removes a table that ``durable`` gave and that nothing reads any more."""
+    _remove(table.sparkSession, table._work_path)
 
 
 def clear_work(spark: SparkSession) -> None:
     """Removes the intermediate tables of this application; results read from them must be written first."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{work_dir(spark)}/{spark.sparkContext.applicationId}")
+    _remove(spark, f"{work_dir(spark)}/{spark.sparkContext.applicationId}")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
