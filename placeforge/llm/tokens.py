@@ -73,7 +73,8 @@ def _encode_words(words: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
     where = np.flatnonzero(plain)
     tokenize = tokenizer.model.tokenize
     # letters only: one pre-token, so the model is asked without the steps before it
-    each = [[t.id for t in tokenize(texts[i].encode().decode("latin-1").translate(BYTE_SIGNS))] for i in where.tolist()]
+    shown = lambda w: w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_SIGNS)
+    each = [[t.id for t in tokenize(shown(texts[i]))] for i in where.tolist()]
     add(where, np.fromiter((i for e in each for i in e), np.int32), np.fromiter(map(len, each), np.int64, len(each)))
     simple = len(mark) == 1
     where = np.flatnonzero(~plain & ~odd) if simple else np.zeros(0, np.int64)
@@ -91,10 +92,10 @@ def _encode_words(words: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
 def _two_parts(words: pa.Array) -> tuple[pa.Array, pa.Array]:
     """Each word as (body, ending); the ending is empty unless it surely is a token of its own."""
     body = pc.utf8_rtrim(words, characters=ENDINGS)
-    apart = pc.and_(pc.match_substring_regex(body, r"[\p{L}\p{N}]$"), pc.less(pc.binary_length(body), pc.binary_length(words)))
-    cut = np.where(apart.to_numpy(zero_copy_only=False), pc.utf8_length(body).to_numpy(), np.iinfo(np.int32).max)
-    ends = [w[c:] if c < len(w) else "" for w, c in zip(words.to_pylist(), cut.tolist(), strict=True)]
-    return pc.if_else(apart, body, words), pa.array(ends, pa.string())
+    apart = pc.and_(pc.less(pc.binary_length(body), pc.binary_length(words)), pc.match_substring_regex(body, r"[\p{L}\p{N}]$"))
+    some, cut = words.filter(apart).cast(pa.binary()).to_pylist(), pc.binary_length(body.filter(apart)).to_pylist()
+    ends = pa.array([w[c:].decode() for w, c in zip(some, cut, strict=True)], pa.string())
+    return pc.if_else(apart, body, words), pc.replace_with_mask(pa.array([""] * len(words), pa.string()), apart, ends)
 
 
 def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
