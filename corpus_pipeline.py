@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from placeforge.llm import decontaminate, exact_dedup, language, ngram_join, packing
 from placeforge.llm.rows import by_row, new_folder, numbered, remove, without
 
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 0.25  # texts of two or three languages stay
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter, and those of which no language has the better half."""
+    """Drops documents without a letter, and those of which no language has a sure quarter."""
     model = language.fit(docs)
     whole = docs.select(F.struct("*").alias("_doc"), F.col("text"))
     found = language.predict(whole, model, keys=("_doc",))
