@@ -6,8 +6,9 @@ becomes optional, what repeats in one becomes repeated. Each slot of the wrapper
 (pages, characters, characters in links, whether its text is always the same). From these, and from the names that
 the wrapper's elements have, it is decided which slots are article and which are page furniture.
 
-A large host does not meet in a task: pages of like structure are folded to one row by a partial aggregate, the
-different structures are aligned in salted groups first, and then the groups' wrappers with each other.
+A large host does not meet in a task: pages of like structure are folded to one row by a partial aggregate, and the
+different structures are aligned level by level: in salted groups of about ``GROUP``, then the groups' wrappers likewise,
+until a host has few enough for one group. The number of levels grows with the logarithm of the host.
 
 Nulls: a null html is empty and gives an empty text; a null url is a host of its own; null ids are kept. Repeated rows give
 a row each. An empty table gives no rows. Other columns are ignored.
@@ -31,7 +32,8 @@ from placeforge.llm.skew import with_groups
 from placeforge.llm.words import slices
 from placeforge.session import durable
 
-SALTS = 16
+SALTS = 16  # groups of a host on the last level but one
+GROUP = 256  # expressions that meet in a group on the levels before
 LONGEST_GROUP = 6  # elements in a repeated group
 DEEPEST = 100  # elements nested deeper count as their ancestor at this depth
 LINKED = 0.6  # a slot with this part of its characters in links is a menu
@@ -325,11 +327,24 @@ def _folded(rows: DataFrame, keys: list[str], combine: Callable[[list, list], li
     return dealt.mapInArrow(merge, "host string, expression string")
 
 
+def levels(most: int) -> list[int]:
+    """Groups per host on each level, for at most so many expressions of a host."""
+    found = []
+    while (most := -(-most // GROUP)) > SALTS:
+        found.append(most)
+    return [*found, SALTS]
+
+
 def infer_wrappers(found: DataFrame) -> DataFrame:
     """(host, pages, expression, slots) from ``structures``; slots are (path, pages, chars, linked, one_text)."""
-    different = found.groupBy("host", "expression").agg(F.count("*").alias("n"))
-    salted = different.withColumn("salt", F.pmod(F.xxhash64("expression"), F.lit(SALTS)).cast("string"))
-    wrappers = _folded(_folded(salted, ["host", "salt"], align), ["host"], align)
+    rows = durable(found.select("host", "expression").distinct(), "expressions")
+    most = rows.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    for groups in levels(most):
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("expression"), F.lit(groups)).cast("string"))
+        rows = _folded(salted, ["host", "salt"], align)
+        if groups > SALTS:
+            rows = durable(rows, "level")
+    wrappers = _folded(rows, ["host"], align)
     one = found.select("host", F.explode("slots").alias("s")).select("host", "s.*")
     slots = one.groupBy("host", "path").agg(
         F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), (F.min("hash") == F.max("hash")).alias("one_text")

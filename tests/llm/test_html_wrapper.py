@@ -71,3 +71,17 @@ def test_wrappers_do_not_depend_on_salting(spark, monkeypatch):
         found = html_wrapper.decided(html_wrapper.infer_wrappers(html_wrapper.structures(rows))).first()
         slots.append(dict(zip(found.paths, found.regions, strict=True)))
     assert slots[0] == slots[1] and found.pages == 30
+
+
+def test_large_hosts_are_folded_level_by_level(spark, monkeypatch):
+    assert html_wrapper.levels(0) == html_wrapper.levels(4096) == [16] and html_wrapper.levels(256**3) == [256**2, 256, 16]
+    kinds = [f"<div class=c{chr(97 + i % 26)}{chr(97 + i // 26)}><p>x{i}</p></div><article><p>y</p></article>" for i in range(60)]
+    rows = spark.createDataFrame([("x", k) for k in kinds], "host string, html string")
+    found = html_wrapper.structures(rows)
+    whole = html_wrapper.infer_wrappers(found).first()
+    monkeypatch.setattr(html_wrapper, "GROUP", 4)
+    monkeypatch.setattr(html_wrapper, "SALTS", 2)
+    assert html_wrapper.levels(60) == [15, 4, 2]
+    by_level = html_wrapper.infer_wrappers(found).first()
+    slots = [sorted(html_wrapper.slots_of(html_wrapper.json.loads(w.expression))) for w in (whole, by_level)]
+    assert slots[0] == slots[1] and len(slots[0]) == 61
