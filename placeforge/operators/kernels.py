@@ -147,13 +147,17 @@ def _cross_or_overlap(r: Ring, s: Ring) -> bool:
 def _locate(ring: Ring, pts: np.ndarray) -> np.ndarray:
     """1 inside, 0 on the ring, -1 outside."""
     a, b = _steps(ring)
+    lo, hi = np.minimum(a, b), np.maximum(a, b)
     found = np.empty(len(pts), int)
-    for k, p in enumerate(pts):
+    step = max(1, _PAIRS_AT_ONCE // max(1, len(a)))
+    for at in range(0, len(pts), step):
+        p = pts[at : at + step, None]
         side = _cross(a, b, p)
-        on = (side == 0) & (np.minimum(a, b) <= p).all(axis=1) & (p <= np.maximum(a, b)).all(axis=1)
-        straddles = (a[:, 1] > p[1]) != (b[:, 1] > p[1])
+        on = (side == 0) & (lo <= p).all(axis=2) & (p <= hi).all(axis=2)
+        straddles = (a[:, 1] > p[..., 1]) != (b[:, 1] > p[..., 1])
         right = np.where(b[:, 1] > a[:, 1], side > 0, side < 0)
-        found[k] = 0 if on.any() else (1 if (straddles & right).sum() % 2 else -1)
+        inside = (straddles & right).sum(axis=1) % 2 == 1
+        found[at : at + step] = np.where(on.any(axis=1), 0, np.where(inside, 1, -1))
     return found
 
 
