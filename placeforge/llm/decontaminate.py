@@ -1,12 +1,13 @@
-"""Benchmark items in documents, also with other numbers, names and units, by template windows.
+"""Benchmark items in documents, as they are and with other numbers, names and units, by windows of words.
 
-Words lose the signs around them and their case. Numbers, units after numbers and names (a capital inside a sentence) become
-typed placeholders. Windows of ``WINDOW`` template words of items and documents meet by hash; windows on one diagonal (place
-in the document less place in the item) must fill the item's slots consistently: each filler of the item stands for one
-filler of the document. A document holds an item if the consistent windows cover half of it, or ``LONG`` of its words.
+Words lose the signs around them and their case. Windows of ``WINDOW`` words of items and documents meet by hash, in two kinds.
+A literal window holds the words as they are. In a template window numbers, units after numbers and names (a capital inside a
+sentence) are typed placeholders; windows on one diagonal (place in the document less place in the item) must fill the item's slots
+consistently: each filler of the item stands for one filler of the document. A document holds an item if the literal
+and the consistent windows cover half of it, or ``LONG`` of its words.
 
-An item of fewer words than a window is one window of its own length. A window needs ``LEAST_PLAIN`` words that are
-no placeholders, or half of its words if it is short, to count.
+An item of fewer words than a window is one window of its own length. A template window needs ``LEAST_PLAIN`` words that are
+no placeholders, or half of its words if it is short, to count; a literal one counts whatever its words are.
 
 Nulls: a null text is empty and holds nothing, as does an empty item; null ids are kept, and rows with one id count as one
 document (or item). Repeated rows so change nothing. Empty tables give no rows. Other columns are ignored.
@@ -33,6 +34,7 @@ SHARE = 0.5
 BROADCAST_WINDOWS = 300_000  # item windows are broadcast up to this number of rows, and joined by shuffle beyond
 TABLE_BITS = 24
 BREAK = "\x02"
+TEMPLATE, LITERAL = 0, 1 << 32  # kinds of windows, as their hashes start
 NUMBER, UNIT, NAME = (np.uint64(k) for k in (0x51ED270B7F2B6A01, 0x7A3C9D1E5B8F4C03, 0x1D8E4E27C47D1205))
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -45,8 +47,8 @@ UNITS = frozenset(
 )
 
 
-def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(template words per text, hash of each, filler of each: 0 for a plain word) of an array without nulls."""
+def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(template words per text, hash of each, filler of each: 0 for a plain word, hash of the word itself) of an array without nulls."""
     counts, codes, words = split_words(pc.replace_substring(texts, "\n", f" {BREAK} "))
     core = pc.replace_substring_regex(words, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
     lower = pc.utf8_lower(core)
@@ -74,67 +76,80 @@ def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     is_name = capital[codes] & ~opens & ~is_unit
     symbol = np.where(is_number, NUMBER, np.where(is_unit, UNIT, np.where(is_name, NAME, hashed[codes])))
     filler = np.where(is_number | is_unit | is_name, hashed[codes], np.uint64(0))
-    return np.bincount(row, minlength=len(counts)).astype(np.int64), symbol, filler
+    return np.bincount(row, minlength=len(counts)).astype(np.int64), symbol, filler, hashed[codes]
 
 
-def _windows(counts: np.ndarray, symbol: np.ndarray, filler: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first place, hash) of every window of ``n`` words inside a text that has enough plain words."""
-    if len(symbol) < n:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def _hashes(symbol: np.ndarray, n: int, kind: int) -> np.ndarray:
+    """Hash of every window of ``n`` of at least as many symbols."""
     last = len(symbol) - n + 1
-    value = np.full(last, n, np.uint64)
+    value = np.full(last, n + kind, np.uint64)
     for k in range(n):
         value = (value ^ symbol[k : k + last]) * _PRIME
         value ^= value >> np.uint64(31)
+    return value
+
+
+def _windows(counts: np.ndarray, symbol: np.ndarray, filler: np.ndarray, raw: np.ndarray, n: int) -> list[tuple[int, np.ndarray, np.ndarray, bool]]:
+    """(n, first places, hashes, whether literal) of the windows of ``n`` words inside a text: all literal ones, and the
+    template ones with a slot and enough plain words. Without a slot both kinds would be the same."""
+    if len(symbol) < n:
+        return []
+    last = len(symbol) - n + 1
     row = np.repeat(np.arange(len(counts)), counts)
     plain = np.concatenate([[0], np.cumsum(filler == 0)])
-    whole = (row[:last] == row[n - 1 :]) & (plain[n:] - plain[:-n] >= min(LEAST_PLAIN, -(-n // 2)))
-    return np.flatnonzero(whole), value[whole]
+    inside, many = row[:last] == row[n - 1 :], plain[n:] - plain[:-n]
+    slotted = inside & (many < n) & (many >= min(LEAST_PLAIN, -(-n // 2)))
+    return [
+        (n, np.flatnonzero(inside), _hashes(raw, n, LITERAL)[inside], True),
+        (n, np.flatnonzero(slotted), _hashes(symbol, n, TEMPLATE)[slotted], False),
+    ]
 
 
-WINDOWS = "id long, length long, hash array<long>, place array<int>, n array<int>, fillers array<array<long>>"
+WINDOWS = "id long, length long, hash array<long>, place array<int>, n array<int>, slots array<array<int>>, fillers array<array<long>>"
 
 
 def _window_rows(ids: pa.Array, counts: np.ndarray, filler: np.ndarray, found: list[tuple]) -> pa.RecordBatch:
-    """A row for each text with a window; ``found`` are (n, first places, hashes)."""
-    n = np.concatenate([np.full(len(p), k, np.int32) for k, p, _ in found] or [np.zeros(0, np.int32)])
-    place = np.concatenate([p for _, p, _ in found] or [np.zeros(0, np.int64)])
-    value = np.concatenate([h for _, _, h in found] or [np.zeros(0, np.uint64)])
+    """A row for each text with a window; ``found`` are (n, first places, hashes, whether literal). A literal window has no fillers."""
+    n = np.concatenate([np.full(len(p), k, np.int32) for k, p, _, _ in found] or [np.zeros(0, np.int32)])
+    place = np.concatenate([p for _, p, _, _ in found] or [np.zeros(0, np.int64)])
+    value = np.concatenate([h for _, _, h, _ in found] or [np.zeros(0, np.uint64)])
+    literal = np.concatenate([np.full(len(p), x) for _, p, _, x in found] or [np.zeros(0, bool)])
     at = bounds(counts)
     row = np.searchsorted(at, place, side="right") - 1
     order = np.lexsort((place, row))
-    n, place, value, row = n[order], place[order], value[order], row[order]
+    n, place, value, row, literal = n[order], place[order], value[order], row[order], literal[order]
     slots = np.concatenate([[0], np.cumsum(filler != 0)])
     of_slot = filler[filler != 0].view(np.int64)
-    begin, many = slots[place], slots[place + n] - slots[place]
-    inner = pa.ListArray.from_arrays(pa.array(bounds(many), pa.int32()), pa.array(of_slot[np.arange(many.sum()) + np.repeat(begin - bounds(many)[:-1], many)]))
+    where = (np.arange(len(filler)) - np.repeat(at[:-1], counts))[filler != 0].astype(np.int32)
+    begin, many = slots[place], np.where(literal, 0, slots[place + n] - slots[place])
+    taken = np.arange(many.sum()) + np.repeat(begin - bounds(many)[:-1], many)
+    inner = [pa.ListArray.from_arrays(pa.array(bounds(many), pa.int32()), pa.array(x[taken])) for x in (where, of_slot)]
     rows, per_row = np.unique(row, return_counts=True)
     offsets = pa.array(bounds(per_row), pa.int32())
-    lists = [pa.array(value.view(np.int64)), pa.array((place - at[row]).astype(np.int32)), pa.array(n), inner]
+    lists = [pa.array(value.view(np.int64)), pa.array((place - at[row]).astype(np.int32)), pa.array(n), *inner]
     return pa.RecordBatch.from_arrays(
         [ids.take(pa.array(rows)), pa.array(counts[rows]), *(pa.ListArray.from_arrays(offsets, x) for x in lists)],
-        ["id", "length", "hash", "place", "n", "fillers"],
+        ["id", "length", "hash", "place", "n", "slots", "fillers"],
     )
 
 
 def _exploded(rows: DataFrame) -> DataFrame:
-    one = rows.select("id", "length", F.explode(F.arrays_zip("hash", "place", "n", "fillers")).alias("w"))
-    return one.select("id", "length", "w.hash", "w.place", "w.n", "w.fillers")
+    one = rows.select("id", "length", F.explode(F.arrays_zip("hash", "place", "n", "slots", "fillers")).alias("w"))
+    return one.select("id", "length", "w.hash", "w.place", "w.n", "w.slots", "w.fillers")
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(id, length, hash, place, n, fillers) of all windows of the rows (id, text), written."""
+    """(id, length, hash, place, n, slots, fillers) of all windows of the rows (id, text), written."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in slices(batches):
-            counts, symbol, filler = template(texts)
-            found = [(window, *_windows(counts, symbol, filler, window))]
+            counts, symbol, filler, raw = template(texts)
+            found = _windows(counts, symbol, filler, raw, window)
             at = bounds(counts)
-            for n in sorted(set(counts[(counts > 0) & (counts < window)].tolist())):
-                place, value = _windows(counts, symbol, filler, n)
-                row = np.searchsorted(at, place, side="right") - 1
-                own = counts[row] == n
-                found.append((n, place[own], value[own]))
+            for k in sorted(set(counts[(counts > 0) & (counts < window)].tolist())):
+                for n, place, value, literal in _windows(counts, symbol, filler, raw, k):
+                    own = counts[np.searchsorted(at, place, side="right") - 1] == n
+                    found.append((n, place[own], value[own], literal))
             yield _window_rows(rows.column(0), counts, filler, found)
 
     return durable(_exploded(items.select("id", "text").mapInArrow(cut, WINDOWS)), "item_windows")
@@ -153,13 +168,13 @@ def document_windows(docs: DataFrame, windows: DataFrame, window: int = WINDOW)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in slices(batches):
-            counts, symbol, filler = template(texts)
+            counts, symbol, filler, raw = template(texts)
             found = []
-            for n in lengths:
-                place, value = _windows(counts, symbol, filler, n)
-                b = (value & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
-                hit = (bits[b >> 3] >> (b & 7)) & 1 == 1
-                found.append((n, place[hit], value[hit]))
+            for k in lengths:
+                for n, place, value, literal in _windows(counts, symbol, filler, raw, k):
+                    b = (value & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
+                    hit = (bits[b >> 3] >> (b & 7)) & 1 == 1
+                    found.append((n, place[hit], value[hit], literal))
             yield _window_rows(rows.column(0), counts, filler, found)
 
     return _exploded(docs.select("id", "text").mapInArrow(cut, WINDOWS))

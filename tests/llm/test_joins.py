@@ -91,3 +91,11 @@ def test_decontamination_finds_items_and_their_variants(spark, monkeypatch, smal
 def test_decontamination_of_empty_tables(spark):
     assert decontaminate.contaminated(documents(spark, []), items(spark, QUESTION)).count() == 0
     assert decontaminate.contaminated(documents(spark, odd_texts()), items(spark)).count() == 0
+
+
+def test_decontamination_finds_literal_copies_of_names_and_slots(spark):
+    slots = "On 5 May 1931 Ada Byron met Karl Weber 12 km from Bern Switzerland 40 years after 1891 while 300 men 20 tons"
+    texts = [QUESTION.lower(), QUESTION.upper(), words(1, 9) + " " + slots + " " + words(2, 9), "so 5 7 9, then", "5 7 8", words(3, 40)]
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(documents(spark, texts), items(spark, QUESTION, slots, "5 7 9")).collect()}
+    assert set(found) == {(0, 0), (1, 0), (2, 1), (3, 2)}
+    assert all(r.coverage == 1 and r.changed_slots == 0 for r in found.values())
