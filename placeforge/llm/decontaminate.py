@@ -3,7 +3,9 @@
 Words lose the signs around them and their case. Windows of ``WINDOW`` words of items and documents meet by hash, in two kinds.
 A literal window holds the words as they are. In a template window numbers, units after numbers and names (a capital inside a
 sentence) are typed placeholders; windows on one diagonal (place in the document less place in the item) must fill the item's slots
-consistently: each filler of the item stands for one filler of the document. A document holds an item if the literal
+consistently: each filler of the item stands for one filler of the document. If it meets several, it stands for the one at most
+of its places, of equals for itself; windows that say otherwise do not count. If neither decides, no template window with this
+filler counts, nor one in which another filler stands for one of those it met. A document holds an item if the literal
 and the consistent windows cover half of it, or ``LONG`` of its words.
 
 An item of fewer words than a window is one window of its own length. A template window needs ``LEAST_PLAIN`` words that are
@@ -194,14 +196,32 @@ def contaminated(
     )
     small = windows.count() <= BROADCAST_WINDOWS
     both = mine.join(F.broadcast(windows) if small else windows, (F.col("h") == F.col("hash")) & (F.col("k") == F.col("n")))
-    pairs = F.arrays_zip(F.col("fillers").alias("i"), F.col("mine").alias("d"))
+    pairs = F.arrays_zip(F.col("slots").alias("s"), F.col("fillers").alias("i"), F.col("mine").alias("d"))
     lines = both.groupBy("doc", "id", "length", (F.col("at") - F.col("place")).alias("diagonal")).agg(
-        F.collect_set(F.struct("place", "n")).alias("places"), F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs")
+        F.collect_set(F.struct("place", "n", pairs.alias("pairs"))).alias("windows")
     )
-    consistent = lines.filter(F.size("pairs") == F.size(F.array_distinct("pairs.i")))
-    met = consistent.groupBy("doc", "id", "length").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
-        F.max(F.size(F.filter("pairs", lambda p: p["i"] != p["d"]))).alias("changed_slots"),
+    lines = lines.withColumn("pairs", F.array_distinct(F.flatten("windows.pairs")))  # one for each place with a slot
+    lines = lines.withColumn("links", F.array_distinct(F.transform("pairs", lambda p: F.struct(p["i"].alias("i"), p["d"].alias("d")))))
+    clear = F.size("links") == F.size(F.array_distinct("links.i"))
+    # conflicts: places of each link, and half a place for a filler that stands for itself
+    votes = F.transform("links", lambda x: F.struct(
+        x["i"].alias("i"), x["d"].alias("d"),
+        (F.size(F.filter("pairs", lambda p: (p["i"] == x["i"]) & (p["d"] == x["d"]))) * 2 + (x["i"] == x["d"]).cast("int")).alias("v"),
+    ))
+    lines = lines.withColumn("votes", F.when(~clear, votes))
+    chosen = F.filter("votes", lambda x: F.forall("votes", lambda o: (o["i"] != x["i"]) | (o["d"] == x["d"]) | (o["v"] < x["v"])))
+    lines = lines.withColumn("chosen", chosen)
+    open_links = F.filter("votes", lambda x: ~F.array_contains(F.col("chosen.i"), x["i"]))
+    lines = lines.withColumn("open", F.transform(open_links, lambda x: x["d"]))
+    sure = F.filter("chosen", lambda x: ~F.array_contains(F.col("open"), x["d"]))
+    sure = F.transform(sure, lambda x: F.struct(x["i"].alias("i"), x["d"].alias("d")))
+    lines = lines.withColumn("sure", F.when(clear, F.col("links")).otherwise(sure))
+    agreeing = F.filter("windows", lambda w: F.forall(w["pairs"], lambda p: F.array_contains(F.col("sure"), F.struct(p["i"].alias("i"), p["d"].alias("d")))))
+    lines = lines.select("doc", "id", "length", F.when(clear, F.col("windows")).otherwise(agreeing).alias("windows")).filter(F.size("windows") > 0)
+    changed = F.filter(F.flatten("windows.pairs"), lambda p: p["i"] != p["d"])
+    met = lines.groupBy("doc", "id", "length").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform("windows", lambda w: F.struct(w["place"].alias("place"), w["n"].alias("n"))))))).alias("places"),
+        F.max(F.size(F.array_distinct(F.transform(changed, lambda p: p["i"])))).alias("changed_slots"),
     )
     # words under sorted windows: each adds what lies beyond the furthest end so far
     start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("sum"))

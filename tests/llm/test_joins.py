@@ -99,3 +99,15 @@ def test_decontamination_finds_literal_copies_of_names_and_slots(spark):
     found = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(documents(spark, texts), items(spark, QUESTION, slots, "5 7 9")).collect()}
     assert set(found) == {(0, 0), (1, 0), (2, 1), (3, 2)}
     assert all(r.coverage == 1 and r.changed_slots == 0 for r in found.values())
+
+
+def test_decontamination_keeps_windows_beside_a_conflict(spark):
+    """A filler on two places of which one was edited: only the windows over the edit are lost."""
+    item = "the 12 " + words(11, 28) + " sold 12 " + words(12, 28)
+    edited_copy = item.replace("sold 12", "sold 13")
+    line = f"here Alice {words(21, 9)} Alice {words(22, 9)} Alice {words(23, 9)}"
+    most = line.replace("Alice", "Maria", 2).replace("Alice", "Paula")  # two places of three decide
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(documents(spark, [edited_copy, most, item]), items(spark, item, line)).collect()}
+    assert set(found) == {(0, 0), (1, 1), (2, 0)}
+    assert found[0, 0].covered == 59 and found[0, 0].changed_slots == 0 and found[2, 0].coverage == 1
+    assert found[1, 1].covered >= 20 and found[1, 1].changed_slots == 1
