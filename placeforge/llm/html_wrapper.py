@@ -3,7 +3,7 @@
 A page's tags and text runs, with left-out ends added, nest like an expression: runs of like elements are a
 repeated group, text runs are slots. The pages of a host are aligned one after the other; what one has and another lacks
 becomes optional, what repeats in one becomes repeated. Each slot of the wrapper carries counts over all pages of the host
-(pages, characters, characters in links, whether its text is always the same). From these, and from the names that
+(different pages, characters, characters in links, whether its text is always the same). From these, and from the names that
 the wrapper's elements have, it is decided which slots are article and which are page furniture.
 
 A large host does not meet in a task: pages of like structure are folded to one row by a partial aggregate, and the
@@ -37,7 +37,7 @@ GROUP = 256  # expressions that meet in a group on the levels before
 LONGEST_GROUP = 6  # elements in a repeated group
 DEEPEST = 100  # elements nested deeper count as their ancestor at this depth
 LINKED = 0.6  # a slot with this part of its characters in links is a menu
-SAME_ON = 3  # a slot outside an article with one text on so many pages belongs to the template
+SAME_ON = 3  # a slot outside an article with one text on so many different pages belongs to the template
 
 # fixed values: elements of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -345,7 +345,8 @@ def infer_wrappers(found: DataFrame) -> DataFrame:
         if groups > SALTS:
             rows = durable(rows, "level")
     wrappers = _folded(rows, ["host"], align)
-    one = found.select("host", F.explode("slots").alias("s")).select("host", "s.*")
+    different = found.select("host", "slots").distinct()  # copies of a page tell nothing about the template
+    one = different.select("host", F.explode("slots").alias("s")).select("host", "s.*")
     slots = one.groupBy("host", "path").agg(
         F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), (F.min("hash") == F.max("hash")).alias("one_text")
     )

@@ -85,3 +85,12 @@ def test_large_hosts_are_folded_level_by_level(spark, monkeypatch):
     by_level = html_wrapper.infer_wrappers(found).first()
     slots = [sorted(html_wrapper.slots_of(html_wrapper.json.loads(w.expression))) for w in (whole, by_level)]
     assert slots[0] == slots[1] and len(slots[0]) == 61
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    """A page whose layout no other page of its host has keeps its text however often it is repeated."""
+    own = '<body><div class="special"><h1>Own head</h1><p>Own text of this page alone</p></div>'
+    rows = [(i, "http://x.example/own", own) for i in range(8)] + [(100 + i, f"http://x.example/{i}", bare(i)) for i in range(5)]
+    text = {r.page_id: r.text for r in html_wrapper.extract(pages(spark, rows).repartition(4)).collect()}
+    assert {text[i] for i in range(8)} == {"Own head\nOwn text of this page alone"}
+    assert text[102] == "T2\npara 2 text\nmore\nmore\nend 2"
