@@ -4,7 +4,9 @@ A page's tags and text runs, with left-out ends added, nest like an expression:
 repeated group, text runs are slots. The pages of a host are aligned one after the other; what one has and another lacks
 becomes optional, what repeats in one becomes repeated. Each slot of the wrapper carries counts over all pages of the host
 (different pages, characters, characters in links, whether its text is always the same). From these, and from the names that
-the wrapper's elements have, it is decided which slots are article and which are page furniture.
+the wrapper's elements have, it is decided which slots are article and which are page furniture. Of the regions of a page
+(articles, main parts, elements named like content, others) the one with most varied text outside links is its text, with what
+a main part has before its article. Articles that are menus or the same on all pages stand for themselves, apart from a page's other articles.
 
 A large host does not meet in a task: pages of like structure are folded to one row by a partial aggregate, and the
 different structures are aligned level by level: in salted groups of about ``GROUP``, then the groups' wrappers likewise,
@@ -37,6 +39,7 @@ GROUP = 256  # expressions that meet in a group on the levels before
 LONGEST_GROUP = 6  # elements in a repeated group
 DEEPEST = 100  # elements nested deeper count as their ancestor at this depth
 LINKED = 0.6  # a slot with this part of its characters in links is a menu
+WEAK = -1  # stands for the articles of a page that are cards or menus by their looks
 SAME_ON = 3  # a slot outside an article with one text on so many different pages belongs to the template
 
 # fixed values: elements of HTML
@@ -356,48 +359,85 @@ def infer_wrappers(found: DataFrame) -> DataFrame:
     return pages.join(wrappers, "host", "left").join(lists, "host", "left")
 
 
-def article_slots(expression: list, pages: int, slots: list[dict]) -> dict[str, int]:
-    """Region of every slot of the wrapper that is no furniture; see ``region_of``."""
+def _inner(path: str, region: int) -> str:
+    """The path down to the innermost element of a region; "" without one."""
+    labels = path.split("/")
+    return next(("/".join(labels[:i]) for i in range(len(labels), 0, -1) if _region(labels[i - 1]) == region), "")
+
+
+def article_slots(expression: list, slots: list[dict]) -> dict[str, tuple[int, float, bool]]:
+    """(region, characters of varied text outside links per page, whether weak) of every slot of the wrapper that is no furniture.
+
+    Weak are the slots of an <article> that as a whole is a menu or the same on all pages, as cards of other pages are.
+    """
     facts = {s["path"]: s for s in slots}
     varied = any(not s["one_text"] for s in slots if s["pages"] >= SAME_ON)
+    is_fixed = lambda s: varied and s["one_text"] and s["pages"] >= SAME_ON
+    articles: dict[str, list[dict]] = {}
     kept = {}
     for path in set(slots_of(expression)):
         region, slot = region_of(path), facts.get(path)
         if region < 0:
             continue
-        if slot and region < 3:
-            menu = slot["linked"] >= LINKED * slot["chars"]
-            fixed = varied and slot["one_text"] and slot["pages"] >= SAME_ON
-            if menu or fixed:
-                continue
-        kept[path] = region
+        if slot and region < 3 and (slot["linked"] >= LINKED * slot["chars"] or is_fixed(slot)):
+            continue
+        if slot and region == 3:
+            articles.setdefault(_inner(path, 3), []).append(slot)
+        weight = 0.0 if not slot or is_fixed(slot) else (slot["chars"] - slot["linked"]) / slot["pages"]
+        kept[path] = (region, weight, False)
+    for own in articles.values():
+        menu = sum(s["linked"] for s in own) >= LINKED * sum(s["chars"] for s in own)
+        if menu or all(map(is_fixed, own)):
+            for slot in own:
+                kept[slot["path"]] = (*kept[slot["path"]][:2], True)
     return kept
 
 
 def decided(wrappers: DataFrame) -> DataFrame:
-    """(host, pages, paths, regions): the slots that hold article text."""
+    """(host, pages, paths, regions, weights, weak): the slots that may hold article text; see ``article_slots``."""
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            paths, regions = [], []
-            for pages, expression, slots in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                kept = article_slots(json.loads(expression or "[]"), pages, slots or [])
-                paths.append(list(kept))
-                regions.append(list(kept.values()))
+            columns: list[list] = [[], [], [], []]
+            for expression, slots in zip(*(b.column(i).to_pylist() for i in (2, 3)), strict=True):
+                kept = article_slots(json.loads(expression or "[]"), slots or [])
+                for column, values in zip(columns, (list(kept), *([v[i] for v in kept.values()] for i in range(3))), strict=True):
+                    column.append(values)
+            kinds = (pa.string(), pa.int32(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(paths, pa.list_(pa.string())), pa.array(regions, pa.list_(pa.int32()))],
-                ["host", "pages", "paths", "regions"],
+                [b.column(0), b.column(1), *(pa.array(c, pa.list_(k)) for c, k in zip(columns, kinds, strict=True))],
+                ["host", "pages", "paths", "regions", "weights", "weak"],
             )
 
     rows = wrappers.select("host", "pages", "expression", "slots")
-    return durable(rows.mapInArrow(decide, "host string, pages long, paths array<string>, regions array<int>"), "wrappers")
+    schema = "host string, pages long, paths array<string>, regions array<int>, weights array<double>, weak array<boolean>"
+    return durable(rows.mapInArrow(decide, schema), "wrappers")
 
 
-def _main_text(html: str, region: dict[str, int]) -> str:
+def _main_text(html: str, facts: dict[str, tuple[int, float, bool]]) -> str:
+    """The blocks of the region with most text, by the host's pages and by this page; of equals the better region."""
     _, blocks = read_page(html)
-    here = [(region.get(path, -1), text) for path, text, _ in blocks]
-    best = max((r for r, _ in here), default=-1)
-    return "\n".join(text for r, text in here if r == best) if best >= 0 else ""
+    here = [facts.get(path, (-1, 0.0, False)) for path, _, _ in blocks]
+    of_host: dict[int, dict[str, float]] = {}
+    of_page: dict[int, int] = {}
+    for (region, weight, weak), (path, text, linked) in zip(here, blocks, strict=True):
+        if region >= 0:
+            region = WEAK if weak else region
+            of_host.setdefault(region, {})[path] = weight
+            of_page[region] = of_page.get(region, 0) + (max(0, len(text) - linked) if weight else 0)
+    if not of_host:
+        return ""
+    best = max(of_host, key=lambda r: (sum(of_host[r].values()) * of_page[r], r))
+    chosen = [i for i, (r, _, weak) in enumerate(here) if r == (3 if best == WEAK else best) and (best == WEAK or not weak)]
+    lead: list[int] = []
+    around = _inner(_inner(blocks[chosen[0]][0], 3), 2) if best == 3 else ""
+    if around:  # a heading or lead in the main part, before the article in it
+        for i in range(chosen[0] - 1, -1, -1):
+            if not f"{blocks[i][0]}/".startswith(f"{around}/"):
+                break
+            if here[i][0] == 2:
+                lead.append(i)
+    return "\n".join(blocks[i][1] for i in lead[::-1] + chosen)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -409,18 +449,17 @@ def extract(pages: DataFrame) -> DataFrame:
     found = structures(rows)
     wrappers = decided(infer_wrappers(found))
     met = with_groups(rows, wrappers, "host", "pages", found.count(), F.xxhash64("page_id", "url"))
-    met = met.select("page_id", "url", "html", F.col("group.paths").alias("paths"), F.col("group.regions").alias("regions"))
+    met = met.select("page_id", "url", "html", "host", *(F.col(f"group.{c}").alias(c) for c in ("paths", "regions", "weights", "weak")))
     kinds = dict(pages.dtypes)
 
     def text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, htmls in slices(batches, "html"):
             texts, held = [], {}
-            paths, regions = part.column(3), part.column(4)
-            for i, html in enumerate(htmls.to_pylist()):
-                own = tuple(paths[i].as_py() or ())
-                if own not in held:
-                    held[own] = dict(zip(own, regions[i].as_py() or (), strict=True))
-                texts.append(_main_text(html, held[own]))
+            for i, (html, host) in enumerate(zip(htmls.to_pylist(), part.column(3).to_pylist(), strict=True)):
+                if host not in held:
+                    paths, *facts = (part.column(c)[i].as_py() or () for c in range(4, 8))
+                    held[host] = dict(zip(paths, zip(*facts, strict=True), strict=True))
+                texts.append(_main_text(html, held[host]))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"]
             )

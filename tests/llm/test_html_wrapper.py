@@ -94,3 +94,25 @@ def test_copies_of_a_page_are_no_template(spark):
     text = {r.page_id: r.text for r in html_wrapper.extract(pages(spark, rows).repartition(4)).collect()}
     assert {text[i] for i in range(8)} == {"Own head\nOwn text of this page alone"}
     assert text[102] == "T2\npara 2 text\nmore\nmore\nend 2"
+
+
+def test_cards_do_not_hide_the_body(spark):
+    """Small <article> cards beside a body of another region; a heading and a lead of the main part before an article."""
+    def cards(i):
+        card = f'<article><h3>Card {i}</h3><p>see this {i}</p></article><article><h3>Card {i + 1}</h3><p>or that</p></article>'
+        return f'<body><div class="post-body"><h1>Body {i}</h1><p>{"long text of page %d " % i * 20}</p></div><div class="more-posts">{card}</div></body>'
+
+    def linked(i):
+        card = f'<article><a href="/{i}">A very long title of another page, number {i}, all of it in a link</a></article>'
+        return f'<body><div class="post-body"><h1>Body {i}</h1><p>short {i}</p></div><div class="more-posts">{card * 3}</div></body>'
+
+    def lead(i):
+        return f'<body><main><h1>Head {i}</h1><div class="share">Share</div><p>Lead {i}</p><article><p>article text of page {i}</p></article><p>after {i}</p></main></body>'
+
+    rows = [(100 * k + i, f"http://{kind.__name__}.example/{i}", kind(i)) for k, kind in enumerate((cards, linked, lead)) for i in range(5)]
+    rows += [(900, "http://roundup.example", '<body><p>tag</p><article><p>See <a href="/">a link with a long title</a> here</p></article></body>'), (901, "http://links.example", "<article><a>a link</a></article>")]
+    text = {r.page_id: r.text for r in html_wrapper.extract(pages(spark, rows).repartition(4)).collect()}
+    assert text[3] == "Body 3\n" + " ".join(["long text of page 3"] * 20)
+    assert text[103] == "Body 3\nshort 3"
+    assert text[203] == "Head 3\nLead 3\narticle text of page 3"
+    assert text[901] == "a link" and text[900] == "See a link with a long title here"
