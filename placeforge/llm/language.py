@@ -3,9 +3,10 @@
 A word's script narrows the candidate languages; its score per language is that of its character n-grams. Viterbi with
 a penalty for each switch labels the words. A text is of the language with most letters on the best path.
 
-A path that never switches is best whenever no run of words gains more than one penalty in any other language, as
-every switch costs a penalty and a path cannot leave without one. That is tested on arrays for every text; only
-the texts that fail the test are searched step by step, with the same result.
+A path that never switches is best whenever no run of words gains more than one penalty over the best single language in
+any other, and no first run and last run gain more than one together: a path that uses the best language has a switch for each
+of its other parts, one that never uses it has one switch less than parts, the first and the last among them. That is tested
+on arrays for every text; only the texts that fail the test are searched step by step, with the same result.
 
 The model is fitted on a sample of labelled rows, about ``SAMPLE_PER_LANG`` for each language, drawn by a hash of
 the id, whole texts; it keeps at most ``GRAMS_PER_LANG`` n-grams for each language.
@@ -155,10 +156,11 @@ def word_scores(words: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _needs_search(scores: np.ndarray, counts: np.ndarray, best: np.ndarray, penalty: float) -> np.ndarray:
-    """Whether some run of a text's words gains more than a penalty in a language other than ``best``."""
+    """Whether a run of a text's words in a language other than ``best``, or its first and last run together, gain more than a penalty."""
     at = bounds(counts)
     row = np.repeat(np.arange(len(counts)), counts)
     found = np.zeros(len(counts), bool)
+    first, last = np.zeros(len(counts)), np.zeros(len(counts))
     base = scores[np.arange(len(row)), best[row]] if len(row) else np.zeros(0)
     # the largest gain of a run is the largest rise of the running sum over its lowest point so far in the text
     for lang in range(scores.shape[1]):
@@ -169,7 +171,9 @@ def _needs_search(scores: np.ndarray, counts: np.ndarray, best: np.ndarray, pena
             low = np.minimum(np.minimum.accumulate(part), 0.0)
             if part[0] > penalty or (part[1:] - low[:-1]).max(initial=-np.inf) > penalty:
                 found[i] = True
-    return found
+            first[i] = max(first[i], part.max())
+            last[i] = max(last[i], part[-1] - low[-1])
+    return found | (first + last > penalty)
 
 
 def _viterbi(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, penalty: float) -> list[np.ndarray]:

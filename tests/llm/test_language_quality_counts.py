@@ -66,6 +66,24 @@ def test_best_path_against_all_paths(seed):
         at += n
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_best_path_without_the_best_single_language(seed):
+    """Gains between half a penalty and a penalty: the best path may never use the language that is best for the whole."""
+    path, _ = language.label_words(np.array([[0.0, -5.0, -20.0], [-20.0, -5.0, 0.0]]), np.array([2]), penalty=8.0)
+    assert path.tolist() == [0, 2]
+    rng = np.random.default_rng(seed)
+    counts = np.array([2, 4, 6])
+    scores = rng.uniform(-20, 0, (counts.sum(), 3))
+    scores[:, 1] = rng.uniform(-6, -3, counts.sum())
+    path, _ = language.label_words(scores, counts, penalty=8.0)
+    at = 0
+    for n in counts.tolist():
+        value = lambda p: sum(scores[at + i, k] for i, k in enumerate(p)) - 8.0 * sum(a != b for a, b in itertools.pairwise(p))  # noqa: B023, E731
+        best = max(value(p) for p in itertools.product(range(3), repeat=n))
+        assert math.isclose(value(path[at : at + n].tolist()), best, abs_tol=1e-9)
+        at += n
+
+
 def test_language_without_labels_and_rows(spark):
     none = language.fit(documents(spark, []))
     assert [r.lang_pred for r in language.predict(documents(spark, ["some words", None]), none).collect()] == ["und", "und"]
