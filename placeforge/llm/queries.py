@@ -7,7 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeforge.llm import decontaminate, exact_dedup, html_wrapper, language, ngram_join, packing, quality, suffix_lm, token_counts, token_files
+from placeforge.llm import (
+    decontaminate, exact_dedup, html_wrapper, language, merkle, ngram_join, oracle, packing, quality, quality_rules, ranked_search, suffix_lm,
+    token_counts, token_files,
+)
 from placeforge.llm.words import id_remainder, texts_of
 from placeforge.session import durable, work_dir
 
@@ -67,6 +70,18 @@ def op10_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_lm.score_documents(texts_of(_table(spark, sf_dir, "documents")).withColumn("held_out", id_remainder(7) == 2))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(ranked_search.build_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.filter_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("rejected_by")
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(merkle.manifest(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_html_wrapper": op1_html_wrapper,
     "op2_ngram_join": op2_ngram_join,
@@ -78,14 +93,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_files": op9_token_files,
     "op10_suffix_lm": op10_suffix_lm,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_merkle": op13_merkle,
 }
 
-ORACLE_SQL = {
-    "op8_exact_dedup": """
-        WITH texts AS (
-            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
-            FROM documents)
-        SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
-               doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
-        FROM texts""",
-}
+ORACLE_SQL = oracle.ORACLE_SQL
