@@ -98,11 +98,20 @@ def _two_parts(words: pa.Array) -> tuple[pa.Array, pa.Array]:
     return pc.if_else(apart, body, words), pc.replace_with_mask(pa.array([""] * len(words), pa.string()), apart, ends)
 
 
+def _folded(words: pa.Array, tokenizer) -> pa.Array:
+    """Words with A-Z lower-cased, as the tokenizer does it itself, but for words that hold an added token in any case:
+    added tokens are found in a text as it stands, so other forms of them must stay what they are."""
+    lower = pc.ascii_lower(words)
+    for token in tokenizer.get_added_tokens_decoder().values():
+        lower = pc.if_else(pc.match_substring(words, token.content, ignore_case=True), words, lower)
+    return lower
+
+
 def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts one after the other, ids per text), without special tokens."""
     tokenizer = load_tokenizer(path)
     counts, codes, words = split_words(texts)
-    body, ending = (part.dictionary_encode() for part in _two_parts(pc.ascii_lower(words)))
+    body, ending = (part.dictionary_encode() for part in _two_parts(_folded(words, tokenizer)))
     pieces = pa.concat_arrays([body.dictionary, ending.dictionary])
     ids, lengths = _encode_words(pieces, tokenizer)
     starts = bounds(lengths)[:-1]

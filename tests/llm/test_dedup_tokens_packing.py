@@ -70,6 +70,20 @@ def test_index_goes_on_from_an_earlier_one(spark):
     assert [(r.last_id, r.n) for r in after] == [(11, 2)]
 
 
+def test_added_tokens_in_all_forms():
+    tokenizer = tokens.load_tokenizer(tokens.default_tokenizer())
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    assert added
+    texts = []
+    for token in added:
+        for form in (token, token.upper(), token.title(), token.swapcase(), token[:5] + token[5:].upper()):
+            texts += [form, f"A {form} b", f"glued{form}GLUED", form + form, form + ".", f"!{form}?|", form[:-1], form[1:], f"É{form}é", f"{form}\n{token}"]
+    ids, counts = tokens.encode_texts(pa.array(texts), tokens.default_tokenizer())
+    at = bounds(counts)
+    for i, t in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
 def test_token_files_round_trip(spark, tmp_path):
     texts = odd_texts()
     ids = [*range(len(texts) - 2, 2, -1), None, 3, 3, 900]
