@@ -1,10 +1,10 @@
 """Ranked lexical search over a length-stratified index.
 
 Documents with the same length normaliser m form a stratum; a term's postings in a stratum are grouped by how often the
-term occurs (tf), so the impact of (m, tf) is worked out once for all its documents. The index is a table of pieces: the
-documents are range-sorted by m, and each task cuts its part into pieces of bounded size, which hold a few strata, or a
-part of one that is large. A search looks up the postings of its terms and brings those of a piece together. For each
-query a stratum's bound is the sum of its terms' weights times the impact of the term's largest tf there; strata
+term occurs (tf), so the impact of (m, tf) is worked out once for all its documents. The index is a table of pieces:
+documents are spread by stratum, those of a stratum with much of the postings by equal parts of it, and each task cuts its
+documents in the order of m into pieces of bounded size, which hold a few strata or a part of one. A search looks up the
+postings of its terms and brings those of a piece together. For each query a stratum's bound is the sum of its terms' weights times the impact of the term's largest tf there; strata
 are visited by falling bound until it is below the score that the query's last place has in the task, so no document is
 lost. The best of all tasks are ranked at the end. Queries are served in blocks of bounded size, which alone are broadcast.
 
@@ -33,6 +33,7 @@ from placeforge.session import durable
 BEST = 50
 PIECE_POSTINGS = 1_000_000  # a piece ends with the document that reaches it
 BLOCK_TERMS = 100_000  # terms of the queries that are served at once; the last query of a block may go beyond
+HEAVY = 1000
 ROWS_PER_BATCH = 50_000
 
 DOCS = "doc_id long, row long, n long, terms array<string>, tfs array<int>"
@@ -76,9 +77,14 @@ def build_index(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text")
     )
     terms = durable(_term_table(texts).filter("n > 0"), "terms")
-    n_docs, n_terms = terms.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(1))).first()
+    n_docs, n_terms, total = terms.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(1)), F.coalesce(F.sum(F.size("tfs")), F.lit(1))).first()
     strata = terms.withColumn("m", F.expr(f"100 - 50 + (50 * n * {n_docs}L) div {n_terms}L"))
-    ordered = strata.repartitionByRange("m", "row").sortWithinPartitions("m", "row")
+    # strata with a thousandth of the postings or more, so at most 1,000, are cut into parts of about that size
+    masses = strata.groupBy("m").agg(F.sum(F.size("tfs")).alias("mass"))
+    masses = masses.select("m", F.expr(f"mass * {HEAVY} div {total}L").alias("parts")).filter("parts > 0")
+    met = strata.join(F.broadcast(masses), "m", "left")
+    spread = met.withColumn("share", F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts") + 1), F.lit(0)))
+    ordered = spread.repartition("m", "share").sortWithinPartitions("m", "row")
     # the partition in the upper bits; a task adds the number of its piece
     numbered = ordered.select("doc_id", "row", "m", "terms", "tfs", F.shiftright(F.monotonically_increasing_id(), 33).alias("part"))
 
