@@ -390,6 +390,12 @@ FROM places""",
     "cluster_members": f"WITH RECURSIVE {_elems()} SELECT cid, importance, id, place_id, nth AS pos FROM clustered",
     "merge_linestrings": f"""WITH {_PLACES}, roads AS (SELECT CAST(floor(osm_id/20) AS BIGINT) AS grp, minx, maxx FROM places WHERE gtype='LINESTRING'),
 {_ways('roads')} SELECT grp, gtype, CAST(parts AS INT) AS parts, round(length, 9) AS length FROM united""",
+    "slanted_roads": """WITH roads AS (SELECT CAST(o_custkey // 2 AS BIGINT) AS grp, o_orderkey % 96 + 1 AS k, o_orderkey % 3 + 1 AS f, o_orderkey % 5 = 0 AS across FROM orders),
+cuts AS (SELECT grp, count(DISTINCT k) AS k, 2 * count(DISTINCT k) FILTER (across) AS a FROM roads GROUP BY grp),
+spurs AS (SELECT grp, count(*) AS n, sum(sqrt(0.002 * 0.002 + 0.004 * 0.004 * f * f)) AS length FROM (SELECT DISTINCT grp, k, f FROM roads) GROUP BY grp)
+SELECT grp, CAST(0 AS BIGINT) AS page, 'MULTILINESTRING' AS gtype, CAST(1 + k + n + a AS INT) AS parts,
+  round(sqrt(0.6 * 0.6 + 0.3 * 0.3) + length + a * sqrt(0.001 * 0.001 + 0.002 * 0.002), 9) AS length
+FROM cuts JOIN spurs USING (grp)""",
     "replace_lines": f"""WITH {_PLACES}, roads AS (SELECT CAST(floor(osm_id/20) AS BIGINT) AS grp, minx, maxx FROM places WHERE gtype='LINESTRING'),
 {_ways('roads')} SELECT CAST(floor(p.osm_id/20) AS BIGINT) AS grp, place_id AS line, coalesce(importance, CAST(0 AS DOUBLE)) AS importance,
   row_number() OVER (PARTITION BY floor(p.osm_id/20) ORDER BY coalesce(importance, CAST(0 AS DOUBLE)), place_id) AS pos,

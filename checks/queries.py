@@ -340,6 +340,25 @@ def merge_linestrings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def slanted_roads(spark: SparkSession, sf: str) -> DataFrame:
+    """United roads of two customers each: a slanted spine, and for each order a spur that ends on it or a road across.
+
+    Spurs and crossings lie where rounding puts them, mostly a hair off the spine.
+    """
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    o, grp = F.col("o_orderkey").cast("long"), F.floor(F.col("o_custkey").cast("long") / 2)
+    x0, y0, share = 6 + F.col("grp") % 50 / 10, F.col("grp") % 7 / 10, F.col("o") % 96 + 1
+    mx, my, deep = x0 + F.lit(0.6) * share / 97, y0 + F.lit(0.3) * share / 97, F.lit(0.004) * (F.col("o") % 3 + 1)
+    spine = F.array(geometry.point_xy(x0, y0), geometry.point_xy(x0 + 0.6, y0 + 0.3))
+    spur = F.array(geometry.point_xy(mx, my), geometry.point_xy(mx + 0.002, my - deep))
+    across = F.array(geometry.point_xy(mx - 0.001, my - 0.002), geometry.point_xy(mx + 0.001, my + 0.002))
+    shapes = F.array_compact(F.array(spine, spur, F.when(F.col("o") % 5 == 0, across)))
+    rows = fixtures.spread(orders.select(o.alias("o"), grp.alias("grp"))).select("grp", "o", F.posexplode(shapes).alias("i", "pts"))
+    g = _geom()
+    united = lines.union_lines(rows.select("grp", (F.col("o") * 3 + F.col("i")).alias("line"), geometry.make_line(F.col("pts")).alias("geometry")))
+    return united.select("grp", "page", g["gtype"].alias("gtype"), geometry.num_parts(g).alias("parts"), _digits(geometry.length(g), 9).alias("length"))
+
+
 def build_elems(spark: SparkSession, sf: str) -> DataFrame:
     built = elems.build_elems(fixtures.places(spark, sf))
     return built.select(
@@ -573,7 +592,7 @@ QUERIES = {
         geometry_measures, area_of_box, area_of_ell, area_of_comb, probe_area, valid_geometries, simplify, simplify_peaks, text_formats,
         category_of_places, pick_tag, category_lines, label_lines, interesting_keys,
         prepare, group_positions, merge_positions, merged_members, merge_same_entity,
-        cluster_nearby, cluster_all_places, dedupe_nearby, cluster_members, merge_linestrings, replace_lines, pick_geometry,
+        cluster_nearby, cluster_all_places, dedupe_nearby, cluster_members, merge_linestrings, slanted_roads, replace_lines, pick_geometry,
         build_elems, stored_elems, build_elems_other_modes, cluster_lists, object_lists, area_matches, query_area, prepared_in_area,
         same_object_report, same_wikipedia_report, same_wikidata_report, same_name_report, repeated_objects,
         ranks_by_name, first_of_object, classes_so_far, object_entries, names_summary, reference_systems, rejected_wikipedia, widest_rows, count_larger_than,

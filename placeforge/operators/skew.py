@@ -33,3 +33,20 @@ def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     light = side(~heavy, "l").withColumn("_at", F.pmod(F.xxhash64(*[f"_l_{k}" for k in keys]), F.lit(1)).cast("int"))
     met = met.withColumn("_place", place).join(light, same("l") & (F.col("_place") == F.col("_at")), "left")
     return met.select(*rows.columns, *[F.coalesce(f"_h_{c}", f"_l_{c}").alias(c) for c in facts])
+
+
+def spread_join(many: DataFrame, few: DataFrame, keys: list[str], unique: Column) -> DataFrame:
+    """Inner join by ``keys`` of columns that are never null, where a key may hold any part of ``many``.
+
+    Rows of ``many`` under a heavy key are dealt over parts by ``unique``, and its rows in ``few`` go to each part.
+    """
+    total = max(1, many.count())
+    counts = many.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") * HEAVY >= total)  # so at most HEAVY rows
+    heavy = counts.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.expr(f"cast(_n * {HEAVY} div {total} as int)").alias("_parts"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_h_{k}"))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = many.join(F.broadcast(heavy), same, "left").select(*many.columns, F.pmod(F.xxhash64(unique), parts).cast("int").alias("_part"))
+    copied = few.join(F.broadcast(heavy), same, "left").select(*few.columns, F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
+    return dealt.join(copied, [*keys, "_part"]).drop("_part")

@@ -2,15 +2,17 @@
 
 import math
 import random
+from fractions import Fraction
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from placeforge import session
 from placeforge.functions import arrays, formats, geometry, text
 from placeforge.functions.geometry import Area
-from placeforge.operators import cluster, kernels, lines, ordered
+from placeforge.operators import cluster, exact, kernels, lines, ordered
 from placeforge.operators.components import connected_components
 from placeforge.plans import audit, serve
 from placeforge.plans.elems import build_elems
@@ -385,6 +387,68 @@ def test_union_of_a_star(spark, monkeypatch):
     assert {((-2, -2), (-1, -1)), ((-1, -1), (0, 0)), ((-1, 0), (0, 0)), ((0, 0), (1, 0))} <= ways
 
 
+def _ways(spark, *shapes):
+    df = geometries(spark, *shapes).select(F.lit(7).alias("grp"), F.col("n").alias("line"), G)
+    found = lines.union_lines(df).collect()
+    return sorted(tuple((p.x, p.y) for p in part[0]) for row in found for part in row.geometry.parts)
+
+
+def test_union_of_slanted_junctions(spark):
+    """Ends that rounding puts beside a slanted line cut it all the same, and leave no hair-thin ways."""
+    assert _ways(spark, "LINESTRING(6.1 0.2,6.7 0.5)", "LINESTRING(6.4 0.35,6.3 0.9)") == [
+        ((6.1, 0.2), (6.4, 0.35)), ((6.3, 0.9), (6.4, 0.35)), ((6.4, 0.35), (6.7, 0.5)),
+    ]
+    # along each other: the shorter one is a part of the longer one
+    assert _ways(spark, "LINESTRING(6.1 0.2,6.7 0.5)", "LINESTRING(6.3 0.3,6.5 0.4)") == [
+        ((6.1, 0.2), (6.3, 0.3)), ((6.3, 0.3), (6.5, 0.4)), ((6.5, 0.4), (6.7, 0.5)),
+    ]
+    # an end a hair from another line's end is the same place
+    assert _ways(spark, "LINESTRING(0 0,1 1)", f"LINESTRING({1 + 2e-16!r} {1 - 1e-16!r},2 5)") == [((0, 0), (1, 1)), ((1, 1), (2, 5))]
+    # farther off than a pixel it is another one
+    assert len(_ways(spark, "LINESTRING(0 0,2 2)", "LINESTRING(1.000000001 1,2 0)")) == 2
+
+
+def test_union_of_lines_through_one_computed_point(spark):
+    cx, cy, turns = 6.123456789, 0.987654321, [0.3, 0.9, 1.7, 2.2, 2.9]
+    ends = [((cx - math.cos(a), cy - math.sin(a)), (cx + 2 * math.cos(a), cy + 2 * math.sin(a))) for a in turns]
+    ways = _ways(spark, *[f"LINESTRING({a[0]!r} {a[1]!r},{b[0]!r} {b[1]!r})" for a, b in ends])
+    outer = {p for e in ends for p in e}
+    inner = {p for w in ways for p in w if p not in outer}
+    assert len(ways) == 2 * len(turns) and len(inner) == 1
+    (x, y) = inner.pop()
+    assert abs(x - cx) < 1e-12 and abs(y - cy) < 1e-12
+    # a line that ends there gives the point
+    ways = _ways(spark, *[f"LINESTRING({a[0]!r} {a[1]!r},{b[0]!r} {b[1]!r})" for a, b in ends], f"LINESTRING({cx!r} {cy!r},9 9)")
+    assert len(ways) == 2 * len(turns) + 1 and all((cx, cy) in w for w in ways)
+
+
+def test_union_with_hot_places_and_long_lines(spark, monkeypatch):
+    """Spread plans give what the plain ones give."""
+    monkeypatch.setattr(lines, "_LONG_LINE", 10)
+    shapes = ["LINESTRING(0 0,60 0)"] + [f"LINESTRING({k} {-1 - k % 3},{k} 1)" for k in range(1, 40)] + ["LINESTRING(50 5,50 0)"] * 3
+    ways = _ways(spark, *shapes)
+    assert len(ways) == 39 * 2 + 41 + 1
+    assert ((50, 0), (50, 5)) in ways and ((40, 0), (50, 0)) not in ways and ((39, 0), (50, 0)) in ways
+
+
+def test_turns_have_their_exact_sign():
+    rng = random.Random(4)
+    rows = []
+    for _ in range(4000):
+        a, b = [rng.uniform(-1, 1) for _ in range(2)], [rng.uniform(-1, 1) for _ in range(2)]
+        u = rng.random()
+        p = [a[i] + u * (b[i] - a[i]) + rng.choice([0, 0, 1e-17, -3e-17, 2e-16, 0.1]) for i in range(2)]
+        rows.append((*a, *b, *p))
+    rows += [(0.0, 0.0, 3.0, 3.0, 1.0, 1.0), (0.1, 0.1, 0.3, 0.3, 0.2, 0.2), (1e-300, 0.0, 1.0, 1e-200, 0.5, 0.0)]
+    found = exact.turn(*np.array(rows).T)
+    for row, value in zip(rows, found):
+        ax, ay, bx, by, px, py = map(Fraction, row)
+        true = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
+        assert (value > 0) == (true > 0) and (value < 0) == (true < 0), row
+    plain = [(r[2] - r[0]) * (r[5] - r[1]) - (r[3] - r[1]) * (r[4] - r[0]) for r in rows]
+    assert any((p > 0) != (v > 0) or (p < 0) != (v < 0) for p, v in zip(plain, found))  # where rounding is wrong
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_union_of_random_lines(spark, monkeypatch, seed):
     """Number of ways against all pairs of segments, for lines in general position."""
