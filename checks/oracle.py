@@ -356,6 +356,20 @@ SELECT raw.o AS k,
     "probe_area": f"""WITH {_PLACES} SELECT place_id, left(name, 30) AS name, gtype, {_BOX[0]} AS touches, round({_BOX[1]}, 12) AS overlap,
   CASE WHEN NOT {_BOX[0]} THEN 'GEOMETRYCOLLECTION' ELSE gtype END AS overlap_type,
   round(CASE gtype WHEN 'POLYGON' THEN (maxx-minx)*(maxy-miny) ELSE 0 END, 12) AS area FROM places""",
+    "overlap_parts": f"""WITH boxes AS (
+  SELECT o_orderkey AS o, 6.1500037::DOUBLE + (o_orderkey % 1000)::DOUBLE / 2000 AS x, 0.0010011::DOUBLE + (o_orderkey % 13)::DOUBLE / 100 AS w FROM orders),
+teeth AS (SELECT 6.20025::DOUBLE + 0.0166::DOUBLE * i AS t0, 6.20025::DOUBLE + 0.0166::DOUBLE * (i + 1) AS t1 FROM range(1, 24, 2) r(i)),
+pieces AS (
+  SELECT o, greatest(t0, x) AS lo, least(t1, x + w) AS hi, greatest(t0, x, x + w * 0.25) AS hl, least(t1, x + w, x + w * 0.75) AS hh
+  FROM boxes JOIN teeth ON t0 < x + w AND t1 > x),
+sums AS (
+  SELECT o, sum(CASE WHEN hh > hl AND hl = lo AND hh = hi THEN 2 ELSE 1 END) AS parts, sum(CASE WHEN hl > lo AND hh < hi AND hh > hl THEN 1 ELSE 0 END) AS holes,
+    sum((hi - lo) * 0.08::DOUBLE - greatest(hh - hl, 0) * 0.02::DOUBLE) AS area, count(*) AS n, sum(hi - lo) AS length FROM pieces GROUP BY o)
+SELECT CAST(o AS BIGINT) AS o, CASE WHEN parts IS NULL THEN 'GEOMETRYCOLLECTION' WHEN parts = 1 THEN 'POLYGON' ELSE 'MULTIPOLYGON' END AS kind,
+  CAST(parts AS INT) AS parts, CAST(parts + holes AS INT) AS rings, round(coalesce(area, 0), 12) AS area,
+  CASE WHEN n IS NULL THEN 'GEOMETRYCOLLECTION' WHEN n = 1 THEN 'LINESTRING' ELSE 'MULTILINESTRING' END AS line_kind, CAST(n AS INT) AS line_parts,
+  round(length, 12) AS line_length
+FROM boxes LEFT JOIN sums USING (o)""",
     "valid_geometries": "SELECT CAST(o_orderkey AS BIGINT) AS place_id, o_orderkey%6 IN (0, 2, 5) AS valid FROM orders",
     "text_formats": f"""WITH {_PLACES} SELECT place_id, {_EWKT} AS ewkt, {_GEOJSON} AS geojson, TRUE AS same,
   CASE WHEN wikidata IS NOT NULL THEN name END AS name, CASE WHEN name IS NOT NULL THEN wikidata END AS wikidata,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from placeforge import fixtures
 from placeforge.functions import arrays, formats, geometry, scoring, text
 from placeforge.functions.geometry import Area
-from placeforge.operators import category, cluster, kernels, lines, merge
+from placeforge.operators import category, cluster, kernels, lines, merge, overlay
 from placeforge.operators.ordered import position_in_group
 from placeforge.plans import audit, elems, serve, tags
 from placeforge.session import work_dir
@@ -152,6 +152,29 @@ def probe_area(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("overlap", _digits(F.col("overlap"))).withColumn("area", _digits(F.col("area")))
 
 
+def overlap_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """What a box with a hole and a line share with the comb's teeth, for each order: kinds, parts, rings, measures."""
+    o = F.col("o_orderkey").cast("long")
+    rows = fixtures.spread(spark.read.parquet(f"{sf}/orders.parquet").select(o.alias("o")))
+    x, w = 6.1500037 + F.col("o") % 1000 / 2000, 0.0010011 + F.col("o") % 13 / 100
+    hole_x, hole_w = x + w * 0.25, w * 0.5
+
+    def ring(x0: Column, y0: float, x1: Column, y1: float) -> Column:
+        at = lambda px, py: geometry.point_xy(px, F.lit(py))
+        return F.array(at(x0, y0), at(x1, y0), at(x1, y1), at(x0, y1), at(x0, y0))
+
+    framed = geometry.geometry(F.lit("POLYGON"), F.array(F.array(ring(x, 0.16, x + w, 0.24), ring(hole_x, 0.19, hole_x + hole_w, 0.21))))
+    line = geometry.make_line(F.array(geometry.point_xy(x, F.lit(0.2)), geometry.point_xy(x + w, F.lit(0.2))))
+    shapes = rows.select("o", framed.alias("box"), line.alias("line"))
+    shared = shapes.select("o", overlay.overlap(F.col("box"), COMB).alias("b"), overlay.overlap(F.col("line"), COMB).alias("l"))
+    part, way = F.col("b.geometry"), F.col("l.geometry")
+    return shared.select(
+        "o", F.col("b.kind").alias("kind"), geometry.num_parts(part).alias("parts"), F.size(geometry.rings(part)).alias("rings"),
+        _digits(geometry.area(part)).alias("area"), F.col("l.kind").alias("line_kind"), geometry.num_parts(way).alias("line_parts"),
+        _digits(geometry.length(way)).alias("line_length"),
+    )
+
+
 def valid_geometries(spark: SparkSession, sf: str) -> DataFrame:
     """Valid and broken shapes on every place: bow ties, holes outside, lines of one point."""
     x, y, kind = F.col("minx"), F.col("miny"), F.col("place_id") % 6
@@ -589,7 +612,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         to_importance, test_wikipedia, web_links, array_functions, unnest_pairs, meters_to_degrees,
-        geometry_measures, area_of_box, area_of_ell, area_of_comb, probe_area, valid_geometries, simplify, simplify_peaks, text_formats,
+        geometry_measures, area_of_box, area_of_ell, area_of_comb, probe_area, overlap_parts, valid_geometries, simplify, simplify_peaks, text_formats,
         category_of_places, pick_tag, category_lines, label_lines, interesting_keys,
         prepare, group_positions, merge_positions, merged_members, merge_same_entity,
         cluster_nearby, cluster_all_places, dedupe_nearby, cluster_members, merge_linestrings, slanted_roads, replace_lines, pick_geometry,

@@ -299,7 +299,7 @@ def _clip_ring(ring: Column, edges: Column) -> Column:
     return F.aggregate(edges, open_ring, cut)
 
 
-def _near_box(geom: Column, area_: Area) -> Column:
+def near_box(geom: Column, area_: Area) -> Column:
     box = bounds(geom)
     return (
         (box["minx"] <= area_.maxx) & (box["maxx"] >= area_.minx)
@@ -333,7 +333,7 @@ def intersection_area(geom: Column, area_: Area) -> Column:
         return of_ring
 
     clipped = F.aggregate(parts, F.lit(0.0), lambda acc, p: acc + p["sign"] * _polygon_measure(geom, clipped_area(p["edges"])))
-    found = F.when(~geom["gtype"].isin(*POLYGONAL) | ~_near_box(geom, area_), F.lit(0.0))
+    found = F.when(~geom["gtype"].isin(*POLYGONAL) | ~near_box(geom, area_), F.lit(0.0))
     if len(pieces) == 1:
         box, (_, ring) = bounds(geom), pieces[0]
         corners = F.array(*[point_xy(box[x], box[y]) for x in ("minx", "maxx") for y in ("miny", "maxy")])
@@ -346,28 +346,13 @@ def intersection_area(geom: Column, area_: Area) -> Column:
 def intersects(geom: Column, area_: Area) -> Column:
     """Do geometry and area share a point? Touching counts."""
     own, others = segments(geom), area_.segments()
-    near = _near_box(geom, area_)
+    near = near_box(geom, area_)
     inside = F.exists(points(geom), lambda p: covers_point(others, p))
     crossing = F.exists(own, lambda s: F.exists(others, lambda e: segments_touch(s, e)))
     around = geom["gtype"].isin(*POLYGONAL) & covers_point(own, area_.corner())
     return near & (inside | crossing | around)
 
 
-def intersection_type(geom: Column, area_: Area) -> Column:
-    """Kind of the overlap with the area; GEOMETRYCOLLECTION when there is none.
-
-    Single and multiple parts of an overlap are not told apart.
-    """
-    kind = (
-        F.when(
-            geom["gtype"].isin(*POLYGONAL), F.when(intersection_area(geom, area_) > 0, "POLYGON").otherwise("LINESTRING")
-        )
-        .when(geom["gtype"].isin(*LINEAR), "LINESTRING")
-        .otherwise("POINT")
-    )
-    return F.when(intersects(geom, area_), kind).otherwise("GEOMETRYCOLLECTION")
-
-
 def pick_geometry(geoms: Column, importances: Column) -> Column:
     """Of parallel arrays, the most important geometry of more than one point, else the most important.
 

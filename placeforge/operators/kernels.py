@@ -29,7 +29,7 @@ def _flat(batch: pa.StructArray):
     return xy, *(np.asarray(a.offsets) for a in (parts, rings, lines))
 
 
-def _decode(batch: pa.StructArray):
+def decode_geometries(batch: pa.StructArray):
     """Yields (gtype, parts as lists of n x 2 arrays) or None per row of an Arrow geometry column."""
     types = batch.field("gtype").to_pylist()
     xy, part_at, ring_at, point_at = _flat(batch)
@@ -43,7 +43,7 @@ def _decode(batch: pa.StructArray):
         ]
 
 
-def _encode(rows: list) -> pa.Array:
+def encode_geometries(rows: list) -> pa.Array:
     """Arrow geometry column of (gtype, parts) or None per row."""
     present = [r for r in rows if r is not None]
     parts = [p for _, ps in present for p in ps]
@@ -252,7 +252,7 @@ def _valid_polygons(geoms: pa.Array) -> pa.Array:
         done[these] = True
     left = np.flatnonzero(present & ~done)
     if len(left):
-        answers[left] = [_valid_parts(g[1]) for g in _decode(geoms.take(pa.array(left)))]
+        answers[left] = [_valid_parts(g[1]) for g in decode_geometries(geoms.take(pa.array(left)))]
     return pa.array(answers, mask=~present)
 
 
@@ -330,8 +330,8 @@ def simplify(geom: Column, tolerance: float, keep_collapsed: bool = True) -> Col
 
     @F.arrow_udf(GEOMETRY)
     def thin(geoms: pa.Array) -> pa.Array:
-        return _encode(
-            [g and _thin_geometry(*g, _weigh(g[1]), tolerance, keep_collapsed) for g in _decode(geoms)]
+        return encode_geometries(
+            [g and _thin_geometry(*g, _weigh(g[1]), tolerance, keep_collapsed) for g in decode_geometries(geoms)]
         )
 
     plain = (num_points(geom) < 3) | geom["gtype"].isin(*POINTS)  # nothing to drop
@@ -348,14 +348,14 @@ def simplify_to(geom: Column, max_points: int, first_tolerance: float = 1e-6) ->
     @F.arrow_udf(GEOMETRY)
     def thin(geoms: pa.Array) -> pa.Array:
         rows = []
-        for g in _decode(geoms):
+        for g in decode_geometries(geoms):
             if g is not None:
                 weights, tolerance, whole = _weigh(g[1]), first_tolerance, g
                 while _size(g) > max_points and tolerance < 1e3:
                     g = _thin_geometry(*whole, weights, tolerance, True)
                     tolerance *= 2
             rows.append(g)
-        return _encode(rows)
+        return encode_geometries(rows)
 
     plain = (num_points(geom) <= max_points) | geom["gtype"].isin(*POINTS)
     return F.when(plain, geom).otherwise(thin(F.when(~plain, geom)))
@@ -407,7 +407,7 @@ def _read_ewkb(data: bytes, at: int = 0):
 
 @F.arrow_udf(GEOMETRY)
 def _from_ewkb(values: pa.Array) -> pa.Array:
-    return _encode([v and _read_ewkb(v)[:2] for v in values.to_pylist()])
+    return encode_geometries([v and _read_ewkb(v)[:2] for v in values.to_pylist()])
 
 
 def from_ewkb_hex(text: Column) -> Column:

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeforge.functions.geometry import (
-    Area, area, bounds, in_working_area, intersection_area, intersection_type, intersects, near_area,
+    Area, area, bounds, in_working_area, intersection_area, intersects, near_area,
 )
+from placeforge.operators.overlay import overlap
 
 PAGE_SIZE = 10
 
@@ -45,6 +46,6 @@ def probe(places: DataFrame, polygon: Area) -> DataFrame:
         geom["gtype"].alias("gtype"),
         intersects(geom, polygon).alias("touches"),
         intersection_area(geom, polygon).alias("overlap"),
-        intersection_type(geom, polygon).alias("overlap_type"),
+        overlap(geom, polygon)["kind"].alias("overlap_type"),
         area(geom).alias("area"),
     )
