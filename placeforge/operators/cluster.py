@@ -5,6 +5,11 @@ Distances are planar in EPSG:3857, so a cluster shrinks on the ground with the l
 Arrays are unfolded with the outer forms of explode and inline, though none is empty: the plain forms
 make Spark evaluate the array twice, once to test its size.
 
+Objects are first parted into leaves that no link leaves: a name of few points is one, and an object of a common name
+lies with all whose boxes, widened by half the distance, share a square of ``_SQUARE`` distances with its own, directly
+or through others. A leaf of at most ``_LEAF`` points is solved in one pass over its segments (see ``leaves``), which
+are shuffled once. What is left, names crowded over wide regions, is spread by cells as follows.
+
 Geometries are cut at the lines of a grid whose cells are small enough that all that lies in one cell
 belongs together. That leaves three kinds of links, none of which needs pairs of objects:
 objects of one cell (a star per cell), neighbouring cells (decided from boxes, see ``_open_links``) and
@@ -13,14 +18,15 @@ objects inside a polygon (runs of interior cells, looked up by cell).
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeforge.functions.geometry import POLYGONAL, mercator_x, mercator_y, segments
+from placeforge.functions.geometry import POLYGONAL, bounds, mercator_x, mercator_y, num_points, segments
 from placeforge.functions.text import unaccent
 from placeforge.operators.components import connected_components
+from placeforge.operators.leaves import solve_batches
 from placeforge.operators.skew import with_groups
 from placeforge.session import durable
 
@@ -31,6 +37,10 @@ _TESTS = 4096  # pieces of two cells are compared directly up to this many pairs
 _TESTS_PER_PIECE = 32  # with more comparisons than this to make, components are found in two steps
 _MAX_DEPTH = 12  # cells of eps / 8^12 are below the spacing of doubles
 
+_LEAF = 20_000  # points of a leaf that one task solves
+_SQUARE = 20  # side of the squares by which a common name is parted, per eps
+_MOST_SQUARES = 1024  # a name with an object over more squares is not parted
+
 _CELL = ["nk", "cx", "cy"]
 _LINE = ["x0", "y0", "x1", "y1"]  # the whole segment
 _CUT = ["a0", "b0", "a1", "b1"]  # its part inside the cell
@@ -347,13 +357,61 @@ def _links_inside(active: DataFrame, cells: DataFrame, side: float) -> list[Data
     return [shared, looked_up]
 
 
+def _numbered_segments(rows: DataFrame) -> DataFrame:
+    """(nk, space, place_id, n, of_polygon, x0, y0, x1, y1), ``n`` counts the segments of an object."""
+    x0, y0, x1, y1 = (F.col(f"s.{n}") for n in _LINE)
+    flag = F.col("geometry.gtype").isin(*POLYGONAL).alias("of_polygon")
+    return rows.select("nk", "space", "place_id", flag, F.posexplode_outer(segments(F.col("geometry"))).alias("n", "s")).select(
+        "nk", "space", "place_id", "n", "of_polygon",
+        mercator_x(x0).alias("x0"), mercator_y(y0).alias("y0"), mercator_x(x1).alias("x1"), mercator_y(y1).alias("y1"),
+    )
+
+
+def _spaces(objects: DataFrame, eps: float) -> DataFrame:
+    """Objects of common names with ``space``, the smallest place id of those that a chain of shared squares joins."""
+    side, box = eps * _SQUARE, bounds(F.col("geometry"))
+    boxed = objects.select("place_id", "nk", *[v.alias(k) for k, v in box.items()])
+    span = lambda lo, hi, f: F.sequence(F.floor((f(F.col(lo)) - eps / 2) / side), F.floor((f(F.col(hi)) + eps / 2) / side))
+    placed = boxed.select("place_id", "nk", span("minx", "maxx", mercator_x).alias("xs"), span("miny", "maxy", mercator_y).alias("ys"))
+    squares = F.size("xs").cast("long") * F.size("ys")
+    wide = placed.filter(squares > _MOST_SQUARES).select("nk").distinct()
+    cells = placed.join(wide, "nk", "left_anti").select("place_id", "nk", "ys", F.explode("xs").alias("cx"))
+    cells = durable(cells.select("place_id", *_CELL[:2], F.explode("ys").alias("cy")), "squares")
+    least = cells.groupBy(*_CELL).agg(F.min("place_id").alias("rep"), F.count("*").alias("n"))
+    stars = with_groups(cells, least, _CELL, "n", cells.count(), F.col("place_id"))
+    joined = connected_components(stars.select(F.col("place_id").alias("u"), F.col("rep").alias("v")))
+    narrow = objects.join(wide, "nk", "left_anti")
+    met = narrow.join(joined, F.col("place_id") == F.col("node"), "left").withColumn("space", F.coalesce("component", "place_id"))
+    return met.drop("node", "component").unionByName(objects.join(wide, "nk", "left_semi").withColumn("space", F.lit(None).cast("long")))
+
+
 def nearby_components(objects: DataFrame, eps: float = DEFAULT_EPS) -> DataFrame:
     """(node, component) of the objects (``place_id, nk, geometry``) linked to another of the same ``nk``."""
-    side = eps * _SIDE
-    shared = objects.groupBy("nk").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = objects.groupBy("nk").agg(F.count("*").alias("n"), F.sum(num_points(F.col("geometry"))).alias("points")).filter("n > 1")
     shared = durable(shared, "names")
-    in_names = with_groups(objects, shared, ["nk"], "n", shared.agg(F.sum("n")).first()[0] or 0, F.col("place_id"))
-    active = durable(in_names.filter("n is not null").drop("n"), "active")
+    total, most = shared.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("points"), F.lit(0))).first()
+    in_names = with_groups(objects, shared, ["nk"], "n", total, F.col("place_id")).filter("n is not null").drop("n")
+    active = durable(in_names, "active")
+    small = active.filter(F.col("points") <= _LEAF).withColumn("space", F.lit(0).cast("long"))
+    crowded = None
+    if most > _LEAF:
+        spaces = durable(_spaces(active.filter(F.col("points") > _LEAF).drop("points"), eps), "spaces")
+        sizes = durable(spaces.groupBy("space").agg(F.count("*").alias("n"), F.sum(num_points(F.col("geometry"))).alias("points")), "space-sizes")
+        sized = with_groups(spaces, sizes, ["space"], "n", spaces.count(), F.col("place_id"))
+        fits = F.coalesce(F.col("points") <= _LEAF, F.lit(False))
+        small = small.unionByName(sized.filter(fits & (F.col("n") > 1)).select(*small.columns))
+        crowded = sized.filter(~fits).select("place_id", "nk", "geometry")
+    pieces = _numbered_segments(small).repartition("nk", "space").sortWithinPartitions("nk", "space")
+    found = pieces.mapInArrow(partial(solve_batches, eps=eps), "node long, component long")
+    if crowded is not None and not crowded.isEmpty():
+        found = found.union(_crowded_components(crowded, eps))
+    return found
+
+
+def _crowded_components(objects: DataFrame, eps: float) -> DataFrame:
+    """As ``nearby_components``, with the objects of a name in any number of tasks."""
+    side = eps * _SIDE
+    active = durable(objects, "active")
     lines = _mercator_segments(active)
     whole = lines.select("*", *[F.col(line).alias(cut) for line, cut in zip(_LINE, _CUT)])
     pieces = durable(_cut_to_cells(whole, side), "pieces")

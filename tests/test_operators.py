@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from placeforge import session
 from placeforge.functions import arrays, formats, geometry, text
 from placeforge.functions.geometry import Area
-from placeforge.operators import cluster, exact, kernels, lines, ordered
+from placeforge.operators import cluster, exact, kernels, leaves, lines, ordered
 from placeforge.operators.components import connected_components
 from placeforge.plans import audit, serve
 from placeforge.plans.elems import build_elems
@@ -317,9 +317,10 @@ def _clustered(spark, shapes, eps):
     return {r.place_id: r.cid for r in cluster.cluster_nearby(df, eps).collect()}
 
 
-@pytest.mark.parametrize("seed, per_piece", [(1, 32), (2, 0)])
-def test_clusters_of_mixed_shapes(spark, monkeypatch, seed, per_piece):
+@pytest.mark.parametrize("seed, per_piece, leaf", [(1, 32, 0), (2, 0, 0), (1, 32, 20_000), (2, 32, 20_000), (3, 32, 60)])
+def test_clusters_of_mixed_shapes(spark, monkeypatch, seed, per_piece, leaf):
     monkeypatch.setattr(cluster, "_TESTS_PER_PIECE", per_piece)
+    monkeypatch.setattr(cluster, "_LEAF", leaf)
     rng = random.Random(seed)
     shapes = {}
     for key in range(110):
@@ -338,10 +339,34 @@ def test_clusters_of_mixed_shapes(spark, monkeypatch, seed, per_piece):
     assert _clustered(spark, shapes, 100.0) == brute_force_clusters(shapes, 100.0)
 
 
-@pytest.mark.parametrize("gap, clusters", [(99.5, 1), (100.5, 2)])
-def test_crowded_neighbour_cells(spark, monkeypatch, gap, clusters):
+@pytest.mark.parametrize("batch, leaf", [(7, 20_000), (100_000, 20_000), (40, 9)])
+def test_clusters_of_many_names(spark, monkeypatch, batch, leaf):
+    """Names next to each other never mix; leaves may end anywhere in a batch; far names and lone objects."""
+    monkeypatch.setattr(leaves, "BATCH", batch)
+    monkeypatch.setattr(cluster, "_LEAF", leaf)
+    rng = random.Random(8)
+    shapes, names = {}, {}
+    for key in range(160):
+        x, y = rng.choice([0, 0, 0, 170]) + rng.uniform(-0.01, 0.01), rng.choice([0, 0, -80]) + rng.uniform(-0.004, 0.004)
+        pts = [(x, y)] if key % 3 else [(x, y), (x + rng.uniform(-1, 1) * 1e-3, y)]
+        shapes[key], names[key] = (False, pts), rng.choice("aabbbcddddddé") if key else "lone"
+    expected = {}
+    for name in set(names.values()):
+        expected |= brute_force_clusters({k: s for k, s in shapes.items() if names[k] == name}, 100.0)
+    body = lambda pts: ",".join(f"{x!r} {y!r}" for x, y in pts)
+    rows = [(k, names[k], f"{'LINESTRING' if len(s[1]) > 1 else 'POINT'}({body(s[1])})") for k, s in shapes.items()]
+    df = spark.createDataFrame(rows, "place_id long, name string, t string").select("place_id", "name", formats.from_ewkt(F.col("t")).alias("geometry"))
+    want = {k: (v if names[k] != "é" else None) for k, v in expected.items()}
+    found = {r.place_id: r.cid for r in cluster.cluster_nearby(df, 100.0).collect()}
+    assert {k: v for k, v in found.items() if want[k] is not None} == {k: v for k, v in want.items() if v is not None}
+
+
+@pytest.mark.parametrize("gap, clusters, leaf", [(99.5, 1, 0), (100.5, 2, 0), (99.5, 1, 20_000), (100.5, 2, 20_000)])
+def test_crowded_neighbour_cells(spark, monkeypatch, gap, clusters, leaf):
     """Two crowds just under or over the distance apart: decided by smaller and smaller cells."""
     monkeypatch.setattr(cluster, "_TESTS", 16)
+    monkeypatch.setattr(cluster, "_LEAF", leaf)
+    monkeypatch.setattr(leaves, "_AT_ONCE", 1000)
     rng = random.Random(5)
     per_degree = 6378137 * math.pi / 180
     shapes = {}
