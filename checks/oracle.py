@@ -370,7 +370,7 @@ SELECT CAST(o AS BIGINT) AS o, CASE WHEN parts IS NULL THEN 'GEOMETRYCOLLECTION'
   CASE WHEN n IS NULL THEN 'GEOMETRYCOLLECTION' WHEN n = 1 THEN 'LINESTRING' ELSE 'MULTILINESTRING' END AS line_kind, CAST(n AS INT) AS line_parts,
   round(length, 12) AS line_length
 FROM boxes LEFT JOIN sums USING (o)""",
-    "valid_geometries": "SELECT CAST(o_orderkey AS BIGINT) AS place_id, o_orderkey%6 IN (0, 2, 5) AS valid FROM orders",
+    "valid_geometries": "SELECT CAST(o_orderkey AS BIGINT) AS place_id, o_orderkey%8 IN (0, 2, 5, 7) AS valid FROM orders",
     "text_formats": f"""WITH {_PLACES} SELECT place_id, {_EWKT} AS ewkt, {_GEOJSON} AS geojson, TRUE AS same,
   CASE WHEN wikidata IS NOT NULL THEN name END AS name, CASE WHEN name IS NOT NULL THEN wikidata END AS wikidata,
   CASE WHEN name IS NOT NULL AND wikidata IS NOT NULL THEN 3 END AS keys FROM places""",
@@ -437,7 +437,7 @@ FROM tags GROUP BY popindex, page""",
     "same_object_report": f"WITH {_PLACES} " + _report("places", "osm_type, osm_id", "place_id", {"names": "name", "scores": _BROWSE}),
     "same_wikipedia_report": f"WITH {_PLACES} " + _report("places", "wikipedia", "place_id", {"names": "name", "webs": _WEB}, "wikipedia <> ''"),
     "same_wikidata_report": f"WITH {_PLACES} " + _report("places", "wikidata", "place_id", {"names": "name", "importances": "importance", "webs": _WEB}, "wikidata <> ''"),
-    "same_name_report": f"WITH RECURSIVE {_elems()} " + _report("elems", "name", "popindex", {"popindexs": "popindex", "supercats": "supercat", "subcats": "subcat"}),
+    "same_name_report": f"WITH RECURSIVE {_elems()} " + _report("elems", "name", "popindex", {"popindexs": "popindex", "supercats": "supercat", "subcats": "subcat", "osm_idss": "osm_ids"}),
     "repeated_objects": f"WITH {_PLACES} SELECT osm_type, osm_id, count(*) AS n FROM places GROUP BY ALL HAVING count(*) > 1",
     "ranks_by_name": f"""WITH RECURSIVE {_elems()} SELECT left(name, 30) AS name, popindex, row_number() OVER w AS nth, min(popindex) OVER (PARTITION BY name) AS best,
   popindex = min(popindex) OVER (PARTITION BY name) AS is_best FROM elems WINDOW w AS (PARTITION BY name ORDER BY popindex)""",
@@ -447,17 +447,34 @@ SELECT left(name, 30) AS name, place_id, rank_search, {_WEB} AS web, {_BROWSE} A
   string_agg(class, '_:_') OVER (PARTITION BY osm_type, osm_id ORDER BY place_id) AS classes,
   string_agg(type, '_:_') OVER (PARTITION BY osm_type, osm_id ORDER BY place_id) AS types FROM places)
 SELECT osm_type, osm_id, name, CAST(0 AS BIGINT) AS page, classes, types FROM ordered WHERE n = 1 AND name <> ''""",
+    "running_lists": f"""WITH {_PLACES} SELECT osm_type, osm_id, place_id, name, admin_level, gtype, {_BROWSE} AS score,
+  row_number() OVER (PARTITION BY osm_type, osm_id ORDER BY {_BROWSE} NULLS LAST, place_id) AS by_score,
+  row_number() OVER (PARTITION BY osm_type, osm_id ORDER BY place_id) AS pos, CAST(0 AS BIGINT) AS page,
+  string_agg(class, '_:_') OVER o AS classes_so_far, string_agg(type, '_:_') OVER o AS types_so_far,
+  coalesce(string_agg(name, '_:_') OVER w, '') AS all_names, string_agg(class, '_:_') OVER w AS all_classes, string_agg(type, '_:_') OVER w AS all_types
+FROM places WINDOW o AS (PARTITION BY osm_type, osm_id ORDER BY place_id),
+  w AS (PARTITION BY osm_type, osm_id ORDER BY place_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
     "object_entries": f"""WITH {_PLACES} SELECT osm_type, osm_id, place_id, name, class, type, admin_level,
   row_number() OVER (PARTITION BY osm_type, osm_id ORDER BY place_id) AS pos FROM places""",
     "names_summary": f"""WITH {_PLACES} SELECT name, count(*) AS n, count(*) FILTER (WHERE wikipedia IS NOT NULL) AS with_page,
   max(importance) FILTER (WHERE wikipedia IS NOT NULL) AS best, 'DOUBLE' AS kind FROM places GROUP BY name""",
     "reference_systems": """SELECT CAST(p_partkey AS BIGINT) AS srid, 'UNIT["metre",1]' AS srtext FROM part WHERE p_partkey % 3 <> 0""",
     "stored_elems": f"""WITH RECURSIVE {_elems()} SELECT popindex, CAST(0 AS BIGINT) AS page, name, supercat, subcat, gtype, osm_ids FROM elems""",
+    "simplify_to_points": """WITH peaks AS (SELECT o_orderkey AS o, ((o_orderkey * (k + 3)) % 11 + 1) / 10.0::DOUBLE AS h FROM orders, range(5) r(k)),
+higher AS (SELECT o, h, (SELECT count(*) FROM peaks q WHERE q.o = p.o AND q.h > p.h) AS above FROM peaks p),
+least AS (SELECT o, CASE WHEN count(*) <= 3 THEN 0 ELSE min(h) FILTER (above <= 3) END AS t FROM higher GROUP BY o)
+SELECT CAST(o AS BIGINT) AS o, CAST(sum(CASE WHEN h > t THEN 3 ELSE 2 END) AS INT) AS points,
+  round(sum(CASE WHEN h > t THEN 2 * sqrt(1 + h * h) ELSE 2 END), 9) AS length FROM peaks JOIN least USING (o) GROUP BY o""",
     "simplify_peaks": "SELECT CAST(o_orderkey AS BIGINT) AS place_id, CAST(CASE WHEN o_orderkey%7 > 3.5 THEN 3 ELSE 2 END AS INT) AS points FROM orders",
     "rejected_wikipedia": f"""WITH {_PLACES} SELECT place_id, name, wikipedia, importance FROM places
 WHERE wikipedia IS NOT NULL AND ({_PAGE_TEST}) IS NULL AND importance IS NOT NULL""",
     "widest_rows": f"""WITH {_PLACES} SELECT place_id AS label, CAST(strlen(CAST(to_json({{'place_id': place_id, 'osm_type': osm_type,
-  'osm_id': osm_id, 'class': class, 'type': type, 'name': name, 'wikipedia': wikipedia}}) AS VARCHAR)) AS INT) AS bytes FROM places
+  'osm_id': osm_id, 'importance': importance, 'rank_search': rank_search, 'class': class, 'type': type, 'admin_level': admin_level,
+  'name': CASE WHEN name IS NOT NULL THEN {{'name': name}} END, 'extratags': CASE WHEN wikidata IS NOT NULL THEN {{'wikidata': wikidata}} END,
+  'wikipedia': wikipedia, 'geometry': {{'gtype': gtype, 'parts': [[CASE gtype WHEN 'POINT' THEN [{{'x': minx, 'y': miny}}]
+    WHEN 'LINESTRING' THEN [{{'x': minx, 'y': miny}}, {{'x': maxx, 'y': miny}}]
+    ELSE [{{'x': minx, 'y': miny}}, {{'x': maxx, 'y': miny}}, {{'x': maxx, 'y': maxy}}, {{'x': minx, 'y': maxy}}, {{'x': minx, 'y': miny}}] END]]}},
+  'minx': minx, 'miny': miny, 'maxx': maxx, 'maxy': maxy}}) AS VARCHAR)) AS INT) AS bytes FROM places
 ORDER BY bytes DESC, label LIMIT 10""",
     "count_larger_than": f"WITH {_PLACES} SELECT count(*) AS n FROM places WHERE gtype <> 'POINT'",
     "most_points": f"WITH {_PLACES} SELECT min(place_id) AS place_id, 2 AS points FROM places WHERE gtype = 'LINESTRING'",

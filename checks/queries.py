@@ -176,8 +176,8 @@ def overlap_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def valid_geometries(spark: SparkSession, sf: str) -> DataFrame:
-    """Valid and broken shapes on every place: bow ties, holes outside, lines of one point."""
-    x, y, kind = F.col("minx"), F.col("miny"), F.col("place_id") % 6
+    """Valid and broken shapes on every place: bow ties, holes outside, lines of one point, holes that touch once or twice."""
+    x, y, kind = F.col("minx"), F.col("miny"), F.col("place_id") % 8
 
     def at(dx: float, dy: float) -> Column:
         return geometry.point_xy(x + dx, y + dy)
@@ -186,18 +186,34 @@ def valid_geometries(spark: SparkSession, sf: str) -> DataFrame:
         return F.array(*[at(*o) for o in offsets])
 
     square = ring((0, 0), (4, 0), (4, 4), (0, 4), (0, 0))
+    hook = ring((1, 1), (3, 1), (3, 1.5), (1.5, 1.5), (1.5, 2.5), (3, 2.5), (3, 3), (1, 3), (1, 1))
     shape = (
         F.when(kind == 0, geometry.geometry(F.lit("POLYGON"), F.array(F.array(square))))
         .when(kind == 1, geometry.geometry(F.lit("POLYGON"), F.array(F.array(ring((0, 0), (4, 4), (4, 0), (0, 4), (0, 0))))))
         .when(kind == 2, geometry.geometry(F.lit("POLYGON"), F.array(F.array(square, ring((1, 1), (2, 1), (2, 2), (1, 1))))))
         .when(kind == 3, geometry.geometry(F.lit("POLYGON"), F.array(F.array(square, ring((3, 3), (6, 3), (6, 6), (3, 3))))))
         .when(kind == 4, geometry.make_line(ring((0, 0), (0, 0))))
+        .when(kind == 6, geometry.geometry(F.lit("POLYGON"), F.array(F.array(square, hook, ring((3, 1.5), (3.5, 2), (3, 2.5), (3.25, 2), (3, 1.5))))))
+        .when(kind == 7, geometry.geometry(F.lit("POLYGON"), F.array(F.array(square, hook, ring((3, 1.5), (3.5, 1.5), (3.5, 2), (3, 1.5))))))
         .otherwise(geometry.make_line(ring((0, 0), (1, 1))))
     )
     shapes = fixtures.places(spark, sf).select("place_id", shape.alias("geometry"))
     return shapes.select("place_id", kernels.is_valid(_geom()).alias("valid"))
 
 
+def simplify_to_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Five peaked lines for each order, thinned to 13 points in all: the highest peaks stay, equal ones go together."""
+    o = F.col("o_orderkey").cast("long")
+    at = lambda x, y: geometry.point_xy(F.lit(float(x)), y)
+    zero = F.lit(0.0)
+    peaked = [F.array(F.array(at(0, zero), at(1, ((o * (k + 3)) % 11 + 1) / 10), at(2, zero))) for k in range(5)]
+    rows = fixtures.spread(spark.read.parquet(f"{sf}/orders.parquet").select(o.alias("o_orderkey")))
+    shapes = rows.select(F.col("o_orderkey").alias("o"), geometry.geometry(F.lit("MULTILINESTRING"), F.array(*peaked)).alias("geometry"))
+    return shapes.select("o", kernels.simplify_to(_geom(), 13).alias("geometry")).select(
+        "o", geometry.num_points(_geom()).alias("points"), _digits(geometry.length(_geom()), 9).alias("length")
+    )
+
+
 def _zigzag(spark: SparkSession, sf: str) -> DataFrame:
     steps = F.transform(
         F.sequence(F.lit(0), F.lit(39)),
@@ -450,8 +466,9 @@ def area_matches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def query_area(spark: SparkSession, sf: str) -> DataFrame:
-    built = elems.build_elems(fixtures.places(spark, sf))
-    return serve.query_area(built, BOX, after=5).select("popindex", "name", "supercat", "subcat", "osm_ids")
+    path = f"{work_dir(spark)}/{spark.sparkContext.applicationId}/elems-{uuid.uuid4().hex}"
+    tables.write_elems(elems.build_elems(fixtures.places(spark, sf)), path)
+    return serve.query_stored(spark, path, BOX, after=5).select("popindex", "name", "supercat", "subcat", "osm_ids")
 
 
 def prepared_in_area(spark: SparkSession, sf: str) -> DataFrame:
@@ -479,7 +496,7 @@ def same_wikidata_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def same_name_report(spark: SparkSession, sf: str) -> DataFrame:
     built = elems.build_elems(fixtures.places(spark, sf))
-    return audit.page_texts(audit.same_name_report(built), ["name"], ["popindex", "supercat", "subcat"])
+    return audit.page_texts(audit.same_name_report(built), ["name"], ["popindex", "supercat", "subcat", "osm_ids"])
 
 
 def repeated_objects(spark: SparkSession, sf: str) -> DataFrame:
@@ -498,6 +515,11 @@ def classes_so_far(spark: SparkSession, sf: str) -> DataFrame:
     return audit.classes_so_far(fixtures.places(spark, sf))
 
 
+def running_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists on every place of its object's rows, up to the place and whole."""
+    return audit.object_lists(fixtures.places(spark, sf))
+
+
 def object_entries(spark: SparkSession, sf: str) -> DataFrame:
     return audit.object_entries(fixtures.places(spark, sf))
 
@@ -518,9 +540,7 @@ def rejected_wikipedia(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def widest_rows(spark: SparkSession, sf: str) -> DataFrame:
-    places = fixtures.places(spark, sf)
-    texts = places.select("place_id", "osm_type", "osm_id", "class", "type", audit.place_name().alias("name"), "wikipedia")
-    return audit.widest_rows(texts, F.col("place_id"))
+    return audit.widest_rows(fixtures.places(spark, sf), F.col("place_id"))
 
 
 def count_larger_than(spark: SparkSession, sf: str) -> DataFrame:
@@ -612,13 +632,13 @@ QUERIES = {
     f.__name__: f
     for f in [
         to_importance, test_wikipedia, web_links, array_functions, unnest_pairs, meters_to_degrees,
-        geometry_measures, area_of_box, area_of_ell, area_of_comb, probe_area, overlap_parts, valid_geometries, simplify, simplify_peaks, text_formats,
+        geometry_measures, area_of_box, area_of_ell, area_of_comb, probe_area, overlap_parts, valid_geometries, simplify, simplify_peaks, simplify_to_points, text_formats,
         category_of_places, pick_tag, category_lines, label_lines, interesting_keys,
         prepare, group_positions, merge_positions, merged_members, merge_same_entity,
         cluster_nearby, cluster_all_places, dedupe_nearby, cluster_members, merge_linestrings, slanted_roads, replace_lines, pick_geometry,
         build_elems, stored_elems, build_elems_other_modes, cluster_lists, object_lists, area_matches, query_area, prepared_in_area,
         same_object_report, same_wikipedia_report, same_wikidata_report, same_name_report, repeated_objects,
-        ranks_by_name, first_of_object, classes_so_far, object_entries, names_summary, reference_systems, rejected_wikipedia, widest_rows, count_larger_than,
+        ranks_by_name, first_of_object, classes_so_far, running_lists, object_entries, names_summary, reference_systems, rejected_wikipedia, widest_rows, count_larger_than,
         most_points, top_name, browse, place_details, names_matching, classify_tags, place_rows,
     ]
 }

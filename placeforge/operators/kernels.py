@@ -166,6 +166,37 @@ def _probes(ring: Ring) -> np.ndarray:
     return np.concatenate([a, (a + b) / 2])
 
 
+def _in_one_piece(rings: list[Ring]) -> bool:
+    """Is the inside of nested rings that only touch connected?
+
+    Rings and the points where they touch are the nodes of a graph, with an edge where a ring goes through a point: a
+    cycle of it goes around a part of the inside.
+    """
+    touching: dict[tuple, set[int]] = {}
+    boxes = [(r.min(axis=0), r.max(axis=0)) for r in rings]
+    for i, ring in enumerate(rings):
+        for j, other in enumerate(rings):
+            if i != j and (boxes[i][0] <= boxes[j][1]).all() and (boxes[j][0] <= boxes[i][1]).all():
+                corners = ring[:-1]
+                for p in corners[_locate(other, corners) == 0].tolist():
+                    touching.setdefault(tuple(p), set()).update((i, j))
+    root = list(range(len(rings) + len(touching)))
+
+    def find(n: int) -> int:
+        while root[n] != n:
+            root[n] = root[root[n]]
+            n = root[n]
+        return n
+
+    for k, through in enumerate(touching.values()):
+        for ring_no in through:
+            a, b = find(ring_no), find(len(rings) + k)
+            if a == b:
+                return False
+            root[a] = b
+    return True
+
+
 def _valid_polygon(part: list[Ring]) -> bool:
     if not part or not all(_simple_ring(r) for r in part):
         return False
@@ -180,7 +211,7 @@ def _valid_polygon(part: list[Ring]) -> bool:
                 or (_locate(hole, _probes(other)) > 0).any()
             ):
                 return False
-    return True
+    return not holes or _in_one_piece(part)
 
 
 def _inside_part(part: list[Ring], ring: Ring) -> bool:
@@ -257,10 +288,7 @@ def _valid_polygons(geoms: pa.Array) -> pa.Array:
 
 
 def is_valid(geom: Column) -> Column:
-    """Points always; lines with two distinct points; polygons with simple rings, properly nested.
-
-    Not tested: an interior cut apart by holes that touch at several points.
-    """
+    """Points always; lines with two distinct points; polygons with simple rings, properly nested, around one connected inside."""
     lines = F.forall(geom["parts"], lambda part: F.exists(part[0], lambda p: p != part[0][0]))
     polygons = _valid_polygons(F.when(geom["gtype"].isin(*POLYGONAL), geom))
     return (
@@ -342,18 +370,33 @@ def _size(g) -> int:
     return sum(len(r) for part in g[1] for r in part)
 
 
-def simplify_to(geom: Column, max_points: int, first_tolerance: float = 1e-6) -> Column:
-    """Thinned with doubling tolerance until no more than ``max_points`` are left or no more can go."""
+def _least_tolerance(gtype: str, parts: list[list[Ring]], weights: list[list[np.ndarray]], max_points: int) -> float:
+    """The smallest tolerance that leaves at most ``max_points``; the largest weight if none does.
+
+    The points left only fall with the tolerance and change at weights alone, so the weights of all rings are searched.
+    """
+    steps = np.unique(np.concatenate([np.zeros(1), *[w[np.isfinite(w)] for part in weights for w in part]]))
+    lo, hi = 0, len(steps) - 1
+    while lo < hi:
+        middle = (lo + hi) // 2
+        left = _thin_geometry(gtype, parts, weights, steps[middle], True)
+        lo, hi = (lo, middle) if left is None or _size(left) <= max_points else (middle + 1, hi)
+    return steps[lo]
+
+
+def simplify_to(geom: Column, max_points: int) -> Column:
+    """Thinned to at most ``max_points``, by the smallest tolerance over all rings that does it.
+
+    Lines keep their ends and shells four points, closed, so that many of them may leave more.
+    """
 
     @F.arrow_udf(GEOMETRY)
     def thin(geoms: pa.Array) -> pa.Array:
         rows = []
         for g in decode_geometries(geoms):
             if g is not None:
-                weights, tolerance, whole = _weigh(g[1]), first_tolerance, g
-                while _size(g) > max_points and tolerance < 1e3:
-                    g = _thin_geometry(*whole, weights, tolerance, True)
-                    tolerance *= 2
+                weights = _weigh(g[1])
+                g = _thin_geometry(*g, weights, _least_tolerance(*g, weights, max_points), True)
             rows.append(g)
         return encode_geometries(rows)
 

@@ -79,6 +79,32 @@ def position_in_table(
     )
 
 
+def running_lists(
+    rows: DataFrame, keys: list[str], order: list[Column], values: list[str], page: int = PAGE
+) -> tuple[DataFrame, DataFrame]:
+    """Lists of ``values`` over each row's group, as references into shared pages: (rows, pages).
+
+    ``rows`` gain pos, page and length: the list up to a row is all earlier pages and the first ``length`` items of its page,
+    the whole list all pages of the group. So the lists of a group of n rows take n items, not n * n.
+    """
+    placed = position_in_group(rows, keys, order, "pos")
+    paged = placed.withColumn("page", F.expr(f"(pos - 1) div {page}"))
+    paged = durable(paged.withColumn("length", (F.col("pos") - F.col("page") * page).cast("int")), "listed")
+    items = F.array_sort(F.collect_list(F.struct("pos", *values)))
+    pages = paged.groupBy(*keys, "page").agg(items.alias("items"))
+    bare = F.transform("items", lambda i: F.struct(*[i[v].alias(v) for v in values]))
+    return paged, durable(pages.select(*keys, "page", bare.alias("items")), "list-pages")
+
+
+def lists_on_rows(rows: DataFrame, pages: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``running_lists`` with ``items``, their own page whole; a page meets at most its own rows."""
+    own = pages.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("page").alias("_page"), "items")
+    same = F.col("page") == F.col("_page")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return rows.join(own, same).select(*rows.columns, "items")
+
+
 def list_pages(rows: DataFrame, keys: list[str], order: list[Column], values: list[str], page: int = PAGE) -> DataFrame:
     """Ordered lists per group in pages: (keys, page, items), items an array of structs of ``values``.
 

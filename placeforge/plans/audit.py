@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from placeforge.functions.geometry import num_points
 from placeforge.functions.scoring import browse_score
 from placeforge.functions.text import test_wikipedia, to_web
-from placeforge.operators.ordered import list_pages, position_in_group
+from placeforge.operators.ordered import list_pages, lists_on_rows, position_in_group, running_lists
 from placeforge.operators.skew import with_groups
 from placeforge.session import durable
 
@@ -79,8 +79,11 @@ def same_wikidata_report(places: DataFrame) -> DataFrame:
 
 
 def same_name_report(elems: DataFrame) -> DataFrame:
-    """Ranks, categories and ids (their first page) of objects that share a name."""
-    return duplicates_report(elems.filter("page = 0"), ["name"], [F.col("popindex")], ["popindex", "supercat", "subcat", "osm_ids"])
+    """Ranks, categories and all ids of objects that share a name; an object of several pages has an entry for each."""
+    repeated = durable(repeated_keys(elems.filter("page = 0"), ["name"]), "repeated")
+    total = repeated.agg(F.sum("n")).first()[0] or 0
+    rows = with_groups(elems, repeated, ["name"], "n", total, F.struct("popindex", "page")).filter("n is not null")
+    return list_pages(rows, ["name"], [F.col("popindex"), F.col("page")], ["popindex", "page", "supercat", "subcat", "osm_ids"])
 
 
 def ranks_by_name(elems: DataFrame) -> DataFrame:
@@ -142,6 +145,26 @@ def classes_so_far(places: DataFrame) -> DataFrame:
     )
 
 
+def object_lists(places: DataFrame) -> DataFrame:
+    """Every place with the names, classes and types of its OSM object's rows: those up to it, and all.
+
+    A list is that of the row's page (``page``, of at most ``ordered.PAGE`` rows); earlier and later pages are on the rows
+    of these. ``by_score`` is the row's place by score, lowest first; rows come by falling score.
+    """
+    keys, values = ["osm_type", "osm_id"], ["name", "class", "type"]
+    rows = places.select(
+        *keys, "place_id", place_name().alias("name"), "class", "type", "admin_level", F.col("geometry.gtype").alias("gtype"), score().alias("score")
+    )
+    ranked = position_in_group(rows, keys, [F.col("score").asc_nulls_last(), F.col("place_id")], "by_score")
+    listed = lists_on_rows(*running_lists(ranked, keys, [F.col("place_id")], values), keys)
+    so_far = lambda v: F.array_join(F.slice(F.col("items")[v], F.lit(1), F.col("length")), "_:_")
+    return listed.select(
+        *keys, "place_id", "name", "admin_level", "gtype", "score", "by_score", "pos", "page",
+        so_far("class").alias("classes_so_far"), so_far("type").alias("types_so_far"),
+        *[F.array_join(F.col("items")[v], "_:_").alias(f"all_{n}") for v, n in zip(values, ("names", "classes", "types"))],
+    ).orderBy(F.desc_nulls_first("score"), "place_id")
+
+
 def object_entries(places: DataFrame) -> DataFrame:
     """The rows of every OSM object in order: osm_type, osm_id, pos, name, class, type, admin_level.
 

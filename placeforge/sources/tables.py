@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from placeforge.schema import PLACES
 
 FETCH_ROWS = 1000
+MANIFEST = "_files"  # folder within a stored table; Spark passes over it when it reads the table
 
 
 def read_places(spark: SparkSession, path: str) -> DataFrame:
@@ -45,7 +46,7 @@ def write_elems(elems: DataFrame, path: str, by: str = "area") -> None:
     """Replaces the table of objects, laid out for the query that serves it.
 
     ``by='area'`` keeps neighbours together, so files are skipped by their box columns;
-    ``by='popindex'`` keeps ranks together, for paging.
+    ``by='popindex'`` keeps ranks together, for paging. The manifest has a row for each file: its box, ranks and pages.
     """
     if by == "area":
         # interleaved bits of the box corner on a grid of 2^16 x 2^16: near in space, near in the file
@@ -64,3 +65,9 @@ def write_elems(elems: DataFrame, path: str, by: str = "area") -> None:
     else:
         raise ValueError(f"by: {by}")
     laid.write.mode("overwrite").parquet(path)
+    stored = elems.sparkSession.read.parquet(path)
+    box = [F.min("minx").alias("minx"), F.min("miny").alias("miny"), F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy")]
+    files = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        *box, F.min("popindex").alias("first"), F.max("popindex").alias("last"), F.max("page").alias("last_page")
+    )
+    files.write.mode("overwrite").parquet(f"{path}/{MANIFEST}")
