@@ -374,6 +374,12 @@ FROM boxes LEFT JOIN sums USING (o)""",
     "text_formats": f"""WITH {_PLACES} SELECT place_id, {_EWKT} AS ewkt, {_GEOJSON} AS geojson, TRUE AS same,
   CASE WHEN wikidata IS NOT NULL THEN name END AS name, CASE WHEN name IS NOT NULL THEN wikidata END AS wikidata,
   CASE WHEN name IS NOT NULL AND wikidata IS NOT NULL THEN 3 END AS keys FROM places""",
+    "binary_geometries": """WITH kinds AS (SELECT CAST(o_orderkey AS BIGINT) AS o, o_orderkey % 7 AS k, pow((o_orderkey % 8 + 8) / 4.0::DOUBLE, 2) - 0.03125::DOUBLE AS framed FROM orders)
+SELECT o, ['POINT', 'LINESTRING', 'POLYGON', 'MULTIPOINT', 'MULTILINESTRING', 'MULTIPOLYGON', NULL][k + 1] AS gtype,
+  CAST([1, 1, 1, 2, 2, 2, NULL][k + 1] AS INT) AS parts, CAST([1, 3, 9, 2, 5, 13, NULL][k + 1] AS INT) AS points,
+  CASE WHEN k = 2 THEN framed WHEN k = 5 THEN framed + 0.28125::DOUBLE WHEN k < 6 THEN 0 END AS area,
+  CASE WHEN k IN (2, 5) THEN 0 WHEN k < 6 THEN (o % 16) / 4.0::DOUBLE END AS x,
+  CASE WHEN k = 6 AND o % 2 = 0 THEN 'not a whole geometry' WHEN k = 6 THEN 'not hexadecimal' END AS error FROM kinds""",
     "category_of_places": f"WITH {_PLACES}, {_categories('places', 'r.place_id, r.class, r.type, r.admin_level')} SELECT * FROM categorised",
     "pick_tag": f"""WITH {_PLACES}, tags AS (
   SELECT o, m, CASE m WHEN 0 THEN o%25 WHEN 1 THEN (o*7+3)%25 WHEN 2 THEN (o*3+11)%25 ELSE o%25 END AS p FROM raw, range(0, 4) r(m)),

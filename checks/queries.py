@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -255,6 +256,48 @@ def text_formats(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- categories ----
 
+def binary_geometries(spark: SparkSession, sf: str) -> DataFrame:
+    """A binary form made of each order and read again: all kinds, both byte orders, with SRID and height, and broken ones."""
+    o = F.col("o")
+    quarters = {end: F.array(*[F.lit(struct.pack(end + "d", i / 4).hex()) for i in range(16)]) for end in "<>"}
+
+    def number(i: Column | int, end: str) -> Column:
+        return F.try_element_at(quarters[end], (F.lit(i) % 16 + 1).cast("int"))
+
+    def head(code: int, end: str, srid: bool = False) -> str:
+        return struct.pack(end + "BI", end == "<", code | (0x20000000 if srid else 0)).hex() + (struct.pack(end + "I", 4326).hex() if srid else "")
+
+    def run(points: list[tuple], end: str, counted: bool = True, high: bool = False) -> Column:
+        count = [F.lit(struct.pack(end + "I", len(points)).hex())] if counted else []
+        return F.concat(*count, *[number(v, end) for p in points for v in ((*p, 3) if high else p)])
+
+    def made(*parts) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+    count = lambda n, end: struct.pack(end + "I", n).hex()
+    way, side = [(o + i, o * 3 + i) for i in range(3)], o % 8 + 8
+    shell, hole, corner = [(0, 0), (side, 0), (side, side), (0, side), (0, 0)], [(1, 1), (2, 1), (2, 2), (1, 1)], [(12, 12), (15, 12), (15, 15), (12, 12)]
+    framed = lambda end: made(head(3, end), count(2, end), run(shell, end), run(hole, end))
+    point = made(head(1, "<"), run(way[:1], "<", False))
+    forms = [
+        point,
+        made(head(2 | 0x80000000, ">", True), run(way, ">", True, True)),
+        framed("<"),
+        made(head(4, ">", True), count(2, ">"), head(1, ">"), run(way[:1], ">", False), head(1, "<"), run(way[1:2], "<", False)),
+        made(head(5, "<"), count(2, "<"), head(2, "<"), run(way, "<"), head(2, ">"), run(way[:2], ">")),
+        made(head(6, ">", True), count(2, ">"), framed("<"), head(3, ">"), count(1, ">"), run(corner, ">")),
+        F.when(o % 2 == 0, F.left(point, F.length(point) - 2)).otherwise("zz"),
+    ]
+    text = F.coalesce(*[F.when(o % 7 == i, f) for i, f in enumerate(forms)])
+    rows = fixtures.spread(spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").cast("long").alias("o"))).select("o", text.alias("text"))
+    read = rows.select("o", "text", kernels.from_ewkb_hex(F.col("text")).alias("geometry"))
+    g = _geom()
+    return read.select(
+        "o", g["gtype"].alias("gtype"), geometry.num_parts(g).alias("parts"), geometry.num_points(g).alias("points"),
+        F.when(g.isNotNull(), _digits(geometry.area(g))).alias("area"), geometry.first_point(g)["x"].alias("x"), kernels.ewkb_error(F.col("text"), g).alias("error"),
+    )
+
+
 def category_of_places(spark: SparkSession, sf: str) -> DataFrame:
     rows = fixtures.places(spark, sf).select("place_id", "class", "type", "admin_level")
     return category.with_category(rows)
@@ -632,7 +675,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         to_importance, test_wikipedia, web_links, array_functions, unnest_pairs, meters_to_degrees,
-        geometry_measures, area_of_box, area_of_ell, area_of_comb, probe_area, overlap_parts, valid_geometries, simplify, simplify_peaks, simplify_to_points, text_formats,
+        geometry_measures, area_of_box, area_of_ell, area_of_comb, probe_area, overlap_parts, valid_geometries, simplify, simplify_peaks, simplify_to_points, text_formats, binary_geometries,
         category_of_places, pick_tag, category_lines, label_lines, interesting_keys,
         prepare, group_positions, merge_positions, merged_members, merge_same_entity,
         cluster_nearby, cluster_all_places, dedupe_nearby, cluster_members, merge_linestrings, slanted_roads, replace_lines, pick_geometry,

@@ -5,8 +5,6 @@ Each works on the geometries of a batch inside Spark's tasks; points and lines r
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -413,46 +411,143 @@ WKB_TYPES = {
 FLAG_SRID, FLAG_Z, FLAG_M = 0x20000000, 0x80000000, 0x40000000
 
 
-def _read_ewkb(data: bytes, at: int = 0):
-    """(gtype, parts, next offset) of the geometry at an offset; heights and measures are left out."""
-    end = "<" if data[at] == 1 else ">"
-    (code,) = struct.unpack_from(end + "I", data, at + 1)
-    at += 5 + (4 if code & FLAG_SRID else 0)
-    width = 2 + bool(code & FLAG_Z) + bool(code & FLAG_M)
-    gtype = WKB_TYPES[code & 0xFF]
-
-    def line(at: int, n: int):
-        values = np.frombuffer(data, end + "f8", n * width, at).reshape(n, width)
-        return values[:, :2], at + 8 * n * width
-
-    def count(at: int):
-        return struct.unpack_from(end + "I", data, at)[0], at + 4
-
-    if gtype == "POINT":
-        ring, at = line(at, 1)
-        return gtype, [[ring]], at
-    n, at = count(at)
-    if gtype == "LINESTRING":
-        ring, at = line(at, n)
-        return gtype, [[ring]], at
-    parts = []
-    if gtype == "POLYGON":
-        for _ in range(n):
-            size, at = count(at)
-            ring, at = line(at, size)
-            parts.append(ring)
-        return gtype, [parts], at
-    for _ in range(n):
-        _, sub, at = _read_ewkb(data, at)
-        parts += sub
-    return gtype, parts, at
+class _Bytes:
+    """All values of a batch as one run of bytes, read at many places at once."""
+
+    def __init__(self, values: pa.Array):
+        values = values.cast(pa.large_binary())
+        offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
+        self.start, self.end = offsets[:-1], offsets[1:]
+        self.data = np.frombuffer(values.buffers()[2] or b"", np.uint8)
+
+    def numbers(self, at: np.ndarray, big: np.ndarray, kind: str) -> np.ndarray:
+        """Numbers of 4 or 8 bytes at places of either byte order."""
+        size = np.dtype(kind).itemsize
+        raw = self.data[at[:, None] + np.arange(size)]
+        raw[big] = raw[big, ::-1]
+        return raw.copy().view("<" + kind).ravel()
+
+
+def _headers(values: _Bytes, at: np.ndarray, end: np.ndarray, good: np.ndarray) -> tuple:
+    """(type code 1 to 6 or 0, coordinates per point, big-endian, place after the header) of geometries at places."""
+    ok = good & (at + 5 <= end)
+    order = values.data[np.where(ok, at, 0)] if len(values.data) else np.zeros(len(at), np.uint8)
+    ok &= order <= 1
+    big = order == 0
+    code = np.zeros(len(at), np.int64)
+    code[ok] = values.numbers(at[ok] + 1, big[ok], "u4")
+    width = 2 + ((code & FLAG_Z) > 0) + ((code & FLAG_M) > 0)
+    kind = np.where(ok & np.isin(code & 0x0FFFFFFF & ~np.int64(FLAG_SRID), list(WKB_TYPES)), code & 0xFF, 0)
+    return kind, width, big, at + 5 + 4 * ((code & FLAG_SRID) > 0)
+
+
+def _counts(values: _Bytes, at: np.ndarray, end: np.ndarray, big: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number at each place, is it there)."""
+    good = good & (at + 4 <= end)
+    n = np.zeros(len(at), np.int64)
+    n[good] = values.numbers(at[good], big[good], "u4")
+    return n, good
+
+
+def _read_ewkb(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(geometries, is each value whole) of a column of binary forms; heights and measures are left out.
+
+    All values are walked at once, a step for each level: headers of the values, of the parts of multiple ones, then ring
+    after ring. A value that does not end where its content does, or of an unknown type, fails alone and is null.
+    """
+    values = _Bytes(column)
+    rows = len(column)
+    good = np.asarray(column.is_valid())
+    end = values.end
+    top, width, big, at = _headers(values, values.start, end, good)
+    good &= top > 0
+    # parts: (row, kind, width, big, place), one for a single geometry
+    multiple = good & (top >= 4)
+    n, there = _counts(values, at, end, big, multiple)
+    good &= ~multiple | (there & (n <= end - at))  # no more parts than bytes
+    left = np.where(multiple & good, n, 0)
+    at = np.where(multiple, at + 4, at)
+    single = good & ~multiple
+    part_rows, rings = [], []  # per part its row and place in the order of reading; per ring (part, place, points, width, big)
+    turn = 0
+    while True:
+        now = np.flatnonzero(good & (single if turn == 0 else False) | (good & (left > 0)))
+        if not len(now):
+            break
+        inner = multiple[now]
+        kind, w, b, place = top[now].copy(), width[now].copy(), big[now].copy(), at[now].copy()
+        if inner.any():
+            k, kw, kb, kp = _headers(values, at[now][inner], end[now][inner], np.ones(int(inner.sum()), bool))
+            kind[inner], w[inner], b[inner], place[inner] = k, kw, kb, kp
+            good[now[inner]] &= k == top[now[inner]] - 3
+        alive = good[now]
+        number = np.arange(len(now)) + sum(map(len, part_rows))
+        part_rows.append(now)
+        # rings of each part: one for points and lines
+        polygon = alive & (kind == 3)
+        r, there = _counts(values, place, end[now], b, polygon)
+        alive &= ~polygon | (there & (r <= end[now] - place))
+        place = np.where(polygon, place + 4, place)
+        todo = np.where(polygon, r, 1)
+        while True:
+            some = np.flatnonzero(alive & (todo > 0))
+            if not len(some):
+                break
+            line = kind[some] != 1
+            size, there = _counts(values, place[some], end[now[some]], b[some], line)
+            size = np.where(line, size, 1)
+            first = place[some] + 4 * line
+            last = first + 8 * size * w[some]
+            whole = (~line | there) & (last <= end[now[some]]) & (size <= end[now[some]] - place[some])
+            alive[some[~whole]] = False
+            some, first, size, last = some[whole], first[whole], size[whole], last[whole]
+            rings.append(np.column_stack([number[some], first, size, w[some], b[some]]))
+            place[some] = last
+            todo[some] -= 1
+        good[now[~alive]] = False
+        at[now] = place
+        left[now] -= 1
+        single[now] = False
+        turn += 1
+    good &= at == end  # nothing is left over
+    owner = np.concatenate(part_rows or [np.zeros(0, np.int64)])
+    ring = np.concatenate(rings or [np.zeros((0, 5), np.int64)])
+    # in the order of rows; a row's parts, and a part's rings, were read in their order
+    part_order = np.argsort(owner, kind="stable")
+    part_order = part_order[good[owner[part_order]]]
+    rank = np.full(len(owner), -1, np.int64)
+    rank[part_order] = np.arange(len(part_order))
+    ring = ring[rank[ring[:, 0]] >= 0]
+    ring = ring[np.argsort(rank[ring[:, 0]], kind="stable")]
+    _, first, size, w, b = ring.T if len(ring) else np.zeros((5, 0), np.int64)
+    before = np.cumsum(size) - size
+    within = np.arange(size.sum()) - np.repeat(before, size)
+    place = np.repeat(first, size) + within * 8 * np.repeat(w, size)
+    flip = np.repeat(b, size).astype(bool)
+    empty = np.zeros(0)
+    xs, ys = (values.numbers(place + 8 * axis, flip, "f8") if len(place) else empty for axis in (0, 1))
+
+    def offsets(counts: np.ndarray) -> pa.Array:
+        return pa.array(np.r_[0, np.cumsum(counts)], pa.int32())
+
+    points = pa.StructArray.from_arrays([pa.array(xs), pa.array(ys)], ["x", "y"])
+    lines = pa.ListArray.from_arrays(offsets(size), points)
+    parts = pa.ListArray.from_arrays(offsets(np.bincount(rank[ring[:, 0]], minlength=len(part_order))), lines)
+    shapes = pa.ListArray.from_arrays(offsets(np.bincount(owner[part_order], minlength=rows)), parts)
+    names = np.array([None, *WKB_TYPES.values()], object)[top]
+    return pa.StructArray.from_arrays([pa.array(names, pa.string(), mask=~good), shapes], ["gtype", "parts"], mask=pa.array(~good)), good
 
 
 @F.arrow_udf(GEOMETRY)
 def _from_ewkb(values: pa.Array) -> pa.Array:
-    return encode_geometries([v and _read_ewkb(v)[:2] for v in values.to_pylist()])
+    return _read_ewkb(values)[0]
 
 
 def from_ewkb_hex(text: Column) -> Column:
-    """Hexadecimal extended well-known binary to a geometry."""
-    return _from_ewkb(F.unhex(text))
+    """Hexadecimal extended well-known binary to a geometry; a broken value gives null."""
+    return _from_ewkb(F.try_to_binary(text, F.lit("hex")))
+
+
+def ewkb_error(text: Column, geom: Column) -> Column:
+    """What is wrong with a hexadecimal value that gave no geometry; null where nothing is."""
+    return F.when(text.isNotNull() & geom.isNull(), F.when(F.try_to_binary(text, F.lit("hex")).isNull(), "not hexadecimal").otherwise("not a whole geometry"))

@@ -60,42 +60,53 @@ DETAIL_KEYS = [
 DETAIL_PREFIXES = ["access:", "contact:", "drink:", "toll:", "wikipedia:"]
 
 
-def _starts(k: Column, prefixes: list[str]) -> Column:
-    found = F.lit(False)
-    for p in prefixes:
-        found = found | F.startswith(k, F.lit(p))
-    return found
+#: what a whole key says; where a key is in several lists the first counts
+_BY_KEY = {
+    **{k: "extra" for k in DETAIL_KEYS},
+    **{k: "address" for k in ("is_in", "tiger:county")},
+    **{k: "country" for k in COUNTRY_KEYS},
+    **{k: "postcode" for k in POSTCODE_KEYS},
+    **{k: f"main_{k}" for k in ("place", "junction")},
+    **{k: "place" if excluded else "any_place" for k, excluded in PLACE_KEYS.items()},
+    **{k: k for k in ("landuse", "admin_level", "building")},
+    "addr:housename": "housename",
+    **{k: "name" for k in (*NAME_KEYS, "brand")},
+    **{k: "ref" for k in REF_KEYS},
+    **{k: "extra" for k in EXTRA_NAME_KEYS},
+}
+#: what the part of a key up to its first colon says; all prefixes end there
+_BY_PREFIX = {
+    **{p.removesuffix(":"): "extra" for p in DETAIL_PREFIXES},
+    "is_in": "is_in",
+    "addr": "addr",
+    **{k: "name" for k in NAME_KEYS},
+    "pcode": "ref",
+}
+_NO_PLACE = [f"{k}={v}" for k, excluded in PLACE_KEYS.items() for v in excluded]
+
+
+def _lookup(table: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
 
 
 def _role(k: Column, v: Column, sidewalk: Column) -> Column:
-    """What a tag is for. The first rule that fits its key takes the tag, whatever its value."""
-    place = F.lit(None).cast("string")
-    for key, excluded in PLACE_KEYS.items():
-        keep = ~v.isin(*excluded) if excluded else F.lit(True)
-        if key == "highway":
-            keep = keep & ~((v == "footway") & sidewalk)
-        place = F.when(k == key, F.when(keep, "place").otherwise("none")).otherwise(place)
-    return (
-        F.when(F.endswith(k, F.lit("source")), "none")
-        .when(k.isin(*EXTRA_NAME_KEYS) | F.endswith(k, F.lit("wikidata")), "extra")
-        .when(k.isin(*REF_KEYS) | _starts(k, ["pcode:"]), "ref")
-        .when(
-            k.isin(*NAME_KEYS, "brand") | _starts(k, [*[f"{n}:" for n in NAME_KEYS], "alt_name_"]), "name"
-        )
-        .when(k == "addr:housename", "housename")
-        .when(k == "landuse", F.when(v == "cemetry", "place").otherwise("landuse"))
-        .when(place.isNotNull(), place)
-        .when(k.isin("place", "junction"), F.concat(F.lit("main_"), k))
-        .when(k.isin(*POSTCODE_KEYS), "postcode")
-        .when(k.isin(*COUNTRY_KEYS), F.when(F.octet_length(v) == 2, "country").otherwise("none"))
-        .when(_starts(k, ["addr:"]), "addr")
-        .when(_starts(k, ["is_in:"]), "is_in")
-        .when(k.isin("is_in", "tiger:county"), "address")
-        .when(k == "admin_level", "admin_level")
-        .when(k.isin(*DETAIL_KEYS) | _starts(k, DETAIL_PREFIXES), "extra")
-        .when(k == "building", "building")
-        .otherwise("none")
+    """What a tag is for: by the end of its key, by the whole key, then by its prefix, whatever its value."""
+    footway = sidewalk & (k == "highway") & (v == "footway")
+    whole = F.try_element_at(_lookup(_BY_KEY), k)
+    prefix = F.when(F.startswith(k, F.lit("alt_name_")), "name").when(
+        F.contains(k, F.lit(":")), F.try_element_at(_lookup(_BY_PREFIX), F.substring_index(k, ":", 1))
+    )
+    found = F.when(F.endswith(k, F.lit("source")), "none").when(F.endswith(k, F.lit("wikidata")), "extra").otherwise(F.coalesce(whole, prefix, F.lit("none")))
+    # the found rule is bound once and then tried on the value
+    tried = F.transform(
+        F.array(found),
+        lambda r: F.when(r == "place", F.when(~F.concat(k, F.lit("="), v).isin(*_NO_PLACE) & ~footway, "place").otherwise("none"))
+        .when(r == "any_place", "place")
+        .when(r == "country", F.when(F.octet_length(v) == 2, "country").otherwise("none"))
+        .when((r == "landuse") & (v == "cemetry"), "place")
+        .otherwise(r),
     )
+    return F.get(tried, F.lit(0))
 
 
 def _with_role(roles: list[str]) -> Column:

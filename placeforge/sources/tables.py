@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeforge.schema import PLACES
+from placeforge.session import durable, forget
 
 FETCH_ROWS = 1000
 MANIFEST = "_files"  # folder within a stored table; Spark passes over it when it reads the table
@@ -48,6 +49,7 @@ def write_elems(elems: DataFrame, path: str, by: str = "area") -> None:
     ``by='area'`` keeps neighbours together, so files are skipped by their box columns;
     ``by='popindex'`` keeps ranks together, for paging. The manifest has a row for each file: its box, ranks and pages.
     """
+    elems = durable(elems, "elems")  # the ranges are found by a pass of their own
     if by == "area":
         # interleaved bits of the box corner on a grid of 2^16 x 2^16: near in space, near in the file
         def cell(value, low: float, span: float):
@@ -71,3 +73,4 @@ def write_elems(elems: DataFrame, path: str, by: str = "area") -> None:
         *box, F.min("popindex").alias("first"), F.max("popindex").alias("last"), F.max("page").alias("last_page")
     )
     files.write.mode("overwrite").parquet(f"{path}/{MANIFEST}")
+    forget(elems)
