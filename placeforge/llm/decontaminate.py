@@ -5,10 +5,14 @@ A literal window holds the words as they are. In a template window numbers, unit
 sentence) are typed placeholders; windows on one diagonal (place in the document less place in the item) must fill the item's slots
 consistently: each filler of the item stands for one filler of the document. If it meets several, it stands for the one at most
 of its places, of equals for itself; windows that say otherwise do not count. If neither decides, no template window with this
-filler counts, nor one in which another filler stands for one of those it met. A document holds an item if the literal
-and the consistent windows cover half of it, or ``LONG`` of its words.
+filler counts, nor one in which another filler stands for one of those it met.
 
-An item of fewer words than a window is one window of its own length. A template window needs ``LEAST_PLAIN`` words that are
+An item's own windows are, of each kind, those that the fewest items hold: a line of instructions that many items begin with
+is no item's own, while all windows of an item that is there several times are. A document holds an item if its literal and
+consistent own windows cover half of the words that are under own windows in the item, or ``LONG`` of them. Only own
+windows bring documents and items together; the other windows are looked up for the pairs found. Hot windows are spread.
+
+Very long texts are cut into windows whole, as any other. An item of fewer words than a window is one window of its own length. A template window needs ``LEAST_PLAIN`` words that are
 no placeholders, or half of its words if it is short, to count; a literal one counts whatever its words are.
 
 Nulls: a null text is empty and holds nothing, as does an empty item; null ids are kept, and rows with one id count as one
@@ -23,10 +27,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from placeforge.llm.words import bounds, slices, split_words, sums_by_row
+from placeforge.operators.skew import spread_join
 from placeforge.session import durable
 
 WINDOW = 8
@@ -157,6 +163,32 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return durable(_exploded(items.select("id", "text").mapInArrow(cut, WINDOWS)), "item_windows")
 
 
+def own_windows(windows: DataFrame) -> DataFrame:
+    """The rows of ``item_windows`` with ``own``: no other window of its kind in the item is held by fewer items; and with
+    ``own_length``, the item's words under own windows."""
+    who = F.struct("id")  # a null id is an item as well
+    holders = windows.groupBy("hash", "n").agg(F.count_distinct(who).alias("holders"))
+    literal = F.size("slots") == 0  # a template window has a slot
+    met = windows.join(holders, ["hash", "n"])
+    least = F.min("holders").over(W.partitionBy("id", literal))
+    marked = durable(met.withColumn("own", F.col("holders") == least).select(*windows.columns, "own"), "own_windows")
+    places = F.array_sort(F.collect_set(F.struct("place", "n")))
+    lengths = marked.filter("own").groupBy(F.col("id").alias("_id")).agg(_covered(places).alias("own_length"))
+    return durable(marked.join(lengths, F.col("id").eqNullSafe(F.col("_id"))).drop("_id"), "own_windows")
+
+
+def _covered(places: Column) -> Column:
+    """Words under sorted windows (place, n): each adds what lies beyond the furthest end so far."""
+    start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("sum"))
+    return F.aggregate(
+        places, start,
+        lambda a, w: F.struct(
+            F.greatest(a["end"], w["place"] + w["n"]).alias("end"),
+            (a["sum"] + F.greatest(F.lit(0), w["place"] + w["n"] - F.greatest(a["end"], w["place"]))).alias("sum"),
+        ),
+    )["sum"].cast("long")
+
+
 def document_windows(docs: DataFrame, windows: DataFrame, window: int = WINDOW) -> DataFrame:
     """Windows of the rows (id, text) whose hashes may be those of an item.
 
@@ -190,15 +222,28 @@ def contaminated(
     ``changed_slots`` is the number of the item's fillers that stand for another filler in the document.
     """
     as_rows = lambda t, k: t.select(F.col(k).cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    windows = item_windows(as_rows(items, item_key), window)
+    windows = own_windows(item_windows(as_rows(items, item_key), window))
     mine = document_windows(as_rows(docs, key), windows, window).select(
         F.col("id").alias("doc"), F.col("place").alias("at"), F.col("hash").alias("h"), F.col("n").alias("k"), F.col("fillers").alias("mine")
     )
+    mine = durable(mine, "document_windows")
     small = windows.count() <= BROADCAST_WINDOWS
-    both = mine.join(F.broadcast(windows) if small else windows, (F.col("h") == F.col("hash")) & (F.col("k") == F.col("n")))
+    theirs = windows.withColumn("h", F.col("hash")).withColumn("k", F.col("n"))
+    own = theirs.filter("own")
+    if small:
+        found = mine.join(F.broadcast(own), ["h", "k"])
+    else:
+        found = spread_join(mine, own, ["h", "k"], F.struct("doc", "at"))
+    met = found.select(F.col("doc").alias("_doc"), F.col("id").alias("_id")).distinct()
+    rows = mine.join(met, F.col("doc").eqNullSafe(F.col("_doc"))).drop("_doc")
+    if small:
+        both = rows.join(F.broadcast(theirs), ["h", "k"]).filter(F.col("id").eqNullSafe(F.col("_id")))
+    else:  # many items: a window's rows are told apart by the item
+        other = theirs.withColumnRenamed("h", "_h").withColumnRenamed("k", "_k")
+        both = rows.join(other, (F.col("h") == F.col("_h")) & (F.col("k") == F.col("_k")) & F.col("id").eqNullSafe(F.col("_id")))
     pairs = F.arrays_zip(F.col("slots").alias("s"), F.col("fillers").alias("i"), F.col("mine").alias("d"))
-    lines = both.groupBy("doc", "id", "length", (F.col("at") - F.col("place")).alias("diagonal")).agg(
-        F.collect_set(F.struct("place", "n", pairs.alias("pairs"))).alias("windows")
+    lines = both.groupBy("doc", "id", "length", "own_length", (F.col("at") - F.col("place")).alias("diagonal")).agg(
+        F.collect_set(F.struct("place", "n", "own", pairs.alias("pairs"))).alias("windows")
     )
     lines = lines.withColumn("pairs", F.array_distinct(F.flatten("windows.pairs")))  # one for each place with a slot
     lines = lines.withColumn("links", F.array_distinct(F.transform("pairs", lambda p: F.struct(p["i"].alias("i"), p["d"].alias("d")))))
@@ -217,24 +262,17 @@ def contaminated(
     sure = F.transform(sure, lambda x: F.struct(x["i"].alias("i"), x["d"].alias("d")))
     lines = lines.withColumn("sure", F.when(clear, F.col("links")).otherwise(sure))
     agreeing = F.filter("windows", lambda w: F.forall(w["pairs"], lambda p: F.array_contains(F.col("sure"), F.struct(p["i"].alias("i"), p["d"].alias("d")))))
-    lines = lines.select("doc", "id", "length", F.when(clear, F.col("windows")).otherwise(agreeing).alias("windows")).filter(F.size("windows") > 0)
+    lines = lines.select("doc", "id", "length", "own_length", F.when(clear, F.col("windows")).otherwise(agreeing).alias("windows")).filter(F.size("windows") > 0)
     changed = F.filter(F.flatten("windows.pairs"), lambda p: p["i"] != p["d"])
-    met = lines.groupBy("doc", "id", "length").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform("windows", lambda w: F.struct(w["place"].alias("place"), w["n"].alias("n"))))))).alias("places"),
+    place = lambda w: F.struct(w["place"].alias("place"), w["n"].alias("n"))
+    merged = lambda windows: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform(windows, place)))))
+    met = lines.groupBy("doc", "id", "length", "own_length").agg(
+        merged(F.col("windows")).alias("places"), merged(F.filter("windows", lambda w: w["own"])).alias("own_places"),
         F.max(F.size(F.array_distinct(F.transform(changed, lambda p: p["i"])))).alias("changed_slots"),
     )
-    # words under sorted windows: each adds what lies beyond the furthest end so far
-    start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("sum"))
-    covered = F.aggregate(
-        "places", start,
-        lambda a, w: F.struct(
-            F.greatest(a["end"], w["place"] + w["n"]).alias("end"),
-            (a["sum"] + F.greatest(F.lit(0), w["place"] + w["n"] - F.greatest(a["end"], w["place"]))).alias("sum"),
-        ),
-    )["sum"]
-    met = met.withColumn("covered", covered.cast("long"))
-    enough = F.least(F.lit(long).cast("double"), F.col("length") * share)
-    return met.filter(F.col("covered") >= enough).select(
+    met = met.withColumn("covered", _covered(F.col("places"))).withColumn("own_covered", _covered(F.col("own_places")))
+    enough = F.least(F.lit(long).cast("double"), F.col("own_length") * share)
+    return met.filter(F.col("own_covered") >= enough).select(
         F.col("doc").alias(key), F.col("id").alias(item_key), F.col("length").alias("item_words"), "covered",
         (F.col("covered") / F.col("length")).alias("coverage"), F.col("changed_slots").cast("long").alias("changed_slots"),
     )

@@ -111,3 +111,27 @@ def test_decontamination_keeps_windows_beside_a_conflict(spark):
     assert set(found) == {(0, 0), (1, 1), (2, 0)}
     assert found[0, 0].covered == 59 and found[0, 0].changed_slots == 0 and found[2, 0].coverage == 1
     assert found[1, 1].covered >= 20 and found[1, 1].changed_slots == 1
+
+
+@pytest.mark.parametrize("broadcast", [300_000, 0])
+def test_lines_of_many_items_are_no_find(spark, monkeypatch, broadcast):
+    """A line that many items share says nothing of one of them; copies of the items are found, also of repeated ones."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", broadcast)
+    line = "read the following text with care and then give the best answer to the question below it"
+    texts = [f"{line} {words(100 + i, 12)}" for i in range(40)]
+    items = [(i, t) for i, t in enumerate(texts)] + [(90, texts[0]), (91, texts[0]), (92, words(7, 30)), (None, words(8, 30))]
+    docs = [words(2000 + i, 30) + f"\n{line}\n" + words(3000 + i, 30) for i in range(40)]  # clean
+    docs += [words(600, 20) + " " + texts[5] + " " + words(601, 20), texts[0].upper(), " ".join(texts[7].split()[10:]), words(7, 30) + " x", words(8, 30)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(documents(spark, docs), table).collect()}
+    assert found == {(40, 5), (41, 0), (41, 90), (41, 91), (42, 7), (43, 92), (44, None)}
+
+
+def test_template_families_are_found(spark):
+    """Items that differ by their numbers and names only share their templates; another one of the family meets them all."""
+    story = "a farmer named {} sold {} boxes of ripe fruit at the market and then bought {} more boxes from the old man next door"
+    items = [(i, story.format(n, a, b)) for i, (n, a, b) in enumerate([("Anna", 12, 5), ("Boris", 31, 7), ("Clara", 44, 9)])]
+    docs = [words(1, 20) + " . " + story.format("Dora", 77, 88) + " . " + words(2, 20), words(3, 60)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(documents(spark, docs), table).collect()}
+    assert found == {(0, 0), (0, 1), (0, 2)}
