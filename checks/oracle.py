@@ -3,10 +3,40 @@
 from __future__ import annotations
 
 from checks.queries import BOX, ELL
-from placeforge import fixtures
-from placeforge.functions.text import WEB_ROOT
-from placeforge.operators.category import ADMIN_SUBCATS
-from placeforge.sources.category_tables import KEYS, OVERRIDES
+
+# Fixed values, written out here so that a wrong table in the package does not pass: keys by priority, with categories.
+KEYS = [
+    ("aerialway", "c"), ("aeroway", "c"), ("bridge", "c"), ("tunnel", "c"), ("junction", "r"), ("highway", "r"),
+    ("railway", "c"), ("shop", "c"), ("mountain_pass", "c"), ("waterway", "c"), ("boundary", "c"), ("place", "c"),
+    ("emergency", "c"), ("craft", "c"), ("office", "c"), ("building", "c"), ("amenity", "c"), ("leisure", "c"),
+    ("tourism", "c"), ("man_made", "c"), ("military", "c"), ("natural", "n"), ("landuse", "n"), ("historic", "c"),
+    ("club", "c", "club_hangout"),
+]
+# Key, value, category, subcategory (1 stands for the key, 2 for the value).
+OVERRIDES = [
+    ("place", "city", "c", "2"), ("place", "country", "c", "2"), ("place", "islet", "n", "island"), ("place", "island",
+    "n", "2"), ("place", "archipelago", "n", "2"), ("place", "peninsula", "n", "2"), ("place", "field", "n", "2"),
+    ("place", "sea", "n", "2"), ("place", "woodland", "n", "2"), ("waterway", "stream", "n", "1"), ("waterway", "river",
+    "n", "1"), ("waterway", "riverbank", "n", "1"), ("waterway", "waterfall", "n", "2"), ("waterway", "drystream", "n",
+    "1"), ("waterway", "wadi", "n", "1"), ("waterway", "soakhole", "n", "2"), ("waterway", "brook", "n", "1"),
+    ("waterway", "lake", "n", "2"), ("waterway", "spring", "n", "2"), ("waterway", "coastline", "n", "2"), ("waterway",
+    "creek", "n", "1"), ("amenity", "place_of_worship", "c", "2"), ("boundary", "national_park", "n", "2"),
+]
+# What administrative levels are.
+ADMIN_SUBCATS = {
+    1: "continent", 2: "country", 3: "state", 4: "state", 5: "state district", 6: "county", 7: "county", 8: "city", 9:
+    "city district",
+}
+WEB_ROOT = "https://www.openstreetmap.org/"
+# Fixed values of the fixture.
+_TYPE_VALUES = [
+    "city", "island", "river", "waterfall", "administrative", "national_park", "place_of_worship", "yes", "residential",
+    "hotel", "islet", "tram_stop",
+]
+# Fixed values of the fixture.
+_NAME_VALUES = [
+    "São Tomé", "Sao Tome", "Ôbo", "Obo", "Östermalm", "Main Street", "High_Street", "", "100% Gulch",
+]
 
 
 def _quoted(value) -> str:
@@ -20,8 +50,8 @@ def _values(rows: list[tuple], columns: str) -> str:
 
 _KEYS = _values([(n, k[0], k[1], k[2] if len(k) == 3 else k[0]) for n, k in enumerate(KEYS)], "prio, key, supercat, subcat")
 _OVERRIDES = _values([(k, v, s, {"1": k, "2": v}.get(c, c)) for k, v, s, c in OVERRIDES], "key, value, supercat, subcat")
-_TYPES = _values(list(enumerate(fixtures.TYPES)), "i, v")
-_NAMES = _values(list(enumerate(fixtures.NAMES)), "i, v")
+_TYPES = _values(list(enumerate(_TYPE_VALUES)), "i, v")
+_NAMES = _values(list(enumerate(_NAME_VALUES)), "i, v")
 
 _PLACES = f"""
 keys AS {_KEYS}, overrides AS {_OVERRIDES},
