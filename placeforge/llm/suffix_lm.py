@@ -1,24 +1,28 @@
 """Language model scores of whole texts by a probabilistic suffix tree.
 
 Tokens are words (runs without ASCII white space, A-Z lower-cased) and one end for each text. Each word shows the tree
-a symbol: a frequent word its own, any other word that of its ending. The tree holds contexts of the last symbols,
-longest suffix first: a context is a candidate if it has at least ``LEAST_SHARE`` of the training tokens, and it is kept if its
-next-symbol distribution diverges enough from that of its next shorter suffix. Distributions are smoothed towards the
-shorter suffix. A word's probability is that of its symbol in the longest kept context, times the word's among all words
-of the symbol, by counts over the whole training text with one added, and one place for words never seen.
+a symbol: a word that occurs ``OWN_COUNT`` times or more its own, any other word its last two bytes. So the symbols grow with the
+corpus; those of endings are at most ``ENDINGS``. The tree holds contexts of up to ``DEPTH`` last symbols: a context is a candidate if
+it occurs ``LEAST_CONTEXT`` times or more in training texts, and it is kept if its next symbols diverge enough from what its next
+shorter suffixes say (``LEAST_GAIN``). Both bounds are absolute counts, so more text gives more contexts.
+
+A kept context seen m times, followed by t different symbols, says n / (m + t) for a symbol that followed it n times (twice at
+least) and leaves the rest of its mass, that of symbols seen once included, to the next shorter kept suffix. A word's probability is that of its symbol
+from the longest kept context on, times the word's among all words of the symbol, by counts with one added and one place for words never seen.
 
 Words are counted exactly. Documents are coded in blocks of bounded size against the block's own words; only (block,
-word) rows meet by word, and the counts go back by block, so a frequent word is a row per block.
+word) rows meet by word, and the counts go back by block, so a frequent word is a row per block. Contexts and next
+symbols are Spark tables keyed by a hash of the symbols (64 bits). A table of at most ``BROADCAST_KEYS`` rows is broadcast to the passes over
+the texts; of a larger one each block of texts meets the rows it needs. The switch chooses a plan, not a result.
 
 Nulls: a null text is empty and has the end alone. A null doc_id is kept and its remainder is that of an empty text.
-Repeated rows are scored and learnt each. Without training rows all counts are 0. An empty table gives no rows. Other columns
-are ignored.
+Repeated rows are scored and learnt each. Very long texts are whole rows of a block of their own. Ties: nothing is ranked. Without training rows all
+counts are 0. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -32,151 +36,182 @@ from pyspark.sql import functions as F
 from placeforge.llm.words import bounds, list_array, slices, split_words, sums_by_row
 from placeforge.session import durable
 
-WORD_SYMBOLS = 120  # most frequent words with a symbol of their own
-ENDING_SYMBOLS = 130  # most frequent endings
-ENDING = 3  # bytes
+OWN_COUNT = 500  # a word that occurs as often has a symbol of its own
 DEPTH = 3  # symbols of the longest context
-LEAST_SHARE = 1e-4  # so there are at most DEPTH / LEAST_SHARE contexts
-LEAST_GAIN = 20.0  # natural log units that a context must gain over its shorter suffix, and 1 for each next symbol it has
-WEIGHT = 30.0  # tokens' worth of the shorter suffix in a context's distribution
-LOCAL_SHARE = 2e-4  # a word is named by a block in which it has this part of the tokens
-OTHER, END = 0, 1  # symbols of all other words, and of the end
-
-BLOCKS = "block long, doc_id long, held_out boolean, codes array<int>, symbols binary, word binary, code int, symbol int, n long"
-
-
-def _ending(words: pa.Array) -> pa.Array:
-    raw = words.cast(pa.binary())
-    return pc.binary_slice(raw, -ENDING)
-
-
-class Alphabet(NamedTuple):
-    words: dict[bytes, int]
-    endings: dict[bytes, int]
-
-    @property
-    def size(self) -> int:
-        return 2 + len(self.words) + len(self.endings)
-
-    def symbols(self, words: pa.Array) -> np.ndarray:
-        coded = _ending(words).dictionary_encode()
-        of_ending = np.array([self.endings.get(e, OTHER) for e in coded.dictionary.to_pylist()], np.uint8)
-        found = of_ending[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.uint8)
-        if self.words:
-            at = pc.index_in(words.cast(pa.binary()), pa.array(list(self.words), pa.binary())).fill_null(-1).to_numpy()
-            own = np.array(list(self.words.values()), np.uint8)
-            found = np.where(at >= 0, own[np.maximum(at, 0)], found)
-        return found.astype(np.uint8)
-
-
-def _lower(texts: pa.Array) -> pa.Array:
-    return pc.ascii_lower(texts)
-
-
-def learn_alphabet(docs: DataFrame) -> Alphabet:
-    """Frequent words and endings of the training rows of (doc_id, held_out, text)."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
-        for _, texts in slices(batches):
-            _, codes, words = split_words(_lower(texts))
-            times = np.bincount(codes, minlength=len(words))
-            often = np.flatnonzero(times >= max(2, LOCAL_SHARE * len(codes)))
-            for word, n in zip(words.take(pa.array(often)).cast(pa.binary()).to_pylist(), times[often].tolist(), strict=True):
-                total["w", word] += n
-            coded = _ending(words).dictionary_encode()
-            sums = np.bincount(coded.indices.to_numpy(zero_copy_only=False), times, minlength=len(coded.dictionary))
-            often = np.flatnonzero(sums >= max(2, LOCAL_SHARE * len(codes)))
-            for ending, n in zip(coded.dictionary.take(pa.array(often)).to_pylist(), sums[often].tolist(), strict=True):
-                total["e", ending] += int(n)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.binary()), pa.array(list(total.values()), pa.int64())],
-            ["kind", "part", "n"],
-        )
-
-    counts = docs.filter("not held_out").select("text").mapInArrow(count, "kind string, part binary, n long")
-    counts = durable(counts.groupBy("kind", "part").agg(F.sum("n").alias("n")), "alphabet")  # read twice
-    best = lambda kind, most: [bytes(r["part"]) for r in counts.filter(F.col("kind") == kind).orderBy(F.desc("n"), "part").limit(most).collect()]
-    words, endings = best("w", WORD_SYMBOLS), best("e", ENDING_SYMBOLS)
-    return Alphabet({w: 2 + i for i, w in enumerate(words)}, {e: 2 + len(words) + i for i, e in enumerate(endings)})
-
-
-def code_blocks(docs: DataFrame, alphabet: Alphabet) -> DataFrame:
-    """One written table of two kinds of rows: a row per document with its word codes and symbols, and for each block of
+LEAST_CONTEXT = 100  # a candidate context occurs as often
+LEAST_GAIN = 20.0  # natural log units that a context must gain over its shorter suffixes, and 1 for each next symbol it has
+BROADCAST_KEYS = 2_000_000
+ENDINGS = 256 + 65_536  # words of one byte, and the last two bytes of all others
+END = ENDINGS  # symbol of the end
+
+BLOCKS = "block long, doc_id long, held_out boolean, codes binary, word binary, code int, ending int, n long"
+SUMS = "block long, doc_id long, held_out boolean, n_known long, log_counts double, log_words double, symbols array<long>"
+
+
+def _endings(words: pa.Array) -> np.ndarray:
+    """Number of the last one or two bytes of each word; words are not empty."""
+    raw = words.cast(pa.large_binary())
+    ends = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
+    last = data[ends[1:] - 1].astype(np.int32) if len(raw) else np.zeros(0, np.int32)
+    before = np.where(np.diff(ends) > 1, data[ends[1:] - 2].astype(np.int32) + 1, 0) if len(raw) else last
+    return before * 256 + last
+
+
+def pack(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all codes, bytes per code): seven bits a byte, lowest first, the top bit on all but a code's last byte."""
+    size = 1 + sum((codes >= 1 << (7 * k)).astype(np.int64) for k in range(1, 5))
+    at, out = bounds(size)[:-1], np.zeros(size.sum(), np.uint8)
+    for k in range(5):
+        some = size > k
+        out[at[some] + k] = (codes[some] >> (7 * k) & 127) | np.where(size[some] > k + 1, 128, 0)
+    return out, size
+
+
+def unpack(raw: np.ndarray) -> np.ndarray:
+    ends = np.flatnonzero(raw < 128)
+    starts = np.concatenate([[0], ends[:-1] + 1])[: len(ends)]
+    found = np.zeros(len(ends), np.int64)
+    for k in range(5):
+        some = ends - starts >= k
+        found[some] |= (raw[starts[some] + k] & 127).astype(np.int64) << (7 * k)
+    return found
+
+
+def code_blocks(docs: DataFrame) -> DataFrame:
+    """One written table of two kinds of rows: a row per document with its word codes, and for each block of
     documents a row per different word with its number in the block's training rows."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         names = [f.split()[0] for f in BLOCKS.split(", ")]
+        kinds = (pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64())
         for rows, texts in slices(batches):
-            counts, codes, words = split_words(_lower(texts))
-            symbols = alphabet.symbols(words)
-            at = bounds(counts)
-            raw = symbols[codes].tobytes()
-            docs_part = [
-                pa.array(np.full(len(counts), block), pa.int64()), rows.column(0), rows.column(1), list_array(codes, counts, pa.int32()),
-                pa.array([raw[a:b] for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(docs_part + [pa.nulls(len(counts), k) for k in (pa.binary(), pa.int32(), pa.int32(), pa.int64())], names)
+            counts, codes, words = split_words(pc.ascii_lower(texts))
+            times = np.bincount(codes, minlength=len(words))
+            order = np.argsort(-times, kind="stable")[: np.count_nonzero(times)]  # frequent words have short codes
+            rank = np.zeros(len(words), np.int64)
+            rank[order] = np.arange(len(order))
+            codes, words = rank[codes], words.take(pa.array(order))
+            raw, size = pack(codes)
+            ends = bounds(sums_by_row(size, counts)).tolist()
+            raw = raw.tobytes()
+            own = [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+            docs_part = [pa.array(np.full(len(counts), block), pa.int64()), rows.column(0), rows.column(1), pa.array(own, pa.binary())]
+            yield pa.RecordBatch.from_arrays(docs_part + [pa.nulls(len(counts), k) for k in kinds[3:]], names)
             learnt = np.repeat(~rows.column(1).to_numpy(zero_copy_only=False), counts)
-            n = np.bincount(codes[learnt], minlength=len(words))
-            seen = np.flatnonzero(np.bincount(codes, minlength=len(words)))
-            for first in range(0, len(seen), 50_000):
-                some = seen[first : first + 50_000]
-                words_part = [words.take(pa.array(some)).cast(pa.binary()), pa.array(some, pa.int32()), pa.array(symbols[some], pa.int32()), pa.array(n[some], pa.int64())]
-                blank = [pa.nulls(len(some), k) for k in (pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.binary())]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block), pa.int64()), *blank, *words_part], names)
+            n, ending = np.bincount(codes[learnt], minlength=len(words)), _endings(words)
+            for first in range(0, len(words), 50_000):
+                part = slice(first, min(len(words), first + 50_000))
+                size_of = part.stop - first
+                some = [
+                    words.slice(first, size_of).cast(pa.binary()), pa.array(np.arange(first, part.stop), pa.int32()), pa.array(ending[part], pa.int32()),
+                    pa.array(n[part], pa.int64()),
+                ]
+                blank = [pa.nulls(size_of, k) for k in kinds[:3]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(size_of, block), pa.int64()), *blank, *some], names)
             block += 1
 
     return durable(docs.select("doc_id", "held_out", "text").mapInArrow(code, BLOCKS), "blocks")
 
 
-def count_words(blocks: DataFrame) -> DataFrame:
-    """(block, code, symbol, n, c, first): ``c`` is the word's number in all training rows; one row of each word is its first."""
+def count_words(blocks: DataFrame, own_count: int = OWN_COUNT) -> DataFrame:
+    """(block, code, c, symbol, first): ``c`` is the word's number in all training rows; one row of each word is its first.
+
+    A word has one row per block, so no word has more than one in as many rows as a block has words."""
     word = W.partitionBy("word")
-    rows = blocks.filter("word is not null").select("block", "code", "symbol", "n", "word")
-    whole = rows.withColumn("c", F.sum("n").over(word)).withColumn("_b", F.min(F.struct("block", "code")).over(word))
-    first = (F.col("_b.block") == F.col("block")) & (F.col("_b.code") == F.col("code"))
-    return durable(whole.select("block", "code", "symbol", "n", "c", first.alias("first")), "words")
+    rows = blocks.filter("word is not null").select("block", "code", "ending", "n", "word")
+    whole = rows.withColumn("c", F.sum("n").over(word)).withColumn("_b", F.min("block").over(word))
+    symbol = F.when(F.col("c") >= own_count, F.xxhash64("word")).otherwise(F.col("ending").cast("long"))
+    return durable(whole.select("block", "code", "c", symbol.alias("symbol"), (F.col("_b") == F.col("block")).alias("first")), "words")
+
+
+class Index:
+    """Rows of a table by their 64-bit key, in arrays; ``find`` gives a row's place, or -1."""
+
+    def __init__(self, table: pa.Table):
+        keys = table.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.uint64(2**64 - 1))
+        self.columns = {c: table.column(c).to_numpy()[order] for c in table.column_names if c not in ("key", "block")}
+        bits = max(1, int(len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.searchsorted(keys[order], np.arange(2**bits, dtype=np.uint64) << self.shift).astype(np.int32)
+        self.longest = int(np.diff(np.append(self.starts, len(keys))).max(initial=0))
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        at = self.starts[wanted >> self.shift]
+        for _ in range(self.longest):
+            at += self.keys[at] < wanted
+        return np.where(self.keys[at] == wanted, np.where(at < len(self.keys) - 1, at, -1), -1)
+
+
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+def _mix(before: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Key of a sequence from that of all but its last symbol and the last symbol."""
+    x = (before ^ (symbols * _M1)) * _M2
+    x ^= x >> np.uint64(32)
+    return x * _M2
+
+
+def _symbols(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols of all texts, an end before and after each, places per text with the last end, whether a place is one)."""
+    lists = batch.column("symbols")
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    counts = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    at = bounds(counts)
+    line = np.insert(flat, np.concatenate([at[:-1], at[1:]]), np.uint64(END)) if len(counts) else flat
+    place = np.ones(len(line), bool)
+    place[bounds(counts + 2)[:-1]] = False
+    return line, counts + 1, place
+
+
+def _contexts(line: np.ndarray, place: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(key of the last 1, 2, ... symbols up to each place, whether they lie in its text), the end before a text included."""
+    begin = ~place
+    key, inside = _mix(np.zeros(len(line), np.uint64), line), np.ones(len(line), bool)
+    yield key, inside
+    for _ in range(1, depth):
+        before, crossed = np.roll(key, 1), np.roll(inside, 1)
+        key = _mix(before, line)
+        inside = crossed & ~begin
+        if len(inside):
+            inside[0] = False
+        yield key, inside
 
 
 class Tree(NamedTuple):
-    """Contexts as a trie read backwards; ``state`` is a node's longest kept suffix, ``log_p`` the state's next symbols."""
-
-    child: np.ndarray  # (nodes + 1, symbols); the last row leads nowhere
-    state: np.ndarray  # by node
-    log_p: np.ndarray  # (states, symbols), base 10
-
-
-def _walk(symbols: np.ndarray, starts: np.ndarray, child: np.ndarray, depth: int) -> Iterator[np.ndarray]:
-    """The node of the last 1, 2, ... symbols before each place, none beyond the end that stands before a text."""
-    none = len(child) - 1
-    node = np.zeros(len(symbols), np.int32)
-    age = np.arange(len(symbols)) - starts  # symbols before a place in its text
-    for back in range(1, depth + 1):
-        older = np.empty(len(symbols), np.uint8)
-        older[:back] = END
-        older[back:] = symbols[:-back]
-        older = np.where(age >= back, older, END)
-        node = child[node, older]
-        node = np.where(age >= back - 1, node, none)
-        yield node
-
-
-def _read(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols of all texts with their ends, start of its text by place, places per text)."""
-    texts = batch.column(column)
-    counts = pc.binary_length(texts).to_numpy().astype(np.int64)
-    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
-    flat = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    symbols = np.insert(flat, bounds(counts)[1:], END)
-    counts = counts + 1
-    return symbols, np.repeat(bounds(counts)[:-1], counts), counts
-
-
-def _parts(batch: pa.RecordBatch, column: int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Tables ``counts`` (key, n) of sequences and ``contexts`` (key, total, back) that are kept, and what the root needs."""
+
+    counts: DataFrame
+    contexts: DataFrame
+    root: float  # mass of all symbols
+
+
+def _shorter(line: np.ndarray, place: np.ndarray, counts: Index, contexts: Index, root: float, depth: int) -> np.ndarray:
+    """Probability of the symbol at each place by its kept contexts of up to ``depth`` symbols."""
+    n_of, total_of, back_of = counts.columns["n"], contexts.columns["total"], contexts.columns["back"]
+    sequences = list(_contexts(line, place, depth + 1))
+    at = counts.find(sequences[0][0])
+    p = (np.where(at >= 0, n_of[at] if len(n_of) else 0, 0) + 1.0) / root
+    live = np.flatnonzero(place)
+    for d in range(1, depth + 1):
+        live = live[sequences[d][1][live]]
+        c = contexts.find(sequences[d - 1][0][live - 1])
+        some = c >= 0
+        here, c = live[some], c[some]
+        at = counts.find(sequences[d][0][here])
+        n = np.where(at >= 0, n_of[at] if len(n_of) else 0, 0)
+        p[here] = n / total_of[c] + back_of[c] * p[here]
+    return p
+
+
+def _parts(batch: pa.RecordBatch, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices with at most ``most`` symbols, or one row."""
-    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy().astype(np.int64) + 1)
+    ends = np.cumsum(pc.list_value_length(batch.column("symbols")).to_numpy().astype(np.int64) + 2)
     first = 0
     while first < batch.num_rows:
         before = ends[first - 1] if first else 0
@@ -185,140 +220,168 @@ def _parts(batch: pa.RecordBatch, column: int, most: int = 4_000_000) -> Iterato
         first = last
 
 
-def _count_contexts(texts: DataFrame, child: np.ndarray, depth: int, size: int) -> DataFrame:
-    """(node, older, next, n): how often ``next`` follows the context ``older`` + node of ``depth`` - 1 symbols."""
+Work = Callable[[pa.RecordBatch, Index, Index], pa.RecordBatch]
+TREE = "key long, n long, total double, back double"
+
+
+def _over_texts(texts: DataFrame, counts: DataFrame, contexts: DataFrame, depth: int, work: Work, schema: str, most: int) -> DataFrame:
+    """``work`` on all texts with the rows of both tables: the whole tables, or those that a block of texts needs."""
+
+    def split(table: pa.Table) -> tuple[Index, Index]:
+        counted = pc.is_valid(table.column("n"))
+        return Index(table.filter(counted).select(["key", "n"])), Index(table.filter(pc.invert(counted)).select(["key", "total", "back"]))
+
+    null = F.lit(None)
+    tree = counts.select("key", "n", null.cast("double").alias("total"), null.cast("double").alias("back")).union(
+        contexts.select("key", null.cast("long"), "total", "back")
+    )
+    if tree.count() <= most:
+        shared = texts.sparkSession.sparkContext.broadcast(split(tree.toArrow()))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in _parts(whole):
+                    yield work(batch, *shared.value)
+
+        return texts.mapInArrow(run, schema)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _parts(whole, 0):
-                symbols, starts, _ = _read(batch, 0)
-                if depth == 0:
-                    node = older = np.zeros(len(symbols), np.int64)
-                else:
-                    node = np.zeros(len(symbols), np.int32)
-                    for node in _walk(symbols, starts, child, depth - 1):
-                        pass
-                    age = np.arange(len(symbols)) - starts
-                    older = np.full(len(symbols), END, np.uint8)
-                    older[depth:] = symbols[:-depth]
-                    older = np.where(age >= depth, older, END)
-                    kept = (age >= depth - 1) & (node != len(child) - 1)
-                    node, older, symbols = node[kept], older[kept], symbols[kept]
-                key, n = np.unique((node.astype(np.int64) * size + older) * size + symbols, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
-
-    return texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def learn_tree(texts: DataFrame, size: int, depth: int = DEPTH, least_share: float = LEAST_SHARE) -> Tree:
-    """From the symbols of all training texts; a pass over them for each depth."""
-    child = [np.full(size, -1, np.int64)]
-    counts = np.zeros(size)
-    for r in _count_contexts(texts, _as_table(child), 0, size).collect():  # a row per symbol
-        counts[r["key"] % size] = r["n"]
-    total = counts.sum()
-    p = [(counts + 1) / (total + size)]
-    parent_of, kept = [-1], [True]
-    for d in range(1, depth + 1):
-        table = _as_table(child)
-        rows = _count_contexts(texts, table, d, size)
-        rows = durable(rows.withColumn("context", F.expr(f"key div {size}")), "contexts")
-        often = rows.groupBy("context").agg(F.sum("n").alias("m")).filter(F.col("m") >= max(1.0, least_share * total))
-        # at most 1 / least_share contexts of the depth
-        found = rows.join(often, "context").select("context", F.pmod("key", F.lit(size)).alias("next"), "n").toArrow()
-        ctx, nxt, n = (found.column(c).to_numpy().astype(np.int64) for c in ("context", "next", "n"))
-        contexts, own = np.unique(ctx, return_inverse=True)
-        table = np.zeros((len(contexts), size))
-        table[own, nxt] = n
-        for c, counts in zip(contexts.tolist(), table, strict=True):
-            shorter, older = divmod(c, size)  # without its oldest symbol a context is its next shorter suffix
-            m = counts.sum()
-            smooth = (counts + WEIGHT * p[shorter]) / (m + WEIGHT)
-            seen = counts > 0
-            gain = (counts[seen] * np.log(smooth[seen] / p[shorter][seen])).sum()
-            child[shorter][older] = len(p)
-            child.append(np.full(size, -1, np.int64))
-            kept.append(bool(gain >= LEAST_GAIN + seen.sum()))
-            p.append(smooth)
-            parent_of.append(shorter)
-        if not len(contexts):
-            break
-    table = _as_table(child)
-    state = np.zeros(len(p), np.int64)
-    for node in range(1, len(p)):
-        state[node] = node if kept[node] else state[parent_of[node]]
-    used, states = np.unique(state, return_inverse=True)
-    return Tree(table, states.astype(np.int32), np.log10(np.array([p[i] for i in used])).astype(np.float64))
+            for batch in _parts(whole):
+                for block in pc.unique(batch.column("block")).to_pylist():
+                    line, _, place = _symbols(batch.filter(pc.equal(batch.column("block"), block)))
+                    keys = np.unique(np.concatenate([k[inside] for k, inside in _contexts(line, place, depth + 1)])).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block)), pa.array(keys)], ["block", "key"])
+
+    rows = texts.mapInArrow(needed, "block long, key long").distinct().join(tree, "key").select("block", "key", "n", "total", "back")
 
+    def meet(own: pa.Table, found: pa.Table) -> pa.Table:
+        tables = split(found)
+        done = [work(part, *tables) for batch in own.combine_chunks().to_batches() for part in _parts(batch)]
+        return pa.Table.from_batches(done) if done else empty
 
-def _as_table(child: list[np.ndarray]) -> np.ndarray:
-    table = np.vstack([*child, np.full(len(child[0]), -1, np.int64)])
-    return np.where(table < 0, len(child), table).astype(np.int32)
+    empty = texts.sparkSession.createDataFrame([], schema).toArrow()
+    return texts.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(meet, schema)
 
 
-def tree_scores(symbols: np.ndarray, starts: np.ndarray, counts: np.ndarray, tree: Tree, depth: int = DEPTH) -> np.ndarray:
-    """log10 probability of each text's symbols, every one in its longest kept context."""
-    none = len(tree.child) - 1
-    best = np.zeros(len(symbols), np.int32)
-    for node in _walk(symbols, starts, tree.child, depth):
-        best = np.where(node == none, best, node)
-    return sums_by_row(tree.log_p[tree.state[best], symbols], counts)
+def learn_tree(
+    texts: DataFrame, root: float, depth: int = DEPTH, least_context: int = LEAST_CONTEXT, least_gain: float = LEAST_GAIN, most: int = BROADCAST_KEYS
+) -> Tree:
+    """From (block, symbols) of all training texts; a pass over them for each depth."""
+    texts = texts.select("block", "symbols")
 
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in _parts(whole):
+                line, _, place = _symbols(batch)
+                key, n = np.unique(_mix(np.zeros(len(line), np.uint64), line), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+
+    # the ends before texts are counted with those after them, as contexts
+    both = durable(texts.mapInArrow(single, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "symbols")
+    end = int(_mix(np.zeros(1, np.uint64), np.array([END], np.uint64)).view(np.int64)[0])
+    counts = both.withColumn("n", F.when(F.col("key") == end, F.expr("n div 2")).otherwise(F.col("n")))
+    candidates = counts.filter(F.col("n") >= least_context)
+    contexts = texts.sparkSession.createDataFrame([], "key long, total double, back double")
+    for d in range(1, depth + 1):
 
-SUMS = "doc_id long, held_out boolean, n_words long, n_known long, log_counts double, symbols binary"
+        def follow(batch: pa.RecordBatch, counted: Index, kept: Index, d: int = d) -> pa.RecordBatch:
+            line, _, place = _symbols(batch)
+            p = _shorter(line, place, counted, kept, root, d - 1)
+            sequences = list(_contexts(line, place, d + 1))
+            here = np.flatnonzero(place & sequences[d][1])
+            ctx = sequences[d - 1][0][here - 1]
+            at = counted.find(ctx)
+            n_of = counted.columns["n"]
+            some = (at >= 0) & ((n_of[at] if len(n_of) else at) >= least_context)
+            here, ctx = here[some], ctx[some]
+            key = sequences[d][0][here]
+            order = np.argsort(key)
+            key = key[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+            n, first = np.diff(np.append(first, len(key))), order[first]
+            by = np.argsort(ctx[first])  # rows of a context lie together, which packs better
+            n, first = n[by], first[by]
+            low = np.rint(-100 * np.log(p[here[first]])).astype(np.int32)
+            columns = [ctx[first].view(np.int64), sequences[d][0][here[first]].view(np.int64), low, n]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["ctx", "key", "low", "n"])
+
+        rows = _over_texts(texts, counts, contexts, d, follow, "ctx long, key long, low int, n long", most)
+        found = rows.groupBy("key", "ctx").agg(F.sum("n").alias("n"), F.min("low").alias("low")).filter("n > 1")
+        found = durable(found, "follow")
+        m = candidates.select(F.col("key").alias("ctx"), F.col("n").alias("m"))
+        stats = found.groupBy("ctx").agg(
+            F.sum("n").alias("k"), F.count("*").alias("t"), F.sum(F.col("n") * (F.log("n") + F.col("low") / 100)).alias("g")
+        )
+        stats = stats.join(m, "ctx").withColumn("once", F.greatest(F.lit(0), F.col("m") - F.col("k")))
+        stats = stats.withColumn("total", (F.col("k") + 2 * F.col("once") + F.col("t")).cast("double"))
+        stats = stats.withColumn("back", (2 * F.col("once") + F.col("t")) / F.col("total"))
+        gain = F.col("g") - F.col("k") * F.log("total") + F.col("once") * F.log("back")
+        kept = durable(stats.filter(gain >= least_gain + F.col("t")).select("ctx", "total", "back"), "contexts")
+        contexts = contexts.union(kept.select(F.col("ctx").alias("key"), "total", "back"))
+        used = found.join(kept.select("ctx"), "ctx", "left_semi")
+        often = found.filter(F.col("n") >= least_context)  # the next depth's candidates, kept or not
+        candidates = durable(often.select("key", "n"), "candidates")
+        rest = used.filter(F.col("n") < least_context).select("key", "n")
+        counts = durable(counts.union(rest).union(candidates), "counts")
+        if candidates.isEmpty():
+            break
+    return Tree(counts, contexts, root)
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, depth: int = DEPTH, own_count: int = OWN_COUNT, least_context: int = LEAST_CONTEXT, most: int = BROADCAST_KEYS) -> DataFrame:
     """Rows (doc_id, held_out, text) to doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the rows that are not held out. ``base_score`` is the log10 probability by counts of tokens with one
     added; ``score`` is the model's.
     """
-    alphabet = learn_alphabet(docs)
-    size = alphabet.size
-    blocks = code_blocks(docs, alphabet)
-    words = count_words(blocks)
-    own = words.filter("first")
-    by_symbol = own.groupBy("symbol").agg(F.sum(F.col("c") + (F.col("c") > 0).cast("long")).alias("mass"), F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")).collect()
+    blocks = code_blocks(docs)
+    words = count_words(blocks, own_count)
+    one = words.filter("first")
+    seen = (F.col("c") > 0).cast("long")
+    small = F.col("c") < own_count
+    by_ending = one.filter(small).groupBy("symbol").agg(F.sum(F.col("c") + seen).alias("mass"), F.sum("c").alias("n"), F.sum(seen).alias("v")).collect()
+    own = one.filter(~small).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = blocks.filter("word is null and not held_out").count()
-    train = sum(r["n"] for r in by_symbol) + ends
-    distinct = sum(r["v"] for r in by_symbol) + (ends > 0)
-    mass = np.zeros(size)
-    for r in by_symbol:  # a row per symbol
-        mass[r["symbol"]] = r["mass"]
+    train = sum(r["n"] for r in by_ending) + own["n"] + ends
+    distinct = sum(r["v"] for r in by_ending) + own["v"] + (ends > 0)
+    log_mass = np.zeros(ENDINGS)
+    for r in by_ending:  # at most ENDINGS rows
+        log_mass[r["symbol"]] = np.log10(r["mass"] + 1)
 
     def count(texts: pa.Table, counted: pa.Table) -> pa.Table:
-        codes = texts.column("codes").combine_chunks()
-        lengths = np.diff(codes.offsets.to_numpy()).astype(np.int64)
-        flat = codes.flatten().to_numpy(zero_copy_only=False)
-        at, c = counted.column("code").to_numpy(), counted.column("c").to_numpy()
-        known = np.zeros(1 + max(at.max(initial=0), flat.max(initial=0)), np.int64)
-        known[at] = c
-        mine = known[flat]
+        raw = texts.column("codes").to_pylist()
+        flat = unpack(np.frombuffer(b"".join(raw), np.uint8))
+        lengths = np.array([np.count_nonzero(np.frombuffer(x, np.uint8) < 128) for x in raw], np.int64)
+        at, found = counted.column("code").to_numpy(), counted.column("symbol").to_numpy()
+        c = np.zeros(1 + at.max(initial=0), np.int64)
+        symbol = np.zeros(len(c), np.int64)
+        c[at], symbol[at] = counted.column("c").to_numpy(), found
+        of_word = np.where(c >= own_count, 0.0, np.log10(c + 1.0) - log_mass[np.where(c >= own_count, 0, symbol)])
+        mine = c[flat]
         return pa.table([
-            texts.column("doc_id"), texts.column("held_out"), pa.array(lengths), pa.array(sums_by_row((mine > 0).astype(np.int64), lengths)),
-            pa.array(sums_by_row(np.log10(mine + 1.0), lengths)), texts.column("symbols"),
-        ], names=["doc_id", "held_out", "n_words", "n_known", "log_counts", "symbols"])
+            texts.column("block"), texts.column("doc_id"), texts.column("held_out"), pa.array(sums_by_row((mine > 0).astype(np.int64), lengths)),
+            pa.array(sums_by_row(np.log10(mine + 1.0), lengths)), pa.array(sums_by_row(of_word[flat], lengths)), list_array(symbol[flat], lengths, pa.int64()),
+        ], names=[f.split()[0] for f in SUMS.split(", ")])
 
-    rows = blocks.filter("word is null").select("block", "doc_id", "held_out", "codes", "symbols")
-    back = words.filter("c > 0").select("block", "code", "c")
+    rows = blocks.filter("word is null").select("block", "doc_id", "held_out", "codes")
+    back = words.select("block", "code", "c", "symbol")
     sums = durable(rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(count, SUMS), "sums")
-    tree = learn_tree(sums.filter("not held_out").select("symbols"), size)
-    log_base, log_mass, known_end = float(np.log10(train + distinct + 1)), np.log10(mass + 1), int(ends > 0)
-    log_mass[END] = 0.0
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in _parts(whole, 4):
-                symbols, starts, counts = _read(b, 4)
-                log_counts, n_known = b.column(3).to_numpy(), b.column(2).to_numpy() + known_end
-                found = tree_scores(symbols, starts, counts, tree) + log_counts - sums_by_row(log_mass[symbols], counts)
-                base = log_counts + np.log10(ends + 1) - counts * log_base
-                n = len(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(counts), pa.array(n_known), pa.array(np.full(n, train), pa.int64()), pa.array(base), pa.array(found)],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+    root = float(train + own["v"] + ENDINGS + 1)
+    tree = learn_tree(sums.filter("not held_out"), root, depth, least_context, most=most)
+    log_base, known_end = float(np.log10(train + distinct + 1)), int(ends > 0)
+
+    def score(batch: pa.RecordBatch, counted: Index, kept: Index) -> pa.RecordBatch:
+        line, counts, place = _symbols(batch)
+        p = _shorter(line, place, counted, kept, root, depth)
+        found = sums_by_row(np.log10(p[place]), counts) + batch.column("log_words").to_numpy()
+        base = batch.column("log_counts").to_numpy() + np.log10(ends + 1) - counts * log_base
+        n = len(counts)
+        known = pa.array(batch.column("n_known").to_numpy() + known_end)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("held_out"), pa.array(counts), known, pa.array(np.full(n, train), pa.int64()), pa.array(base), pa.array(found)],
+            ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+        )
 
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return sums.select("doc_id", "held_out", "n_known", "log_counts", "symbols").mapInArrow(score, out)
+    return _over_texts(sums, tree.counts, tree.contexts, depth, score, out, most)
