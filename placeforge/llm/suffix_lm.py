@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from placeforge.llm.words import bounds, list_array, slices, split_words, sums_by_row
+from placeforge.llm.words import bounds, slices, split_words, sums_by_row
+from placeforge.operators.ordered import position_in_group
 from placeforge.session import durable
 
 OWN_COUNT = 500  # a word that occurs as often has a symbol of its own
@@ -42,10 +43,10 @@ LEAST_CONTEXT = 100  # a candidate context occurs as often
 LEAST_GAIN = 20.0  # natural log units that a context must gain over its shorter suffixes, and 1 for each next symbol it has
 BROADCAST_KEYS = 2_000_000
 ENDINGS = 256 + 65_536  # words of one byte, and the last two bytes of all others
-END = ENDINGS  # symbol of the end
+END = 0  # symbol of the end; own symbols are even numbers by falling count, endings odd ones
 
 BLOCKS = "block long, doc_id long, held_out boolean, codes binary, word binary, code int, ending int, n long"
-SUMS = "block long, doc_id long, held_out boolean, n_known long, log_counts double, log_words double, symbols array<long>"
+SUMS = "block long, doc_id long, held_out boolean, n_known long, log_counts double, log_words double, symbols binary"
 
 
 def _endings(words: pa.Array) -> np.ndarray:
@@ -116,21 +117,32 @@ def code_blocks(docs: DataFrame) -> DataFrame:
 
 
 def count_words(blocks: DataFrame, own_count: int = OWN_COUNT) -> DataFrame:
-    """(block, code, c, symbol, first): ``c`` is the word's number in all training rows; one row of each word is its first.
+    """(block, code, c, ending, hash, first): ``c`` is the word's number in all training rows; one row of each word is its first.
 
     A word has one row per block, so no word has more than one in as many rows as a block has words."""
     word = W.partitionBy("word")
     rows = blocks.filter("word is not null").select("block", "code", "ending", "n", "word")
     whole = rows.withColumn("c", F.sum("n").over(word)).withColumn("_b", F.min("block").over(word))
-    symbol = F.when(F.col("c") >= own_count, F.xxhash64("word")).otherwise(F.col("ending").cast("long"))
-    return durable(whole.select("block", "code", "c", symbol.alias("symbol"), (F.col("_b") == F.col("block")).alias("first")), "words")
+    name = F.when(F.col("c") >= own_count, F.xxhash64("word"))
+    return durable(whole.select("block", "code", "c", "ending", name.alias("hash"), (F.col("_b") == F.col("block")).alias("first")), "words")
+
+
+def symbols_of(words: DataFrame) -> DataFrame:
+    """(block, code, c, symbol) of ``count_words``."""
+    own = words.filter("hash is not null")
+    ranked = position_in_group(own.filter("first").select("hash", "c"), [], [F.desc("c"), F.col("hash")], "rank").select("hash", (2 * F.col("rank")).alias("symbol"))
+    rest = words.filter("hash is null").select("block", "code", "c", (2 * F.col("ending").cast("long") + 1).alias("symbol"))
+    return rest.union(own.join(ranked, "hash").select("block", "code", "c", "symbol"))
+
+
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 class Index:
     """Rows of a table by their 64-bit key, in arrays; ``find`` gives a row's place, or -1."""
 
     def __init__(self, table: pa.Table):
-        keys = table.column("key").to_numpy().view(np.uint64)
+        keys = table.column("key").to_numpy().view(np.uint64) * _M1  # one to one, and spread over all buckets
         order = np.argsort(keys)
         self.keys = np.append(keys[order], np.uint64(2**64 - 1))
         self.columns = {c: table.column(c).to_numpy()[order] for c in table.column_names if c not in ("key", "block")}
@@ -140,28 +152,27 @@ class Index:
         self.longest = int(np.diff(np.append(self.starts, len(keys))).max(initial=0))
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
+        wanted = wanted * _M1
         at = self.starts[wanted >> self.shift]
         for _ in range(self.longest):
             at += self.keys[at] < wanted
         return np.where(self.keys[at] == wanted, np.where(at < len(self.keys) - 1, at, -1), -1)
 
 
-_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-
-
 def _mix(before: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     """Key of a sequence from that of all but its last symbol and the last symbol."""
-    x = (before ^ (symbols * _M1)) * _M2
+    x = ((before + _M2) ^ (symbols * _M1)) * _M2  # two ends are not the key of one
     x ^= x >> np.uint64(32)
     return x * _M2
 
 
-def _symbols(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _symbols(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols of all texts, an end before and after each, places per text with the last end, whether a place is one)."""
-    lists = batch.column("symbols")
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    counts = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-    flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    packed = batch.column("symbols")
+    ends = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+    raw = np.frombuffer(packed.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    counts = np.diff(bounds(raw < 128)[ends - ends[0]])
+    flat = unpack(raw).astype(np.uint64)
     at = bounds(counts)
     line = np.insert(flat, np.concatenate([at[:-1], at[1:]]), np.uint64(END)) if len(counts) else flat
     place = np.ones(len(line), bool)
@@ -172,7 +183,7 @@ def _symbols(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray,
 def _contexts(line: np.ndarray, place: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(key of the last 1, 2, ... symbols up to each place, whether they lie in its text), the end before a text included."""
     begin = ~place
-    key, inside = _mix(np.zeros(len(line), np.uint64), line), np.ones(len(line), bool)
+    key, inside = line, np.ones(len(line), bool)  # one symbol is its own key
     yield key, inside
     for _ in range(1, depth):
         before, crossed = np.roll(key, 1), np.roll(inside, 1)
@@ -210,8 +221,8 @@ def _shorter(line: np.ndarray, place: np.ndarray, counts: Index, contexts: Index
 
 
 def _parts(batch: pa.RecordBatch, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices with at most ``most`` symbols, or one row."""
-    ends = np.cumsum(pc.list_value_length(batch.column("symbols")).to_numpy().astype(np.int64) + 2)
+    """Slices with at most ``most`` bytes of symbols, or one row."""
+    ends = np.cumsum(pc.binary_length(batch.column("symbols")).to_numpy().astype(np.int64) + 2)
     first = 0
     while first < batch.num_rows:
         before = ends[first - 1] if first else 0
@@ -220,6 +231,12 @@ def _parts(batch: pa.RecordBatch, most: int = 2_000_000) -> Iterator[pa.RecordBa
         first = last
 
 
+def _with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        ctx, after = (b.column(c).to_numpy().view(np.uint64) for c in ("ctx", "next"))
+        yield pa.RecordBatch.from_arrays([pa.array(_mix(ctx, after).view(np.int64)), b.column("ctx"), b.column("low"), b.column("n")], ["key", "ctx", "low", "n"])
+
+
 Work = Callable[[pa.RecordBatch, Index, Index], pa.RecordBatch]
 TREE = "key long, n long, total double, back double"
 
@@ -274,13 +291,12 @@ def learn_tree(
         for whole in batches:
             for batch in _parts(whole):
                 line, _, place = _symbols(batch)
-                key, n = np.unique(_mix(np.zeros(len(line), np.uint64), line), return_counts=True)
+                key, n = np.unique(line, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
 
     # the ends before texts are counted with those after them, as contexts
     both = durable(texts.mapInArrow(single, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "symbols")
-    end = int(_mix(np.zeros(1, np.uint64), np.array([END], np.uint64)).view(np.int64)[0])
-    counts = both.withColumn("n", F.when(F.col("key") == end, F.expr("n div 2")).otherwise(F.col("n")))
+    counts = both.withColumn("n", F.when(F.col("key") == END, F.expr("n div 2")).otherwise(F.col("n")))
     candidates = counts.filter(F.col("n") >= least_context)
     contexts = texts.sparkSession.createDataFrame([], "key long, total double, back double")
     for d in range(1, depth + 1):
@@ -303,12 +319,12 @@ def learn_tree(
             by = np.argsort(ctx[first])  # rows of a context lie together, which packs better
             n, first = n[by], first[by]
             low = np.rint(-100 * np.log(p[here[first]])).astype(np.int32)
-            columns = [ctx[first].view(np.int64), sequences[d][0][here[first]].view(np.int64), low, n]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["ctx", "key", "low", "n"])
+            columns = [ctx[first].view(np.int64), line[here[first]].view(np.int64), low, n]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["ctx", "next", "low", "n"])
 
-        rows = _over_texts(texts, counts, contexts, d, follow, "ctx long, key long, low int, n long", most)
-        found = rows.groupBy("key", "ctx").agg(F.sum("n").alias("n"), F.min("low").alias("low")).filter("n > 1")
-        found = durable(found, "follow")
+        rows = _over_texts(texts, counts, contexts, d, follow, "ctx long, next long, low int, n long", most)
+        found = rows.groupBy("ctx", "next").agg(F.sum("n").alias("n"), F.min("low").alias("low")).filter("n > 1")
+        found = durable(found.mapInArrow(_with_keys, "key long, ctx long, low int, n long"), "follow")
         m = candidates.select(F.col("key").alias("ctx"), F.col("n").alias("m"))
         stats = found.groupBy("ctx").agg(
             F.sum("n").alias("k"), F.count("*").alias("t"), F.sum(F.col("n") * (F.log("n") + F.col("low") / 100)).alias("g")
@@ -340,14 +356,14 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, own_count: int = OWN_CO
     one = words.filter("first")
     seen = (F.col("c") > 0).cast("long")
     small = F.col("c") < own_count
-    by_ending = one.filter(small).groupBy("symbol").agg(F.sum(F.col("c") + seen).alias("mass"), F.sum("c").alias("n"), F.sum(seen).alias("v")).collect()
+    by_ending = one.filter(small).groupBy("ending").agg(F.sum(F.col("c") + seen).alias("mass"), F.sum("c").alias("n"), F.sum(seen).alias("v")).collect()
     own = one.filter(~small).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = blocks.filter("word is null and not held_out").count()
     train = sum(r["n"] for r in by_ending) + own["n"] + ends
     distinct = sum(r["v"] for r in by_ending) + own["v"] + (ends > 0)
     log_mass = np.zeros(ENDINGS)
     for r in by_ending:  # at most ENDINGS rows
-        log_mass[r["symbol"]] = np.log10(r["mass"] + 1)
+        log_mass[r["ending"]] = np.log10(r["mass"] + 1)
 
     def count(texts: pa.Table, counted: pa.Table) -> pa.Table:
         raw = texts.column("codes").to_pylist()
@@ -357,15 +373,18 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, own_count: int = OWN_CO
         c = np.zeros(1 + at.max(initial=0), np.int64)
         symbol = np.zeros(len(c), np.int64)
         c[at], symbol[at] = counted.column("c").to_numpy(), found
-        of_word = np.where(c >= own_count, 0.0, np.log10(c + 1.0) - log_mass[np.where(c >= own_count, 0, symbol)])
+        of_word = np.where(c >= own_count, 0.0, np.log10(c + 1.0) - log_mass[np.where(c >= own_count, 0, symbol >> 1)])
         mine = c[flat]
+        packed, size = pack(symbol[flat])
+        ends, packed = bounds(sums_by_row(size, lengths)).tolist(), packed.tobytes()
+        shown = pa.array([packed[a:b] for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
         return pa.table([
             texts.column("block"), texts.column("doc_id"), texts.column("held_out"), pa.array(sums_by_row((mine > 0).astype(np.int64), lengths)),
-            pa.array(sums_by_row(np.log10(mine + 1.0), lengths)), pa.array(sums_by_row(of_word[flat], lengths)), list_array(symbol[flat], lengths, pa.int64()),
+            pa.array(sums_by_row(np.log10(mine + 1.0), lengths)), pa.array(sums_by_row(of_word[flat], lengths)), shown,
         ], names=[f.split()[0] for f in SUMS.split(", ")])
 
     rows = blocks.filter("word is null").select("block", "doc_id", "held_out", "codes")
-    back = words.select("block", "code", "c", "symbol")
+    back = symbols_of(words)
     sums = durable(rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(count, SUMS), "sums")
     root = float(train + own["v"] + ENDINGS + 1)
     tree = learn_tree(sums.filter("not held_out"), root, depth, least_context, most=most)

@@ -118,8 +118,8 @@ def test_more_text_gives_more_contexts_and_symbols(spark):
     for n in (60, 240):
         sums = suffix_lm.code_blocks(with_folds(documents(spark, phrases(n))))
         own = suffix_lm.count_words(sums, 10).filter("first and c >= 10").count()
-        lists = [[zlib.crc32(w.encode()) for w in t.split()] for t in phrases(n)]
-        texts = spark.createDataFrame([(0, x) for x in lists], "block long, symbols array<long>")
+        lists = [[1 + zlib.crc32(w.encode()) % 2**30 for w in t.split()] for t in phrases(n)]
+        texts = spark.createDataFrame([(0, suffix_lm.pack(np.array(x))[0].tobytes()) for x in lists], "block long, symbols binary")
         tree = suffix_lm.learn_tree(texts, 1e6, least_context=20)
         sizes.append((own, tree.contexts.count()))
     assert sizes[0][0] < sizes[1][0] and sizes[0][1] < sizes[1][1]
