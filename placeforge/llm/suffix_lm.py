@@ -35,13 +35,13 @@ from pyspark.sql import functions as F
 
 from placeforge.llm.words import bounds, slices, split_words, sums_by_row
 from placeforge.operators.ordered import position_in_group
-from placeforge.session import durable
+from placeforge.session import durable, forget
 
 OWN_COUNT = 500  # a word that occurs as often has a symbol of its own
 DEPTH = 3  # symbols of the longest context
 LEAST_CONTEXT = 100  # a candidate context occurs as often
 LEAST_GAIN = 20.0  # natural log units that a context must gain over its shorter suffixes, and 1 for each next symbol it has
-BROADCAST_KEYS = 2_000_000
+BROADCAST_KEYS = 8_000_000  # about 25 bytes each in a task
 ENDINGS = 256 + 65_536  # words of one byte, and the last two bytes of all others
 END = 0  # symbol of the end; own symbols are even numbers by falling count, endings odd ones
 
@@ -252,8 +252,8 @@ def _over_texts(texts: DataFrame, counts: DataFrame, contexts: DataFrame, depth:
     tree = counts.select("key", "n", null.cast("double").alias("total"), null.cast("double").alias("back")).union(
         contexts.select("key", null.cast("long"), "total", "back")
     )
-    if tree.count() <= most:
-        shared = texts.sparkSession.sparkContext.broadcast(split(tree.toArrow()))
+    if counts.count() + contexts.count() <= most:
+        shared = texts.sparkSession.sparkContext.broadcast((Index(counts.select("key", "n").toArrow()), Index(contexts.toArrow())))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
@@ -340,6 +340,7 @@ def learn_tree(
         candidates = durable(often.select("key", "n"), "candidates")
         rest = used.filter(F.col("n") < least_context).select("key", "n")
         counts = durable(counts.union(rest).union(candidates), "counts")
+        forget(found)
         if candidates.isEmpty():
             break
     return Tree(counts, contexts, root)
@@ -386,6 +387,8 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, own_count: int = OWN_CO
     rows = blocks.filter("word is null").select("block", "doc_id", "held_out", "codes")
     back = symbols_of(words)
     sums = durable(rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(count, SUMS), "sums")
+    forget(blocks)
+    forget(words)
     root = float(train + own["v"] + ENDINGS + 1)
     tree = learn_tree(sums.filter("not held_out"), root, depth, least_context, most=most)
     log_base, known_end = float(np.log10(train + distinct + 1)), int(ends > 0)
