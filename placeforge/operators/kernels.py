@@ -321,31 +321,136 @@ def _weights(line: Ring) -> np.ndarray:
     return weights
 
 
-def _thin(line: Ring, weights: np.ndarray, tolerance: float, least: int) -> Ring:
-    """The points that outlast the tolerance, but ``least`` of them at any rate."""
-    keep = weights > tolerance
-    if keep.sum() < least <= len(line):
-        keep[np.argsort(-weights, kind="stable")[:least]] = True
-    return line[keep]
-
-
-def _weigh(parts: list[list[Ring]]) -> list[list[np.ndarray]]:
-    return [[_weights(r) for r in part] for part in parts]
+_POINTS_AT_ONCE = 1 << 18  # points of rings that are weighed together
+_LARGE = 1e150  # beyond it squares overflow; such rings are weighed alone
+
+
+def _weigh_rings(xy: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``_weights`` of many rings, one after the other in ``xy``: all open spans of a depth are looked at together."""
+    weights = np.zeros(len(xy))
+    some = size > 0
+    weights[start[some]] = weights[start[some] + size[some] - 1] = np.inf
+    first, last, above = start[size > 2], (start + size)[size > 2] - 1, np.full(int((size > 2).sum()), np.inf)
+    while len(first):
+        n = last - first - 1
+        at = np.cumsum(n) - n
+        own = np.repeat(np.arange(len(n)), n)
+        here = np.arange(len(own)) - at[own] + first[own] + 1
+        base, d = xy[first], xy[last] - xy[first]
+        norm = d[:, 0] * d[:, 0] + d[:, 1] * d[:, 1]
+        px, py, dx, dy = xy[here, 0] - base[own, 0], xy[here, 1] - base[own, 1], d[own, 0], d[own, 1]
+        t = np.clip((px * dx + py * dy) / np.where(norm > 0, norm, 1.0)[own], 0, 1)
+        t[(norm <= 0)[own]] = 0.0
+        off = (px - t * dx) ** 2 + (py - t * dy) ** 2
+        most = np.maximum.reduceat(off, at)
+        hits = np.flatnonzero(off == most[own])
+        far = here[hits[np.searchsorted(hits, at)]]  # the first of a span that is as far off as that
+        weight = np.minimum([v**0.5 for v in most.tolist()], above)
+        weights[far] = weight
+        left, right = far - first > 1, last - far > 1
+        first, last = np.concatenate([first[left], far[right]]), np.concatenate([far[left], last[right]])
+        above = np.concatenate([weight[left], weight[right]])
+    return weights
 
 
-def _thin_geometry(gtype: str, parts: list[list[Ring]], weights, tolerance: float, keep_collapsed: bool):
-    found = []
-    for part, own in zip(parts, weights):
-        if gtype in LINEAR:
-            line = _thin(part[0], own[0], tolerance, 2)
-            if keep_collapsed or len(np.unique(line, axis=0)) > 1:
-                found.append([line])
-            continue
-        shell = 4 if keep_collapsed else 0
-        thin = [_thin(r, w, tolerance, 0 if n else shell) for n, (r, w) in enumerate(zip(part, own))]
-        if len(thin[0]) >= 4:
-            found.append([r for r in thin if len(r) >= 4])
-    return (gtype, found) if found else None
+class _Shapes:
+    """The geometries of a batch by flat arrays: rings of parts of rows, with the weight of each point."""
+
+    def __init__(self, geoms: pa.StructArray):
+        self.types = geoms.field("gtype")
+        xy, part_at, ring_at, point_at = _flat(geoms)
+        self.rows = len(geoms)
+        present = np.asarray(geoms.is_valid()) & np.asarray(self.types.is_valid())
+
+        def inner(at: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """(places, their owners) of what lies in the ranges that start at the places held."""
+            n = at[held + 1].astype(np.int64) - at[held]
+            owner = np.repeat(np.arange(len(held)), n)
+            return at[held].astype(np.int64)[owner] + np.arange(len(owner)) - (np.cumsum(n) - n)[owner], owner
+
+        rows = np.flatnonzero(present)
+        parts, part_row = inner(part_at, rows)
+        rings, self.ring_part = inner(ring_at, parts)
+        points, self.point_ring = inner(point_at, rings)
+        self.part_row = rows[part_row]
+        self.ring_row = self.part_row[self.ring_part]
+        self.xy = xy[points]
+        self.size = np.bincount(self.point_ring, minlength=len(rings))
+        self.start = np.cumsum(self.size) - self.size
+        self.shell = np.ones(len(rings), bool)  # the first ring of its part
+        self.shell[1:] = self.ring_part[1:] != self.ring_part[:-1]
+        linear = np.zeros(self.rows, bool)
+        linear[rows] = np.isin(np.asarray(self.types.take(pa.array(rows)).to_numpy(zero_copy_only=False), object).astype(str), LINEAR)
+        self.linear = linear[self.ring_row]
+        self.weights = self._weigh()
+
+    def _weigh(self) -> np.ndarray:
+        found = np.zeros(len(self.xy))
+        odd = np.zeros(len(self.size), bool)
+        odd[self.point_ring[~(np.abs(self.xy) < _LARGE).all(axis=1)]] = True
+        for ring in np.flatnonzero(odd):
+            held = slice(self.start[ring], self.start[ring] + self.size[ring])
+            found[held] = _weights(self.xy[held])
+        plain = np.flatnonzero(~odd)
+        block = np.cumsum(self.size[plain]) // _POINTS_AT_ONCE
+        for rings in np.split(plain, np.flatnonzero(np.diff(block)) + 1):
+            n = self.size[rings]
+            at = np.repeat(self.start[rings] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            found[at] = _weigh_rings(self.xy[at], np.cumsum(n) - n, n)
+        return found
+
+    def least(self, keep_collapsed: bool) -> np.ndarray:
+        """Points that are left of each ring at any rate: two of a line, four of a shell."""
+        return np.where(self.linear, 2, np.where(self.shell & keep_collapsed, 4, 0))
+
+    def counts(self, tolerance: np.ndarray, keep_collapsed: bool) -> np.ndarray:
+        """Points that are left of each ring at a tolerance for each row."""
+        kept = self.weights > tolerance[self.ring_row][self.point_ring]
+        n = np.bincount(self.point_ring[kept], minlength=len(self.size))
+        least = self.least(keep_collapsed)
+        return np.where((n < least) & (least <= self.size), least, n)
+
+    def kept_rings(self, n: np.ndarray) -> np.ndarray:
+        """Is a ring left, with its part, if ``n`` points of it are? Lines are."""
+        whole = np.zeros(len(self.part_row), bool)
+        whole[self.ring_part[self.shell]] = (self.linear | (n >= 4))[self.shell]
+        return np.where(self.linear, self.shell, whole[self.ring_part] & (n >= 4))
+
+    def thinned(self, tolerance: np.ndarray, keep_collapsed: bool) -> pa.Array:
+        keep = self.weights > tolerance[self.ring_row][self.point_ring]
+        least = self.least(keep_collapsed)
+        short = (np.bincount(self.point_ring[keep], minlength=len(self.size)) < least) & (least <= self.size)
+        at = np.flatnonzero(short[self.point_ring])
+        if len(at):  # the points that last longest, the first of equal ones
+            order = at[np.lexsort((-self.weights[at], self.point_ring[at]))]
+            ring = self.point_ring[order]
+            new = np.flatnonzero(np.r_[True, ring[1:] != ring[:-1]])
+            place = np.arange(len(order)) - np.repeat(new, np.diff(np.append(new, len(order))))
+            keep[order] = place < least[ring]
+        ring_left = self.kept_rings(np.bincount(self.point_ring[keep], minlength=len(self.size)))
+        if not keep_collapsed:
+            at = np.flatnonzero(keep)
+            ring = self.point_ring[at]
+            new = np.r_[True, ring[1:] != ring[:-1]][: len(at)]
+            lead = at[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(at) else at
+            moves = np.zeros(len(self.size), bool)
+            moves[ring[(self.xy[at] != self.xy[lead]).any(axis=1)]] = True
+            ring_left &= ~self.linear | moves
+        keep &= ring_left[self.point_ring]
+        part_left = np.zeros(len(self.part_row), bool)
+        part_left[self.ring_part[ring_left]] = True
+        missing = np.ones(self.rows, bool)
+        missing[self.part_row[part_left]] = False
+
+        def offsets(owner: np.ndarray, left: np.ndarray) -> np.ndarray:
+            return np.r_[0, np.cumsum(np.bincount(owner, minlength=len(left))[left])].astype(np.int32)
+
+        xy = self.xy[keep]
+        points = pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], ["x", "y"])
+        lines = pa.ListArray.from_arrays(offsets(self.point_ring[keep], ring_left), points)
+        nested = pa.ListArray.from_arrays(offsets(self.ring_part[ring_left], part_left), lines)
+        shapes = pa.ListArray.from_arrays(offsets(self.part_row[part_left], np.ones(self.rows, bool)), nested)
+        return pa.StructArray.from_arrays([self.types, shapes], ["gtype", "parts"], mask=pa.array(missing))
 
 
 def simplify(geom: Column, tolerance: float, keep_collapsed: bool = True) -> Column:
@@ -356,30 +461,37 @@ def simplify(geom: Column, tolerance: float, keep_collapsed: bool = True) -> Col
 
     @F.arrow_udf(GEOMETRY)
     def thin(geoms: pa.Array) -> pa.Array:
-        return encode_geometries(
-            [g and _thin_geometry(*g, _weigh(g[1]), tolerance, keep_collapsed) for g in decode_geometries(geoms)]
-        )
+        return _Shapes(geoms).thinned(np.full(len(geoms), float(tolerance)), keep_collapsed)
 
     plain = (num_points(geom) < 3) | geom["gtype"].isin(*POINTS)  # nothing to drop
     return F.when(plain, geom).otherwise(thin(F.when(~plain, geom)))
 
 
-def _size(g) -> int:
-    return sum(len(r) for part in g[1] for r in part)
-
-
-def _least_tolerance(gtype: str, parts: list[list[Ring]], weights: list[list[np.ndarray]], max_points: int) -> float:
-    """The smallest tolerance that leaves at most ``max_points``; the largest weight if none does.
+def _least_tolerances(shapes: _Shapes, max_points: int) -> np.ndarray:
+    """For each row the smallest tolerance that leaves at most ``max_points``; its largest weight if none does.
 
-    The points left only fall with the tolerance and change at weights alone, so the weights of all rings are searched.
+    The points left only fall with the tolerance and change at weights alone, so the weights of all rings of a row are searched.
     """
-    steps = np.unique(np.concatenate([np.zeros(1), *[w[np.isfinite(w)] for part in weights for w in part]]))
-    lo, hi = 0, len(steps) - 1
-    while lo < hi:
+    finite = np.isfinite(shapes.weights)
+    row = np.concatenate([np.arange(shapes.rows), shapes.ring_row[shapes.point_ring][finite]])
+    weight = np.concatenate([np.zeros(shapes.rows), shapes.weights[finite]])
+    order = np.lexsort((weight, row))
+    row, weight = row[order], weight[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (weight[1:] != weight[:-1])
+    row, steps = row[new], weight[new]
+    count = np.bincount(row, minlength=shapes.rows)
+    start = np.cumsum(count) - count
+    lo, hi = np.zeros(shapes.rows, np.int64), count - 1
+    while (lo < hi).any():
         middle = (lo + hi) // 2
-        left = _thin_geometry(gtype, parts, weights, steps[middle], True)
-        lo, hi = (lo, middle) if left is None or _size(left) <= max_points else (middle + 1, hi)
-    return steps[lo]
+        n = shapes.counts(steps[start + middle], True)
+        held = shapes.kept_rings(n)
+        left = np.bincount(shapes.ring_row[held], n[held], shapes.rows)
+        fits, open_ = left <= max_points, lo < hi
+        hi = np.where(open_ & fits, middle, hi)
+        lo = np.where(open_ & ~fits, middle + 1, lo)
+    return steps[start + lo]
 
 
 def simplify_to(geom: Column, max_points: int) -> Column:
@@ -390,13 +502,8 @@ def simplify_to(geom: Column, max_points: int) -> Column:
 
     @F.arrow_udf(GEOMETRY)
     def thin(geoms: pa.Array) -> pa.Array:
-        rows = []
-        for g in decode_geometries(geoms):
-            if g is not None:
-                weights = _weigh(g[1])
-                g = _thin_geometry(*g, weights, _least_tolerance(*g, weights, max_points), True)
-            rows.append(g)
-        return encode_geometries(rows)
+        shapes = _Shapes(geoms)
+        return shapes.thinned(_least_tolerances(shapes, max_points), True)
 
     plain = (num_points(geom) <= max_points) | geom["gtype"].isin(*POINTS)
     return F.when(plain, geom).otherwise(thin(F.when(~plain, geom)))
