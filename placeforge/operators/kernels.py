@@ -62,7 +62,7 @@ def encode_geometries(rows: list) -> pa.Array:
 
 # ---- validity ----
 
-_PAIRS_AT_ONCE = 1_000_000
+_PAIRS_AT_ONCE = 1 << 17
 
 
 def _cross(o, a, b):
@@ -79,9 +79,10 @@ def _near_pairs(p0, p1, q0, q1):
     first = np.searchsorted(starts, plo[:, 0] - widest, "left")
     last = np.searchsorted(starts, phi[:, 0], "right")
     counts = last - first
+    ends = np.cumsum(counts)
     done = 0
     while done < len(p0):
-        upto = done + max(1, int(np.searchsorted(np.cumsum(counts[done:]), _PAIRS_AT_ONCE, "right")))
+        upto = max(done + 1, int(np.searchsorted(ends, ends[done] - counts[done] + _PAIRS_AT_ONCE, "right")))
         n = counts[done:upto]
         i = np.repeat(np.arange(done, min(upto, len(p0))), n)
         within = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
@@ -124,20 +125,22 @@ def _simple_ring(ring: Ring) -> bool:
     return True
 
 
+def _crossing_or_along(a0, a1, b0, b1) -> np.ndarray:
+    d1, d2, d3, d4 = _sides(a0, a1, b0, b1)
+    flat = (d1 == 0) & (d2 == 0)
+    along = a1 - a0
+    own = (along * along).sum(axis=1)
+    t0 = ((b0 - a0) * along).sum(axis=1)
+    t1 = ((b1 - a0) * along).sum(axis=1)
+    shared = np.minimum(np.maximum(t0, t1), own) - np.maximum(np.minimum(t0, t1), 0)
+    return ((d1 * d2 < 0) & (d3 * d4 < 0)) | (flat & (own > 0) & (shared > 0))
+
+
 def _cross_or_overlap(r: Ring, s: Ring) -> bool:
     """Do two rings cross, or run along each other, rather than only touch at points?"""
     (a0, a1), (b0, b1) = _steps(r), _steps(s)
     for i, j in _near_pairs(a0, a1, b0, b1):
-        d1, d2, d3, d4 = _sides(a0[i], a1[i], b0[j], b1[j])
-        if ((d1 * d2 < 0) & (d3 * d4 < 0)).any():
-            return True
-        flat = (d1 == 0) & (d2 == 0)
-        along = a1[i] - a0[i]
-        own = (along * along).sum(axis=1)
-        t0 = ((b0[j] - a0[i]) * along).sum(axis=1)
-        t1 = ((b1[j] - a0[i]) * along).sum(axis=1)
-        shared = np.minimum(np.maximum(t0, t1), own) - np.maximum(np.minimum(t0, t1), 0)
-        if (flat & (own > 0) & (shared > 0)).any():
+        if _crossing_or_along(a0[i], a1[i], b0[j], b1[j]).any():
             return True
     return False
 
@@ -178,21 +181,26 @@ def _in_one_piece(rings: list[Ring]) -> bool:
                 corners = ring[:-1]
                 for p in corners[_locate(other, corners) == 0].tolist():
                     touching.setdefault(tuple(p), set()).update((i, j))
-    root = list(range(len(rings) + len(touching)))
+    return not _goes_around(touching)
 
-    def find(n: int) -> int:
-        while root[n] != n:
+
+def _goes_around(touching: dict[tuple, set[int]]) -> bool:
+    """Has the graph of points, and of the rings that go through each, a cycle?"""
+    root: dict = {}
+
+    def find(n):
+        while root.setdefault(n, n) != n:
             root[n] = root[root[n]]
             n = root[n]
         return n
 
-    for k, through in enumerate(touching.values()):
+    for point, through in touching.items():
         for ring_no in through:
-            a, b = find(ring_no), find(len(rings) + k)
+            a, b = find(ring_no), find(point)
             if a == b:
-                return False
+                return True
             root[a] = b
-    return True
+    return False
 
 
 def _valid_polygon(part: list[Ring]) -> bool:
@@ -259,26 +267,125 @@ def _simple_small_rings(stack: np.ndarray) -> np.ndarray:
     return good
 
 
+_MOST_RINGS = 64  # of a polygon whose rings are tested in pairs together with those of others
+
+
+def _blocks(size: np.ndarray) -> list[np.ndarray]:
+    """Numbers of consecutive items with about ``_PAIRS_AT_ONCE`` in all, or one."""
+    return np.split(np.arange(len(size)), np.flatnonzero(np.diff(np.cumsum(size) // _PAIRS_AT_ONCE)) + 1)
+
+
+class _SmallRings:
+    """Rings by flat arrays; questions about many pairs (r, s) of them, all segments of r against all points of s."""
+
+    def __init__(self, xy: np.ndarray, first: np.ndarray, size: np.ndarray):
+        self.xy, self.first, self.steps = xy, first, size - 1
+
+    def _paired(self, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pair, number below n, number below m) for all of each pair, the last running fastest."""
+        pair = np.repeat(np.arange(len(n)), n * m)
+        within = np.arange(len(pair)) - np.repeat(np.cumsum(n * m) - n * m, n * m)
+        return pair, within // m[pair], within % m[pair]
+
+    def cross_or_overlap(self, r: np.ndarray, s: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(r), bool)
+        for some in _blocks(self.steps[r] * self.steps[s]):
+            pair, i, j = self._paired(self.steps[r[some]], self.steps[s[some]])
+            i, j = self.first[r[some]][pair] + i, self.first[s[some]][pair] + j
+            a0, a1, b0, b1 = self.xy[i], self.xy[i + 1], self.xy[j], self.xy[j + 1]
+            meet = (np.minimum(b0, b1) <= np.maximum(a0, a1)).all(axis=1) & (np.maximum(b0, b1) >= np.minimum(a0, a1)).all(axis=1)
+            pair, a0, a1, b0, b1 = pair[meet], a0[meet], a1[meet], b0[meet], b1[meet]
+            found[some[pair[_crossing_or_along(a0, a1, b0, b1)]]] = True
+        return found
+
+    def locate(self, r: np.ndarray, s: np.ndarray, middles: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pair, point, 1 inside r, 0 on it, -1 outside) of the corners of s, and the middles of its segments."""
+        pairs, points, places = [np.zeros(0, np.int64)], [np.zeros((0, 2))], [np.zeros(0, np.int64)]
+        probes = self.steps[s] * (2 if middles else 1)
+        for some in _blocks(probes * self.steps[r]):
+            n, m = probes[some], self.steps[r[some]]
+            pair, k, edge = self._paired(n, m)
+            own = self.steps[s[some]][pair]
+            corner = self.first[s[some]][pair] + k % own
+            p = np.where((k < own)[:, None], self.xy[corner], (self.xy[corner] + self.xy[corner + 1]) / 2)
+            edge += self.first[r[some]][pair]
+            a, b = self.xy[edge], self.xy[edge + 1]
+            side = _cross(a, b, p)
+            on = (side == 0) & (np.minimum(a, b) <= p).all(axis=1) & (p <= np.maximum(a, b)).all(axis=1)
+            straddles = (a[:, 1] > p[:, 1]) != (b[:, 1] > p[:, 1])
+            right = np.where(b[:, 1] > a[:, 1], side > 0, side < 0)
+            start = np.flatnonzero(edge == self.first[r[some]][pair])  # a probe's first segment
+            probe = np.repeat(np.arange(len(start)), m[pair[start]])
+            inside = np.bincount(probe[straddles & right], minlength=len(start)) % 2 == 1
+            on = np.bincount(probe[on], minlength=len(start)) > 0
+            pairs.append(some[pair[start]])
+            points.append(p[start])
+            places.append(np.where(on, 0, np.where(inside, 1, -1)))
+        return np.concatenate(pairs), np.concatenate(points), np.concatenate(places)
+
+    def any_located(self, r: np.ndarray, s: np.ndarray, place: int) -> np.ndarray:
+        """Is a corner or middle of s inside r (1), or outside (-1)?"""
+        pair, _, found = self.locate(r, s, True)
+        return np.bincount(pair[found == place], minlength=len(r)) > 0
+
+
+def _valid_small_polygons(xy: np.ndarray, first: np.ndarray, size: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """``_valid_polygon`` for many polygons of small rings; ``owner`` numbers the polygon of each ring, ascending."""
+    simple = np.zeros(len(first), bool)
+    for n in np.unique(size):
+        of_size = np.flatnonzero(size == n)
+        stack = xy[first[of_size][:, None] + np.arange(n)]
+        clean = (np.diff(stack, axis=1) != 0).any(axis=2).all(axis=1)
+        simple[of_size[clean]] = _simple_small_rings(stack[clean])
+        simple[of_size[~clean]] = [_simple_ring(r) for r in stack[~clean]]
+    good = np.ones(count, bool)
+    good[owner[~simple]] = False
+    rings = _SmallRings(xy, first, size)
+    # pairs (earlier, later) of the rings of a polygon
+    total = np.bincount(owner, minlength=count)
+    place = np.arange(len(owner)) - (np.cumsum(total) - total)[owner]
+    held = np.flatnonzero(good[owner])
+    later = np.repeat(held, place[held])
+    earlier = later - place[later] + np.arange(len(later)) - np.repeat(np.cumsum(place[held]) - place[held], place[held])
+    bad = rings.cross_or_overlap(earlier, later)
+    shell = place[earlier] == 0
+    bad[shell] |= rings.any_located(earlier[shell], later[shell], -1)
+    holes = ~shell
+    bad[holes] |= rings.any_located(earlier[holes], later[holes], 1) | rings.any_located(later[holes], earlier[holes], 1)
+    good[owner[later[bad]]] = False
+    # where rings touch, the inside may be parted
+    left = good[owner[later]]
+    some, others = np.concatenate([earlier[left], later[left]]), np.concatenate([later[left], earlier[left]])
+    pair, points, found = rings.locate(others, some, False)
+    touching: dict[int, dict[tuple, set[int]]] = {}
+    on = found == 0
+    for k, p in zip(pair[on].tolist(), points[on].tolist()):
+        touching.setdefault(int(owner[some[k]]), {}).setdefault(tuple(p), set()).update((int(some[k]), int(others[k])))
+    for polygon, places in touching.items():
+        good[polygon] = not _goes_around(places)
+    return good
+
+
 @F.arrow_udf(T.BooleanType())
 def _valid_polygons(geoms: pa.Array) -> pa.Array:
     xy, part_at, ring_at, point_at = _flat(geoms)
     present = np.asarray(geoms.is_valid())
     answers = np.zeros(len(geoms), bool)
-    # polygons of one small ring, by size
-    one_part = present & (np.diff(part_at) == 1)
-    parts = part_at[:-1][one_part]
-    rows = np.flatnonzero(one_part)
-    one_ring = ring_at[parts + 1] - ring_at[parts] == 1
-    rows, ring = rows[one_ring], ring_at[parts[one_ring]]
-    sizes = point_at[ring + 1] - point_at[ring]
+    sizes = np.diff(point_at)
+    # polygons of one part of small rings together
+    one_part = np.flatnonzero(present & (np.diff(part_at) == 1))
+    part = part_at[one_part]
+    total = (ring_at[part + 1] - ring_at[part]).astype(np.int64)
+    ring = np.repeat(ring_at[part] - (np.cumsum(total) - total), total) + np.arange(total.sum())
+    owner = np.repeat(np.arange(len(part)), total)
+    small = (total > 0) & (total <= _MOST_RINGS)
+    small[owner[(sizes[ring] > _SMALL_RING) | (sizes[ring] == 0)]] = False
+    ring, owner = ring[small[owner]], owner[small[owner]]
+    rows = one_part[small]
+    owner = (np.cumsum(small) - 1)[owner]
+    answers[rows] = _valid_small_polygons(xy, point_at[ring].astype(np.int64), sizes[ring].astype(np.int64), owner, len(rows))
     done = np.zeros(len(geoms), bool)
-    for size in np.unique(sizes[sizes <= _SMALL_RING]):
-        of_size = sizes == size
-        stack = xy[point_at[ring[of_size]][:, None] + np.arange(size)]
-        clean = (np.diff(stack, axis=1) != 0).any(axis=2).all(axis=1)
-        these = rows[of_size][clean]
-        answers[these] = _simple_small_rings(stack[clean])
-        done[these] = True
+    done[rows] = True
     left = np.flatnonzero(present & ~done)
     if len(left):
         answers[left] = [_valid_parts(g[1]) for g in decode_geometries(geoms.take(pa.array(left)))]

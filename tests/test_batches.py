@@ -42,3 +42,25 @@ def test_least_tolerances_together():
             weights = kernels._weights(ring)
             steps = [0.0, *sorted(w for w in weights.tolist() if np.isfinite(w))]
             assert tolerance == next((t for t in steps if (weights > t).sum() <= 6), steps[-1])
+
+
+def test_polygons_of_several_rings_are_tested_together():
+    r = np.random.default_rng(9)
+
+    def box(x, y, w, h):
+        return np.array([(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)], float)
+
+    parts = []
+    for _ in range(600):
+        holes = [box(*r.integers(0, 8, 2), *r.integers(1, 4, 2)) for _ in range(r.integers(0, 5))]
+        parts.append([box(0, 0, 9, 9), *holes])
+    # holes that touch in a ring part the inside; a spike and a repeated point
+    parts.append([box(0, 0, 9, 9), box(1, 1, 2, 2), box(3, 3, 2, 2), box(5, 1, 2, 2), np.array([(3, 1), (4, 0.5), (5, 1), (4, 1), (3, 1)], float)])
+    parts.append([box(0, 0, 9, 9), np.array([(1, 1), (3, 1), (2, 1), (2, 2), (1, 1)], float)])
+    parts.append([np.array([(0, 0), (0, 0), (4, 0), (4, 4), (0, 0)], float)])
+    at = [(r, p) for p, part in enumerate(parts) for r in part]
+    size = np.array([len(ring) for ring, _ in at])
+    owner = np.array([p for _, p in at])
+    found = kernels._valid_small_polygons(np.concatenate([ring for ring, _ in at]), np.cumsum(size) - size, size, owner, len(parts))
+    assert found.tolist() == [kernels._valid_polygon(p) for p in parts]
+    assert 0 < found.sum() < len(found)
