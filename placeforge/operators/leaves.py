@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 _SIDE = 0.7  # cell side per distance: the diagonal is 0.99 of it
-_AT_ONCE = 1 << 21  # pairs of segments that are compared at once
+_AT_ONCE = 1 << 17  # pairs of segments that are compared at once
 BATCH = 100_000  # segments of leaves that are solved together
 
 
@@ -141,6 +141,23 @@ def _in_polygons(label: np.ndarray, leaf, obj, first, seg, of_polygon, n: int) -
     return np.concatenate(u or [np.zeros(0, np.int64)]), np.concatenate(v or [np.zeros(0, np.int64)])
 
 
+def _near_cells(l: np.ndarray, r: np.ndarray, start: np.ndarray, size: np.ndarray, seg: np.ndarray, own: np.ndarray, eps: float) -> np.ndarray:
+    """Which of the pairs of cells hold segments within the distance: ``_AT_ONCE`` tests in all, or one pair of more."""
+    if len(l) == 1:  # perhaps two crowded cells: part of one against all of the other at a time
+        others = seg[own[start[r[0]] : start[r[0]] + size[r[0]]]]
+        step = max(1, int(_AT_ONCE // len(others)))
+        for first in range(start[l[0]], start[l[0]] + size[l[0]], step):
+            some = seg[own[first : min(first + step, start[l[0]] + size[l[0]])]]
+            if (segment_distances(np.repeat(some, len(others), axis=0), np.tile(others, (len(some), 1))) <= eps * eps).any():
+                return np.zeros(1, np.int64)
+        return np.zeros(0, np.int64)
+    tests = size[l] * size[r]
+    pair = np.repeat(np.arange(len(l)), tests)
+    within = np.arange(len(pair)) - np.repeat(np.cumsum(tests) - tests, tests)
+    i, j = start[l[pair]] + within // size[r[pair]], start[r[pair]] + within % size[r[pair]]
+    return np.unique(pair[segment_distances(seg[own[i]], seg[own[j]]) <= eps * eps])
+
+
 def solve(leaf: np.ndarray, obj: np.ndarray, number: np.ndarray, seg: np.ndarray, of_polygon: np.ndarray, eps: float) -> np.ndarray:
     """The component of each object 0, 1, ... of segments (x0, y0, x1, y1); ``number`` 0 marks an object's first."""
     n, side = int(obj.max()) + 1, eps * _SIDE
@@ -165,28 +182,18 @@ def solve(leaf: np.ndarray, obj: np.ndarray, number: np.ndarray, seg: np.ndarray
     while len(left):
         apart = label[first_owner[left]] != label[first_owner[right]]
         left, right = left[apart], right[apart]
-        if not len(left):
-            break
         work = np.cumsum(size[left] * size[right])
-        some = max(1, int(np.searchsorted(work, _AT_ONCE, "right")))
-        l, r = left[:some], right[:some]
-        left, right = left[some:], right[some:]
-        if some == 1 and work[0] > _AT_ONCE:  # two crowded cells: part of one against all of the other at a time
-            step = max(1, int(_AT_ONCE // size[r[0]]))
-            b = np.arange(start[r[0]], start[r[0]] + size[r[0]])
-            for a0 in range(start[l[0]], start[l[0]] + size[l[0]], step):
-                a = np.arange(a0, min(a0 + step, start[l[0]] + size[l[0]]))
-                i, j = np.repeat(a, len(b)), np.tile(b, len(a))
-                if (segment_distances(seg[own[i]], seg[own[j]]) <= eps * eps).any():
-                    label = components(n, first_owner[l], first_owner[r], label)
-                    break
-            continue
-        tests = size[l] * size[r]
-        pair = np.repeat(np.arange(len(l)), tests)
-        within = np.arange(len(pair)) - np.repeat(np.cumsum(tests) - tests, tests)
-        i, j = start[l[pair]] + within // size[r[pair]], start[r[pair]] + within % size[r[pair]]
-        hit = np.unique(pair[segment_distances(seg[own[i]], seg[own[j]]) <= eps * eps])
-        label = components(n, first_owner[l[hit]], first_owner[r[hit]], label)
+        at, most = 0, max(len(left), _AT_ONCE)  # tests before all that is left is looked at again
+        while at < len(left) and (at == 0 or work[at - 1] < most):
+            upto = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + _AT_ONCE, "right")))
+            l, r = left[at:upto], right[at:upto]
+            at = upto
+            open_ = label[first_owner[l]] != label[first_owner[r]]
+            l, r = l[open_], r[open_]
+            if len(l):
+                hit = _near_cells(l, r, start, size, seg, own, eps)
+                label = components(n, first_owner[l[hit]], first_owner[r[hit]], label)
+        left, right = left[at:], right[at:]
     first = np.zeros((n, 2))
     first[obj[number == 0]] = seg[number == 0, :2]
     return components(n, *_in_polygons(label, leaf, obj, first, seg, of_polygon, n), label)

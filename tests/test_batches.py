@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from placeforge.operators import kernels
+from placeforge.operators import kernels, leaves
 
 
 def _rings(seed: int, count: int, most: int, grid: int) -> list[np.ndarray]:
@@ -64,3 +64,25 @@ def test_polygons_of_several_rings_are_tested_together():
     found = kernels._valid_small_polygons(np.concatenate([ring for ring, _ in at]), np.cumsum(size) - size, size, owner, len(parts))
     assert found.tolist() == [kernels._valid_polygon(p) for p in parts]
     assert 0 < found.sum() < len(found)
+
+
+def test_crowded_cells_are_compared_in_small_blocks(monkeypatch):
+    """A thousand points of a cell against a thousand of another whose boxes leave it open, and many such pairs."""
+    seen, distances = [], leaves.segment_distances
+
+    def counted(a, b):
+        seen.append(len(a))
+        return distances(a, b)
+
+    monkeypatch.setattr(leaves, "segment_distances", counted)
+    left = np.repeat([(0.0, 0.0), (60.0, 69.0)], 500, axis=0)
+    right = np.repeat([(158.0, 0.0)], 1000, axis=0)
+    few = np.array([(0.0, 0.0), (60.0, 69.0), (158.0, 0.0)] * 20)
+    points = np.concatenate([left, right, *[few + (1000.0 * k, 0.0) for k in range(1, 400)]])
+    place = np.repeat(np.arange(400), [2000, *[60] * 399])
+    n = np.arange(len(points))
+    label = leaves.solve(np.zeros(len(n), np.int64), n, np.zeros(len(n), np.int64), np.hstack([points, points]), np.zeros(len(n), bool), 100.0)
+    side = points[:, 0] - 1000.0 * place > 100
+    _, first = np.unique(place * 2 + side, return_index=True)
+    assert label.tolist() == first[place * 2 + side].tolist()
+    assert sum(seen) >= 1_000_000 and max(seen) <= 1 << 17
