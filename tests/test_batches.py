@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from placeforge.operators import kernels, leaves
+from placeforge.operators import kernels, leaves, overlay
 
 
 def _rings(seed: int, count: int, most: int, grid: int) -> list[np.ndarray]:
@@ -86,3 +86,23 @@ def test_crowded_cells_are_compared_in_small_blocks(monkeypatch):
     _, first = np.unique(place * 2 + side, return_index=True)
     assert label.tolist() == first[place * 2 + side].tolist()
     assert sum(seen) >= 1_000_000 and max(seen) <= 1 << 17
+
+
+def test_overlaps_together():
+    """Stars, boxes with holes, lines and points on whole numbers and off them, at once and one at a time."""
+    r = np.random.default_rng(10)
+    area = [[(0.0, 0.0), (9.0, 0.0), (9.0, 6.0), (6.0, 6.0), (6.0, 2.0), (3.0, 2.0), (3.0, 6.0), (0.0, 6.0), (0.0, 0.0)]]
+    shapes = []
+    for n in range(300):
+        x, y, w, h = (float(v) for v in (*r.integers(-2, 9, 2), *r.integers(2, 10, 2)))
+        x += float(r.uniform(-0.5, 0.5)) if n % 3 else 0.0
+        box = np.array([(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)])
+        hole = np.array([(x + 0.5, y + 0.5), (x + 0.5, y + 1), (x + 1, y + 1), (x + 1, y + 0.5), (x + 0.5, y + 0.5)])
+        shapes.append([None, ("POLYGON", [[box, hole]]), ("MULTILINESTRING", [[box[:3]], [box[2:]]]), ("MULTIPOINT", [[[p]] for p in box])][n % 4])
+
+    def plain(found):
+        return found and (found[0], found[1] and (found[1][0], [[np.asarray(ring).tolist() for ring in part] for part in found[1][1]]))
+
+    together = [plain(f) for f in overlay._overlaps(shapes, area)]
+    assert together == [plain(overlay._overlaps([s], area)[0]) for s in shapes]
+    assert {"POLYGON", "MULTIPOLYGON", "MULTILINESTRING", "POINT", overlay.NOTHING} <= {f[0] for f in together if f}
