@@ -311,7 +311,7 @@ def intersection_area(geom: Column, area_: Area) -> Column:
     """Area of the part of a polygonal geometry inside the constant area; 0 for points and lines.
 
     The area's convex pieces are one constant array, so the plan is as large for any number of corners. Boxes come
-    first: what is far off is 0, and what lies within a convex area counts whole.
+    first: what is far off is 0, what lies within a convex area counts whole, and pieces are only cut where the box meets them.
     """
     pieces = area_.convex_pieces()
     parts = F.array(*[F.struct(F.lit(float(sign)).alias("sign"), _literal_edges(piece).alias("edges")) for sign, piece in pieces])
@@ -332,11 +332,20 @@ def intersection_area(geom: Column, area_: Area) -> Column:
 
         return of_ring
 
-    clipped = F.aggregate(parts, F.lit(0.0), lambda acc, p: acc + p["sign"] * _polygon_measure(geom, clipped_area(p["edges"])))
+    box = bounds(geom)
+    corners = F.array(*[point_xy(box[x], box[y]) for x in ("minx", "maxx") for y in ("miny", "maxy")])
+
+    def met(held: Column):
+        """Not the pieces that have the whole box beyond one of their edges."""
+        beyond = lambda e: F.forall(held, lambda c: _cross(e["ax"], e["ay"], e["bx"], e["by"], c["x"], c["y"]) < 0)
+        return lambda p: ~F.coalesce(F.exists(p["edges"], beyond), F.lit(False))
+
+    # the corners are worked out once, as the only item of an array
+    near = F.element_at(F.transform(F.array(corners), lambda held: F.filter(parts, met(held))), 1)
+    clipped = F.aggregate(near, F.lit(0.0), lambda acc, p: acc + p["sign"] * _polygon_measure(geom, clipped_area(p["edges"])))
     found = F.when(~geom["gtype"].isin(*POLYGONAL) | ~near_box(geom, area_), F.lit(0.0))
     if len(pieces) == 1:
-        box, (_, ring) = bounds(geom), pieces[0]
-        corners = F.array(*[point_xy(box[x], box[y]) for x in ("minx", "maxx") for y in ("miny", "maxy")])
+        (_, ring) = pieces[0]
         edges = _literal_edges(ring)
         within = F.forall(corners, lambda c: F.forall(edges, lambda e: _cross(e["ax"], e["ay"], e["bx"], e["by"], c["x"], c["y"]) >= 0))
         found = found.when(within, area(geom))

@@ -2,7 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from placeforge.functions import geometry
+from placeforge.functions.geometry import Area
 from placeforge.operators import kernels, leaves, overlay
 
 
@@ -106,3 +109,13 @@ def test_overlaps_together():
     together = [plain(f) for f in overlay._overlaps(shapes, area)]
     assert together == [plain(overlay._overlaps([s], area)[0]) for s in shapes]
     assert {"POLYGON", "MULTIPOLYGON", "MULTILINESTRING", "POINT", overlay.NOTHING} <= {f[0] for f in together if f}
+
+
+def test_far_pieces_are_not_cut(spark):
+    """A box that only two teeth of a comb reach, by hand; and the plan tests pieces before it cuts them."""
+    teeth = [p for i in range(20) for p in ((i * 2.0, 5.0), (i * 2 + 1.0, 5.0), (i * 2 + 1.0, 2.0), (i * 2 + 2.0, 2.0))]
+    comb = Area([(40.0, 0.0), *reversed(teeth), (0.0, 0.0)])
+    box = geometry.make_box(*map(F.lit, (4.5, 3.0, 6.5, 4.0)))
+    found = spark.range(1).select(box.alias("g")).select(geometry.intersection_area(F.col("g"), comb).alias("a"))
+    assert found.first()["a"] == pytest.approx(1.0)
+    assert "filter(" in found._jdf.queryExecution().analyzed().toString()
