@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from placeforge.functions import geometry
 from placeforge.functions.geometry import Area
-from placeforge.operators import kernels, leaves, overlay
+from placeforge.operators import kernels, leaves, lines, overlay
 
 
 def _rings(seed: int, count: int, most: int, grid: int) -> list[np.ndarray]:
@@ -119,3 +119,14 @@ def test_far_pieces_are_not_cut(spark):
     found = spark.range(1).select(box.alias("g")).select(geometry.intersection_area(F.col("g"), comb).alias("a"))
     assert found.first()["a"] == pytest.approx(1.0)
     assert "filter(" in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_two_point_ways_are_read_off_rows(spark, monkeypatch):
+    """Ways of two points, of three, and of points that became one, as when all of them are collected."""
+    points = [(0, 1), (1, 1), (2, 0), (3, 1), (3, 1), (4, 0), (5, 0), (6, 1)]
+    rows = [(1, line, n, 0.0, float(x + line), 0.0, bool(node)) for line in (1, 2) for n, (x, node) in enumerate(points)]
+    marked = spark.createDataFrame(rows, "grp long, line long, n int, t double, x double, y double, node boolean")
+    found = sorted(tuple(p.x for p in r.pts) for r in lines._ways(marked).collect())
+    assert found == [(1, 2), (2, 3), (2, 3, 4), (3, 4, 5), (4, 5, 6, 7), (5, 6, 7, 8)]
+    monkeypatch.setattr(lines, "_LONG_LINE", 1)
+    assert found == sorted(tuple(p.x for p in r.pts) for r in lines._ways(marked).collect())
