@@ -6,9 +6,10 @@ Arrays are unfolded with the outer forms of explode and inline, though none is e
 make Spark evaluate the array twice, once to test its size.
 
 Objects are first parted into leaves that no link leaves: a name of few points is one, and an object of a common name
-lies with all whose boxes, widened by half the distance, share a square of ``_SQUARE`` distances with its own, directly
-or through others. A leaf of at most ``_LEAF`` points is solved in one pass over its segments (see ``leaves``), which
-are shuffled once. What is left, names crowded over wide regions, is spread by cells as follows.
+lies with all whose boxes, widened by half the distance, share a square with its own, directly or through others:
+wide squares first, and smaller ones (``_SQUARES``) for what these leave together. A leaf of at most ``_LEAF`` points is
+solved in one pass over its segments (see ``leaves``), which are shuffled once. What is left, names crowded over wide
+regions, is spread by cells as follows.
 
 Geometries are cut at the lines of a grid whose cells are small enough that all that lies in one cell
 belongs together. That leaves three kinds of links, none of which needs pairs of objects:
@@ -38,8 +39,8 @@ _TESTS_PER_PIECE = 32  # with more comparisons than this to make, components are
 _MAX_DEPTH = 12  # cells of eps / 8^12 are below the spacing of doubles
 
 _LEAF = 20_000  # points of a leaf that one task solves
-_SQUARE = 20  # side of the squares by which a common name is parted, per eps
-_MOST_SQUARES = 1024  # a name with an object over more squares is not parted
+_SQUARES = (20, 2)  # sides of the squares by which a common name, and then what is left too large, is parted, per eps
+_MOST_SQUARES = 1024  # a name, or what is left of it, with an object over more squares is not parted
 
 _CELL = ["nk", "cx", "cy"]
 _LINE = ["x0", "y0", "x1", "y1"]  # the whole segment
@@ -367,22 +368,46 @@ def _numbered_segments(rows: DataFrame) -> DataFrame:
     )
 
 
-def _spaces(objects: DataFrame, eps: float) -> DataFrame:
-    """Objects of common names with ``space``, the smallest place id of those that a chain of shared squares joins."""
-    side, box = eps * _SQUARE, bounds(F.col("geometry"))
-    boxed = objects.select("place_id", "nk", *[v.alias(k) for k, v in box.items()])
-    span = lambda lo, hi, f: F.sequence(F.floor((f(F.col(lo)) - eps / 2) / side), F.floor((f(F.col(hi)) + eps / 2) / side))
-    placed = boxed.select("place_id", "nk", span("minx", "maxx", mercator_x).alias("xs"), span("miny", "maxy", mercator_y).alias("ys"))
-    squares = F.size("xs").cast("long") * F.size("ys")
-    wide = placed.filter(squares > _MOST_SQUARES).select("nk").distinct()
-    cells = placed.join(wide, "nk", "left_anti").select("place_id", "nk", "ys", F.explode("xs").alias("cx"))
-    cells = durable(cells.select("place_id", *_CELL[:2], F.explode("ys").alias("cy")), "squares")
-    least = cells.groupBy(*_CELL).agg(F.min("place_id").alias("rep"), F.count("*").alias("n"))
-    stars = with_groups(cells, least, _CELL, "n", cells.count(), F.col("place_id"))
-    joined = connected_components(stars.select(F.col("place_id").alias("u"), F.col("rep").alias("v")))
-    narrow = objects.join(wide, "nk", "left_anti")
-    met = narrow.join(joined, F.col("place_id") == F.col("node"), "left").withColumn("space", F.coalesce("component", "place_id"))
-    return met.drop("node", "component").unionByName(objects.join(wide, "nk", "left_semi").withColumn("space", F.lit(None).cast("long")))
+def _boxed(objects: DataFrame, eps: float) -> DataFrame:
+    """Objects with their number of points and their box, widened by half the distance, read off the geometry once."""
+    box = bounds(F.col("geometry"))
+    rows = objects.select("place_id", "nk", "geometry", num_points(F.col("geometry")).alias("size"), *[v.alias(k) for k, v in box.items()])
+    grow = {"minx": (mercator_x, -eps), "miny": (mercator_y, -eps), "maxx": (mercator_x, eps), "maxy": (mercator_y, eps)}
+    sides = [(f(F.col(c)) + by / 2).alias(c) for c, (f, by) in grow.items()]
+    return rows.select("place_id", "nk", "geometry", "size", *sides, F.lit(0).cast("long").alias("space"))
+
+
+def _parted(rows: DataFrame, side: float) -> tuple[DataFrame, DataFrame, bool]:
+    """Rows of ``_boxed`` parted anew by squares: (rows with ``space``, ``n`` and ``points`` of it, rows of groups that
+    have an object over too many squares, whether a space has more than ``_LEAF`` points).
+
+    A space is named by a square's hash, as a chain of shared squares joins all its objects; spaces that share a hash
+    are one space, which parts less but loses no link. The chains are found between squares, not objects, so that they
+    cost what the objects cover and not how many they are.
+    """
+    group = ["nk", "space"]
+    at = lambda c: F.floor(F.col(c) / side)
+    placed = rows.select("*", at("minx").alias("x0"), at("maxx").alias("x1"), at("miny").alias("y0"), at("maxy").alias("y1"))
+    squares = (F.col("x1") - F.col("x0") + 1) * (F.col("y1") - F.col("y0") + 1)
+    nowhere = F.when(squares.isNull(), F.col("place_id"))  # without a box an object is alone
+    placed = placed.select(*rows.columns, "x0", "x1", "y0", "y1", F.xxhash64(*group, "x0", "y0", nowhere).alias("cell"))
+    wide = durable(placed.filter(squares > _MOST_SQUARES).select(*group).distinct(), "wide")
+    if wide.isEmpty():
+        unparted, parted = placed.limit(0), placed
+    else:
+        unparted, parted = placed.join(wide, group, "left_semi"), placed.join(wide, group, "left_anti")
+    cells = durable(parted.groupBy("cell").agg(F.count("*").alias("m"), F.sum("size").alias("points")), "cells")
+    spans = parted.filter(squares > 1).select(*group, "cell", "x0", "x1", "y0", "y1").distinct()
+    columns = spans.select(*group, "cell", "y0", "y1", F.explode_outer(F.sequence("x0", "x1")).alias("cx"))
+    met = columns.select(*group, "cell", "cx", F.explode_outer(F.sequence("y0", "y1")).alias("cy"))
+    joined = connected_components(met.select(F.col("cell").alias("u"), F.xxhash64(*group, "cx", "cy").alias("v")))
+    chained = cells.join(joined, F.col("cell") == F.col("node"), "left").select("cell", "m", "points", F.coalesce("component", "cell").alias("to"))
+    chained = durable(chained, "chained")
+    sums = durable(chained.groupBy("to").agg(F.count("*").alias("k"), F.sum("m").alias("n"), F.sum("points").alias("points")), "space-sizes")
+    n_cells, n_rows, most = sums.agg(F.coalesce(F.sum("k"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("points"), F.lit(0))).first()
+    facts = durable(with_groups(chained.drop("points"), sums, ["to"], "k", n_cells, F.col("cell")).drop("k"), "spaces")
+    met = with_groups(parted, facts, ["cell"], "m", n_rows, F.col("place_id")).withColumn("space", F.col("to"))
+    return met.select(*rows.columns, "n", "points"), unparted.select(*rows.columns), most > _LEAF
 
 
 def nearby_components(objects: DataFrame, eps: float = DEFAULT_EPS) -> DataFrame:
@@ -392,27 +417,33 @@ def nearby_components(objects: DataFrame, eps: float = DEFAULT_EPS) -> DataFrame
     total, most = shared.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("points"), F.lit(0))).first()
     in_names = with_groups(objects, shared, ["nk"], "n", total, F.col("place_id")).filter("n is not null").drop("n")
     active = durable(in_names, "active")
-    small = active.filter(F.col("points") <= _LEAF).withColumn("space", F.lit(0).cast("long"))
-    crowded = None
+    small = active.filter(F.col("points") <= _LEAF).select("place_id", "nk", "geometry", F.lit(0).cast("long").alias("space"))
+    crowded = []
     if most > _LEAF:
-        spaces = durable(_spaces(active.filter(F.col("points") > _LEAF).drop("points"), eps), "spaces")
-        sizes = durable(spaces.groupBy("space").agg(F.count("*").alias("n"), F.sum(num_points(F.col("geometry"))).alias("points")), "space-sizes")
-        sized = with_groups(spaces, sizes, ["space"], "n", spaces.count(), F.col("place_id"))
-        fits = F.coalesce(F.col("points") <= _LEAF, F.lit(False))
-        small = small.unionByName(sized.filter(fits & (F.col("n") > 1)).select(*small.columns))
-        crowded = sized.filter(~fits).select("place_id", "nk", "geometry")
+        large = durable(_boxed(active.filter(F.col("points") > _LEAF), eps), "boxed")
+        for squares in _SQUARES:
+            sized, wide, more = _parted(large, eps * squares)
+            fits = F.col("points") <= _LEAF
+            small = small.unionByName(sized.filter(fits & (F.col("n") > 1)).select(*small.columns))
+            crowded.append(wide)
+            large = sized.filter(~fits).drop("n", "points")
+            if not more:
+                break
+        else:
+            crowded.append(large)
     pieces = _numbered_segments(small).repartition("nk", "space").sortWithinPartitions("nk", "space")
     found = pieces.mapInArrow(partial(solve_batches, eps=eps), "node long, component long")
-    if crowded is not None and not crowded.isEmpty():
-        found = found.union(_crowded_components(crowded, eps))
+    if crowded:
+        rest = durable(_all([c.select("place_id", "nk", "geometry") for c in crowded]), "active")
+        if not rest.isEmpty():
+            found = found.union(_crowded_components(rest, eps))
     return found
 
 
 def _crowded_components(objects: DataFrame, eps: float) -> DataFrame:
-    """As ``nearby_components``, with the objects of a name in any number of tasks."""
+    """As ``nearby_components`` for a written table, with the objects of a name in any number of tasks."""
     side = eps * _SIDE
-    active = durable(objects, "active")
-    lines = _mercator_segments(active)
+    lines = _mercator_segments(objects)
     whole = lines.select("*", *[F.col(line).alias(cut) for line, cut in zip(_LINE, _CUT)])
     pieces = durable(_cut_to_cells(whole, side), "pieces")
     cells = durable(_boxes(pieces, _CELL), "cells")
@@ -421,7 +452,7 @@ def _crowded_components(objects: DataFrame, eps: float) -> DataFrame:
     stars = in_cell.select(F.col("place_id").alias("u"), F.col("rep").alias("v"))
     pairs = _near_cells(_neighbours(cells), eps)
     linked = pairs.filter("linked").select(F.col("l.rep").alias("u"), F.col("r.rep").alias("v"))
-    sure = _all([stars, linked, *_links_inside(active, cells, side)])
+    sure = _all([stars, linked, *_links_inside(objects, cells, side)])
     top = F.struct(F.col("l.rep").alias("u"), F.col("r.rep").alias("v"))
     open_pairs = pairs.filter("not linked").select("l", "r", "pair", top.alias("top"))
     if _tests(open_pairs) <= _TESTS_PER_PIECE * pieces.count():

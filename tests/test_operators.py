@@ -361,6 +361,22 @@ def test_clusters_of_many_names(spark, monkeypatch, batch, leaf):
     assert {k: v for k, v in found.items() if want[k] is not None} == {k: v for k, v in want.items() if v is not None}
 
 
+def test_spots_in_a_row_are_parted_by_smaller_squares(spark, monkeypatch):
+    """Spots 1.5 km apart are one chain of wide squares; small squares part them, so nothing is spread by cells."""
+
+    def spread(*_):
+        raise AssertionError("spread by cells")
+
+    monkeypatch.setattr(cluster, "_LEAF", 12)
+    monkeypatch.setattr(cluster, "_crowded_components", spread)
+    rng = random.Random(4)
+    shapes = {}
+    for key in range(90):
+        x, y = 0.0135 * (key % 15) + rng.uniform(0, 4e-4), rng.uniform(0, 4e-4)
+        shapes[key] = (False, [(x, y)] if key % 2 else [(x, y), (x + 3e-4, y)])
+    assert _clustered(spark, shapes, 100.0) == brute_force_clusters(shapes, 100.0)
+
+
 @pytest.mark.parametrize("gap, clusters, leaf", [(99.5, 1, 0), (100.5, 2, 0), (99.5, 1, 20_000), (100.5, 2, 20_000)])
 def test_crowded_neighbour_cells(spark, monkeypatch, gap, clusters, leaf):
     """Two crowds just under or over the distance apart: decided by smaller and smaller cells."""
