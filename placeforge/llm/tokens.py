@@ -7,6 +7,7 @@ the other. Distinct words are encoded in bulk, parted by a control character tha
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -17,6 +18,8 @@ from placeforge.llm.words import bounds, gather, split_words, sums_by_row
 
 MARK = "\x01"
 WORDS_PER_CALL = 1000
+#: words whose ids a worker keeps from slice to slice, about 200 bytes each; a slice's first words are its most frequent ones
+KNOWN_WORDS = 1 << 17
 #: ASCII signs that, after a letter or a digit, start a token of their own in any case
 ENDINGS = ".,!?;:*#$%&|"
 #: letters that are their own lower case and canonical form
@@ -41,6 +44,12 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=2)
+def known_words(path: str) -> dict[str, bytes]:
+    """Ids (native 32-bit integers) of words of letters that this worker has met, at most ``KNOWN_WORDS``."""
+    return {}
+
+
 def _encode_plain(words: list[str], tokenizer, mark: int) -> tuple[np.ndarray, np.ndarray]:
     ids, lengths = [], []
     for first in range(0, len(words), WORDS_PER_CALL):
@@ -55,7 +64,7 @@ def _encode_plain(words: list[str], tokenizer, mark: int) -> tuple[np.ndarray, n
     return np.concatenate(ids or [np.zeros(0, np.int32)]), np.concatenate(lengths or [np.zeros(0, np.int64)])
 
 
-def _encode_words(words: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
+def _encode_words(words: pa.Array, tokenizer, known: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all words one after the other, ids per word)."""
     plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False)
     odd = pc.match_substring(words, MARK).to_numpy(zero_copy_only=False)
@@ -74,8 +83,16 @@ def _encode_words(words: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
     tokenize = tokenizer.model.tokenize
     # letters only: one pre-token, so the model is asked without the steps before it
     shown = lambda w: w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_SIGNS)
-    each = [[t.id for t in tokenize(shown(texts[i]))] for i in where.tolist()]
-    add(where, np.fromiter((i for e in each for i in e), np.int32), np.fromiter(map(len, each), np.int64, len(each)))
+    each = []
+    for i in where.tolist():
+        word = texts[i]
+        found = known.get(word)
+        if found is None:
+            found = array("i", [t.id for t in tokenize(shown(word))]).tobytes()
+            if len(known) < KNOWN_WORDS:
+                known[word] = found
+        each.append(found)
+    add(where, np.frombuffer(b"".join(each), np.int32), np.fromiter(map(len, each), np.int64, len(each)) // 4)
     simple = len(mark) == 1
     where = np.flatnonzero(~plain & ~odd) if simple else np.zeros(0, np.int64)
     if len(where):
@@ -113,7 +130,7 @@ def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     counts, codes, words = split_words(texts)
     body, ending = (part.dictionary_encode() for part in _two_parts(_folded(words, tokenizer)))
     pieces = pa.concat_arrays([body.dictionary, ending.dictionary])
-    ids, lengths = _encode_words(pieces, tokenizer)
+    ids, lengths = _encode_words(pieces, tokenizer, known_words(path))
     starts = bounds(lengths)[:-1]
     first = body.indices.to_numpy(zero_copy_only=False)[codes]
     second = ending.indices.to_numpy(zero_copy_only=False)[codes] + len(body.dictionary)

@@ -26,6 +26,21 @@ def test_ids_are_those_of_the_whole_text():
         assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [ids_of(t) for t in some]
 
 
+def test_words_are_encoded_once_for_all_slices_and_kept_up_to_a_bound(monkeypatch):
+    path = tokens.default_tokenizer()
+    monkeypatch.setattr(tokens, "KNOWN_WORDS", 20)
+    tokens.known_words.cache_clear()
+    texts = [words(i % 3, 30) + " Été dinner." for i in range(6)]
+    for some in (texts[:1], texts, texts[3:]):
+        ids, lengths = tokens.encode_texts(pa.array(some, pa.string()), path)
+        at = bounds(lengths)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [ids_of(t) for t in some]
+        assert len(tokens.known_words(path)) == 20
+    for word, found in tokens.known_words(path).items():
+        assert np.frombuffer(found, np.int32).tolist() == ids_of(word)
+    tokens.known_words.cache_clear()
+
+
 def test_cuckoo_index_inserts_deletes_and_grows():
     index = exact_dedup.CuckooIndex(buckets=2)
     keys = [hashlib.sha256(str(i).encode()).digest() for i in range(3000)]
