@@ -13,7 +13,9 @@ from the longest kept context on, times the word's among all words of the symbol
 Words are counted exactly. Documents are coded in blocks of bounded size against the block's own words; only (block,
 word) rows meet by word, and the counts go back by block, so a frequent word is a row per block. Contexts and next
 symbols are Spark tables keyed by a hash of the symbols (64 bits). A table of at most ``BROADCAST_KEYS`` rows is broadcast to the passes over
-the texts; of a larger one each block of texts meets the rows it needs. The switch chooses a plan, not a result.
+the texts. Of a larger one each block of texts asks for the counts that follow kept contexts, as packed keys by parts of the key space, and meets
+the answers; if contexts alone are too many, it meets all rows it needs. The switch chooses a plan, not a result. Next symbols, too, are counted by
+parts of the key space, packed: their number grows with the texts and the rows of a part do not.
 
 Nulls: a null text is empty and has the end alone. A null doc_id is kept and its remainder is that of an empty text.
 Repeated rows are scored and learnt each. Very long texts are whole rows of a block of their own. Ties: nothing is ranked. Without training rows all
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from placeforge.llm.words import bounds, slices, split_words, sums_by_row
 from placeforge.operators.ordered import position_in_group
-from placeforge.session import durable, forget
+from placeforge.session import durable, forget, forget_shuffles
 
 OWN_COUNT = 500  # a word that occurs as often has a symbol of its own
 DEPTH = 3  # symbols of the longest context
@@ -135,21 +137,29 @@ def symbols_of(words: DataFrame) -> DataFrame:
     return rest.union(own.join(ranked, "hash").select("block", "code", "c", "symbol"))
 
 
+PART_KEYS = 1 << 19  # about as many keys of a table or a pass go to one part of the key space
+PACK_ROWS = 1 << 20  # rows of a table that a task packs at once
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 class Index:
     """Rows of a table by their 64-bit key, in arrays; ``find`` gives a row's place, or -1."""
 
-    def __init__(self, table: pa.Table):
-        keys = table.column("key").to_numpy().view(np.uint64) * _M1  # one to one, and spread over all buckets
+    def __init__(self, table: pa.Table | dict[str, np.ndarray]):
+        columns = table if isinstance(table, dict) else {c: table.column(c).to_numpy() for c in table.column_names}
+        columns.pop("block", None)
+        keys = columns.pop("key").view(np.uint64) * _M1  # one to one, and spread over all buckets
         order = np.argsort(keys)
         self.keys = np.append(keys[order], np.uint64(2**64 - 1))
-        self.columns = {c: table.column(c).to_numpy()[order] for c in table.column_names if c not in ("key", "block")}
+        keys = self.keys[:-1]
+        self.columns = {c: columns.pop(c)[order] for c in list(columns)}
         bits = max(1, int(len(keys)).bit_length())
         self.shift = np.uint64(64 - bits)
-        self.starts = np.searchsorted(keys[order], np.arange(2**bits, dtype=np.uint64) << self.shift).astype(np.int32)
-        self.longest = int(np.diff(np.append(self.starts, len(keys))).max(initial=0))
+        self.starts = np.empty(2**bits, np.int32)
+        for first in range(0, 2**bits, 1 << 16):  # a few at a time: the driver holds this once for a broadcast
+            some = np.arange(first, min(2**bits, first + (1 << 16)), dtype=np.uint64)
+            self.starts[first : first + len(some)] = np.searchsorted(keys, some << self.shift)
+        self.longest = int(np.diff(self.starts, append=np.int32(len(keys))).max(initial=0))
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         wanted = wanted * _M1
@@ -166,6 +176,38 @@ def _mix(before: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     return x * _M2
 
 
+def _index(rows: DataFrame) -> Index:
+    """The index of a whole table, with small numbers where they do; what was collected is let go column by column."""
+    table, columns = rows.toArrow(), {}
+    while table.num_columns:
+        column, name = table.column(0).to_numpy(), table.column_names[0]
+        table = table.remove_column(0)
+        columns[name] = column.astype(np.int32) if name == "n" and column.max(initial=0) < 2**31 else column
+        del column
+    pa.default_memory_pool().release_unused()
+    return Index(columns)
+
+
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))  # undoes the multiplication by _M1
+
+
+def _bits_for(keys: float) -> int:
+    """Bits that number the parts of the key space."""
+    return (int(keys) // PART_KEYS).bit_length()
+
+
+def _runs(spread: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """(part, its run) of sorted keys multiplied by ``_M1``; empty parts are left out."""
+    ends = [0, *np.searchsorted(spread, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist()] if bits else [0]
+    for part, (a, b) in enumerate(zip(ends, [*ends[1:], len(spread)], strict=True)):
+        if b > a:
+            yield part, slice(a, b)
+
+
+def _joined(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
 def _symbols(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols of all texts, an end before and after each, places per text with the last end, whether a place is one)."""
     packed = batch.column("symbols")
@@ -220,7 +262,7 @@ def _shorter(line: np.ndarray, place: np.ndarray, counts: Index, contexts: Index
     return p
 
 
-def _parts(batch: pa.RecordBatch, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Slices with at most ``most`` bytes of symbols, or one row."""
     ends = np.cumsum(pc.binary_length(batch.column("symbols")).to_numpy().astype(np.int64) + 2)
     first = 0
@@ -231,18 +273,79 @@ def _parts(batch: pa.RecordBatch, most: int = 2_000_000) -> Iterator[pa.RecordBa
         first = last
 
 
-def _with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ctx, after = (b.column(c).to_numpy().view(np.uint64) for c in ("ctx", "next"))
-        yield pa.RecordBatch.from_arrays([pa.array(_mix(ctx, after).view(np.int64)), b.column("ctx"), b.column("low"), b.column("n")], ["key", "ctx", "low", "n"])
+PACKED = "part int, ctx binary, nexts binary, next binary, low binary, n binary"
+
+
+def _sum_part(packed: pa.Table) -> pa.Table:
+    """Rows (key, ctx, low, n) of the next symbols of a part that occur twice or more."""
+    nexts, after, low, n = (unpack(_joined(packed.column(c), "u1")) for c in ("nexts", "next", "low", "n"))
+    ctx, low = np.repeat(_joined(packed.column("ctx"), "u8"), nexts), low.astype(np.int32)
+    key = _mix(ctx, after.astype(np.uint64))
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    n = np.add.reduceat(n[order], first, dtype=np.int64)
+    first, n = first[n > 1], n[n > 1]
+    at = order[first]
+    return pa.table([pa.array(key[first].view(np.int64)), pa.array(ctx[at].view(np.int64)), pa.array(low[at]), pa.array(n)], names=["key", "ctx", "low", "n"])
+
+
+def _pack_next(sort: np.ndarray, bits: int, ctx: np.ndarray, after: np.ndarray, low: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Rows of ``PACKED``, one for each part; ``sort`` rises, and equal contexts lie together."""
+    runs = list(_runs(sort, bits))
+    edges = np.array([0, *[r.stop for _, r in runs]])
+    heads = np.union1d(np.flatnonzero(ctx[1:] != ctx[:-1]) + 1, edges[:-1]) if len(ctx) else np.zeros(0, np.int64)
+
+    def cut(codes: np.ndarray, at: np.ndarray) -> pa.Array:
+        raw, size = pack(codes)
+        ends, raw = bounds(size)[at].tolist(), raw.tobytes()
+        return pa.array([raw[a:b] for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
+
+    of_heads = np.searchsorted(heads, edges)
+    own = ctx[heads]
+    columns = [pa.array([own[a:b].tobytes() for a, b in zip(of_heads, of_heads[1:], strict=False)], pa.binary())]
+    columns += [cut(np.diff(np.append(heads, len(ctx))), of_heads), *[cut(c, edges) for c in (after, low, n)]]
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in runs], pa.int32()), *columns], [f.split()[0] for f in PACKED.split(", ")])
+
+
+def _pack_counts(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (key, n) to (part, keys, n) of many at once."""
+
+    def packed(some: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(some)
+        spread = table.column("key").to_numpy().view(np.uint64) * _M1
+        order = np.argsort(spread)
+        spread, n = spread[order], table.column("n").to_numpy()[order]
+        runs = list(_runs(spread, bits))
+        keys = spread * _BACK
+        return pa.RecordBatch.from_arrays([
+            pa.array([p for p, _ in runs], pa.int32()), pa.array([keys[r].tobytes() for _, r in runs], pa.binary()), pa.array([n[r].tobytes() for _, r in runs], pa.binary()),
+        ], ["part", "keys", "n"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= PACK_ROWS:
+                yield packed(held)
+                held, rows = [], 0
+        if held:
+            yield packed(held)
 
-Work = Callable[[pa.RecordBatch, Index, Index], pa.RecordBatch]
-TREE = "key long, n long, total double, back double"
+    return run
 
 
-def _over_texts(texts: DataFrame, counts: DataFrame, contexts: DataFrame, depth: int, work: Work, schema: str, most: int) -> DataFrame:
-    """``work`` on all texts with the rows of both tables: the whole tables, or those that a block of texts needs."""
+Work = Callable[..., pa.RecordBatch]
+
+
+def _over_texts(
+    texts: DataFrame, counts: DataFrame, contexts: DataFrame, depth: int, work: Work, schema: str, most: int, candidates: DataFrame | None = None
+) -> DataFrame:
+    """``work`` on all texts with the rows of both tables: the whole tables, or those that a block of texts needs.
+
+    With ``candidates``, contexts of ``depth`` symbols to be looked up, probabilities are wanted of one symbol less.
+    """
 
     def split(table: pa.Table) -> tuple[Index, Index]:
         counted = pc.is_valid(table.column("n"))
@@ -252,8 +355,10 @@ def _over_texts(texts: DataFrame, counts: DataFrame, contexts: DataFrame, depth:
     tree = counts.select("key", "n", null.cast("double").alias("total"), null.cast("double").alias("back")).union(
         contexts.select("key", null.cast("long"), "total", "back")
     )
-    if counts.count() + contexts.count() <= most:
-        shared = texts.sparkSession.sparkContext.broadcast((Index(counts.select("key", "n").toArrow()), Index(contexts.toArrow())))
+    n_counts, n_contexts = counts.count(), contexts.count()
+    empty = texts.sparkSession.createDataFrame([], schema).toArrow()
+    if n_counts + n_contexts <= most:
+        shared = texts.sparkSession.sparkContext.broadcast((_index(counts.select("key", "n")), _index(contexts)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
@@ -262,6 +367,10 @@ def _over_texts(texts: DataFrame, counts: DataFrame, contexts: DataFrame, depth:
 
         return texts.mapInArrow(run, schema)
 
+    if n_contexts + (candidates.count() if candidates else 0) <= most:
+        often = candidates and _index(candidates)
+        return _by_parts(texts, counts, n_counts, _index(contexts), often, depth - bool(candidates), work, schema, empty)
+
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in _parts(whole):
@@ -277,7 +386,57 @@ def _over_texts(texts: DataFrame, counts: DataFrame, contexts: DataFrame, depth:
         done = [work(part, *tables) for batch in own.combine_chunks().to_batches() for part in _parts(batch)]
         return pa.Table.from_batches(done) if done else empty
 
-    empty = texts.sparkSession.createDataFrame([], schema).toArrow()
+    return texts.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(meet, schema)
+
+
+def _by_parts(
+    texts: DataFrame, counts: DataFrame, n_counts: int, contexts: Index, often: Index | None, depth: int, work: Work, schema: str, empty: pa.Table
+) -> DataFrame:
+    """``work`` on blocks of texts with all contexts and the counts that they need: keys go to the parts of the key space
+    and come back with their counts, packed by block and part."""
+    bits = _bits_for(n_counts)
+    shared = texts.sparkSession.sparkContext.broadcast((contexts, often))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = shared.value[0]
+        for whole in batches:
+            for batch in _parts(whole):
+                for block in pc.unique(batch.column("block")).to_pylist():
+                    line, _, place = _symbols(batch.filter(pc.equal(batch.column("block"), block)))
+                    live = np.flatnonzero(place)
+                    wanted, before = [np.unique(line) * _M1], None
+                    for key, inside in _contexts(line, place, depth + 1):
+                        if before is not None:
+                            live = live[inside[live]]
+                            wanted.append(key[live[kept.find(before[live - 1]) >= 0]] * _M1)
+                        before = key
+                    spread = np.unique(np.concatenate(wanted))
+                    runs, keys = list(_runs(spread, bits)), spread * _BACK
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(runs), block)), pa.array([p for p, _ in runs], pa.int32()), pa.array([keys[r].tobytes() for _, r in runs], pa.binary())],
+                        ["block", "part", "keys"],
+                    )
+
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        index = Index(pa.table([pa.array(_joined(known.column("keys"), "i8")), pa.array(_joined(known.column("n"), "i8"))], names=["key", "n"]))
+        keys, found = [], []
+        for raw in asked.column("keys").to_pylist():
+            some = np.frombuffer(raw, "u8")
+            at = index.find(some)
+            keys.append(some[at >= 0].tobytes())
+            found.append(index.columns["n"][at[at >= 0]].tobytes())
+        return pa.table([asked.column("block"), pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["block", "keys", "n"])
+
+    def meet(own: pa.Table, found: pa.Table) -> pa.Table:
+        counted = Index(pa.table([pa.array(_joined(found.column("keys"), "i8")), pa.array(_joined(found.column("n"), "i8"))], names=["key", "n"]))
+        kept, listed = shared.value
+        more = () if listed is None else (listed,)
+        done = [work(part, counted, kept, *more) for batch in own.combine_chunks().to_batches() for part in _parts(batch)]
+        return pa.Table.from_batches(done) if done else empty
+
+    asked = texts.select("block", "symbols").mapInArrow(ask, "block long, part int, keys binary")
+    known = counts.select("key", "n").mapInArrow(_pack_counts(bits), "part int, keys binary, n binary")
+    rows = asked.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(answer, "block long, keys binary, n binary")
     return texts.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(meet, schema)
 
 
@@ -286,6 +445,7 @@ def learn_tree(
 ) -> Tree:
     """From (block, symbols) of all training texts; a pass over them for each depth."""
     texts = texts.select("block", "symbols")
+    bits = _bits_for(root)
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -301,30 +461,36 @@ def learn_tree(
     contexts = texts.sparkSession.createDataFrame([], "key long, total double, back double")
     for d in range(1, depth + 1):
 
-        def follow(batch: pa.RecordBatch, counted: Index, kept: Index, d: int = d) -> pa.RecordBatch:
+        def follow(batch: pa.RecordBatch, counted: Index, kept: Index, listed: Index | None = None, d: int = d) -> pa.RecordBatch:
             line, _, place = _symbols(batch)
             p = _shorter(line, place, counted, kept, root, d - 1)
-            sequences = list(_contexts(line, place, d + 1))
-            here = np.flatnonzero(place & sequences[d][1])
-            ctx = sequences[d - 1][0][here - 1]
-            at = counted.find(ctx)
-            n_of = counted.columns["n"]
+            before = key = inside = line
+            for k, inside in _contexts(line, place, d + 1):  # only the last two lengths are held
+                before, key = key, k
+            here = np.flatnonzero(place & inside)
+            ctx, key = before[here - 1], key[here] * _M1
+            del before, inside, place, k
+            listed = listed or counted
+            at = listed.find(ctx)
+            n_of = listed.columns["n"]
             some = (at >= 0) & ((n_of[at] if len(n_of) else at) >= least_context)
-            here, ctx = here[some], ctx[some]
-            key = sequences[d][0][here]
+            here, ctx, key, m = here[some], ctx[some], key[some], n_of[at[some]] if len(n_of) else at[some]
             order = np.argsort(key)
             key = key[order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
-            n, first = np.diff(np.append(first, len(key))), order[first]
-            by = np.argsort(ctx[first])  # rows of a context lie together, which packs better
-            n, first = n[by], first[by]
-            low = np.rint(-100 * np.log(p[here[first]])).astype(np.int32)
-            columns = [ctx[first].view(np.int64), line[here[first]].view(np.int64), low, n]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["ctx", "next", "low", "n"])
-
-        rows = _over_texts(texts, counts, contexts, d, follow, "ctx long, next long, low int, n long", most)
-        found = rows.groupBy("ctx", "next").agg(F.sum("n").alias("n"), F.min("low").alias("low")).filter("n > 1")
-        found = durable(found.mapInArrow(_with_keys, "key long, ctx long, low int, n long"), "follow")
+            n, at = np.diff(np.append(first, len(key))), order[first]
+            # a context's rows go to one part and lie together there; those of a context that might fill a part go to all
+            spread = ctx[at] * _M1
+            rest = np.uint64(64 - bits)
+            sort = (np.where(m[at] * 8 > PART_KEYS, key[first], spread) >> rest << rest) | (spread >> np.uint64(bits))
+            by = np.argsort(sort)
+            sort, n, at = sort[by], n[by], at[by]
+            ctx, at = ctx[at], here[at]
+            del key, order, first, spread, by, m, here
+            return _pack_next(sort, bits, ctx, line[at].astype(np.int64), np.rint(-100 * np.log(p[at])).astype(np.int64), n)
+
+        rows = _over_texts(texts, counts, contexts, d, follow, PACKED, most, candidates)
+        found = durable(rows.groupBy("part").applyInArrow(_sum_part, "key long, ctx long, low int, n long"), "follow")
         m = candidates.select(F.col("key").alias("ctx"), F.col("n").alias("m"))
         stats = found.groupBy("ctx").agg(
             F.sum("n").alias("k"), F.count("*").alias("t"), F.sum(F.col("n") * (F.log("n") + F.col("low") / 100)).alias("g")
@@ -340,7 +506,9 @@ def learn_tree(
         candidates = durable(often.select("key", "n"), "candidates")
         rest = used.filter(F.col("n") < least_context).select("key", "n")
         counts = durable(counts.union(rest).union(candidates), "counts")
+        del rows, used, often
         forget(found)
+        forget_shuffles(texts.sparkSession)
         if candidates.isEmpty():
             break
     return Tree(counts, contexts, root)
@@ -387,8 +555,10 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, own_count: int = OWN_CO
     rows = blocks.filter("word is null").select("block", "doc_id", "held_out", "codes")
     back = symbols_of(words)
     sums = durable(rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(count, SUMS), "sums")
+    del rows, back, one
     forget(blocks)
     forget(words)
+    forget_shuffles(docs.sparkSession)
     root = float(train + own["v"] + ENDINGS + 1)
     tree = learn_tree(sums.filter("not held_out"), root, depth, least_context, most=most)
     log_base, known_end = float(np.log10(train + distinct + 1)), int(ends > 0)

@@ -113,6 +113,39 @@ def test_scores_against_brute_force_by_broadcast_and_by_blocks(spark):
             assert math.isclose(r.score, expected[r.doc_id], rel_tol=1e-9), (most, r)
 
 
+def test_scores_by_parts_of_the_key_space(spark, monkeypatch):
+    texts = [*phrases(120), None, "", "the", words(3, 3000) + " the old man"]
+    ids = list(range(len(texts)))
+    expected, kept = brute_force(ids, texts, own=40, least=30, depth=3)
+    by_parts, called = suffix_lm._by_parts, []
+    monkeypatch.setattr(suffix_lm, "_by_parts", lambda *a: called.append(a[5]) or by_parts(*a))
+    monkeypatch.setattr(suffix_lm, "PART_KEYS", 50)
+    docs = documents(spark, texts, ids=ids).repartition(3)
+    for most in (2 * len(kept) + 200, 10**6):
+        found = scored(docs, own_count=40, least_context=30, most=most).collect()
+        assert len(found) == len(texts)
+        for r in found:
+            assert math.isclose(r.score, expected[r.doc_id], rel_tol=1e-9), (most, r)
+        assert called == [1, 2, 3]  # the first depth reads few symbols
+
+
+def test_next_symbols_are_sent_packed_by_parts(spark, monkeypatch):
+    """As many rows as blocks and parts, not as texts have different next symbols."""
+    monkeypatch.setattr(suffix_lm, "PART_KEYS", 1 << 18)
+    over, sent = suffix_lm._over_texts, []
+
+    def spy(*a):
+        rows = over(*a)
+        sent.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(suffix_lm, "_over_texts", spy)
+    lists = [[1 + zlib.crc32(w.encode()) % 2**30 for w in t.split()] for t in phrases(100)]
+    texts = spark.createDataFrame([(0, suffix_lm.pack(np.array(x))[0].tobytes()) for x in lists], "block long, symbols binary").coalesce(1)
+    suffix_lm.learn_tree(texts, 1e6, least_context=20)
+    assert sent and max(sent) <= 4
+
+
 def test_more_text_gives_more_contexts_and_symbols(spark):
     sizes = []
     for n in (60, 240):
