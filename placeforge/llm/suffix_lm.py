@@ -25,6 +25,7 @@ counts are 0. An empty table gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 from typing import NamedTuple
 
 import numpy as np
@@ -139,6 +140,7 @@ def symbols_of(words: DataFrame) -> DataFrame:
 
 PART_KEYS = 1 << 19  # about as many keys of a table or a pass go to one part of the key space
 PACK_ROWS = 1 << 20  # rows of a table that a task packs at once
+KEPT_ROWS = 1_000_000  # as many contexts of a length are broadcast to a join
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -196,14 +198,6 @@ def _bits_for(keys: float) -> int:
     return (int(keys) // PART_KEYS).bit_length()
 
 
-def _runs(spread: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
-    """(part, its run) of sorted keys multiplied by ``_M1``; empty parts are left out."""
-    ends = [0, *np.searchsorted(spread, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist()] if bits else [0]
-    for part, (a, b) in enumerate(zip(ends, [*ends[1:], len(spread)], strict=True)):
-        if b > a:
-            yield part, slice(a, b)
-
-
 def _joined(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
@@ -237,10 +231,13 @@ def _contexts(line: np.ndarray, place: np.ndarray, depth: int) -> Iterator[tuple
 
 
 class Tree(NamedTuple):
-    """Tables ``counts`` (key, n) of sequences and ``contexts`` (key, total, back) that are kept, and what the root needs."""
+    """Tables ``symbols`` (key, n), ``counts`` (key, ctx, n) of sequences that follow kept contexts and ``contexts`` (key, total, back)
+    that are kept, keys of contexts whose rows go to all parts, and what the root needs."""
 
+    symbols: DataFrame
     counts: DataFrame
     contexts: DataFrame
+    heavy: np.ndarray
     root: float  # mass of all symbols
 
 
@@ -273,54 +270,82 @@ def _parts(batch: pa.RecordBatch, most: int = 1_000_000) -> Iterator[pa.RecordBa
         first = last
 
 
-PACKED = "part int, ctx binary, nexts binary, next binary, low binary, n binary"
+PACKED = "part int, ctx binary, suffix binary, nexts binary, next binary, low binary, n binary"
+
+
+def _part_of(ctx: np.ndarray, key: np.ndarray, heavy: np.ndarray, bits: int) -> np.ndarray:
+    """Part of sequences that are a context and a symbol: the context's, but sequences of heavy contexts go to all parts."""
+    at = np.minimum(np.searchsorted(heavy, ctx), max(0, len(heavy) - 1))
+    return (np.where(heavy[at] == ctx, key, ctx) if len(heavy) else ctx) * _M1 >> np.uint64(64 - bits)
+
 
+def _heavy(candidates: DataFrame) -> np.ndarray:
+    """Sorted keys of contexts that might fill a part, of (key, n); a table has few, as each occurs so often."""
+    found = candidates.filter(F.col("n") * 8 > PART_KEYS).select("key").toArrow()
+    return np.sort(found.column("key").to_numpy().view(np.uint64))
 
-def _sum_part(packed: pa.Table) -> pa.Table:
-    """Rows (key, ctx, low, n) of the next symbols of a part that occur twice or more."""
-    nexts, after, low, n = (unpack(_joined(packed.column(c), "u1")) for c in ("nexts", "next", "low", "n"))
-    ctx, low = np.repeat(_joined(packed.column("ctx"), "u8"), nexts), low.astype(np.int32)
-    key = _mix(ctx, after.astype(np.uint64))
+
+SUMMED = "key long, ctx long, low double, n long"
+
+
+def _sum_part(packed: pa.Table, lower: Index | None, depth: int, root: float) -> pa.Table:
+    """Rows (key, ctx, low, n) of the next symbols of a part that occur twice or more; ``low`` is their probability by contexts
+    of up to ``depth`` symbols, which ``lower`` has by sequence, or at depth 0 the rows by counts."""
+    nexts, after, n = (unpack(_joined(packed.column(c), "u1")) for c in ("nexts", "next", "n"))
+    ctx, after = np.repeat(_joined(packed.column("ctx"), "u8"), nexts), after.astype(np.uint64)
+    key = _mix(ctx, after)
     order = np.argsort(key)
     key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    n = np.add.reduceat(n[order], first, dtype=np.int64)
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+    n = np.add.reduceat(n[order], first, dtype=np.int64) if len(key) else n
     first, n = first[n > 1], n[n > 1]
     at = order[first]
-    return pa.table([pa.array(key[first].view(np.int64)), pa.array(ctx[at].view(np.int64)), pa.array(low[at]), pa.array(n)], names=["key", "ctx", "low", "n"])
+    if depth:
+        suffix = np.repeat(_joined(packed.column("suffix"), "u8"), nexts)[at]
+        low = lower.columns["v"][lower.find(_mix(suffix, after[at]))]  # what follows a context twice follows its suffix as often
+    else:
+        low = (unpack(_joined(packed.column("low"), "u1"))[at] + 1.0) / root
+    return pa.table([pa.array(key[first].view(np.int64)), pa.array(ctx[at].view(np.int64)), pa.array(low), pa.array(n)], names=["key", "ctx", "low", "n"])
+
+
+def _cut(codes: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Packed codes of each run; a run ends where the next one of ``at`` starts."""
+    raw, size = pack(codes)
+    ends, raw = bounds(size)[at].tolist(), raw.tobytes()
+    return pa.array([raw[a:b] for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
 
 
-def _pack_next(sort: np.ndarray, bits: int, ctx: np.ndarray, after: np.ndarray, low: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    """Rows of ``PACKED``, one for each part; ``sort`` rises, and equal contexts lie together."""
-    runs = list(_runs(sort, bits))
-    edges = np.array([0, *[r.stop for _, r in runs]])
-    heads = np.union1d(np.flatnonzero(ctx[1:] != ctx[:-1]) + 1, edges[:-1]) if len(ctx) else np.zeros(0, np.int64)
+def _run_edges(part: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(edges of the runs of equal parts, edges of runs of equal contexts in them, the former as places among the latter)."""
+    moved = part[1:] != part[:-1]
+    edges = np.concatenate([[0], np.flatnonzero(moved) + 1, [len(part)]]) if len(part) else np.zeros(1, np.int64)
+    heads = np.concatenate([[0], np.flatnonzero(moved | (ctx[1:] != ctx[:-1])) + 1, [len(part)]]) if len(part) else edges
+    return edges, heads, np.searchsorted(heads, edges)
 
-    def cut(codes: np.ndarray, at: np.ndarray) -> pa.Array:
-        raw, size = pack(codes)
-        ends, raw = bounds(size)[at].tolist(), raw.tobytes()
-        return pa.array([raw[a:b] for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
 
-    of_heads = np.searchsorted(heads, edges)
-    own = ctx[heads]
-    columns = [pa.array([own[a:b].tobytes() for a, b in zip(of_heads, of_heads[1:], strict=False)], pa.binary())]
-    columns += [cut(np.diff(np.append(heads, len(ctx))), of_heads), *[cut(c, edges) for c in (after, low, n)]]
-    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in runs], pa.int32()), *columns], [f.split()[0] for f in PACKED.split(", ")])
+def _pack_next(part: np.ndarray, ctx: np.ndarray, suffix: np.ndarray, after: np.ndarray, low: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Rows of ``PACKED``, one for each part; ``part`` rises, and equal contexts of a part lie together. Without ``low`` its column is empty."""
+    edges, heads, of_heads = _run_edges(part, ctx)
+    columns = [pa.array(part[edges[:-1]].astype(np.int32))]
+    for keys in (ctx[heads[:-1]], suffix[heads[:-1]]):
+        columns.append(pa.array([keys[a:b].tobytes() for a, b in zip(of_heads, of_heads[1:], strict=False)], pa.binary()))
+    columns += [_cut(np.diff(heads), of_heads), _cut(after, edges), _cut(low, edges if len(low) else np.zeros_like(edges)), _cut(n, edges)]
+    return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in PACKED.split(", ")])
 
 
-def _pack_counts(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (key, n) to (part, keys, n) of many at once."""
+def _pack_counts(bits: int, heavy: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (key, ctx, v) to (part, keys, v) of many at once."""
 
     def packed(some: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(some)
-        spread = table.column("key").to_numpy().view(np.uint64) * _M1
-        order = np.argsort(spread)
-        spread, n = spread[order], table.column("n").to_numpy()[order]
-        runs = list(_runs(spread, bits))
-        keys = spread * _BACK
+        keys, ctx = (table.column(c).to_numpy().view(np.uint64) for c in ("key", "ctx"))
+        part = _part_of(ctx, keys, heavy, bits)
+        order = np.argsort(part, kind="stable")
+        keys, v, (edges, _, _) = keys[order], table.column("v").to_numpy()[order], _run_edges(part[order], part[order])
+        cut = [slice(a, b) for a, b in zip(edges, edges[1:], strict=False)]
         return pa.RecordBatch.from_arrays([
-            pa.array([p for p, _ in runs], pa.int32()), pa.array([keys[r].tobytes() for _, r in runs], pa.binary()), pa.array([n[r].tobytes() for _, r in runs], pa.binary()),
-        ], ["part", "keys", "n"])
+            pa.array(part[order][edges[:-1]].astype(np.int32)), pa.array([keys[r].tobytes() for r in cut], pa.binary()), pa.array([v[r].tobytes() for r in cut], pa.binary()),
+        ], ["part", "keys", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -330,22 +355,32 @@ def _pack_counts(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             if rows >= PACK_ROWS:
                 yield packed(held)
                 held, rows = [], 0
-        if held:
+        if rows:
             yield packed(held)
 
     return run
 
 
-Work = Callable[..., pa.RecordBatch]
+def _by_parts(
+    sent: DataFrame, known: DataFrame, heavy: np.ndarray, bits: int, answer: Callable[[pa.Table, Index, int], pa.Table], depth: int, schema: str
+) -> DataFrame:
+    """``answer`` on the rows of each part of the key space, with the part's rows (key, ctx, v) of sequences that follow contexts of up to
+    ``depth`` symbols."""
+    kind = {"bigint": "i8", "double": "f8"}[dict(known.dtypes)["v"]]
 
+    def meet(rows: pa.Table, packed: pa.Table) -> pa.Table:
+        index = Index({"key": _joined(packed.column("keys"), "u8"), "v": _joined(packed.column("v"), kind)})
+        return answer(rows, index, depth)
 
-def _over_texts(
-    texts: DataFrame, counts: DataFrame, contexts: DataFrame, depth: int, work: Work, schema: str, most: int, candidates: DataFrame | None = None
-) -> DataFrame:
-    """``work`` on all texts with the rows of both tables: the whole tables, or those that a block of texts needs.
+    packed = known.select("key", "ctx", "v").mapInArrow(_pack_counts(bits, heavy), "part int, keys binary, v binary")
+    return sent.groupBy("part").cogroup(packed.groupBy("part")).applyInArrow(meet, schema)
 
-    With ``candidates``, contexts of ``depth`` symbols to be looked up, probabilities are wanted of one symbol less.
-    """
+
+Work = Callable[..., pa.RecordBatch]
+
+
+def _over_texts(texts: DataFrame, counts: DataFrame, contexts: DataFrame, depth: int, work: Work, schema: str, most: int) -> DataFrame:
+    """``work`` on all texts with the rows of both tables: the whole tables, or those that a block of texts needs."""
 
     def split(table: pa.Table) -> tuple[Index, Index]:
         counted = pc.is_valid(table.column("n"))
@@ -355,9 +390,7 @@ def _over_texts(
     tree = counts.select("key", "n", null.cast("double").alias("total"), null.cast("double").alias("back")).union(
         contexts.select("key", null.cast("long"), "total", "back")
     )
-    n_counts, n_contexts = counts.count(), contexts.count()
-    empty = texts.sparkSession.createDataFrame([], schema).toArrow()
-    if n_counts + n_contexts <= most:
+    if counts.count() + contexts.count() <= most:
         shared = texts.sparkSession.sparkContext.broadcast((_index(counts.select("key", "n")), _index(contexts)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,9 +400,7 @@ def _over_texts(
 
         return texts.mapInArrow(run, schema)
 
-    if n_contexts + (candidates.count() if candidates else 0) <= most:
-        often = candidates and _index(candidates)
-        return _by_parts(texts, counts, n_counts, _index(contexts), often, depth - bool(candidates), work, schema, empty)
+    empty = texts.sparkSession.createDataFrame([], schema).toArrow()
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -389,57 +420,110 @@ def _over_texts(
     return texts.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(meet, schema)
 
 
-def _by_parts(
-    texts: DataFrame, counts: DataFrame, n_counts: int, contexts: Index, often: Index | None, depth: int, work: Work, schema: str, empty: pa.Table
-) -> DataFrame:
-    """``work`` on blocks of texts with all contexts and the counts that they need: keys go to the parts of the key space
-    and come back with their counts, packed by block and part."""
+class Asked(NamedTuple):
+    """Different sequences of some texts that are a kept context and a next symbol, in the order in which they are asked for."""
+
+    part: np.ndarray
+    context: np.ndarray  # row of the context
+    after: np.ndarray
+    places: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # for each length: place, row of its context, row of the sequence
+
+
+def _asked(line: np.ndarray, place: np.ndarray, kept: Index, depth: int, bits: int) -> Asked:
+    live, found, before = np.flatnonzero(place), [], None
+    for key, inside in _contexts(line, place, depth + 1):
+        if before is not None:
+            live = live[inside[live]]
+            c = kept.find(before[live - 1])
+            here = live[c >= 0]
+            found.append((here, c[c >= 0], key[here]))
+        before = key
+    at, c, keys = (np.concatenate([f[k] for f in found]) for k in range(3))
+    order = np.argsort(keys)
+    fresh = np.concatenate([[True], keys[order[1:]] != keys[order[:-1]]])[: len(keys)]
+    first = order[fresh]
+    at, c, keys, row = at[first], c[first], keys[first], np.empty(len(keys), np.int64)
+    part = np.where(kept.columns["heavy"][c], keys * _M1, kept.keys[c]) >> np.uint64(64 - bits)
+    by = np.argsort(part << np.uint64(32) | c.astype(np.uint64))
+    back = np.empty(len(by), np.int64)
+    back[by] = np.arange(len(by))
+    row[order] = back[np.cumsum(fresh) - 1]
+    rows = np.split(row, np.cumsum([len(f[0]) for f in found])[:-1])
+    return Asked(part[by], c[by], line[at[by]].astype(np.int64), [(f[0], f[1], r) for f, r in zip(found, rows, strict=True)])
+
+
+def _score_by_parts(texts: DataFrame, tree: Tree, n_counts: int, depth: int, score: Callable[..., pa.RecordBatch], schema: str) -> DataFrame:
+    """``score`` on all texts with the probability at each place. Contexts and symbols are broadcast; what follows contexts goes to the
+    parts of the key space, as numbers of contexts and symbols, and its counts come back in that order."""
     bits = _bits_for(n_counts)
-    shared = texts.sparkSession.sparkContext.broadcast((contexts, often))
+    kept, root = _index(tree.contexts), tree.root
+    keys = kept.keys[:-1] * _BACK
+    kept.columns["heavy"] = np.isin(keys, tree.heavy)
+    shared = texts.sparkSession.sparkContext.broadcast((_index(tree.symbols), kept))
+    empty = texts.sparkSession.createDataFrame([], schema).toArrow()
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = shared.value[0]
-        for whole in batches:
-            for batch in _parts(whole):
-                for block in pc.unique(batch.column("block")).to_pylist():
-                    line, _, place = _symbols(batch.filter(pc.equal(batch.column("block"), block)))
-                    live = np.flatnonzero(place)
-                    wanted, before = [np.unique(line) * _M1], None
-                    for key, inside in _contexts(line, place, depth + 1):
-                        if before is not None:
-                            live = live[inside[live]]
-                            wanted.append(key[live[kept.find(before[live - 1]) >= 0]] * _M1)
-                        before = key
-                    spread = np.unique(np.concatenate(wanted))
-                    runs, keys = list(_runs(spread, bits)), spread * _BACK
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(runs), block)), pa.array([p for p, _ in runs], pa.int32()), pa.array([keys[r].tobytes() for _, r in runs], pa.binary())],
-                        ["block", "part", "keys"],
-                    )
-
-    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        index = Index(pa.table([pa.array(_joined(known.column("keys"), "i8")), pa.array(_joined(known.column("n"), "i8"))], names=["key", "n"]))
-        keys, found = [], []
-        for raw in asked.column("keys").to_pylist():
-            some = np.frombuffer(raw, "u8")
-            at = index.find(some)
-            keys.append(some[at >= 0].tobytes())
-            found.append(index.columns["n"][at[at >= 0]].tobytes())
-        return pa.table([asked.column("block"), pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["block", "keys", "n"])
+    def pieces(own: pa.Table) -> Iterator[pa.RecordBatch]:
+        """The same ones whatever the order of a block's rows, but for texts of equal symbols."""
+        for batch in own.sort_by("symbols").combine_chunks().to_batches():
+            yield from _parts(batch)
+
+    asks = "block long, piece int, part int, ctx binary, nexts binary, next binary"
+
+    def ask(own: pa.Table) -> pa.Table:
+        block, done = own.column("block")[0], []
+        for piece, batch in enumerate(pieces(own)):
+            line, _, place = _symbols(batch)
+            part, c, after, _ = _asked(line, place, shared.value[1], depth, bits)
+            edges, heads, of_heads = _run_edges(part, c)
+            rises = np.diff(c[heads[:-1]], prepend=0)
+            rises[of_heads[:-1]] = c[edges[:-1]]
+            n = len(edges) - 1
+            done.append(pa.RecordBatch.from_arrays([
+                pa.array([block.as_py()] * n, pa.int64()), pa.array([piece] * n, pa.int32()), pa.array(part[edges[:-1]].astype(np.int32)),
+                _cut(rises, of_heads), _cut(np.diff(heads), of_heads), _cut(after, edges),
+            ], [f.split()[0] for f in asks.split(", ")]))
+        return pa.Table.from_batches(done)
+
+    def answer(asked: pa.Table, counted: Index, _: int) -> pa.Table:
+        contexts, found = shared.value[1].keys, []
+        for raw in zip(*(asked.column(c).to_pylist() for c in ("ctx", "nexts", "next")), strict=True):
+            rises, nexts, after = (unpack(np.frombuffer(x, np.uint8)) for x in raw)
+            ctx = np.repeat(contexts[np.cumsum(rises)] * _BACK, nexts)
+            at = counted.find(_mix(ctx, after.astype(np.uint64)))
+            n = counted.columns["v"]
+            found.append(pack(np.where(at >= 0, n[at] if len(n) else 0, 0))[0].tobytes())
+        return asked.select(["block", "piece", "part"]).append_column("n", pa.array(found, pa.binary()))
 
     def meet(own: pa.Table, found: pa.Table) -> pa.Table:
-        counted = Index(pa.table([pa.array(_joined(found.column("keys"), "i8")), pa.array(_joined(found.column("n"), "i8"))], names=["key", "n"]))
-        kept, listed = shared.value
-        more = () if listed is None else (listed,)
-        done = [work(part, counted, kept, *more) for batch in own.combine_chunks().to_batches() for part in _parts(batch)]
+        (symbols, contexts), done = shared.value, []
+        total_of, back_of = contexts.columns["total"], contexts.columns["back"]
+        for piece, batch in enumerate(pieces(own)):
+            line, counts, place = _symbols(batch)
+            mine = found.filter(pc.equal(found.column("piece"), piece)).sort_by("part")
+            n_of = unpack(_joined(mine.column("n"), "u1"))
+            at = symbols.find(line)
+            p = (np.where(at >= 0, symbols.columns["n"][at] if len(symbols.columns["n"]) else 0, 0) + 1.0) / root
+            for here, c, row in _asked(line, place, contexts, depth, bits).places:
+                p[here] = n_of[row] / total_of[c] + back_of[c] * p[here]
+            done.append(score(batch, counts, p[place]))
         return pa.Table.from_batches(done) if done else empty
 
-    asked = texts.select("block", "symbols").mapInArrow(ask, "block long, part int, keys binary")
-    known = counts.select("key", "n").mapInArrow(_pack_counts(bits), "part int, keys binary, n binary")
-    rows = asked.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(answer, "block long, keys binary, n binary")
+    sent = texts.groupBy("block").applyInArrow(ask, asks)
+    known = tree.counts.withColumn("v", F.col("n"))
+    rows = _by_parts(sent, known, tree.heavy, bits, answer, depth, "block long, piece int, part int, n binary")
     return texts.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(meet, schema)
 
 
+def _with_table(rows: DataFrame, lower: DataFrame | None, root: float, depth: int) -> DataFrame:
+    """``_sum_part`` of each part with the whole table ``lower``, if there is one."""
+    shared = lower and rows.sparkSession.sparkContext.broadcast(_index(lower.select("key", "v")))
+
+    def run(packed: pa.Table) -> pa.Table:
+        return _sum_part(packed, shared and shared.value, depth, root)
+
+    return rows.groupBy("part").applyInArrow(run, SUMMED)
+
+
 def learn_tree(
     texts: DataFrame, root: float, depth: int = DEPTH, least_context: int = LEAST_CONTEXT, least_gain: float = LEAST_GAIN, most: int = BROADCAST_KEYS
 ) -> Tree:
@@ -456,44 +540,49 @@ def learn_tree(
 
     # the ends before texts are counted with those after them, as contexts
     both = durable(texts.mapInArrow(single, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "symbols")
-    counts = both.withColumn("n", F.when(F.col("key") == END, F.expr("n div 2")).otherwise(F.col("n")))
-    candidates = counts.filter(F.col("n") >= least_context)
-    contexts = texts.sparkSession.createDataFrame([], "key long, total double, back double")
+    symbols = both.withColumn("n", F.when(F.col("key") == END, F.expr("n div 2")).otherwise(F.col("n")))
+    candidates = symbols.filter(F.col("n") >= least_context)
+    none = contexts = texts.sparkSession.createDataFrame([], "key long, total double, back double")
+    counts = texts.sparkSession.createDataFrame([], "key long, ctx long, n long")
+    lower, n_counts, all_heavy = None, symbols.count(), []
+    heavy = _heavy(candidates)  # among contexts of one symbol, then among the suffixes of longer ones
     for d in range(1, depth + 1):
+        all_heavy.append(_heavy(candidates))
 
-        def follow(batch: pa.RecordBatch, counted: Index, kept: Index, listed: Index | None = None, d: int = d) -> pa.RecordBatch:
+        def follow(batch: pa.RecordBatch, listed: Index, _: Index, d: int = d, heavy: np.ndarray = heavy) -> pa.RecordBatch:
             line, _, place = _symbols(batch)
-            p = _shorter(line, place, counted, kept, root, d - 1)
-            before = key = inside = line
-            for k, inside in _contexts(line, place, d + 1):  # only the last two lengths are held
-                before, key = key, k
+            suffix = before = key = inside = line
+            for k, inside in _contexts(line, place, d + 1):  # only the last three lengths are held
+                suffix, before, key = before, key, k
             here = np.flatnonzero(place & inside)
-            ctx, key = before[here - 1], key[here] * _M1
-            del before, inside, place, k
-            listed = listed or counted
-            at = listed.find(ctx)
-            n_of = listed.columns["n"]
+            ctx = before[here - 1]
+            at, n_of = listed.find(ctx), listed.columns["n"]
             some = (at >= 0) & ((n_of[at] if len(n_of) else at) >= least_context)
-            here, ctx, key, m = here[some], ctx[some], key[some], n_of[at[some]] if len(n_of) else at[some]
+            here, ctx = here[some], ctx[some]
+            key, suffix = key[here], suffix[here - 1]
+            del before, inside, place, k, at, some
             order = np.argsort(key)
             key = key[order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
             n, at = np.diff(np.append(first, len(key))), order[first]
-            # a context's rows go to one part and lie together there; those of a context that might fill a part go to all
-            spread = ctx[at] * _M1
-            rest = np.uint64(64 - bits)
-            sort = (np.where(m[at] * 8 > PART_KEYS, key[first], spread) >> rest << rest) | (spread >> np.uint64(bits))
-            by = np.argsort(sort)
-            sort, n, at = sort[by], n[by], at[by]
-            ctx, at = ctx[at], here[at]
-            del key, order, first, spread, by, m, here
-            return _pack_next(sort, bits, ctx, line[at].astype(np.int64), np.rint(-100 * np.log(p[at])).astype(np.int64), n)
-
-        rows = _over_texts(texts, counts, contexts, d, follow, PACKED, most, candidates)
-        found = durable(rows.groupBy("part").applyInArrow(_sum_part, "key long, ctx long, low int, n long"), "follow")
+            ctx, suffix, after = ctx[at], suffix[at], line[here[at]]
+            del key, order, first, here, at
+            # rows of a context go where what follows its suffix is; they lie together there
+            part = _part_of(suffix, _mix(suffix, after), heavy, bits)
+            by = np.argsort(part << np.uint64(64 - bits) | ctx * _M1 >> np.uint64(bits))
+            low = n_of[listed.find(after[by])] if d == 1 else np.zeros(0, np.int64)
+            return _pack_next(part[by], ctx[by], suffix[by], after[by].astype(np.int64), low, n[by])
+
+        rows = _over_texts(texts, candidates if lower else symbols, none, d - 1, follow, PACKED, most)
+        if lower is None or n_counts + contexts.count() <= most // 4:
+            sums = _with_table(rows, lower, root, d - 1)
+        else:
+            sums = _by_parts(rows, lower, heavy, bits, partial(_sum_part, root=root), d - 1, SUMMED)
+        found = durable(sums, "follow")
+        heavy = all_heavy[-1]
         m = candidates.select(F.col("key").alias("ctx"), F.col("n").alias("m"))
         stats = found.groupBy("ctx").agg(
-            F.sum("n").alias("k"), F.count("*").alias("t"), F.sum(F.col("n") * (F.log("n") + F.col("low") / 100)).alias("g")
+            F.sum("n").alias("k"), F.count("*").alias("t"), F.sum(F.col("n") * (F.log("n") + F.rint(-100 * F.log("low")) / 100)).alias("g")
         )
         stats = stats.join(m, "ctx").withColumn("once", F.greatest(F.lit(0), F.col("m") - F.col("k")))
         stats = stats.withColumn("total", (F.col("k") + 2 * F.col("once") + F.col("t")).cast("double"))
@@ -501,17 +590,22 @@ def learn_tree(
         gain = F.col("g") - F.col("k") * F.log("total") + F.col("once") * F.log("back")
         kept = durable(stats.filter(gain >= least_gain + F.col("t")).select("ctx", "total", "back"), "contexts")
         contexts = contexts.union(kept.select(F.col("ctx").alias("key"), "total", "back"))
-        used = found.join(kept.select("ctx"), "ctx", "left_semi")
-        often = found.filter(F.col("n") >= least_context)  # the next depth's candidates, kept or not
-        candidates = durable(often.select("key", "n"), "candidates")
-        rest = used.filter(F.col("n") < least_context).select("key", "n")
-        counts = durable(counts.union(rest).union(candidates), "counts")
-        del rows, used, often
+        some = F.broadcast(kept) if kept.count() <= min(most, KEPT_ROWS) else kept
+        if d < depth:
+            v = F.when(F.col("total").isNotNull(), F.col("n") / F.col("total") + F.col("back") * F.col("low")).otherwise(F.col("low"))
+            all_next = found.join(some, "ctx", "left").select("key", "ctx", "n", v.alias("v"), F.col("total").isNotNull().alias("used"))
+            lower = durable(all_next, "counts")
+            counts = counts.union(lower.filter("used").select("key", "ctx", "n"))
+            candidates = lower.filter(F.col("n") >= least_context).select("key", "n")
+            n_counts += lower.count()
+        else:
+            counts = counts.union(durable(found.join(some.select("ctx"), "ctx", "left_semi").select("key", "ctx", "n"), "counts"))
+        del rows, sums, stats
         forget(found)
         forget_shuffles(texts.sparkSession)
-        if candidates.isEmpty():
+        if d < depth and candidates.isEmpty():
             break
-    return Tree(counts, contexts, root)
+    return Tree(symbols, counts, contexts, np.unique(np.concatenate(all_heavy)), root)
 
 
 def score_documents(docs: DataFrame, depth: int = DEPTH, own_count: int = OWN_COUNT, least_context: int = LEAST_CONTEXT, most: int = BROADCAST_KEYS) -> DataFrame:
@@ -563,10 +657,8 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, own_count: int = OWN_CO
     tree = learn_tree(sums.filter("not held_out"), root, depth, least_context, most=most)
     log_base, known_end = float(np.log10(train + distinct + 1)), int(ends > 0)
 
-    def score(batch: pa.RecordBatch, counted: Index, kept: Index) -> pa.RecordBatch:
-        line, counts, place = _symbols(batch)
-        p = _shorter(line, place, counted, kept, root, depth)
-        found = sums_by_row(np.log10(p[place]), counts) + batch.column("log_words").to_numpy()
+    def score(batch: pa.RecordBatch, counts: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
+        found = sums_by_row(np.log10(p), counts) + batch.column("log_words").to_numpy()
         base = batch.column("log_counts").to_numpy() + np.log10(ends + 1) - counts * log_base
         n = len(counts)
         known = pa.array(batch.column("n_known").to_numpy() + known_end)
@@ -575,5 +667,12 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, own_count: int = OWN_CO
             ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
+    def look_up(batch: pa.RecordBatch, counted: Index, kept: Index) -> pa.RecordBatch:
+        line, counts, place = _symbols(batch)
+        return score(batch, counts, _shorter(line, place, counted, kept, root, depth)[place])
+
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return _over_texts(sums, tree.counts, tree.contexts, depth, score, out, most)
+    n_counts, n_contexts, n_symbols = tree.counts.count(), tree.contexts.count(), tree.symbols.count()
+    if n_counts + n_contexts + n_symbols > most // 4 and max(n_contexts, n_symbols) <= most:
+        return _score_by_parts(sums, tree, n_counts, depth, score, out)
+    return _over_texts(sums, tree.symbols.union(tree.counts.select("key", "n")), tree.contexts, depth, look_up, out, most)

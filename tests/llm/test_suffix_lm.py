@@ -129,6 +129,23 @@ def test_scores_by_parts_of_the_key_space(spark, monkeypatch):
         assert called == [1, 2, 3]  # the first depth reads few symbols
 
 
+def test_sequences_are_asked_for_by_numbers_and_not_by_keys(spark, monkeypatch):
+    """A key has 8 bytes; some contexts are heavy here and some are not."""
+    texts = [*phrases(120), None, "", "the"]
+    ids = list(range(len(texts)))
+    expected, kept = brute_force(ids, texts, own=40, least=30, depth=3)
+    by_parts, asked = suffix_lm._by_parts, []
+    monkeypatch.setattr(suffix_lm, "_by_parts", lambda *a: asked.append(a[0]) or by_parts(*a))
+    monkeypatch.setattr(suffix_lm, "PART_KEYS", 1000)
+    found = scored(documents(spark, texts, ids=ids).repartition(3), own_count=40, least_context=30, most=2 * len(kept) + 200).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        assert math.isclose(r.score, expected[r.doc_id], rel_tol=1e-9), r
+    rows = asked[-1].collect()
+    sequences = sum(len(suffix_lm.unpack(np.frombuffer(r.next, np.uint8))) for r in rows)
+    assert sequences > 500 and sum(len(r.ctx) + len(r.nexts) + len(r.next) for r in rows) < 5 * sequences
+
+
 def test_next_symbols_are_sent_packed_by_parts(spark, monkeypatch):
     """As many rows as blocks and parts, not as texts have different next symbols."""
     monkeypatch.setattr(suffix_lm, "PART_KEYS", 1 << 18)
