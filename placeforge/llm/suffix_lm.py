@@ -12,10 +12,11 @@ from the longest kept context on, times the word's among all words of the symbol
 
 Words are counted exactly. Documents are coded in blocks of bounded size against the block's own words; only (block,
 word) rows meet by word, and the counts go back by block, so a frequent word is a row per block. Contexts and next
-symbols are Spark tables keyed by a hash of the symbols (64 bits). A table of at most ``BROADCAST_KEYS`` rows is broadcast to the passes over
-the texts. Of a larger one each block of texts asks for the counts that follow kept contexts, as packed keys by parts of the key space, and meets
-the answers; if contexts alone are too many, it meets all rows it needs. The switch chooses a plan, not a result. Next symbols, too, are counted by
-parts of the key space, packed: their number grows with the texts and the rows of a part do not.
+symbols are Spark tables keyed by a hash of the symbols (64 bits). Next symbols are counted by parts of the key space, packed: their number grows
+with the texts and the rows of a part do not. There a sum meets the probability that one symbol less gives it, so texts are not looked up to learn. To score,
+each block of texts asks for the counts that follow kept contexts, as numbers of contexts and symbols packed by part, and they come back in that order.
+Symbols, candidates and contexts are broadcast while each has at most ``BROADCAST_KEYS`` rows, counts while all have a small part of it;
+if contexts alone are too many, a block of texts meets all rows it needs. The switch chooses a plan, not a result.
 
 Nulls: a null text is empty and has the end alone. A null doc_id is kept and its remainder is that of an empty text.
 Repeated rows are scored and learnt each. Very long texts are whole rows of a block of their own. Ties: nothing is ranked. Without training rows all
@@ -130,16 +131,21 @@ def count_words(blocks: DataFrame, own_count: int = OWN_COUNT) -> DataFrame:
     return durable(whole.select("block", "code", "c", "ending", name.alias("hash"), (F.col("_b") == F.col("block")).alias("first")), "words")
 
 
-def symbols_of(words: DataFrame) -> DataFrame:
-    """(block, code, c, symbol) of ``count_words``."""
+def symbols_of(words: DataFrame, most: int = BROADCAST_KEYS) -> tuple[DataFrame, Index | None]:
+    """(block, code, c, symbol) of ``count_words``; with an index, words that have their own symbol show their hash, and it has the symbols."""
     own = words.filter("hash is not null")
     ranked = position_in_group(own.filter("first").select("hash", "c"), [], [F.desc("c"), F.col("hash")], "rank").select("hash", (2 * F.col("rank")).alias("symbol"))
-    rest = words.filter("hash is null").select("block", "code", "c", (2 * F.col("ending").cast("long") + 1).alias("symbol"))
-    return rest.union(own.join(ranked, "hash").select("block", "code", "c", "symbol"))
+    ending = 2 * F.col("ending").cast("long") + 1
+    if own.filter("first").count() <= most:
+        rows = words.select("block", "code", "c", F.coalesce("hash", ending).alias("symbol"))
+        return rows, _index(ranked.select(F.col("hash").alias("key"), "symbol"))
+    rest = words.filter("hash is null").select("block", "code", "c", ending.alias("symbol"))
+    return rest.union(own.join(ranked, "hash").select("block", "code", "c", "symbol")), None
 
 
 PART_KEYS = 1 << 19  # about as many keys of a table or a pass go to one part of the key space
 PACK_ROWS = 1 << 20  # rows of a table that a task packs at once
+COUNTS_SHARE = 32  # counts of sequences are broadcast up to this part of ``BROADCAST_KEYS`` only: each task holds them, and each broadcast is a file on each machine
 KEPT_ROWS = 1_000_000  # as many contexts of a length are broadcast to a join
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -574,7 +580,7 @@ def learn_tree(
             return _pack_next(part[by], ctx[by], suffix[by], after[by].astype(np.int64), low, n[by])
 
         rows = _over_texts(texts, candidates if lower else symbols, none, d - 1, follow, PACKED, most)
-        if lower is None or n_counts + contexts.count() <= most // 4:
+        if lower is None or n_counts + contexts.count() <= most // COUNTS_SHARE:
             sums = _with_table(rows, lower, root, d - 1)
         else:
             sums = _by_parts(rows, lower, heavy, bits, partial(_sum_part, root=root), d - 1, SUMMED)
@@ -636,6 +642,9 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, own_count: int = OWN_CO
         c = np.zeros(1 + at.max(initial=0), np.int64)
         symbol = np.zeros(len(c), np.int64)
         c[at], symbol[at] = counted.column("c").to_numpy(), found
+        if named.value is not None:
+            own_words = c >= own_count
+            symbol[own_words] = named.value.columns["symbol"][named.value.find(symbol[own_words].view(np.uint64))]
         of_word = np.where(c >= own_count, 0.0, np.log10(c + 1.0) - log_mass[np.where(c >= own_count, 0, symbol >> 1)])
         mine = c[flat]
         packed, size = pack(symbol[flat])
@@ -647,7 +656,8 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, own_count: int = OWN_CO
         ], names=[f.split()[0] for f in SUMS.split(", ")])
 
     rows = blocks.filter("word is null").select("block", "doc_id", "held_out", "codes")
-    back = symbols_of(words)
+    back, own_symbols = symbols_of(words, most)
+    named = docs.sparkSession.sparkContext.broadcast(own_symbols)
     sums = durable(rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(count, SUMS), "sums")
     del rows, back, one
     forget(blocks)
@@ -673,6 +683,6 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, own_count: int = OWN_CO
 
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     n_counts, n_contexts, n_symbols = tree.counts.count(), tree.contexts.count(), tree.symbols.count()
-    if n_counts + n_contexts + n_symbols > most // 4 and max(n_contexts, n_symbols) <= most:
+    if n_counts + n_contexts + n_symbols > most // COUNTS_SHARE and max(n_contexts, n_symbols) <= most:
         return _score_by_parts(sums, tree, n_counts, depth, score, out)
     return _over_texts(sums, tree.symbols.union(tree.counts.select("key", "n")), tree.contexts, depth, look_up, out, most)
