@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from placeforge import fixtures
 from placeforge.functions import arrays, formats, geometry, scoring, text
 from placeforge.functions.geometry import Area
-from placeforge.operators import category, cluster, kernels, lines, merge, overlay
+from placeforge.operators import category, cluster, kernels, lines, merge, overlay, rank
 from placeforge.operators.ordered import position_in_group
 from placeforge.plans import audit, elems, serve, tags
 from placeforge.session import work_dir
@@ -400,7 +400,7 @@ def cluster_all_places(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedupe_nearby(spark: SparkSession, sf: str) -> DataFrame:
-    found = elems.collapsed_objects(fixtures.places(spark, sf)).objects
+    found = rank.with_all_ids(elems.collapsed_objects(fixtures.places(spark, sf)))
     return found.select(
         "cid", "name", "importance", "class", "type", "admin_level", "n", arrays.text_of(F.col("ids")).alias("ids")
     )

@@ -82,7 +82,7 @@ def _ids(clustered: DataFrame, picked: DataFrame) -> DataFrame:
 
 
 def collapse(clustered: DataFrame, geometries: DataFrame, geometry_pairing: str = "as_written") -> Collapsed:
-    """One row per cluster: ``cid, name, importance, ids`` and the picked tag; and its geometry.
+    """One row per cluster: ``cid, name, importance``, size and the picked tag; its geometry and its ids.
 
     ``clustered`` are members without geometry (see ``with_shape_kinds``), ``geometries`` theirs by place id.
     """
@@ -95,8 +95,18 @@ def collapse(clustered: DataFrame, geometries: DataFrame, geometry_pairing: str
         F.col("tag.prio").alias("prio"), F.col("tag.class").alias("class"), F.col("tag.type").alias("type"),
         F.col("tag.admin_level").alias("admin_level"),
     )
-    first = ids.filter("page = 0").select("cid", "ids")
-    return Collapsed(objects.join(first, "cid"), _shapes(clustered, geometries, picked), ids)
+    return Collapsed(objects, _shapes(clustered, geometries, picked), ids)
+
+
+def with_first_ids(collapsed: Collapsed) -> DataFrame:
+    """The objects with the first page of their ``ids``, as ``with_popindex`` takes them."""
+    return collapsed.objects.join(collapsed.ids.filter("page = 0").select("cid", "ids"), "cid")
+
+
+def with_all_ids(collapsed: Collapsed) -> DataFrame:
+    """The objects with the ``ids`` of all pages in one list."""
+    pages = collapsed.ids.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("page", "ids"))).alias("pages"))
+    return collapsed.objects.join(pages.select("cid", F.flatten("pages.ids").alias("ids")), "cid")
 
 
 def cluster_tags(clustered: DataFrame, entries: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from placeforge.operators.category import with_category
 from placeforge.operators.cluster import DEFAULT_EPS, nearby_components, with_components
 from placeforge.operators.merge import merge_same_entity, merged_members, narrow, prepare
 from placeforge.operators.ordered import PAGE
-from placeforge.operators.rank import Collapsed, cluster_tags, collapse, with_popindex, with_shape_kinds
+from placeforge.operators.rank import Collapsed, cluster_tags, collapse, with_first_ids, with_popindex, with_shape_kinds
 from placeforge.session import durable
 
 COLUMNS = ["popindex", "page", "name", "supercat", "subcat", "geometry", "area", "osm_ids"]
@@ -67,7 +67,7 @@ def object_tags(places: DataFrame, options: Options = Options()) -> DataFrame:
     rows = prepared_rows(places, options)
     clusters = clustered_objects(places, options, rows)
     collapsed = collapse(clusters.members, clusters.geometries, options.geometry_pairing)
-    ranks = with_popindex(collapsed.objects, collapsed.ids).select("cid", "popindex")
+    ranks = with_popindex(with_first_ids(collapsed), collapsed.ids).select("cid", "popindex")
     tags = cluster_tags(clusters.members, merged_members(rows)).join(ranks, "cid")
     return tags.select("popindex", "pos", "class", "type", "admin_level")
 
@@ -88,7 +88,7 @@ def build_elems(places: DataFrame, options: Options = Options()) -> DataFrame:
     has the object's name and category; a page without ids or without geometry has null there.
     """
     collapsed = collapsed_objects(places, options)
-    ranked = with_popindex(collapsed.objects, collapsed.ids).drop("ids")
+    ranked = with_popindex(with_first_ids(collapsed), collapsed.ids).drop("ids")
     named = with_category(ranked, options.keys, options.overrides, options.on_unknown)
     pages = collapsed.shapes.join(collapsed.ids, ["cid", "page"], "full")
     geom = F.col("geometry")

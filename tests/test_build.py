@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+from checks import queries
 from placeforge.operators import rank
 from placeforge.plans.elems import build_elems
 from tests.places import LINE, POINT, SQUARE, Place, coordinates, elems, parts, table
@@ -285,6 +286,15 @@ def test_long_id_lists_continue_on_pages(spark, monkeypatch):
     assert [(r.page, r.osm_ids) for r in built if r.name == "few"] == [(0, "N50,N51,N52")]
 
 
+def test_nearby_objects_keep_all_ids(spark, monkeypatch):
+    """``dedupe_nearby`` lists every member of a cluster, of however many pages."""
+    monkeypatch.setattr(rank, "ID_PAGE", 4)
+    places = [Place("many", n + 1, n) for n in range(10)] + [Place("few", 50 + n, n) for n in range(3)] + [Place("one", 70)]
+    monkeypatch.setattr(queries.fixtures, "places", lambda spark, sf: table(spark, places))
+    found = queries.dedupe_nearby(spark, "").collect()
+    assert {r.name: (r.n, r.ids) for r in found} == {"many": (10, "N1,N2,N3,N4,N5,N6,N7,N8,N9,N10"), "few": (3, "N50,N51,N52"), "one": (1, "N70")}
+
+
 def test_ties_go_by_all_pages_of_ids(spark):
     rows = [(1, 9, 1.0, list("aa"), 5), (2, 8, 1.0, list("aa"), 4), (3, 7, 1.0, list("aa"), 2), (4, 6, 1.0, list("aa"), 4), (5, 5, 2.0, ["z"], 1), (6, 4, 1.0, list("aa"), 5)]
     objects = spark.createDataFrame(rows, "cid long, place_id long, importance double, ids array<string>, n long")
