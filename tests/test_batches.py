@@ -111,6 +111,37 @@ def test_overlaps_together():
     assert {"POLYGON", "MULTIPOLYGON", "MULTILINESTRING", "POINT", overlay.NOTHING} <= {f[0] for f in together if f}
 
 
+def test_plain_rings_are_followed_together(monkeypatch):
+    """Only an overlap that meets itself in a point is followed edge by edge; shells and holes as when all are."""
+    area = [[(0.0, 0.0), (9.0, 0.0), (9.0, 6.0), (6.0, 6.0), (6.0, 2.0), (3.0, 2.0), (3.0, 6.0), (0.0, 6.0), (0.0, 0.0)]]
+    box = lambda x, y, w, h: np.array([(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)])
+    shapes = [("POLYGON", [[box(x, 2.5, 8.0, 2.5), box(x + 0.5, 3.0, 1.0, 1.0)]]) for x in np.arange(-6.03, 8.0, 0.25)]
+    pinched = ("POLYGON", [[np.array([(1.0, 1.0), (2.0, 1.0), (3.0, 3.0), (2.0, 5.0), (1.0, 5.0), (1.0, 1.0)]), box(2.0, 2.5, 1.0, 1.0)]])
+    bow = ("POLYGON", [[np.array([(0.5, 0.5), (1.0, 1.0), (1.5, 0.5), (1.5, 1.5), (1.0, 1.0), (0.5, 1.5), (0.5, 0.5)])]])
+    calls = []
+    follow = overlay._rings
+    monkeypatch.setattr(overlay, "_rings", lambda edges: calls.append(len(edges)) or follow(edges))
+    found = overlay._overlaps(shapes, area)
+    assert not calls
+    assert {f[0] for f in found} == {"POLYGON", "MULTIPOLYGON"} and {len(part) for f in found for part in f[1][1]} == {1, 2}
+    odd = overlay._overlaps([*shapes[:3], bow, pinched], area)
+    assert calls and odd[3][0] == "MULTIPOLYGON" and len(odd[3][1][1]) == 2
+
+    one_by_one = []
+
+    def all_odd(unit, a, b, xy):
+        for u in sorted(set(unit.tolist())):
+            some = unit == u
+            rings = follow(list(zip(map(tuple, xy[a[some]].tolist()), map(tuple, xy[b[some]].tolist()))))
+            one_by_one.extend((u, np.array(r)) for r in rings)
+        return [r for _, r in one_by_one], np.array([u for u, _ in one_by_one], int)
+
+    monkeypatch.setattr(overlay, "_shared_rings", all_odd)
+    again = overlay._overlaps(shapes, area)
+    plain = lambda found: [(kind, [[ring.tolist() for ring in part] for part in shape[1]]) for kind, shape in found]
+    assert plain(found) == plain(again)
+
+
 def test_far_pieces_are_not_cut(spark):
     """A box that only two teeth of a comb reach, by hand; and the plan tests pieces before it cuts them."""
     teeth = [p for i in range(20) for p in ((i * 2.0, 5.0), (i * 2 + 1.0, 5.0), (i * 2 + 1.0, 2.0), (i * 2 + 2.0, 2.0))]
