@@ -1,10 +1,13 @@
 """Kernels that look at all geometries of a batch together, against the same work done one by one."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from placeforge.functions import geometry
+from placeforge.functions.formats import from_ewkt
 from placeforge.functions.geometry import Area
 from placeforge.operators import kernels, leaves, lines, overlay
 
@@ -161,3 +164,16 @@ def test_two_point_ways_are_read_off_rows(spark, monkeypatch):
     assert found == [(1, 2), (2, 3), (2, 3, 4), (3, 4, 5), (4, 5, 6, 7), (5, 6, 7, 8)]
     monkeypatch.setattr(lines, "_LONG_LINE", 1)
     assert found == sorted(tuple(p.x for p in r.pts) for r in lines._ways(marked).collect())
+
+
+def test_tables_of_a_union_go_once_read(spark, monkeypatch):
+    """A union gives back the disk of its steps; only what its result is read from stays."""
+    written = []
+    durable = lines.durable
+    monkeypatch.setattr(lines, "durable", lambda df, name: written.append(table := durable(df, name)) or table)
+    shapes = [(1, n, f"LINESTRING({n} 0,{n + 2} 2)") for n in range(4)] + [(1, 9, "LINESTRING(0 1,9 1)"), (2, 1, "LINESTRING(0 0,1 1)")]
+    rows = spark.createDataFrame(shapes, "grp long, line long, t string").select("grp", "line", from_ewkt(F.col("t")).alias("geometry"))
+    found = {r.grp: len(r.geometry.parts) for r in lines.union_lines(rows).collect()}
+    assert found == {1: 13, 2: 1}
+    left = {Path(t._work_path).name.split("-")[0] for t in written if Path(t._work_path).exists()}
+    assert len(written) > 6 and left <= {"moves"}
